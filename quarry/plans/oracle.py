@@ -40,3 +40,222 @@ SELECT * FROM (
          CAST(rank() OVER (ORDER BY max_torque_nm DESC) AS INTEGER) AS rnk
   FROM processed WHERE max_torque_nm IS NOT NULL) t
 WHERE rnk <= 3"""
+
+_EXT = {  # ground truth of single fields, by name
+    "manufacturer": "p_brand", "model_number": "model", "product_name": "p_name", "product_type": "ptype",
+    "rated_voltage_v": "CASE WHEN k % 17 = 0 THEN NULL ELSE CAST(volt AS DOUBLE) END",
+    "max_torque_nm": "CAST(torque AS DOUBLE)",
+    "no_load_speed_low_rpm": "CAST(lo_rpm AS INTEGER)", "no_load_speed_high_rpm": "CAST(hi_rpm AS INTEGER)",
+    "chuck_capacity_mm": "CASE WHEN k % 13 = 0 THEN 'about 10' WHEN k % 2 = 0 THEN '1.5-13' ELSE '10' END",
+    "max_drilling_diameter_wood_mm": "CAST(wood AS DOUBLE)", "max_drilling_diameter_steel_mm": "CAST(steel AS DOUBLE)",
+    "weight_kg": "CASE WHEN k % 2 = 0 THEN CAST(w AS DOUBLE) ELSE round((w + 1) * 0.4536, 6) END",
+    "compatible_batteries": "CASE WHEN k % 4 = 0 THEN 'PRO-4, GBA-18' ELSE 'PRO-4' END",
+    "compatible_chargers": "'CHG-40'",
+}
+
+
+def _fields_sql(names):
+    return "WITH " + MANUALS + "\nSELECT file_name, " + ", ".join(f"{_EXT[n]} AS {n}" for n in names) + " FROM manuals"
+
+
+ORACLE["extract_fields"] = WITH_PROCESSED + f"SELECT {PROCESSED_COLS} FROM processed"
+ORACLE["extract_synonyms"] = _fields_sql(["max_torque_nm", "no_load_speed_low_rpm", "no_load_speed_high_rpm",
+                                          "chuck_capacity_mm", "max_drilling_diameter_wood_mm",
+                                          "max_drilling_diameter_steel_mm"])
+ORACLE["extract_ranges"] = _fields_sql(["no_load_speed_low_rpm", "no_load_speed_high_rpm", "chuck_capacity_mm",
+                                        "weight_kg"])
+ORACLE["extract_units"] = _fields_sql(["weight_kg"])
+ORACLE["extract_preference"] = _fields_sql(["max_torque_nm"])
+ORACLE["extract_lists"] = _fields_sql(["compatible_batteries", "compatible_chargers"])
+ORACLE["extract_primary"] = _fields_sql(["model_number", "rated_voltage_v"])
+
+ORACLE["cast_rejects"] = ("WITH " + MANUALS + "\nSELECT file_name, 'rated_voltage_v' AS field FROM manuals "
+                          "WHERE k % 17 = 0 AND volt IS NOT NULL")
+
+ORACLE["english_sections"] = "WITH " + MANUALS + """
+SELECT file_name, 0 AS section_no, 'en' AS lang,
+       split_part(split_part(document, '[en]' || chr(10), 2), chr(10) || '[de]', 1) AS text FROM manuals
+UNION ALL
+SELECT file_name, 1 AS section_no, 'de' AS lang, split_part(document, '[de]' || chr(10), 2) AS text FROM manuals"""
+
+ORACLE["eval_join"] = WITH_PROCESSED + """
+SELECT p.file_name, p.model_number, length(m.document) AS source_chars
+FROM processed p JOIN manuals m ON p.file_name = m.file_name"""
+
+ORACLE["labels_join"] = """
+SELECT l.doc_id, l.quality, l.toxic, d.lang, d.n_chars FROM labels l JOIN documents d ON l.doc_id = d.doc_id"""
+
+
+def _pystr(col, is_float):
+    return f"coalesce(CAST({col} AS VARCHAR), 'None')"
+
+
+_FLOATS = {"rated_voltage_v", "max_torque_nm", "max_drilling_diameter_wood_mm", "max_drilling_diameter_steel_mm",
+           "weight_kg"}
+_FIELDS = [c.strip() for c in PROCESSED_COLS.split(",")][1:]
+
+ORACLE["eval_records"] = WITH_PROCESSED + "SELECT p.file_name, coalesce(left(m.document, 5000), '') AS source_text, " \
+    + "concat_ws(chr(10), " + ", ".join(f"'  {f}: ' || {_pystr('p.' + f, f in _FLOATS)}" for f in _FIELDS) \
+    + ") AS response FROM processed p JOIN manuals m ON p.file_name = m.file_name"
+
+# Ground-truth scorer inputs per record.
+SCORE_GT = WITH_PROCESSED + """, g AS (
+  SELECT p.*, m.p_brand,
+    14 - CAST(rated_voltage_v IS NULL AS INTEGER) - CAST(max_drilling_diameter_steel_mm IS NULL AS INTEGER) AS filled,
+    CASE WHEN max_torque_nm > 300 THEN 'max_torque_nm=' || CAST(max_torque_nm AS VARCHAR)
+         || ' out of range (Torque should be 1-300Nm)' END AS torque_issue,
+    CASE WHEN chuck_capacity_mm = 'about 10' THEN 'chuck_capacity_mm=''about 10'' unexpected format' END AS chuck_issue,
+    (7 - CAST(rated_voltage_v IS NULL AS INTEGER) - CAST(max_drilling_diameter_steel_mm IS NULL AS INTEGER)
+       - CAST(max_torque_nm > 300 AS INTEGER)) + CAST(chuck_capacity_mm <> 'about 10' AS INTEGER) AS n_valid,
+    CAST(split_part(m.p_brand, '#', 2) AS INTEGER) <= 20 AS known_maker,
+    product_type IN ('drill', 'drill/driver', 'hammer drill', 'impact driver', 'rotary hammer', 'screwdriver')
+      AS type_in_list
+  FROM processed p JOIN manuals m ON p.file_name = m.file_name),
+s AS (
+  SELECT *, round(filled / 14.0, 2) AS c_value,
+    filled || '/14 fields extracted (' || CAST(round(filled / 14.0 * 100) AS BIGINT) || '%)' AS c_rationale,
+    torque_issue IS NULL AND chuck_issue IS NULL AS f_value,
+    CASE WHEN torque_issue IS NULL AND chuck_issue IS NULL
+         THEN 'All ' || n_valid || ' present numeric fields within expected ranges'
+         ELSE 'Issues found: ' || concat_ws('; ', torque_issue, chuck_issue) END AS f_rationale
+  FROM g)
+"""
+
+ORACLE["completeness"] = SCORE_GT + "SELECT file_name, c_value AS value, c_rationale AS rationale FROM s"
+ORACLE["format_check"] = SCORE_GT + "SELECT file_name, f_value AS value, f_rationale AS rationale FROM s"
+ORACLE["format_check_raw"] = SCORE_GT + """, r AS (
+  SELECT s.*, CASE WHEN m.k % 17 = 0 AND m.volt IS NOT NULL THEN 'rated_voltage_v=n/a is not numeric' END AS v_issue
+  FROM s JOIN manuals m ON s.file_name = m.file_name)
+SELECT file_name, v_issue IS NULL AND f_value AS value,
+  CASE WHEN v_issue IS NULL AND f_value THEN f_rationale
+       ELSE 'Issues found: ' || concat_ws('; ', v_issue, torque_issue, chuck_issue) END AS rationale
+FROM r"""
+ORACLE["plausibility"] = SCORE_GT + """
+SELECT file_name, known_maker, true AS model_identifier, type_in_list, f_value AS numbers_plausible FROM s"""
+ORACLE["grounding"] = SCORE_GT + "SELECT file_name, true AS grounded, '' AS ungrounded_fields FROM s"
+
+_FOREIGN = ("der die das und ist nicht ein eine zu den von mit sich des auf für im dem auch es an werden aus er sie "
+            "le la les et est un une des du de dans que qui pour pas sur au avec il elle ce ne se par sont "
+            "el la los las y es un una de del en que por con para no se al lo como su pero sus le son").split()
+_EN = set("the and of to in is it that for with as was on are by this be from or an at which have not but".split())
+_FOREIGN_LIST = "[" + ", ".join(f"'{w}'" for w in dict.fromkeys(w for w in _FOREIGN if w not in _EN)) + "]"
+
+
+def _foreign(col):
+    return (f"len(list_filter(regexp_split_to_array(lower(coalesce({col}, '')), '[^\\p{{L}}\\p{{N}}]+'), "
+            f"lambda x: list_contains({_FOREIGN_LIST}, x))) > 0")
+
+
+SCORES4 = SCORE_GT + f""", e AS (
+  SELECT *, concat_ws(', ',
+      CASE WHEN {_foreign('product_name')} THEN 'product_name' END,
+      CASE WHEN {_foreign('product_type')} THEN 'product_type' END,
+      CASE WHEN {_foreign('chuck_capacity_mm')} THEN 'chuck_capacity_mm' END,
+      CASE WHEN {_foreign('compatible_batteries')} THEN 'compatible_batteries' END,
+      CASE WHEN {_foreign('compatible_chargers')} THEN 'compatible_chargers' END) AS foreign_fields,
+    concat_ws(', ', CASE WHEN NOT known_maker THEN 'known_maker' END, CASE WHEN NOT type_in_list THEN 'type_in_list' END,
+              CASE WHEN NOT f_value THEN 'numbers_plausible' END) AS failed
+  FROM s),
+lg AS (
+  SELECT file_name, 'completeness' AS scorer, c_value AS value, c_rationale AS rationale FROM e
+  UNION ALL SELECT file_name, 'format_issues', CAST(f_value AS DOUBLE), f_rationale FROM e
+  UNION ALL SELECT file_name, 'english_compliance', CAST(foreign_fields = '' AS DOUBLE),
+    CASE WHEN foreign_fields = '' THEN 'All text fields are English' ELSE 'Foreign terms in: ' || foreign_fields END
+    FROM e
+  UNION ALL SELECT file_name, 'extraction_quality', CAST(failed = '' AS DOUBLE),
+    CASE WHEN failed = '' THEN 'All rules passed' ELSE 'Failed: ' || failed END FROM e)
+"""
+ORACLE["scores_long"] = SCORES4 + "SELECT file_name, scorer, value, rationale FROM lg"
+
+_METRICS = """
+SELECT {g} 'completeness/mean' AS metric, avg(value) AS value FROM lg WHERE scorer = 'completeness' {gb}
+UNION ALL SELECT {g} 'completeness/min', min(value) FROM lg WHERE scorer = 'completeness' {gb}
+UNION ALL SELECT {g} 'completeness/max', max(value) FROM lg WHERE scorer = 'completeness' {gb}
+UNION ALL SELECT {g} 'format_issues/mean', avg(value) FROM lg WHERE scorer = 'format_issues' {gb}
+UNION ALL SELECT {g} 'english_compliance/mean', avg(value) FROM lg WHERE scorer = 'english_compliance' {gb}
+UNION ALL SELECT {g} 'extraction_quality/mean', avg(value) FROM lg WHERE scorer = 'extraction_quality' {gb}
+UNION ALL SELECT {g} 'n_records', CAST(count(*) AS DOUBLE) FROM lg WHERE scorer = 'completeness' {gb}
+"""
+ORACLE["run_metrics"] = SCORES4 + "SELECT metric, round(value, 6) AS value FROM (" + \
+    _METRICS.format(g="", gb="") + ") t ORDER BY metric"
+ORACLE["run_compare"] = SCORES4.replace("lg AS (", "lg0 AS (") + """,
+lg AS (SELECT *, 'run-' || CAST(CAST(substr(file_name, 5, 6) AS INTEGER) % 3 AS VARCHAR) AS run_id FROM lg0),
+m AS (""" + _METRICS.format(g="run_id,", gb="GROUP BY run_id") + """)
+SELECT run_id, metric, round(value, 6) AS value,
+  round(lag(value) OVER (PARTITION BY metric ORDER BY run_id), 6) AS prev_value,
+  round(value - lag(value) OVER (PARTITION BY metric ORDER BY run_id), 6) AS delta
+FROM m"""
+
+ORACLE["dictionary_semi"] = WITH_PROCESSED + """
+SELECT file_name, manufacturer FROM processed WHERE CAST(split_part(manufacturer, '#', 2) AS INTEGER) <= 20"""
+ORACLE["dictionary_anti"] = WITH_PROCESSED + """
+SELECT file_name, manufacturer FROM processed WHERE CAST(split_part(manufacturer, '#', 2) AS INTEGER) > 20"""
+
+# ------------------------------------------------------------------ questions
+ORACLE["compare_weight_voltage"] = WITH_PROCESSED + """
+SELECT file_name, manufacturer, model_number, weight_kg, rated_voltage_v FROM processed"""
+ORACLE["lookup_voltage"] = WITH_PROCESSED + """
+SELECT file_name, model_number, rated_voltage_v FROM processed WHERE model_number = 'MDL-000042'"""
+ORACLE["speed_above"] = WITH_PROCESSED + """
+SELECT file_name, model_number, no_load_speed_high_rpm FROM processed WHERE no_load_speed_high_rpm > 1800"""
+ORACLE["battery_compatible"] = WITH_PROCESSED + """
+SELECT file_name, model_number, rated_voltage_v, compatible_batteries FROM processed
+WHERE list_contains(string_split(compatible_batteries, ', '), 'GBA-18') OR rated_voltage_v = 18.0"""
+ORACLE["fastest_by_maker"] = WITH_PROCESSED + """
+SELECT manufacturer, max(no_load_speed_high_rpm) AS max_no_load_speed_high_rpm,
+  arg_min(model_number, (-no_load_speed_high_rpm, model_number)) AS model_number, count(*) AS n_products
+FROM processed WHERE no_load_speed_high_rpm IS NOT NULL GROUP BY manufacturer"""
+ORACLE["spec_sheet"] = WITH_PROCESSED + "\n UNION ALL ".join(
+    f"SELECT file_name, '{f}' AS field, CAST({f} AS VARCHAR) AS value FROM processed WHERE model_number = 'MDL-000042'"
+    for f in _FIELDS)
+ORACLE["weight_at_voltage"] = WITH_PROCESSED + """
+SELECT file_name, model_number, rated_voltage_v, weight_kg FROM processed WHERE rated_voltage_v = 18.0"""
+ORACLE["lightest_battery"] = WITH_PROCESSED + """
+SELECT file_name, model_number, weight_kg, compatible_batteries FROM processed
+WHERE weight_kg IS NOT NULL ORDER BY weight_kg, file_name LIMIT 1"""
+_MODELS = ["MDL-000001", "MDL-000002", "MDL-000003", "MDL-000004"]
+ORACLE["model_differences"] = WITH_PROCESSED + ", lg AS (" + "\n UNION ALL ".join(
+    f"SELECT model_number, '{f}' AS field, CAST({f} AS VARCHAR) AS value FROM processed "
+    f"WHERE model_number IN ({', '.join(repr(m) for m in _MODELS)})" for f in _FIELDS) + """),
+v AS (SELECT field FROM lg GROUP BY field HAVING count(DISTINCT coalesce(value, '<null>')) > 1)
+SELECT field, """ + ", ".join(f"max(CASE WHEN model_number = '{m}' THEN value END) AS \"{m}\"" for m in _MODELS) + """
+FROM lg WHERE field IN (SELECT field FROM v) GROUP BY field"""
+
+# ------------------------------------------------------------------ matching
+ORACLE["entity_dictionary"] = WITH_PROCESSED + """
+SELECT column_name, value, count(*) AS n FROM (
+  SELECT 'manufacturer' AS column_name, manufacturer AS value FROM processed
+  UNION ALL SELECT 'model_number', model_number FROM processed
+  UNION ALL SELECT 'product_type', product_type FROM processed) t
+WHERE value IS NOT NULL GROUP BY column_name, value"""
+
+_MENTION = """CASE k % 4
+  WHEN 0 THEN upper(p_name)
+  WHEN 1 THEN concat(substr(p_name, 1, (k % length(p_name))), substr(p_name, (k % length(p_name)) + 2))
+  WHEN 2 THEN concat(substr(p_name, 1, (k % length(p_name))), 'x', substr(p_name, (k % length(p_name)) + 2))
+  ELSE concat(p_name, 's') END"""
+ORACLE["entity_match"] = f"""
+WITH m AS (SELECT DISTINCT {_MENTION} AS mention FROM (SELECT p_partkey AS k, p_name FROM part) t),
+mn AS (SELECT mention, lower(regexp_replace(mention, '[^\\p{{L}}\\p{{N}}]+', '', 'g')) AS n FROM m),
+d AS (SELECT DISTINCT p_name AS value, lower(regexp_replace(p_name, '[^\\p{{L}}\\p{{N}}]+', '', 'g')) AS n FROM part),
+c AS (SELECT mn.mention, d.value, levenshtein(mn.n, d.n) AS distance FROM mn, d
+      WHERE levenshtein(mn.n, d.n) <= 2),
+b AS (SELECT mention, value, distance,
+        row_number() OVER (PARTITION BY mention ORDER BY distance, value) AS rn FROM c)
+SELECT m.mention, b.value, CAST(b.distance AS INTEGER) AS distance
+FROM m LEFT JOIN b ON m.mention = b.mention AND b.rn = 1"""
+
+_PROFILE = ["manufacturer", "product_type", "rated_voltage_v", "max_torque_nm", "no_load_speed_high_rpm",
+            "weight_kg", "compatible_batteries"]
+ORACLE["format_profile"] = WITH_PROCESSED + ", st AS (" + "\n UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, count(*) - count({c}) AS null_count, count(DISTINCT CAST({c} AS VARCHAR)) "
+    f"AS distinct_count, CAST(min({c}) AS VARCHAR) AS min_value, CAST(max({c}) AS VARCHAR) AS max_value "
+    f"FROM processed" for c in _PROFILE) + "), pv AS (" + "\n UNION ALL ".join(
+    f"SELECT DISTINCT '{c}' AS column_name, CAST({c} AS VARCHAR) AS value FROM processed WHERE {c} IS NOT NULL"
+    for c in _PROFILE) + """),
+sm AS (SELECT column_name, string_agg(value, ', ' ORDER BY value) AS sample_values FROM (
+  SELECT column_name, value, row_number() OVER (PARTITION BY column_name ORDER BY value) AS rn FROM pv) t
+  WHERE rn <= 3 GROUP BY column_name)
+SELECT st.column_name, CAST(null_count AS BIGINT) AS null_count, CAST(distinct_count AS BIGINT) AS distinct_count,
+  min_value, max_value, sample_values
+FROM st LEFT JOIN sm ON st.column_name = sm.column_name"""

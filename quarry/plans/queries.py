@@ -1,26 +1,289 @@
-"""Named queries: key -> (spark, sf_dir) -> DataFrame."""
+"""Named queries: key -> (spark, sf_dir) -> DataFrame.
+
+Each reads the given tables (or tables Spark derived from them in this
+session) and runs over all of their rows.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from quarry.operators import evaluate as EV
+from quarry.operators import matching as M
 from quarry.operators import questions as Q
+from quarry.operators.extract import extract_typed
+from quarry.operators.flatten import flatten
+from quarry.operators.sections import sections
 from quarry.plans import catalog
+from quarry.plans.specs import FIELD_NAMES, PROCESSED_SCHEMA, spec_subset
+from quarry.sources.fixtures import manuals, parsed_manuals
+from quarry.sources.tables import enforce_schema, materialize, read_table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, QueryFn] = {}
+
+
+def query(fn: QueryFn) -> QueryFn:
+    QUERIES[fn.__name__] = fn
+    return fn
+
+
+# Parameters of the fixed questions (the feature: look up / compare given models).
+LOOKUP_MODEL = "MDL-000042"
+COMPARE_MODELS = ["MDL-000001", "MDL-000002", "MDL-000003", "MDL-000004"]
+SPEED_THRESHOLD = 1800
+BATTERIES = ["GBA-18"]
+VOLTAGE = 18.0
+FIXTURE_MAKERS = [f"Brand#{i}" for i in range(1, 21)]
+PROFILE_COLS = ["manufacturer", "product_type", "rated_voltage_v", "max_torque_nm", "no_load_speed_high_rpm",
+                "weight_kg", "compatible_batteries"]
+MENTION_SQL = """CASE k % 4
+  WHEN 0 THEN upper(p_name)
+  WHEN 1 THEN concat(substr(p_name, 1, (k % length(p_name))), substr(p_name, (k % length(p_name)) + 2))
+  WHEN 2 THEN concat(substr(p_name, 1, (k % length(p_name))), 'x', substr(p_name, (k % length(p_name)) + 2))
+  ELSE concat(p_name, 's') END"""
+
+
+def _catalog(spark, sf):
+    return catalog.manuals_catalog(spark, sf)
+
+
+def _extracted(spark, sf):
+    return materialize(catalog.manuals_extract(spark, sf), "extract", scope=sf)
+
+
+def _typed(spark, sf, names):
+    m = parsed_manuals(spark, sf)
+    out = extract_typed(m, "document", spec_subset(names))
+    schema = {f.name: f.dataType for f in PROCESSED_SCHEMA.fields}
+    return out.select("file_name", *[F.col(n).cast(schema[n]).alias(n) for n in names])
+
+
+# ------------------------------------------------------------------ extraction (X, P5, P6, D5)
+
+@query
+def typed_flatten(spark, sf):
+    return catalog.manuals_processed(spark, sf)
+
+
+@query
+def extract_fields(spark, sf):
+    return enforce_schema(_typed(spark, sf, FIELD_NAMES), PROCESSED_SCHEMA)
+
+
+@query
+def extract_synonyms(spark, sf):
+    return _typed(spark, sf, ["max_torque_nm", "no_load_speed_low_rpm", "no_load_speed_high_rpm",
+                              "chuck_capacity_mm", "max_drilling_diameter_wood_mm", "max_drilling_diameter_steel_mm"])
+
+
+@query
+def extract_ranges(spark, sf):
+    return _typed(spark, sf, ["no_load_speed_low_rpm", "no_load_speed_high_rpm", "chuck_capacity_mm", "weight_kg"])
+
+
+@query
+def extract_units(spark, sf):
+    return _typed(spark, sf, ["weight_kg"])
+
+
+@query
+def extract_preference(spark, sf):
+    return _typed(spark, sf, ["max_torque_nm"])
+
+
+@query
+def extract_lists(spark, sf):
+    return _typed(spark, sf, ["compatible_batteries", "compatible_chargers"])
+
+
+@query
+def extract_primary(spark, sf):
+    return _typed(spark, sf, ["model_number", "rated_voltage_v"])
+
+
+@query
+def cast_rejects(spark, sf):
+    flat = flatten(_extracted(spark, sf), "ai_result", PROCESSED_SCHEMA, keys=["file_name"])
+    return flat.select("file_name", F.explode("cast_errors").alias("field"))
+
+
+@query
+def english_sections(spark, sf):
+    return sections(parsed_manuals(spark, sf), ["file_name"], "document")
+
+
+# ------------------------------------------------------------------ evaluation
+
+def _joined(spark, sf):
+    return EV.eval_join(_catalog(spark, sf), parsed_manuals(spark, sf))
+
+
+@query
+def eval_join(spark, sf):
+    return _joined(spark, sf).select("file_name", "model_number", F.length("source_text").alias("source_chars"))
+
+
+@query
+def labels_join(spark, sf):
+    docs = read_table(spark, sf, "documents").select("doc_id", "lang", "n_chars")
+    return read_table(spark, sf, "labels").join(docs, "doc_id", "inner")
+
+
+@query
+def eval_records(spark, sf):
+    rec = EV.eval_records(_joined(spark, sf))
+    return rec.select(F.col("inputs.file_name").alias("file_name"), F.col("inputs.source_text").alias("source_text"),
+                      F.col("outputs.response").alias("response"))
+
+
+@query
+def completeness(spark, sf):
+    s = EV.completeness()
+    return _catalog(spark, sf).select("file_name", s.value.alias("value"), s.rationale.alias("rationale"))
+
+
+@query
+def format_check(spark, sf):
+    s = EV.format_validator()
+    return _catalog(spark, sf).select("file_name", s.value.alias("value"), s.rationale.alias("rationale"))
+
+
+@query
+def format_check_raw(spark, sf):
+    s = EV.format_validator_raw()
+    return _extracted(spark, sf).select("file_name", s.value.alias("value"), s.rationale.alias("rationale"))
+
+
+def _makers(spark):
+    return EV.known_makers(spark, FIXTURE_MAKERS)
+
+
+@query
+def plausibility(spark, sf):
+    return EV.plausibility(_catalog(spark, sf), _makers(spark))
+
+
+@query
+def grounding(spark, sf):
+    return EV.grounding(_joined(spark, sf))
+
+
+def _scored(spark, sf):
+    j = _joined(spark, sf)
+    rules = EV.plausibility(j, _makers(spark), keys=["*"])
+    rules = EV.grounding(rules, keys=["*"])
+    quality = EV.extraction_quality(["known_maker", "model_identifier", "type_in_list", "numbers_plausible",
+                                     "grounded"])
+    scorers = [EV.completeness(), EV.format_validator(), EV.english_compliance(), quality]
+    return rules, scorers
+
+
+@query
+def scores_long(spark, sf):
+    rules, scorers = _scored(spark, sf)
+    return EV.score(rules, ["file_name"], scorers)
+
+
+@query
+def run_metrics(spark, sf):
+    rules, scorers = _scored(spark, sf)
+    m = EV.aggregate_scores(EV.score(rules, ["file_name"], scorers), scorers)
+    return m.select("metric", F.round("value", 6).alias("value")).orderBy("metric")
+
+
+@query
+def run_compare(spark, sf):
+    rules, scorers = _scored(spark, sf)
+    run = F.concat(F.lit("run-"), (F.substring("file_name", 5, 6).cast("int") % 3).cast("string"))
+    s = EV.score(rules.withColumn("run_id", run), ["run_id", "file_name"], scorers)
+    m = EV.aggregate_scores(s, scorers, group=["run_id"]).withColumn("run_ts", F.col("run_id"))
+    out = EV.compare_runs(m)
+    return out.select("run_id", "metric", F.round("value", 6).alias("value"),
+                      F.round("prev_value", 6).alias("prev_value"), F.round("delta", 6).alias("delta"))
+
+
+@query
+def dictionary_semi(spark, sf):
+    return M.in_dictionary(_catalog(spark, sf), "manufacturer", _makers(spark), "maker", "left_semi") \
+        .select("file_name", "manufacturer")
+
+
+@query
+def dictionary_anti(spark, sf):
+    return M.in_dictionary(_catalog(spark, sf), "manufacturer", _makers(spark), "maker", "left_anti") \
+        .select("file_name", "manufacturer")
+
+
+# ------------------------------------------------------------------ questions
+
+@query
+def top_torque(spark, sf):
+    return Q.top_by(_catalog(spark, sf), "max_torque_nm", k=3)
+
+
+@query
+def compare_weight_voltage(spark, sf):
+    return Q.compare_by(_catalog(spark, sf), ["weight_kg", "rated_voltage_v"])
+
+
+@query
+def lookup_voltage(spark, sf):
+    return Q.lookup(_catalog(spark, sf), LOOKUP_MODEL, ["rated_voltage_v"])
+
+
+@query
+def speed_above(spark, sf):
+    return Q.above(_catalog(spark, sf), "no_load_speed_high_rpm", SPEED_THRESHOLD)
+
+
+@query
+def battery_compatible(spark, sf):
+    return Q.compatible_with(_catalog(spark, sf), BATTERIES, VOLTAGE)
+
+
+@query
+def fastest_by_maker(spark, sf):
+    return Q.best_by_group(_catalog(spark, sf), "manufacturer", "no_load_speed_high_rpm")
+
+
+@query
+def spec_sheet(spark, sf):
+    return Q.spec_sheet(_catalog(spark, sf), LOOKUP_MODEL, FIELD_NAMES)
+
+
+@query
+def weight_at_voltage(spark, sf):
+    return Q.at_value(_catalog(spark, sf), "rated_voltage_v", VOLTAGE, "weight_kg")
+
+
+@query
+def lightest_battery(spark, sf):
+    return Q.lightest(_catalog(spark, sf), "weight_kg", ["compatible_batteries"])
+
+
+@query
+def model_differences(spark, sf):
+    return Q.differences(_catalog(spark, sf), COMPARE_MODELS, FIELD_NAMES)
+
 
+# ------------------------------------------------------------------ matching and profiling (V1-V3)
 
-def top_torque(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return Q.top_by(catalog.manuals_catalog(spark, sf_dir), "max_torque_nm", k=3)
+@query
+def entity_dictionary(spark, sf):
+    return M.entity_dictionary(_catalog(spark, sf), ["manufacturer", "model_number", "product_type"])
 
 
-def typed_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return catalog.manuals_processed(spark, sf_dir)
+@query
+def entity_match(spark, sf):
+    part = read_table(spark, sf, "part").select(F.col("p_partkey").alias("k"), "p_name")
+    mentions = part.select(F.expr(MENTION_SQL).alias("mention"))
+    return M.entity_match(mentions, "mention", part, "p_name", max_dist=2)
 
 
-QUERIES: dict[str, QueryFn] = {
-    "top_torque": top_torque,
-    "typed_flatten": typed_flatten,
-}
+@query
+def format_profile(spark, sf):
+    return M.format_profile(_catalog(spark, sf), PROFILE_COLS)
