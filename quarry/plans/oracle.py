@@ -259,3 +259,81 @@ sm AS (SELECT column_name, string_agg(value, ', ' ORDER BY value) AS sample_valu
 SELECT st.column_name, CAST(null_count AS BIGINT) AS null_count, CAST(distinct_count AS BIGINT) AS distinct_count,
   min_value, max_value, sample_values
 FROM st LEFT JOIN sm ON st.column_name = sm.column_name"""
+
+# ------------------------------------------------------------------ parsing
+_LINES = """lines AS (
+  SELECT doc_id, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS pos,
+         unnest(string_split(text, chr(10))) AS raw FROM documents),
+el AS (
+  SELECT doc_id, CAST(pos AS INTEGER) AS pos, regexp_replace(raw, '^\\s+|\\s+$', '', 'g') AS text FROM lines),
+cl AS (
+  SELECT doc_id, pos, text, CASE
+    WHEN regexp_matches(text, '^#{1,6}\\s+\\S') THEN 'heading'
+    WHEN regexp_matches(text, '^([-*•]|\\d+[.)])\\s+\\S') THEN 'list_item'
+    WHEN regexp_matches(text, '\\|.*\\|') THEN 'table_row'
+    WHEN length(text) <= 60 AND NOT regexp_matches(text, '[.!?:;,]$') THEN 'heading'
+    ELSE 'paragraph' END AS type
+  FROM el WHERE text <> '')"""
+ORACLE["segment_text"] = "WITH " + _LINES + "\nSELECT doc_id, pos, type, text FROM cl"
+ORACLE["parsed_table"] = "WITH " + _LINES + """
+SELECT d.doc_id, CAST(count(cl.pos) AS BIGINT) AS n_elements,
+  CAST(count(*) FILTER (WHERE type = 'heading') AS BIGINT) AS n_heading,
+  CAST(count(*) FILTER (WHERE type = 'list_item') AS BIGINT) AS n_list_item,
+  CAST(count(*) FILTER (WHERE type = 'table_row') AS BIGINT) AS n_table_row,
+  CAST(count(*) FILTER (WHERE type = 'paragraph') AS BIGINT) AS n_paragraph,
+  CAST(coalesce(length(string_agg(cl.text, chr(10) ORDER BY cl.pos)), 0) AS INTEGER) AS text_chars
+FROM documents d LEFT JOIN cl ON d.doc_id = cl.doc_id GROUP BY d.doc_id"""
+
+ORACLE["segment_markup"] = """
+WITH c AS (SELECT page_id, regexp_replace(html, '(?is)<script\\b.*?</script\\s*>|<style\\b.*?</style\\s*>|<!--.*?-->', '', 'g') AS h
+           FROM pages),
+e AS (SELECT page_id, regexp_extract_all(h, '(?is)<(?:title|h1|p|li)(?:\\s[^>]*)?>.*?</(?:title|h1|p|li)\\s*>', 0) AS els FROM c),
+x AS (SELECT page_id, generate_subscripts(els, 1) - 1 AS pos, unnest(els) AS el FROM e),
+t AS (SELECT page_id, CAST(pos AS INTEGER) AS pos, lower(regexp_extract(el, '(?is)^<([a-z0-9]+)', 1)) AS tag,
+        regexp_replace(regexp_replace(regexp_replace(regexp_extract(el, '(?is)^<[^>]*>(.*)</[^>]*>$', 1),
+          '<[^>]*>', ' ', 'g'), '\\s+', ' ', 'g'), '^\\s+|\\s+$', '', 'g') AS text FROM x)
+SELECT page_id, pos, tag, text FROM t WHERE text <> ''"""
+
+_SHEET_ROWS = [("brand", "p_brand", "'-'"), ("type", "p_type", "'-'"), ("size", "CAST(p_size AS VARCHAR)", "'cm'"),
+               ("price", "CAST(p_retailprice AS VARCHAR)", "'USD'")]
+ORACLE["pipe_tables"] = "WITH cells AS (" + "\n UNION ALL ".join(
+    f"SELECT p_partkey AS k, {r} AS row, 0 AS col, 'field' AS header, '{name}' AS value FROM part\n"
+    f" UNION ALL SELECT p_partkey, {r}, 1, 'value', {expr} FROM part\n"
+    f" UNION ALL SELECT p_partkey, {r}, 2, 'unit', {unit} FROM part WHERE p_partkey % 5 = 0"
+    for r, (name, expr, unit) in enumerate(_SHEET_ROWS)) + """)
+SELECT k, 0 AS block, row, col, header, value FROM cells"""
+
+# ------------------------------------------------------------------ retrieval
+_CHUNKS = """w AS (SELECT doc_id, lang, n_chars, list_filter(regexp_split_to_array(text, '\\s+'), lambda x: x <> '') AS ws
+      FROM documents),
+s AS (SELECT doc_id, lang, n_chars, ws, unnest(range(0, greatest(len(ws) - 50, 1), 150)) AS st FROM w WHERE len(ws) > 0),
+ch AS (SELECT doc_id, lang, n_chars, CAST(st // 150 AS INTEGER) AS chunk_no,
+         CAST(len(list_slice(ws, st + 1, st + 200)) AS INTEGER) AS n_words,
+         array_to_string(list_slice(ws, st + 1, st + 200), ' ') AS text FROM s)"""
+ORACLE["chunks"] = "WITH " + _CHUNKS + "\nSELECT doc_id, chunk_no, n_words, text FROM ch"
+_TERMS = """tk AS (SELECT doc_id, chunk_no, lang,
+         list_filter(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}]+'), lambda x: x <> '') AS ts FROM ch),
+po AS (SELECT term, doc_id, chunk_no, lang, dl, count(*) AS tf FROM (
+         SELECT doc_id, chunk_no, lang, len(ts) AS dl, unnest(ts) AS term FROM tk) GROUP BY ALL)"""
+ORACLE["term_index"] = "WITH " + _CHUNKS + ",\n" + _TERMS + "\nSELECT term, doc_id, chunk_no, tf FROM po"
+_BM25 = """,
+q AS (SELECT DISTINCT item_id, unnest(list_filter(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}]+'),
+        lambda x: x <> '')) AS term FROM benchmark),
+st AS (SELECT CAST(count(*) AS DOUBLE) AS n, avg(len(ts)) AS avgdl FROM tk),
+df AS (SELECT term, count(*) AS df FROM po WHERE term IN (SELECT term FROM q) GROUP BY term),
+sc AS (SELECT q.item_id, po.doc_id, po.chunk_no, po.lang,
+         sum(ln(1 + (st.n - df.df + 0.5) / (df.df + 0.5)) * po.tf * 2.2
+             / (po.tf + 1.2 * (1 - 0.75 + 0.75 * po.dl / st.avgdl))) AS score
+       FROM q JOIN po ON q.term = po.term JOIN df ON q.term = df.term, st
+       GROUP BY q.item_id, po.doc_id, po.chunk_no, po.lang)"""
+ORACLE["passages"] = "WITH " + _CHUNKS + ",\n" + _TERMS + _BM25 + """
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, chunk_no, round(score, 6) AS score FROM (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY round(score, 6) DESC, doc_id, chunk_no) AS rank FROM sc)
+WHERE rank <= 3"""
+ORACLE["passages_english"] = "WITH " + _CHUNKS + ",\n" + _TERMS + _BM25 + """
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, chunk_no, lang, round(score, 6) AS score FROM (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY (lang = 'en') DESC, round(score, 6) DESC, doc_id, chunk_no) AS rank
+  FROM sc)
+WHERE rank <= 3"""
+ORACLE["index_sync"] = "WITH " + _CHUNKS + """
+SELECT doc_id, chunk_no, n_words FROM ch WHERE doc_id NOT IN (SELECT doc_id FROM labels)"""

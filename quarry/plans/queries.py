@@ -287,3 +287,82 @@ def entity_match(spark, sf):
 @query
 def format_profile(spark, sf):
     return M.format_profile(_catalog(spark, sf), PROFILE_COLS)
+
+
+# ------------------------------------------------------------------ parsing
+from quarry.operators import parse as P  # noqa: E402
+from quarry.operators import retrieval as R  # noqa: E402
+from quarry.sources.fixtures import spec_sheets  # noqa: E402
+
+CHUNK_SIZE, CHUNK_OVERLAP, TOP_K = 200, 50, 3
+
+
+@query
+def segment_text(spark, sf):
+    return P.segment_text(read_table(spark, sf, "documents"), "doc_id", "text")
+
+
+@query
+def segment_markup(spark, sf):
+    return P.segment_markup(read_table(spark, sf, "pages"), "page_id", "html")
+
+
+@query
+def pipe_tables(spark, sf):
+    return P.pipe_tables(spec_sheets(spark, sf), "k", "text")
+
+
+@query
+def parsed_table(spark, sf):
+    d = P.to_document(read_table(spark, sf, "documents"), "doc_id", "text")
+    els = F.try_variant_get(F.col("parsed"), "$.document.elements", "array<struct<type: string>>")
+
+    def n_of(t):
+        return F.size(F.filter(els, lambda e: e["type"] == t)).cast("bigint").alias(f"n_{t}")
+    return d.select("doc_id", F.size(els).cast("bigint").alias("n_elements"), n_of("heading"), n_of("list_item"),
+                    n_of("table_row"), n_of("paragraph"), F.length(P.document_text(F.col("parsed"))).alias("text_chars"))
+
+
+# ------------------------------------------------------------------ retrieval
+
+def _chunks(spark, sf):
+    docs = read_table(spark, sf, "documents")
+    return R.chunk(docs, "doc_id", "text", CHUNK_SIZE, CHUNK_OVERLAP, keep=["lang"])
+
+
+def _index(spark, sf):
+    ch = materialize(_chunks(spark, sf), "chunks", scope=sf)
+    post = materialize(R.term_index(ch, "doc_id", keep=["lang"]), "postings", scope=sf)
+    return ch, post
+
+
+@query
+def chunks(spark, sf):
+    return _chunks(spark, sf).select("doc_id", "chunk_no", "n_words", "text")
+
+
+@query
+def term_index(spark, sf):
+    return R.term_index(_chunks(spark, sf), "doc_id").select("term", "doc_id", "chunk_no", "tf")
+
+
+@query
+def passages(spark, sf):
+    ch, post = _index(spark, sf)
+    return R.search(read_table(spark, sf, "benchmark"), "item_id", "text", post, ch, "doc_id", TOP_K)
+
+
+@query
+def passages_english(spark, sf):
+    ch, post = _index(spark, sf)
+    return R.search(read_table(spark, sf, "benchmark"), "item_id", "text", post, ch, "doc_id", TOP_K,
+                    prefer=("lang", "en"))
+
+
+@query
+def index_sync(spark, sf):
+    """The index holds the labelled documents; sync adds the chunks of every other document."""
+    docs = read_table(spark, sf, "documents").select("doc_id", "n_chars", "text")
+    known = docs.join(read_table(spark, sf, "labels").select("doc_id"), "doc_id", "left_semi")
+    todo = R.new_rows(docs, known, ["doc_id", "n_chars"])
+    return R.chunk(todo, "doc_id", "text", CHUNK_SIZE, CHUNK_OVERLAP).select("doc_id", "chunk_no", "n_words")

@@ -65,3 +65,28 @@ def parsed_manuals(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.octet_length("document").cast("bigint").alias("file_size"),
         "document",
     )
+
+
+# Fixed fixture definition: a spec sheet with one pipe table per part row (2 or 3 columns,
+# with or without a separator line), written from the part table.
+SPEC_SHEETS_SQL = """
+SELECT p_partkey AS k, concat_ws(chr(10),
+  concat('Spec sheet for ', p_name),
+  '',
+  CASE WHEN p_partkey % 5 = 0 THEN '| field | value | unit |' ELSE '| field | value |' END,
+  CASE WHEN p_partkey % 7 = 0 THEN NULL WHEN p_partkey % 5 = 0 THEN '|---|:---:|---|' ELSE '| --- | --- |' END,
+  CASE WHEN p_partkey % 5 = 0 THEN concat('| brand | ', p_brand, ' | - |') ELSE concat('| brand | ', p_brand, ' |') END,
+  CASE WHEN p_partkey % 5 = 0 THEN concat('| type | ', p_type, ' | - |') ELSE concat('| type | ', p_type, ' |') END,
+  CASE WHEN p_partkey % 5 = 0 THEN concat('|size|', CAST(p_size AS STRING), '|cm|')
+       ELSE concat('  | size | ', CAST(p_size AS STRING), ' |  ') END,
+  CASE WHEN p_partkey % 5 = 0 THEN concat('| price | ', CAST(p_retailprice AS STRING), ' | USD |')
+       ELSE concat('| price | ', CAST(p_retailprice AS STRING), ' |') END,
+  '',
+  'End of sheet.') AS text
+FROM {part}
+"""
+
+
+def spec_sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = read_table(spark, sf_dir, "part")
+    return spark.sql(SPEC_SHEETS_SQL, part=part)
