@@ -337,3 +337,27 @@ SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, chunk_no, lang, round(sco
 WHERE rank <= 3"""
 ORACLE["index_sync"] = "WITH " + _CHUNKS + """
 SELECT doc_id, chunk_no, n_words FROM ch WHERE doc_id NOT IN (SELECT doc_id FROM labels)"""
+
+# ------------------------------------------------------------------ logs, preview, variant
+ORACLE["chat_history"] = """
+SELECT conv_id, CAST(count(*) AS BIGINT) AS n_messages,
+  string_agg(role || ': ' || text, chr(10) ORDER BY turn) AS transcript,
+  arg_max(role, turn) = 'user' AND trim(arg_max(text, turn)) <> '' AS accepted
+FROM conversations GROUP BY conv_id"""
+ORACLE["flatten_responses"] = "SELECT conv_id, turn, trim(text) AS content FROM conversations"
+ORACLE["response_envelope"] = """
+SELECT conv_id, turn, CAST(json_object('type', 'message',
+  'id', 'msg_' || substr(md5(CAST(conv_id AS VARCHAR) || ':' || CAST(turn AS VARCHAR)), 1, 12),
+  'role', 'assistant', 'status', 'completed',
+  'content', json_array(json_object('type', 'output_text', 'text', text, 'annotations', json_array()))) AS VARCHAR)
+  AS envelope
+FROM conversations WHERE role = 'assistant'"""
+ORACLE["json_preview"] = """
+SELECT event_id, CAST(json_object('event_id', event_id,
+  'ts', strftime(ts, '%Y-%m-%dT%H:%M:%S') || CASE WHEN epoch_us(ts) % 1000000 = 0 THEN ''
+        ELSE '.' || lpad(CAST(epoch_us(ts) % 1000000 AS VARCHAR), 6, '0') END,
+  'user_id', user_id, 'event_type', event_type, 'value', value, 'props', props) AS VARCHAR) AS row_json
+FROM events ORDER BY event_id LIMIT 1000"""
+ORACLE["variant_path"] = """
+SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k, json_extract_string(props, '$.k') AS k_text,
+  CAST(json(props) AS VARCHAR) AS doc_text FROM events"""

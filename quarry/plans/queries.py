@@ -366,3 +366,54 @@ def index_sync(spark, sf):
     known = docs.join(read_table(spark, sf, "labels").select("doc_id"), "doc_id", "left_semi")
     todo = R.new_rows(docs, known, ["doc_id", "n_chars"])
     return R.chunk(todo, "doc_id", "text", CHUNK_SIZE, CHUNK_OVERLAP).select("doc_id", "chunk_no", "n_words")
+
+
+# ------------------------------------------------------------------ logs, preview, variant
+from quarry.operators import logs as L  # noqa: E402
+from quarry.operators import preview as PV  # noqa: E402
+
+# Response shapes written from conversation texts (one per turn % 6).
+RESPONSE_SHAPES_SQL = """
+CASE turn % 6
+  WHEN 0 THEN to_json(named_struct('predictions', array(named_struct('type', 'message',
+       'content', array(named_struct('type', 'output_text', 'text', text))))))
+  WHEN 1 THEN to_json(named_struct('output', array(named_struct('type', 'message', 'content', text))))
+  WHEN 2 THEN to_json(named_struct('outputs', array(named_struct('text', text))))
+  WHEN 3 THEN to_json(named_struct('choices', array(named_struct('message',
+       named_struct('role', 'assistant', 'content', text)))))
+  WHEN 4 THEN to_json(named_struct('content', text))
+  ELSE to_json(array(named_struct('type', 'message', 'content', array(
+       named_struct('type', 'output_text', 'text', '<name>agent-1</name>'),
+       named_struct('type', 'text', 'text', text)))))
+END"""
+
+
+@query
+def chat_history(spark, sf):
+    h = L.chat_history(read_table(spark, sf, "conversations"))
+    transcript = F.array_join(F.transform("messages", lambda m: F.concat(m["role"], F.lit(": "), m["content"])), "\n")
+    return h.select("conv_id", "n_messages", transcript.alias("transcript"), "accepted")
+
+
+@query
+def flatten_responses(spark, sf):
+    conv = read_table(spark, sf, "conversations")
+    logs = conv.select("conv_id", "turn", F.expr(RESPONSE_SHAPES_SQL).alias("response"))
+    return L.flatten_responses(logs, "response").select("conv_id", "turn", "content")
+
+
+@query
+def response_envelope(spark, sf):
+    conv = read_table(spark, sf, "conversations").filter(F.col("role") == "assistant")
+    return L.response_envelope(conv, ["conv_id", "turn"], "text").select("conv_id", "turn", "envelope")
+
+
+@query
+def json_preview(spark, sf):
+    return PV.json_preview(read_table(spark, sf, "events"), ["event_id"])
+
+
+@query
+def variant_path(spark, sf):
+    return PV.variant_path(read_table(spark, sf, "events"), "props", "$.k", "bigint", ["event_id"]) \
+        .select("event_id", F.col("value").alias("k"), F.col("value_text").alias("k_text"), "doc_text")
