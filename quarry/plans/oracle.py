@@ -361,3 +361,31 @@ FROM events ORDER BY event_id LIMIT 1000"""
 ORACLE["variant_path"] = """
 SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k, json_extract_string(props, '$.k') AS k_text,
   CAST(json(props) AS VARCHAR) AS doc_text FROM events"""
+
+# ------------------------------------------------------------------ sources, sinks, streaming
+_BLOBS = "read_blob('/root/testdata/sf0.01/*.parquet')"
+ORACLE["file_scan"] = f"""
+SELECT regexp_extract(filename, '[^/]+$') AS name, CAST(size AS BIGINT) AS size,
+  CAST(octet_length(content) AS BIGINT) AS content_bytes FROM {_BLOBS}"""
+ORACLE["file_inventory"] = f"SELECT regexp_extract(filename, '[^/]+$') AS name, CAST(size AS BIGINT) AS size FROM {_BLOBS}"
+ORACLE["file_stream"] = ORACLE["file_inventory"]
+_PAYLOADS = """p AS (
+  SELECT doc_id AS seq, text,
+    'doc_' || source || CASE lang WHEN 'en' THEN '.pdf' WHEN 'de' THEN '.PDF' ELSE '.txt' END AS name
+  FROM documents)"""
+ORACLE["payload_ingest"] = "WITH " + _PAYLOADS + """
+SELECT name, '/Volumes/ingest/productmanuals/' || name AS path, CAST(arg_max(strlen(text), seq) AS BIGINT) AS size,
+  max(seq) AS seq
+FROM p WHERE lower(name) LIKE '%.pdf' AND seq % 10 <> 3 GROUP BY name"""
+ORACLE["payload_rejects"] = "WITH " + _PAYLOADS + """
+SELECT seq, name, CASE WHEN lower(name) NOT LIKE '%.pdf' THEN 'not a pdf' ELSE 'invalid base64' END AS reason
+FROM p WHERE lower(name) NOT LIKE '%.pdf' OR seq % 10 = 3"""
+ORACLE["ctas_roundtrip"] = ORACLE["typed_flatten"]
+ORACLE["stream_pipeline"] = ORACLE["typed_flatten"]
+ORACLE["stream_incremental"] = """
+SELECT doc_id, CASE WHEN doc_id IN (SELECT doc_id FROM labels) THEN 1 ELSE 2 END AS run FROM documents"""
+
+from quarry.plans.specs import PROCESSED_COLUMNS  # noqa: E402
+
+ORACLE["catalog_comments"] = "SELECT * FROM (VALUES " + ", ".join(
+    f"('{n}', '{t}', '{c}')" for n, t, c in PROCESSED_COLUMNS) + ") AS t(col_name, data_type, comment)"

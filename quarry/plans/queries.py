@@ -417,3 +417,113 @@ def json_preview(spark, sf):
 def variant_path(spark, sf):
     return PV.variant_path(read_table(spark, sf, "events"), "props", "$.k", "bigint", ["event_id"]) \
         .select("event_id", F.col("value").alias("k"), F.col("value_text").alias("k_text"), "doc_text")
+
+
+# ------------------------------------------------------------------ sources, sinks, streaming
+import uuid  # noqa: E402
+
+from quarry.session import scratch_path  # noqa: E402
+from quarry.sources import files as FS  # noqa: E402
+from quarry.sources.payloads import ingest_payloads  # noqa: E402
+from quarry.sources.tables import column_comments, ensure_namespace, save_table  # noqa: E402
+from quarry.plans.specs import PROCESSED_COMMENT  # noqa: E402
+from quarry.streaming import pipeline as SP  # noqa: E402
+
+INGEST_FOLDER = "/Volumes/ingest/productmanuals"
+PAYLOADS_SQL = """
+SELECT doc_id AS seq,
+  concat('doc_', source, CASE lang WHEN 'en' THEN '.pdf' WHEN 'de' THEN '.PDF' ELSE '.txt' END) AS name,
+  CASE WHEN doc_id % 10 = 3 THEN concat('!', base64(encode(text, 'UTF-8'))) ELSE base64(encode(text, 'UTF-8')) END
+    AS content_base64
+FROM {documents}"""
+
+
+@query
+def file_scan(spark, sf):
+    f = FS.scan_files(spark, sf, pattern="*.parquet", content=True)
+    return f.select(F.col("file_name").alias("name"), F.col("file_size").alias("size"),
+                    F.octet_length("content").cast("bigint").alias("content_bytes"))
+
+
+@query
+def file_inventory(spark, sf):
+    return FS.file_inventory(spark, sf, suffix=".PARQUET").select("name", "size")
+
+
+@query
+def file_stream(spark, sf):
+    work = scratch_path(spark, "file-stream")
+    SP.run_stage(FS.stream_files(spark, sf, "*.parquet"),
+                 lambda d: d.select("file_name", "file_size", F.octet_length("content").alias("n")),
+                 f"{work}/out", f"{work}/_checkpoint")
+    return spark.read.parquet(f"{work}/out").select(F.col("file_name").alias("name"), F.col("file_size").alias("size"))
+
+
+def _payloads(spark, sf):
+    return spark.sql(PAYLOADS_SQL, documents=read_table(spark, sf, "documents"))
+
+
+@query
+def payload_ingest(spark, sf):
+    accepted, _ = ingest_payloads(_payloads(spark, sf), INGEST_FOLDER)
+    return accepted.select("name", "path", "size", "seq")
+
+
+@query
+def payload_rejects(spark, sf):
+    _, rejected = ingest_payloads(_payloads(spark, sf), INGEST_FOLDER)
+    return rejected
+
+
+def _saved_catalog(spark, sf):
+    ensure_namespace(spark, "quarry")
+    name = f"quarry.processed_{uuid.uuid4().hex[:10]}"
+    save_table(catalog.manuals_processed(spark, sf), name, PROCESSED_SCHEMA, PROCESSED_COMMENT,
+               path=scratch_path(spark, "tables"))
+    return name
+
+
+@query
+def ctas_roundtrip(spark, sf):
+    return spark.table(_saved_catalog(spark, sf))
+
+
+@query
+def catalog_comments(spark, sf):
+    return column_comments(spark, _saved_catalog(spark, sf))
+
+
+def _raw_manuals(spark, sf):
+    m = parsed_manuals(spark, sf)
+    return m.select("path", "file_name", "file_size", F.encode("document", "UTF-8").alias("content"))
+
+
+@query
+def stream_pipeline(spark, sf):
+    """Three chained availableNow streams over the manuals as raw-document files; equals the batch catalog."""
+    work = scratch_path(spark, "stream-pipeline")
+    raw = _raw_manuals(spark, sf)
+    raw.write.parquet(f"{work}/input")
+    out = SP.run_pipeline(spark, f"{work}/input", work, raw.schema)
+    return spark.read.parquet(out["processed"])
+
+
+@query
+def stream_incremental(spark, sf):
+    """Run, add files, run again: the second run processes only the new documents."""
+    work = scratch_path(spark, "stream-incremental")
+    docs = read_table(spark, sf, "documents").select("doc_id", "text")
+    labelled = read_table(spark, sf, "labels").select("doc_id")
+    first = docs.join(labelled, "doc_id", "left_semi")
+    second = docs.join(labelled, "doc_id", "left_anti")
+
+    def stage(d):
+        return d.select("doc_id", F.size(F.split("text", "\n")).alias("n_lines"))
+    first.write.parquet(f"{work}/input")
+    SP.run_stage(SP.stream_table(spark, f"{work}/input", like=docs), stage, f"{work}/out", f"{work}/_ck")
+    spark.read.parquet(f"{work}/out").select("doc_id").write.parquet(f"{work}/after_run_1")
+    second.write.mode("append").parquet(f"{work}/input")
+    SP.run_stage(SP.stream_table(spark, f"{work}/input", like=docs), stage, f"{work}/out", f"{work}/_ck")
+    seen = spark.read.parquet(f"{work}/after_run_1").withColumn("run", F.lit(1))
+    out = spark.read.parquet(f"{work}/out")
+    return out.join(seen, "doc_id", "left").select("doc_id", F.coalesce("run", F.lit(2)).alias("run"))
