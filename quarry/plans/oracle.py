@@ -389,3 +389,16 @@ from quarry.plans.specs import PROCESSED_COLUMNS  # noqa: E402
 
 ORACLE["catalog_comments"] = "SELECT * FROM (VALUES " + ", ".join(
     f"('{n}', '{t}', '{c}')" for n, t, c in PROCESSED_COLUMNS) + ") AS t(col_name, data_type, comment)"
+
+ORACLE["english_rule"] = """
+WITH t AS (SELECT doc_id, lang, list_filter(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}]+'), lambda x: x <> '') AS tk FROM documents),
+h AS (SELECT doc_id, lang,
+  CAST(len(list_filter(tk, lambda x: list_contains(['the', 'and', 'of', 'to', 'in', 'is', 'it', 'that', 'for', 'with', 'as', 'was', 'on', 'are', 'by', 'this', 'be', 'from', 'or', 'an', 'at', 'which', 'have', 'not', 'but'], x))) AS INTEGER) AS en_hits,
+  CAST(len(list_filter(tk, lambda x: list_contains(['der', 'die', 'das', 'und', 'ist', 'nicht', 'ein', 'eine', 'zu', 'den', 'von', 'mit', 'sich', 'des', 'auf', 'für', 'im', 'dem', 'auch', 'es', 'an', 'werden', 'aus', 'er', 'sie'], x))) AS INTEGER) AS de_hits,
+  CAST(len(list_filter(tk, lambda x: list_contains(['le', 'la', 'les', 'et', 'est', 'un', 'une', 'des', 'du', 'de', 'dans', 'que', 'qui', 'pour', 'pas', 'sur', 'au', 'avec', 'il', 'elle', 'ce', 'ne', 'se', 'par', 'sont'], x))) AS INTEGER) AS fr_hits,
+  CAST(len(list_filter(tk, lambda x: list_contains(['el', 'la', 'los', 'las', 'y', 'es', 'un', 'una', 'de', 'del', 'en', 'que', 'por', 'con', 'para', 'no', 'se', 'al', 'lo', 'como', 'su', 'pero', 'sus', 'le', 'son'], x))) AS INTEGER) AS es_hits
+  FROM t),
+g AS (SELECT *, greatest(en_hits, de_hits, fr_hits, es_hits) AS g FROM h),
+p AS (SELECT *, CASE WHEN g > 0 THEN CASE WHEN en_hits = g THEN 'en' WHEN de_hits = g THEN 'de' WHEN fr_hits = g THEN 'fr' WHEN es_hits = g THEN 'es' END END AS predicted_lang FROM g)
+SELECT doc_id, lang, en_hits, de_hits, fr_hits, es_hits, predicted_lang,
+  coalesce(predicted_lang = 'en', false) AS is_english, coalesce(predicted_lang = lang, false) AS agrees FROM p"""

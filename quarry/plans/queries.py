@@ -527,3 +527,15 @@ def stream_incremental(spark, sf):
     seen = spark.read.parquet(f"{work}/after_run_1").withColumn("run", F.lit(1))
     out = spark.read.parquet(f"{work}/out")
     return out.join(seen, "doc_id", "left").select("doc_id", F.coalesce("run", F.lit(2)).alias("run"))
+
+
+@query
+def english_rule(spark, sf):
+    """Q6 on documents: stop-word hits per language, the guessed language, and agreement with ``lang``."""
+    docs = read_table(spark, sf, "documents").select("doc_id", "lang", "text")
+    hits = EV.stopword_hits(F.col("text"))
+    guess = EV.guess_language(hits)
+    return docs.select("doc_id", "lang", *[h.cast("int").alias(f"{k}_hits") for k, h in hits.items()],
+                       guess.alias("predicted_lang")) \
+        .withColumn("is_english", F.coalesce(F.col("predicted_lang") == "en", F.lit(False))) \
+        .withColumn("agrees", F.coalesce(F.col("predicted_lang") == F.col("lang"), F.lit(False)))
