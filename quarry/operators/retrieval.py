@@ -34,13 +34,16 @@ def chunk(df: DataFrame, key: str, text_col: str, size: int = 200, overlap: int
     starts = F.sequence(F.lit(0), F.greatest(F.col("__n") - overlap, F.lit(1)) - 1, F.lit(step))
     d = d.select(key, *keep, "__w", F.posexplode(starts).alias("chunk_no", "__s"))
     piece = F.slice("__w", F.col("__s") + 1, F.lit(size))
-    return d.select(key, *keep, "chunk_no", F.size(piece).alias("n_words"), F.array_join(piece, " ").alias("text"))
+    out = d.select(key, *keep, "chunk_no", F.size(piece).alias("n_words"), F.array_join(piece, " ").alias("text"))
+    # dl: number of index terms of the chunk, kept with the chunk so BM25 statistics need no re-tokenising.
+    return out.withColumn("dl", F.size(terms(F.col("text"))))
 
 
 def term_index(chunks: DataFrame, key: str = "doc_id", keep: list[str] = ()) -> DataFrame:
     """R2: postings (term, key, chunk_no, tf, dl, *keep); dl = number of terms of the chunk."""
     t = chunks.select(key, "chunk_no", *keep, terms(F.col("text")).alias("__t"))
     t = t.select(key, "chunk_no", *keep, F.size("__t").alias("dl"), F.explode("__t").alias("term"))
+    # Map-side partial counts collapse repeats within a chunk before the shuffle.
     return t.groupBy("term", key, "chunk_no", "dl", *keep).agg(F.count(F.lit(1)).alias("tf"))
 
 
@@ -48,15 +51,18 @@ def search(questions: DataFrame, qkey: str, qtext: str, postings: DataFrame, chu
            key: str = "doc_id", k: int = 3, prefer: tuple[str, str] | None = None) -> DataFrame:
     """Top-k chunks per question by BM25; ties by key, chunk. ``prefer=(col, value)`` ranks those first."""
     qt = questions.select(qkey, F.explode(F.array_distinct(terms(F.col(qtext)))).alias("term")).distinct()
-    qt = sized_broadcast(qt)
-    qterms = sized_broadcast(qt.select("term").distinct())
-    stats = chunks.agg(F.count(F.lit(1)).cast("double").alias("n"),
-                       F.avg(F.size(terms(F.col("text")))).alias("avgdl"))
+    # One size check: the distinct terms and their weights are never larger than qt.
+    small = qt.limit(BROADCAST_MAX_ROWS + 1).count() <= BROADCAST_MAX_ROWS
+    bc = F.broadcast if small else (lambda d: d)
+    qterms = bc(qt.select("term").distinct())
+    qt = bc(qt)
+    dl = F.col("dl") if "dl" in chunks.columns else F.size(terms(F.col("text")))
+    stats = chunks.agg(F.count(F.lit(1)).cast("double").alias("n"), F.avg(dl).alias("avgdl"))
     n_chunks = stats.select("n").scalar()
     avgdl = stats.select("avgdl").scalar()
     dfreq = postings.join(qterms, "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     idf = F.log(1 + (n_chunks - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    weights = sized_broadcast(dfreq.select("term", idf.alias("idf")))
+    weights = bc(dfreq.select("term", idf.alias("idf")))
     keep = [prefer[0]] if prefer else []
     hits = postings.join(qt, "term", "inner").join(weights, "term", "inner")
     part = F.col("idf") * F.col("tf") * (BM25_K1 + 1) / (
