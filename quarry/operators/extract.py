@@ -12,11 +12,13 @@ from pyspark.sql import functions as F
 
 from quarry.functions.fieldspec import FieldSpec, with_response, with_typed
 from quarry.functions.text import label_value_pairs, section_text
+from quarry.operators.partitioning import spread
 
 _PAIRS = "__kv"
 
 
 def _with_pairs(df: DataFrame, text_col: str | Column, section: str | None) -> DataFrame:
+    df = spread(df)
     text = F.col(text_col) if isinstance(text_col, str) else text_col
     if section:
         text = section_text(text, section)

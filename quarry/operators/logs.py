@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quarry.operators.partitioning import spread
+
 # Notices and the agent tag-line pattern of the response formatter.
 EMPTY_OUTPUT_NOTICE = "The agent endpoint returned no output items (empty output list). response id="
 METADATA_NOTICE = ("The agent endpoint returned no message text (only response metadata). "
@@ -149,7 +151,7 @@ def _variant_text(v: Column, depth: int) -> Column:
 
 
 def flatten_responses(df: DataFrame, json_col: str, out: str = "content", depth: int = 1) -> DataFrame:
-    return df.withColumn(out, response_text(F.col(json_col), depth))
+    return spread(df).withColumn(out, response_text(F.col(json_col), depth))
 
 
 def chat_history(df: DataFrame, key: str = "conv_id", order: str = "turn", role: str = "role",

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quarry.operators.partitioning import spread
+
 # Element classification rules of a text line (applied to the trimmed line, in order).
 HEADING_MD = r"^#{1,6}\s+\S"
 LIST_ITEM = r"^([-*•]|\d+[.)])\s+\S"
@@ -43,7 +45,7 @@ def _elements(text: Column) -> Column:
 
 def segment_text(df: DataFrame, key: str, text_col: str) -> DataFrame:
     """One row per element: (key, pos, type, text)."""
-    return df.select(key, F.explode(_elements(F.col(text_col))).alias("e")) \
+    return spread(df).select(key, F.explode(_elements(F.col(text_col))).alias("e")) \
         .select(key, "e.pos", "e.type", "e.text")
 
 
@@ -59,7 +61,7 @@ def segment_markup(df: DataFrame, key: str, html_col: str) -> DataFrame:
     """Title, h1, p and li elements with tags stripped; script, style and comments removed first."""
     clean = F.regexp_replace(F.col(html_col), MARKUP_DROP, "")
     elems = F.regexp_extract_all(clean, F.lit(MARKUP_ELEMENT), 0)
-    rows = df.select(key, F.posexplode(elems).alias("pos", "el"))
+    rows = spread(df).select(key, F.posexplode(elems).alias("pos", "el"))
     inner = F.regexp_extract("el", MARKUP_INNER, 1)
     text = strip_line(F.regexp_replace(F.regexp_replace(inner, ANY_TAG, " "), r"\s+", " "))
     return rows.select(key, "pos", F.lower(F.regexp_extract("el", MARKUP_TAG, 1)).alias("tag"),
@@ -82,7 +84,7 @@ def _cells(row: Column) -> Column:
 def pipe_tables(df: DataFrame, key: str, text_col: str) -> DataFrame:
     """D3: (key, block, row, col, header, value) of every pipe table in a text."""
     blocks = F.regexp_extract_all(F.col(text_col), F.lit(PIPE_BLOCK), 0)
-    b = df.select(key, F.posexplode(blocks).alias("block", "__b"))
+    b = spread(df).select(key, F.posexplode(blocks).alias("block", "__b"))
     lines = F.transform(F.split("__b", "\n"), lambda ln: strip_line(ln))
     b = b.select(key, "block", lines.alias("__l"))
     sep_pos = F.array_min(F.filter(F.transform("__l", lambda ln, i: F.when(ln.rlike(PIPE_SEPARATOR), i)),
@@ -99,7 +101,7 @@ def pipe_tables(df: DataFrame, key: str, text_col: str) -> DataFrame:
 def to_document(df: DataFrame, key: str, text_col: str, keep: list[str] = ()) -> DataFrame:
     """``parsed`` = variant {"document": {"elements": [...]}} and ``document`` = its JSON text."""
     doc = F.named_struct(F.lit("elements"), _elements(F.col(text_col)))
-    d = df.select(key, *keep, doc.alias("__d"))
+    d = spread(df).select(key, *keep, doc.alias("__d"))
     return d.select(key, *keep,
                     F.to_variant_object(F.named_struct(F.lit("document"), F.col("__d"))).alias("parsed"),
                     F.to_json("__d").alias("document"))

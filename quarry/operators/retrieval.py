@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.functions.text import terms, words
+from quarry.operators.partitioning import spread
 
 BM25_K1 = 1.2
 BM25_B = 0.75
@@ -30,7 +31,7 @@ def chunk(df: DataFrame, key: str, text_col: str, size: int = 200, overlap: int
     """Word windows of ``size`` words, consecutive windows sharing ``overlap`` words."""
     step = size - overlap
     w = words(F.col(text_col))
-    d = df.select(key, *keep, w.alias("__w")).withColumn("__n", F.size("__w")).filter(F.col("__n") > 0)
+    d = spread(df).select(key, *keep, w.alias("__w")).withColumn("__n", F.size("__w")).filter(F.col("__n") > 0)
     starts = F.sequence(F.lit(0), F.greatest(F.col("__n") - overlap, F.lit(1)) - 1, F.lit(step))
     d = d.select(key, *keep, "__w", F.posexplode(starts).alias("chunk_no", "__s"))
     piece = F.slice("__w", F.col("__s") + 1, F.lit(size))

@@ -502,8 +502,9 @@ def _raw_manuals(spark, sf):
 def stream_pipeline(spark, sf):
     """Three chained availableNow streams over the manuals as raw-document files; equals the batch catalog."""
     work = scratch_path(spark, "stream-pipeline")
+    from quarry.operators.partitioning import spread
     raw = _raw_manuals(spark, sf)
-    raw.write.parquet(f"{work}/input")
+    spread(raw).write.parquet(f"{work}/input")  # several input files, so each stage runs in parallel
     out = SP.run_pipeline(spark, f"{work}/input", work, raw.schema)
     return spark.read.parquet(out["processed"])
 
@@ -532,7 +533,8 @@ def stream_incremental(spark, sf):
 @query
 def english_rule(spark, sf):
     """Q6 on documents: stop-word hits per language, the guessed language, and agreement with ``lang``."""
-    docs = read_table(spark, sf, "documents").select("doc_id", "lang", "text")
+    from quarry.operators.partitioning import spread
+    docs = spread(read_table(spark, sf, "documents").select("doc_id", "lang", "text"))
     hits = EV.stopword_hits(F.col("text"))
     guess = EV.guess_language(hits)
     return docs.select("doc_id", "lang", *[h.cast("int").alias(f"{k}_hits") for k, h in hits.items()],
