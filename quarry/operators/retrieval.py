@@ -48,34 +48,96 @@ def term_index(chunks: DataFrame, key: str = "doc_id", keep: list[str] = ()) ->
     return t.groupBy("term", key, "chunk_no", "dl", *keep).agg(F.count(F.lit(1)).alias("tf"))
 
 
+ESSENTIAL_DF_SHARE = 0.05
+PRUNE_FANOUT = 8.0
+_MARGIN = 1e-6
+
+
+def term_dictionary(postings: DataFrame) -> DataFrame:
+    """(term, df): the index's dictionary, built once next to the postings."""
+    return postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+
+
 def search(questions: DataFrame, qkey: str, qtext: str, postings: DataFrame, chunks: DataFrame,
-           key: str = "doc_id", k: int = 3, prefer: tuple[str, str] | None = None) -> DataFrame:
-    """Top-k chunks per question by BM25; ties by key, chunk. ``prefer=(col, value)`` ranks those first."""
+           key: str = "doc_id", k: int = 3, prefer: tuple[str, str] | None = None,
+           prune: bool | str = "auto", dictionary: DataFrame | None = None) -> DataFrame:
+    """Top-k chunks per question by BM25; ties by key, chunk. ``prefer=(col, value)`` ranks those first.
+
+    With ``prune`` (exact, MaxScore-style), the long posting lists of common terms are
+    never fanned out per question:
+    1. partial scores from the question's rarer terms (df <= 5% of chunks) only;
+    2. theta = k-th best partial score (a lower bound of the k-th best full score);
+    3. a chunk without a rarer term scores < rest_ub = sum of the common terms' bounds
+       idf * (k1 + 1); if rest_ub <= theta it cannot enter the top-k;
+    4. only candidates with partial + rest_ub >= theta get exact full scores.
+    Questions where the bound does not hold take the exhaustive path, so results are exact.
+    ``prune="auto"`` prunes when the exhaustive join would emit more than PRUNE_FANOUT
+    times the postings (sum of df over question terms, read from the term dictionary).
+    """
     qt = questions.select(qkey, F.explode(F.array_distinct(terms(F.col(qtext)))).alias("term")).distinct()
     # One size check: the distinct terms and their weights are never larger than qt.
     small = qt.limit(BROADCAST_MAX_ROWS + 1).count() <= BROADCAST_MAX_ROWS
     bc = F.broadcast if small else (lambda d: d)
     qterms = bc(qt.select("term").distinct())
-    qt = bc(qt)
     dl = F.col("dl") if "dl" in chunks.columns else F.size(terms(F.col("text")))
     stats = chunks.agg(F.count(F.lit(1)).cast("double").alias("n"), F.avg(dl).alias("avgdl"))
     n_chunks = stats.select("n").scalar()
     avgdl = stats.select("avgdl").scalar()
-    dfreq = postings.join(qterms, "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    source = dictionary if dictionary is not None else term_dictionary(postings)
+    dfreq = source.join(qterms, "term", "left_semi")
+    if prune == "auto":
+        fanout = qt.join(dfreq, "term").agg(F.sum("df")).first()[0] or 0
+        prune = fanout > PRUNE_FANOUT * postings.count()
     idf = F.log(1 + (n_chunks - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    weights = bc(dfreq.select("term", idf.alias("idf")))
+    weights = dfreq.select("term", idf.alias("idf"), (F.col("df") <= n_chunks * ESSENTIAL_DF_SHARE).alias("ess"))
+    qw = bc(qt.join(bc(weights), "term", "inner"))
     keep = [prefer[0]] if prefer else []
-    hits = postings.join(qt, "term", "inner").join(weights, "term", "inner")
     part = F.col("idf") * F.col("tf") * (BM25_K1 + 1) / (
         F.col("tf") + BM25_K1 * (1 - BM25_B + BM25_B * F.col("dl") / avgdl))
-    # Rounded so that exact copies tie whatever the summation order, then ties go by key, chunk.
-    scores = hits.groupBy(qkey, key, "chunk_no", *keep).agg(F.round(F.sum(part), 6).alias("score"))
     order = [F.col("score").desc(), F.col(key), F.col("chunk_no")]
+    pref = (F.col(prefer[0]) == prefer[1]) if prefer else None
     if prefer:
-        order = [(F.col(prefer[0]) == prefer[1]).desc()] + order
+        order = [pref.desc()] + order
     w = Window.partitionBy(qkey).orderBy(*order)
-    top = scores.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
-    return top.select(qkey, "rank", key, "chunk_no", *keep, "score")
+
+    def top(hits: DataFrame) -> DataFrame:
+        # Rounded so that exact copies tie whatever the summation order, then ties go by key, chunk.
+        scores = hits.groupBy(qkey, key, "chunk_no", *keep).agg(F.round(F.sum(part), 6).alias("score"))
+        return scores.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+
+    def exhaustive(qterms_w: DataFrame) -> DataFrame:
+        return top(postings.join(qterms_w.select(qkey, "term", "idf"), "term", "inner"))
+
+    if not prune:
+        out = exhaustive(qw)
+        return out.select(qkey, "rank", key, "chunk_no", *keep, "score")
+
+    # Phase 1: partial scores from the rarer ("essential") terms only; partial <= full score.
+    ess = qw.filter(F.col("ess")).select(qkey, "term", "idf")
+    partial = postings.join(bc(ess), "term", "inner") \
+        .groupBy(qkey, key, "chunk_no", *keep).agg(F.sum(part).alias("partial"))
+    cls = pref if prefer else F.lit(True)
+    # theta: k-th best partial score within the class that fills the top-k (all, or the preferred chunks).
+    wk = Window.partitionBy(qkey).orderBy(F.col("partial").desc(), F.col(key), F.col("chunk_no"))
+    kth = partial.filter(cls).withColumn("__r", F.row_number().over(wk)).filter(F.col("__r") == k) \
+        .select(qkey, F.col("partial").alias("theta"))
+    rest = qw.filter(~F.col("ess")).groupBy(qkey).agg(F.sum(F.col("idf") * (BM25_K1 + 1)).alias("rest_ub"))
+    bounds = qw.select(qkey).distinct().join(rest, qkey, "left").join(kth, qkey, "left").select(
+        qkey, F.coalesce("rest_ub", F.lit(0.0)).alias("rest_ub"), "theta")
+    # Safe: any chunk without an essential term scores < rest_ub <= theta, so it cannot reach the top-k.
+    bounds = bounds.withColumn("safe", F.col("theta").isNotNull() & (F.col("rest_ub") <= F.col("theta") - _MARGIN))
+    bounds = F.broadcast(bounds) if small else bounds
+    # Survivors: candidates whose upper bound (partial + rest_ub) can still reach theta.
+    surv = partial.join(bounds.filter("safe"), qkey, "inner") \
+        .filter(cls & (F.col("partial") + F.col("rest_ub") >= F.col("theta") - _MARGIN)) \
+        .select(qkey, key, "chunk_no")
+    # The survivor set's size is known only at runtime: AQE broadcasts it when its shuffle output is small.
+    # Phase 2: exact full scores for the survivors only.
+    full = top(postings.join(surv, [key, "chunk_no"], "inner")
+               .join(qw.select(qkey, "term", "idf"), [qkey, "term"], "inner"))
+    unsafe_terms = qw.join(bounds.filter(~F.col("safe")), qkey, "left_semi")
+    out = full.unionByName(exhaustive(unsafe_terms))
+    return out.select(qkey, "rank", key, "chunk_no", *keep, "score")
 
 
 def new_rows(df: DataFrame, known: DataFrame, keys: list[str]) -> DataFrame:

@@ -331,9 +331,11 @@ def _chunks(spark, sf):
 
 
 def _index(spark, sf):
+    """The retrieval index as tables: chunks, postings and the term dictionary."""
     ch = materialize(_chunks(spark, sf), "chunks", scope=sf)
     post = materialize(R.term_index(ch, "doc_id", keep=["lang"]), "postings", scope=sf)
-    return ch, post
+    dictionary = materialize(R.term_dictionary(post), "dictionary", scope=sf)
+    return ch, post, dictionary
 
 
 @query
@@ -348,15 +350,16 @@ def term_index(spark, sf):
 
 @query
 def passages(spark, sf):
-    ch, post = _index(spark, sf)
-    return R.search(read_table(spark, sf, "benchmark"), "item_id", "text", post, ch, "doc_id", TOP_K)
+    ch, post, dictionary = _index(spark, sf)
+    return R.search(read_table(spark, sf, "benchmark"), "item_id", "text", post, ch, "doc_id", TOP_K,
+                    dictionary=dictionary)
 
 
 @query
 def passages_english(spark, sf):
-    ch, post = _index(spark, sf)
+    ch, post, dictionary = _index(spark, sf)
     return R.search(read_table(spark, sf, "benchmark"), "item_id", "text", post, ch, "doc_id", TOP_K,
-                    prefer=("lang", "en"))
+                    prefer=("lang", "en"), dictionary=dictionary)
 
 
 @query

@@ -155,3 +155,16 @@ def test_segment_markup_drops_script(spark):
 def test_spec_is_complete():
     assert [s.name for s in PRODUCT_SPEC] == FIELD_NAMES and len(FIELD_NAMES) == 14
     assert isinstance(PRODUCT_SPEC[0], FieldSpec)
+
+
+def test_pruned_search_equals_exhaustive(spark):
+    from quarry.operators import retrieval as R
+    from quarry.plans import queries as Q
+    from tests.conftest import SMALL
+
+    ch, post, dictionary = Q._index(spark, SMALL)
+    bm = spark.read.parquet(f"{SMALL}/benchmark.parquet")
+    for prefer in (None, ("lang", "en")):
+        a = R.search(bm, "item_id", "text", post, ch, "doc_id", 3, prefer=prefer, prune=True, dictionary=dictionary)
+        b = R.search(bm, "item_id", "text", post, ch, "doc_id", 3, prefer=prefer, prune=False)
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
