@@ -402,3 +402,5 @@ g AS (SELECT *, greatest(en_hits, de_hits, fr_hits, es_hits) AS g FROM h),
 p AS (SELECT *, CASE WHEN g > 0 THEN CASE WHEN en_hits = g THEN 'en' WHEN de_hits = g THEN 'de' WHEN fr_hits = g THEN 'fr' WHEN es_hits = g THEN 'es' END END AS predicted_lang FROM g)
 SELECT doc_id, lang, en_hits, de_hits, fr_hits, es_hits, predicted_lang,
   coalesce(predicted_lang = 'en', false) AS is_english, coalesce(predicted_lang = lang, false) AS agrees FROM p"""
+
+ORACLE["stream_rewrite"] = "SELECT doc_id, 1 AS append_version, 2 AS replace_version FROM documents"

@@ -20,7 +20,7 @@ from quarry.operators.sections import sections
 from quarry.plans import catalog
 from quarry.plans.specs import FIELD_NAMES, PROCESSED_SCHEMA, spec_subset
 from quarry.sources.fixtures import manuals, parsed_manuals
-from quarry.sources.tables import enforce_schema, materialize, read_table
+from quarry.sources.tables import append_metrics, enforce_schema, materialize, read_table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -197,11 +197,16 @@ def run_metrics(spark, sf):
 
 @query
 def run_compare(spark, sf):
+    from quarry.session import scratch_path
     rules, scorers = _scored(spark, sf)
     run = F.concat(F.lit("run-"), (F.substring("file_name", 5, 6).cast("int") % 3).cast("string"))
     s = EV.score(rules.withColumn("run_id", run), ["run_id", "file_name"], scorers)
-    m = EV.aggregate_scores(s, scorers, group=["run_id"]).withColumn("run_ts", F.col("run_id"))
-    out = EV.compare_runs(m)
+    m = EV.aggregate_scores(s, scorers, group=["run_id"])
+    # K6: each run's metrics are appended to the metrics table, which the comparison then reads.
+    run_ts = F.timestamp_add("DAY", F.substring("run_id", 5, 1).cast("int"), F.lit("2024-01-01").cast("timestamp"))
+    path = scratch_path(spark, "metrics")
+    append_metrics(m.withColumn("run_ts", run_ts), path)
+    out = EV.compare_runs(spark.read.parquet(path))
     return out.select("run_id", "metric", F.round("value", 6).alias("value"),
                       F.round("prev_value", 6).alias("prev_value"), F.round("delta", 6).alias("delta"))
 
@@ -544,3 +549,31 @@ def english_rule(spark, sf):
                        guess.alias("predicted_lang")) \
         .withColumn("is_english", F.coalesce(F.col("predicted_lang") == "en", F.lit(False))) \
         .withColumn("agrees", F.coalesce(F.col("predicted_lang") == F.col("lang"), F.lit(False)))
+
+
+@query
+def stream_rewrite(spark, sf):
+    """Every source file is rewritten at the same path between two runs.
+
+    append_version: what the append stream holds after both runs (Spark skips seen paths);
+    replace_version: what the replace-mode sync holds (the rewritten rows replace the old ones).
+    """
+    from quarry.streaming.replace import place_files, sync_latest
+
+    work = scratch_path(spark, "stream-rewrite")
+    folder = f"{work}/input"
+    docs = read_table(spark, sf, "documents").select("doc_id", "source")
+    schema = "doc_id bigint, source string, version int"
+
+    def append_run():
+        SP.run_stage(spark.readStream.schema(schema).parquet(folder), lambda d: d, f"{work}/append", f"{work}/_ck")
+
+    place_files(spark, docs.withColumn("version", F.lit(1)), "source", folder, f"{work}/tmp1")
+    append_run()
+    snap, state = sync_latest(spark, folder, schema, None, None, f"{work}/sync1")
+    place_files(spark, docs.withColumn("version", F.lit(2)), "source", folder, f"{work}/tmp2")
+    append_run()
+    snap, state = sync_latest(spark, folder, schema, snap, state, f"{work}/sync2")
+    appended = spark.read.parquet(f"{work}/append").select("doc_id", F.col("version").alias("append_version"))
+    replaced = spark.read.parquet(snap).select("doc_id", F.col("version").alias("replace_version"))
+    return appended.join(replaced, "doc_id", "full")
