@@ -19,7 +19,8 @@ def top_with_ties(df: DataFrame, col: str, k: int, descending: bool = True, rank
     # k best distinct keys with their multiplicities: top-k over a partial aggregate.
     counts = keyed.groupBy(col).agg(F.count(F.lit(1)).alias("__n")).orderBy(order).limit(k)
     # rank = 1 + rows strictly before this key; the window runs over <= k rows.
-    w = Window.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    # One constant partition on purpose: ``counts`` holds at most k rows.
+    w = Window.partitionBy(F.lit(0)).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     ranks = (counts.withColumn(rank_col, (F.coalesce(F.sum("__n").over(w), F.lit(0)) + 1).cast("int"))
              .filter(F.col(rank_col) <= k).select(col, rank_col))
     return keyed.join(F.broadcast(ranks), on=col, how="inner")
