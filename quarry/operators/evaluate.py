@@ -82,10 +82,12 @@ def completeness(fields: list[str] = FIELD_NAMES) -> Scorer:
     return Scorer("completeness", value, rationale, ["mean", "min", "max"])
 
 
-def _format_issues(num: dict[str, Column], raw: dict[str, Column], chuck: Column) -> tuple[Column, Column, Column]:
+def _format_issues(num: dict[str, Column], raw: dict[str, Column], chuck: Column | None,
+                   checks=RANGE_CHECKS, pattern_field: str = CHUCK_FIELD,
+                   pattern: str = CHUCK_PATTERN) -> tuple[Column, Column, Column]:
     issues: list[Column] = []
     valid: list[Column] = []
-    for f, lo, hi, desc in RANGE_CHECKS:
+    for f, lo, hi, desc in checks:
         x, r = num[f], raw[f]
         ok = x.isNotNull() & (x >= lo) & (x <= hi) & ~F.isnan(x)
         issues.append(
@@ -93,10 +95,11 @@ def _format_issues(num: dict[str, Column], raw: dict[str, Column], chuck: Column
             .when(x.isNull(), F.concat(F.lit(f + "="), r, F.lit(" is not numeric")))
             .when(~ok, F.concat(F.lit(f + "="), py_float_str(x), F.lit(f" out of range ({desc})"))))
         valid.append(ok.cast("int"))
-    chuck_ok = strip_ws(chuck).rlike("(?U)" + CHUCK_PATTERN)
-    issues.append(F.when(chuck.isNotNull() & ~chuck_ok,
-                         F.concat(F.lit(CHUCK_FIELD + "='"), chuck, F.lit("' unexpected format"))))
-    valid.append((chuck.isNotNull() & chuck_ok).cast("int"))
+    if chuck is not None:
+        chuck_ok = strip_ws(chuck).rlike("(?U)" + pattern)
+        issues.append(F.when(chuck.isNotNull() & ~chuck_ok,
+                             F.concat(F.lit(pattern_field + "='"), chuck, F.lit("' unexpected format"))))
+        valid.append((chuck.isNotNull() & chuck_ok).cast("int"))
     arr = F.array_compact(F.array(*issues))
     n_valid = sum(valid, F.lit(0))
     passed = F.size(arr) == 0
@@ -105,24 +108,40 @@ def _format_issues(num: dict[str, Column], raw: dict[str, Column], chuck: Column
     return passed, rationale, arr
 
 
-def format_validator() -> Scorer:
-    """Range and pattern checks on the typed catalog (Q2, Q4, Q5)."""
-    num = {f: F.col(f).cast("double") for f, *_ in RANGE_CHECKS}
-    raw = {f: F.col(f).cast("string") for f, *_ in RANGE_CHECKS}
-    passed, rationale, _ = _format_issues(num, raw, F.col(CHUCK_FIELD))
-    return Scorer("format_issues", passed, rationale, ["mean"])
+def format_validator(checks=RANGE_CHECKS, pattern_field: str | None = CHUCK_FIELD,
+                     pattern: str = CHUCK_PATTERN, name: str = "format_issues") -> Scorer:
+    """Range and pattern checks on a typed table (Q2, Q4, Q5); ``checks`` = [(field, low, high, description)]."""
+    num = {f: F.col(f).cast("double") for f, *_ in checks}
+    raw = {f: F.col(f).cast("string") for f, *_ in checks}
+    chuck = F.col(pattern_field) if pattern_field else None
+    passed, rationale, _ = _format_issues(num, raw, chuck, checks, pattern_field or "", pattern)
+    return Scorer(name, passed, rationale, ["mean"])
 
 
-def format_validator_raw(value_col: str = "ai_result", root: str = "response") -> Scorer:
+def format_validator_raw(value_col: str = "ai_result", root: str = "response", checks=RANGE_CHECKS,
+                         pattern_field: str | None = CHUCK_FIELD, pattern: str = CHUCK_PATTERN) -> Scorer:
     """The same checks on the raw extraction value, where 'is not numeric' can occur (Q3)."""
     v = F.col(value_col)
-    num = {f: F.try_variant_get(v, f"$.{root}.{f}", "double") for f, *_ in RANGE_CHECKS}
-    raw = {f: F.try_variant_get(v, f"$.{root}.{f}", "string") for f, *_ in RANGE_CHECKS}
-    chuck = F.try_variant_get(v, f"$.{root}.{CHUCK_FIELD}", "string")
-    passed, rationale, _ = _format_issues(num, raw, chuck)
+    num = {f: F.try_variant_get(v, f"$.{root}.{f}", "double") for f, *_ in checks}
+    raw = {f: F.try_variant_get(v, f"$.{root}.{f}", "string") for f, *_ in checks}
+    chuck = F.try_variant_get(v, f"$.{root}.{pattern_field}", "string") if pattern_field else None
+    passed, rationale, _ = _format_issues(num, raw, chuck, checks, pattern_field or "", pattern)
     return Scorer("format_issues", passed, rationale, ["mean"])
 
 
+def ranges(bounds: list[tuple[str, float, float, str]], name: str = "ranges") -> Scorer:
+    """User range scorer: every present field within [low, high] (inclusive), NULL skipped."""
+    return format_validator(bounds, None, name=name)
+
+
+def pattern(col: str, regex: str, name: str | None = None) -> Scorer:
+    """User pattern scorer: the stripped value matches ``regex`` (NULL passes)."""
+    c = F.col(col)
+    ok = c.isNull() | strip_ws(c).rlike("(?U)" + regex)
+    why = F.when(ok, F.lit("ok")).otherwise(F.concat(F.lit(col + "='"), c, F.lit("' unexpected format")))
+    return Scorer(name or f"{col}_pattern", ok, why, ["mean"])
+
+
 # ---------------------------------------------------------------- rule judges (Q6-Q8)
 
 # Short stop-word lists per language (public common-word lists, lower case).

@@ -168,3 +168,14 @@ def test_pruned_search_equals_exhaustive(spark):
         a = R.search(bm, "item_id", "text", post, ch, "doc_id", 3, prefer=prefer, prune=True, dictionary=dictionary)
         b = R.search(bm, "item_id", "text", post, ch, "doc_id", 3, prefer=prefer, prune=False)
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_user_scorers(spark):
+    from quarry.api import pattern, ranges, score
+
+    df = spark.createDataFrame([("a", 5.0, "AB-1"), ("b", 50.0, "not an id"), ("c", None, None)],
+                               "k string, v double, m string")
+    scorers = [ranges([("v", 1, 10, "v should be 1-10")]), pattern("m", r"^[A-Z]+-\d+$")]
+    got = {(r.k, r.scorer): r.value for r in score(df, ["k"], scorers).collect()}
+    assert got[("a", "ranges")] == 1.0 and got[("b", "ranges")] == 0.0 and got[("c", "ranges")] == 1.0
+    assert got[("a", "m_pattern")] == 1.0 and got[("b", "m_pattern")] == 0.0 and got[("c", "m_pattern")] == 1.0
