@@ -513,8 +513,9 @@ def stream_pipeline(spark, sf):
     from quarry.operators.partitioning import spread
     raw = _raw_manuals(spark, sf)
     spread(raw).write.parquet(f"{work}/input")  # several input files, so each stage runs in parallel
-    out = SP.run_pipeline(spark, f"{work}/input", work, raw.schema)
-    return spark.read.parquet(out["processed"])
+    prefix = "run_" + uuid.uuid4().hex[:8]
+    SP.run_pipeline(spark, f"{work}/input", work, raw.schema, prefix=prefix, database="quarry")
+    return spark.table(f"quarry.{prefix}_productmanuals_processed")
 
 
 @query

@@ -17,7 +17,9 @@ from pyspark.sql import functions as F
 from quarry.operators.extract import extract
 from quarry.operators.flatten import flatten
 from quarry.operators.parse import document_text, to_document
-from quarry.plans.specs import PROCESSED_SCHEMA, PRODUCT_SPEC
+from quarry.plans.specs import EXTRACT_COMMENT, PARSED_COMMENT, PROCESSED_COMMENT, PROCESSED_SCHEMA, PRODUCT_SPEC
+
+STAGE_COMMENTS = {"parsed": PARSED_COMMENT, "extract": EXTRACT_COMMENT, "processed": PROCESSED_COMMENT}
 
 
 def run_stage(source: DataFrame, fn: Callable[[DataFrame], DataFrame], out_path: str, checkpoint: str,
@@ -58,11 +60,28 @@ def process_stage(extracted: DataFrame) -> DataFrame:
     return flatten(extracted, "ai_result", PROCESSED_SCHEMA, keys=["file_name"], errors_col=None)
 
 
-def run_pipeline(spark: SparkSession, input_path: str, workdir: str, input_schema) -> dict[str, str]:
-    """Run the three chained stages once; returns the output path of each stage."""
+def register_table(spark: SparkSession, name: str, path: str, comment: str | None = None) -> None:
+    """Expose a stage's output folder as a named table with a comment (idempotent)."""
+    c = f" COMMENT '{comment.replace(chr(39), chr(92) + chr(39))}'" if comment else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING parquet LOCATION '{path}'{c}")
+
+
+def run_pipeline(spark: SparkSession, input_path: str, workdir: str, input_schema,
+                 prefix: str | None = None, database: str | None = None) -> dict[str, str]:
+    """Run the three chained stages once; returns the output path of each stage.
+
+    With ``prefix``, each stage is also a table ``{database}.{prefix}_productmanuals_{stage}``
+    with its comment, as the reference names and comments its pipeline tables.
+    """
     out = {s: f"{workdir}/{s}" for s in ("parsed", "extract", "processed")}
     ck = {s: f"{workdir}/_checkpoints/{s}" for s in out}
     run_stage(stream_table(spark, input_path, schema=input_schema), parse_stage, out["parsed"], ck["parsed"])
     run_stage(stream_table(spark, out["parsed"]), extract_stage, out["extract"], ck["extract"])
     run_stage(stream_table(spark, out["extract"]), process_stage, out["processed"], ck["processed"])
+    if prefix:
+        db = f"{database}." if database else ""
+        if database:
+            spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+        for stage, path in out.items():
+            register_table(spark, f"{db}{prefix}_productmanuals_{stage}", path, STAGE_COMMENTS[stage])
     return out
