@@ -18,7 +18,6 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from quarry.plans import catalog  # noqa: E402
 from quarry.plans import queries as Q  # noqa: E402
 from quarry.session import local_session  # noqa: E402
-from quarry.sources.tables import materialize  # noqa: E402
 
 HEADLINE = [
     "extract_fields", "top_torque", "fastest_by_maker", "model_differences", "battery_compatible",
@@ -45,7 +44,7 @@ def main() -> None:
             run(Q.QUERIES[key](spark, warm))
 
     t = time.time()
-    materialize(catalog.manuals_processed(spark, sf_dir), "processed", scope=sf_dir)
+    catalog.manuals_catalog(spark, sf_dir)
     times["catalog_build"] = round(time.time() - t, 3)
     t = time.time()
     Q._index(spark, sf_dir)

@@ -58,9 +58,23 @@ def term_dictionary(postings: DataFrame) -> DataFrame:
     return postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
 
 
+def index_stats(chunks: DataFrame, postings: DataFrame) -> DataFrame:
+    """One row (n_chunks, sum_dl, n_postings): collection statistics, built once next to the postings.
+
+    Two global partial aggregates combined by a union, so no join is needed.
+    """
+    dl = F.col("dl") if "dl" in chunks.columns else F.size(terms(F.col("text")))
+    a = chunks.agg(F.count(F.lit(1)).alias("n_chunks"), F.sum(dl).cast("long").alias("sum_dl"),
+                   F.lit(0).cast("long").alias("n_postings"))
+    b = postings.agg(F.lit(0).cast("long").alias("n_chunks"), F.lit(0).cast("long").alias("sum_dl"),
+                     F.count(F.lit(1)).alias("n_postings"))
+    return a.unionByName(b).agg(*[F.sum(c).cast("long").alias(c) for c in ("n_chunks", "sum_dl", "n_postings")])
+
+
 def search(questions: DataFrame, qkey: str, qtext: str, postings: DataFrame, chunks: DataFrame,
            key: str = "doc_id", k: int = 3, prefer: tuple[str, str] | None = None,
-           prune: bool | str = "auto", dictionary: DataFrame | None = None) -> DataFrame:
+           prune: bool | str = "auto", dictionary: DataFrame | None = None,
+           stats: DataFrame | None = None) -> DataFrame:
     """Top-k chunks per question by BM25; ties by key, chunk. ``prefer=(col, value)`` ranks those first.
 
     With ``prune`` (exact, MaxScore-style), the long posting lists of common terms are
@@ -73,21 +87,21 @@ def search(questions: DataFrame, qkey: str, qtext: str, postings: DataFrame, chu
     Questions where the bound does not hold take the exhaustive path, so results are exact.
     ``prune="auto"`` prunes when the exhaustive join would emit more than PRUNE_FANOUT
     times the postings (sum of df over question terms, read from the term dictionary).
+    ``stats`` is the one-row ``index_stats`` table; without it the statistics are computed here.
     """
     qt = questions.select(qkey, F.explode(F.array_distinct(terms(F.col(qtext)))).alias("term")).distinct()
     # One size check: the distinct terms and their weights are never larger than qt.
     small = qt.limit(BROADCAST_MAX_ROWS + 1).count() <= BROADCAST_MAX_ROWS
     bc = F.broadcast if small else (lambda d: d)
     qterms = bc(qt.select("term").distinct())
-    dl = F.col("dl") if "dl" in chunks.columns else F.size(terms(F.col("text")))
-    stats = chunks.agg(F.count(F.lit(1)).cast("double").alias("n"), F.avg(dl).alias("avgdl"))
-    n_chunks = stats.select("n").scalar()
-    avgdl = stats.select("avgdl").scalar()
+    st = (stats if stats is not None else index_stats(chunks, postings)).first()
+    n_chunks = float(st["n_chunks"])
+    avgdl = st["sum_dl"] / n_chunks if n_chunks else 0.0
     source = dictionary if dictionary is not None else term_dictionary(postings)
     dfreq = source.join(qterms, "term", "left_semi")
     if prune == "auto":
         fanout = qt.join(dfreq, "term").agg(F.sum("df")).first()[0] or 0
-        prune = fanout > PRUNE_FANOUT * postings.count()
+        prune = fanout > PRUNE_FANOUT * st["n_postings"]
     idf = F.log(1 + (n_chunks - F.col("df") + 0.5) / (F.col("df") + 0.5))
     weights = dfreq.select("term", idf.alias("idf"), (F.col("df") <= n_chunks * ESSENTIAL_DF_SHARE).alias("ess"))
     qw = bc(qt.join(bc(weights), "term", "inner"))

@@ -40,7 +40,7 @@ def manuals_processed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def manuals_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The processed catalog as a table: built once per session and data folder, then read."""
-    return materialize(manuals_processed(spark, sf_dir), "processed", scope=sf_dir)
+    return materialize(lambda: manuals_processed(spark, sf_dir), "processed", scope=sf_dir, spark=spark)
 
 
 def with_comments(df: DataFrame, schema: T.StructType = PROCESSED_SCHEMA) -> DataFrame:

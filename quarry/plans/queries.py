@@ -52,7 +52,7 @@ def _catalog(spark, sf):
 
 
 def _extracted(spark, sf):
-    return materialize(catalog.manuals_extract(spark, sf), "extract", scope=sf)
+    return materialize(lambda: catalog.manuals_extract(spark, sf), "extract", scope=sf, spark=spark)
 
 
 def _typed(spark, sf, names):
@@ -336,11 +336,14 @@ def _chunks(spark, sf):
 
 
 def _index(spark, sf):
-    """The retrieval index as tables: chunks, postings and the term dictionary."""
-    ch = materialize(_chunks(spark, sf), "chunks", scope=sf)
-    post = materialize(R.term_index(ch, "doc_id", keep=["lang"]), "postings", scope=sf)
-    dictionary = materialize(R.term_dictionary(post), "dictionary", scope=sf)
-    return ch, post, dictionary
+    """The retrieval index as tables: chunks, postings, the term dictionary and collection statistics."""
+    def table(key, build):
+        return materialize(build, key, scope=sf, spark=spark)
+    ch = table("chunks", lambda: _chunks(spark, sf))
+    post = table("postings", lambda: R.term_index(ch, "doc_id", keep=["lang"]))
+    dictionary = table("dictionary", lambda: R.term_dictionary(post))
+    stats = table("index_stats", lambda: R.index_stats(ch, post))
+    return ch, post, dictionary, stats
 
 
 @query
@@ -355,16 +358,16 @@ def term_index(spark, sf):
 
 @query
 def passages(spark, sf):
-    ch, post, dictionary = _index(spark, sf)
+    ch, post, dictionary, stats = _index(spark, sf)
     return R.search(read_table(spark, sf, "benchmark"), "item_id", "text", post, ch, "doc_id", TOP_K,
-                    dictionary=dictionary)
+                    dictionary=dictionary, stats=stats)
 
 
 @query
 def passages_english(spark, sf):
-    ch, post, dictionary = _index(spark, sf)
+    ch, post, dictionary, stats = _index(spark, sf)
     return R.search(read_table(spark, sf, "benchmark"), "item_id", "text", post, ch, "doc_id", TOP_K,
-                    prefer=("lang", "en"), dictionary=dictionary)
+                    prefer=("lang", "en"), dictionary=dictionary, stats=stats)
 
 
 @query

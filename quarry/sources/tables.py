@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -64,24 +66,30 @@ def _sql_str(s: str) -> str:
     return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-_MATERIALIZED: dict[tuple[str, str, str], str] = {}
+_MATERIALIZED: dict[tuple[str, str, str], DataFrame] = {}
 
 
-def materialize(df: DataFrame, key: str, scope: str = "") -> DataFrame:
-    """Write ``df`` once as parquet below the shared checkpoint folder and read it back.
+def materialize(df: DataFrame | Callable[[], DataFrame], key: str, scope: str = "",
+                spark: SparkSession | None = None) -> DataFrame:
+    """Write a DataFrame once as parquet below the shared checkpoint folder and read it back.
 
     A written table cuts the lineage (a lost executor re-reads files instead of
     recomputing the extraction) and is an optimisation barrier: filters on the
     result become parquet pushed filters instead of being inlined into the
     costly projection below. Memoised per application, ``scope`` and ``key``.
+    ``df`` may be a zero-argument builder (then ``spark`` is required): a memo
+    hit then skips building and analysing the plan that produced the table.
     """
     from quarry.session import scratch_path
 
-    spark = df.sparkSession
+    if spark is None:
+        spark = df.sparkSession
     memo = (spark.sparkContext.applicationId, scope, key)
-    path = _MATERIALIZED.get(memo)
-    if path is None:
+    table = _MATERIALIZED.get(memo)
+    if table is None:
+        built = df() if callable(df) else df
         path = scratch_path(spark, key)
-        df.write.mode("overwrite").parquet(path)
-        _MATERIALIZED[memo] = path
-    return spark.read.parquet(path)
+        built.write.mode("overwrite").parquet(path)
+        table = spark.read.parquet(path)
+        _MATERIALIZED[memo] = table
+    return table

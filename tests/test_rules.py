@@ -162,14 +162,25 @@ def test_pruned_search_equals_exhaustive(spark):
     from quarry.plans import queries as Q
     from tests.conftest import SMALL
 
-    ch, post, dictionary = Q._index(spark, SMALL)
+    ch, post, dictionary, stats = Q._index(spark, SMALL)
     bm = spark.read.parquet(f"{SMALL}/benchmark.parquet")
     for prefer in (None, ("lang", "en")):
-        a = R.search(bm, "item_id", "text", post, ch, "doc_id", 3, prefer=prefer, prune=True, dictionary=dictionary)
+        a = R.search(bm, "item_id", "text", post, ch, "doc_id", 3, prefer=prefer, prune=True, dictionary=dictionary,
+                     stats=stats)
         b = R.search(bm, "item_id", "text", post, ch, "doc_id", 3, prefer=prefer, prune=False)
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
+def test_index_stats_match_direct_counts(spark):
+    from quarry.plans import queries as Q
+    from tests.conftest import SMALL
+
+    ch, post, _, stats = Q._index(spark, SMALL)
+    st = stats.first()
+    assert st["n_chunks"] == ch.count() and st["n_postings"] == post.count()
+    assert st["sum_dl"] == ch.agg({"dl": "sum"}).first()[0]
+
+
 def test_user_scorers(spark):
     from quarry.api import pattern, ranges, score
 
