@@ -40,11 +40,24 @@ def chunk(df: DataFrame, key: str, text_col: str, size: int = 200, overlap: int
     return out.withColumn("dl", F.size(terms(F.col("text"))))
 
 
+def cluster_chunks(chunks: DataFrame, key: str = "doc_id", buckets: int | None = None) -> DataFrame:
+    """Hash-partition chunks on (key, chunk_no), the layout of the bucketed chunk and posting tables.
+
+    One shuffle of chunk rows, which are far smaller than their postings. The
+    chunk (not the document) is the unit, so one huge document spreads over
+    all buckets instead of making one hot bucket.
+    """
+    n = buckets or int(chunks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return chunks.repartition(n, key, "chunk_no")
+
+
 def term_index(chunks: DataFrame, key: str = "doc_id", keep: list[str] = ()) -> DataFrame:
     """R2: postings (term, key, chunk_no, tf, dl, *keep); dl = number of terms of the chunk."""
     t = chunks.select(key, "chunk_no", *keep, terms(F.col("text")).alias("__t"))
     t = t.select(key, "chunk_no", *keep, F.size("__t").alias("dl"), F.explode("__t").alias("term"))
-    # Map-side partial counts collapse repeats within a chunk before the shuffle.
+    # Map-side partial counts collapse repeats within a chunk before the shuffle. On chunks
+    # hash-partitioned by (key, chunk_no) (``cluster_chunks`` / a bucketed chunk table) the
+    # grouping is already satisfied, and the postings are built without any shuffle.
     return t.groupBy("term", key, "chunk_no", "dl", *keep).agg(F.count(F.lit(1)).alias("tf"))
 
 

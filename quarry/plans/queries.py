@@ -300,6 +300,9 @@ from quarry.operators import retrieval as R  # noqa: E402
 from quarry.sources.fixtures import spec_sheets  # noqa: E402
 
 CHUNK_SIZE, CHUNK_OVERLAP, TOP_K = 200, 50, 3
+# Buckets of the chunk and posting tables; None = the session's shuffle partitions.
+# On a cluster, size it so that one bucket of postings is a few hundred MB.
+INDEX_BUCKETS: int | None = None
 
 
 @query
@@ -337,10 +340,14 @@ def _chunks(spark, sf):
 
 def _index(spark, sf):
     """The retrieval index as tables: chunks, postings, the term dictionary and collection statistics."""
-    def table(key, build):
-        return materialize(build, key, scope=sf, spark=spark)
-    ch = table("chunks", lambda: _chunks(spark, sf))
-    post = table("postings", lambda: R.term_index(ch, "doc_id", keep=["lang"]))
+    def table(key, build, bucket_by=None):
+        return materialize(build, key, scope=sf, spark=spark, bucket_by=bucket_by)
+    # Chunks and postings share one bucketing on (doc_id, chunk_no): the postings build and the
+    # per-(question, chunk) score aggregation of search then need no shuffle.
+    n = INDEX_BUCKETS or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    layout = (n, ["doc_id", "chunk_no"])
+    ch = table("chunks", lambda: R.cluster_chunks(_chunks(spark, sf), "doc_id", n), layout)
+    post = table("postings", lambda: R.term_index(ch, "doc_id", keep=["lang"]), layout)
     dictionary = table("dictionary", lambda: R.term_dictionary(post))
     stats = table("index_stats", lambda: R.index_stats(ch, post))
     return ch, post, dictionary, stats

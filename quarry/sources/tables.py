@@ -70,7 +70,7 @@ _MATERIALIZED: dict[tuple[str, str, str], DataFrame] = {}
 
 
 def materialize(df: DataFrame | Callable[[], DataFrame], key: str, scope: str = "",
-                spark: SparkSession | None = None) -> DataFrame:
+                spark: SparkSession | None = None, bucket_by: tuple[int, list[str]] | None = None) -> DataFrame:
     """Write a DataFrame once as parquet below the shared checkpoint folder and read it back.
 
     A written table cuts the lineage (a lost executor re-reads files instead of
@@ -79,7 +79,14 @@ def materialize(df: DataFrame | Callable[[], DataFrame], key: str, scope: str =
     costly projection below. Memoised per application, ``scope`` and ``key``.
     ``df`` may be a zero-argument builder (then ``spark`` is required): a memo
     hit then skips building and analysing the plan that produced the table.
+
+    ``bucket_by=(n, cols)`` writes a bucketed table (registered in the session
+    catalog, files still below the shared folder). Its readers know the hash
+    partitioning on ``cols``, so aggregations and joins grouped by a superset of
+    ``cols`` need no shuffle of this table.
     """
+    import uuid
+
     from quarry.session import scratch_path
 
     if spark is None:
@@ -89,7 +96,15 @@ def materialize(df: DataFrame | Callable[[], DataFrame], key: str, scope: str =
     if table is None:
         built = df() if callable(df) else df
         path = scratch_path(spark, key)
-        built.write.mode("overwrite").parquet(path)
-        table = spark.read.parquet(path)
+        if bucket_by is None:
+            built.write.mode("overwrite").parquet(path)
+            table = spark.read.parquet(path)
+        else:
+            n, cols = bucket_by
+            ensure_namespace(spark, "quarry")
+            name = f"quarry.{key}_{uuid.uuid4().hex[:12]}"
+            built.write.mode("overwrite").format("parquet").option("path", path) \
+                .bucketBy(n, *cols).saveAsTable(name)
+            table = spark.table(name)
         _MATERIALIZED[memo] = table
     return table
