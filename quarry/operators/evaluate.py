@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from quarry.functions.pyfmt import py_float_str, py_str
 from quarry.functions.text import strip_ws, terms
+from quarry.operators.partitioning import sized_broadcast
 from quarry.plans.specs import FIELD_NAMES
 
 # Range checks of the format validator, in check order (field, low, high, description).
@@ -208,7 +209,7 @@ def known_makers(spark, extra: list[str] | None = None) -> DataFrame:
 
 def plausibility(catalog: DataFrame, makers: DataFrame, keys: list[str] = ("file_name",)) -> DataFrame:
     """Extraction-quality rules, wide: known_maker, model_identifier, type_in_list, numbers_plausible (Q7)."""
-    mk = F.broadcast(makers.select(F.col("maker_key").alias("__mk")).distinct())
+    mk = sized_broadcast(makers.select(F.col("maker_key").alias("__mk")).distinct())
     d = catalog.join(mk, F.lower(F.col("manufacturer")) == F.col("__mk"), "left")
     fmt = format_validator()
     keep = [c for c in catalog.columns] if list(keys) == ["*"] else list(keys)

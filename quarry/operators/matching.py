@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quarry.operators.partitioning import sized_broadcast
+
 
 def normalise(c: Column) -> Column:
     """Lower case, letters and digits only."""
@@ -102,6 +104,9 @@ def format_profile(catalog: DataFrame, cols: list[str], samples: int = 3) -> Dat
 
 
 def in_dictionary(df: DataFrame, col: str, dictionary: DataFrame, key: str, how: str = "left_semi") -> DataFrame:
-    """Semi (known) / anti (unknown) join to a small, fixed dictionary (broadcast, case-insensitive)."""
-    dk = F.broadcast(dictionary.select(F.lower(F.col(key)).alias("__k")).distinct())
+    """Semi (known) / anti (unknown) join to a dictionary (case-insensitive).
+
+    The dictionary is broadcast only behind a row-count check; a large one gets a shuffle join.
+    """
+    dk = sized_broadcast(dictionary.select(F.lower(F.col(key)).alias("__k")).distinct())
     return df.join(dk, F.lower(F.col(col)) == F.col("__k"), how)

@@ -12,6 +12,10 @@ coalesced back by AQE.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Row bound for an explicit broadcast: a side is broadcast only after a count proves it is below this.
+BROADCAST_MAX_ROWS = 2_000_000
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
@@ -23,3 +27,14 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     except Exception:  # noqa: BLE001 - no RDD API (e.g. a remote session): leave the plan as it is
         return df
     return df.repartition(target) if current < target else df
+
+
+def sized_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Broadcast ``df`` only if a bounded count shows at most ``max_rows`` rows.
+
+    Above the bound the join is left to the planner (a shuffle join, with AQE
+    still free to broadcast at runtime and to split skewed keys). The check
+    reads at most ``max_rows + 1`` rows of ``df``.
+    """
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df

@@ -13,17 +13,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.functions.text import terms, words
-from quarry.operators.partitioning import spread
+from quarry.operators.partitioning import BROADCAST_MAX_ROWS, sized_broadcast, spread  # noqa: F401
 
 BM25_K1 = 1.2
 BM25_B = 0.75
-BROADCAST_MAX_ROWS = 2_000_000
-
-
-def sized_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``df`` only if it has at most ``max_rows`` rows; otherwise leave the join to the planner."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
 
 
 def chunk(df: DataFrame, key: str, text_col: str, size: int = 200, overlap: int = 50,

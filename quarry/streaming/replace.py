@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarry.operators.partitioning import sized_broadcast
 from quarry.operators.retrieval import new_rows
 from quarry.sources.files import scan_files
 
@@ -25,11 +26,15 @@ def sync_latest(spark: SparkSession, folder: str, schema: str, previous: str | N
     listing = scan_files(spark, folder, pattern="*.parquet", content=False) \
         .select(F.col("path").alias("file_path"), F.col("modified_at").alias("file_modification_time"))
     known = spark.read.parquet(state) if state else listing.limit(0)
+    # Written once: the changed set is read by the size check, the semi-join and the anti-join.
     changed = new_rows(listing, known, ["file_path", "file_modification_time"])
+    changed.write.parquet(f"{out}/changed")
+    changed = spark.read.parquet(f"{out}/changed")
     rows = spark.read.schema(schema).parquet(folder).select(
         "*", F.col("_metadata.file_path").alias("file_path"),
         F.col("_metadata.file_modification_time").alias("file_modification_time"))
-    fresh = fn(rows.join(F.broadcast(changed), ["file_path", "file_modification_time"], "left_semi"))
+    # The changed-file set grows with the folder: broadcast only behind a row-count check.
+    fresh = fn(rows.join(sized_broadcast(changed), ["file_path", "file_modification_time"], "left_semi"))
     if previous:
         kept = spark.read.parquet(previous).join(changed.select("file_path"), "file_path", "left_anti")
         snapshot = kept.unionByName(fresh.select(*kept.columns))
