@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quarry.functions.arrays import posexplode_rows
 from quarry.operators.partitioning import spread
 
 # Element classification rules of a text line (applied to the trimmed line, in order).
@@ -61,11 +62,14 @@ def segment_markup(df: DataFrame, key: str, html_col: str) -> DataFrame:
     """Title, h1, p and li elements with tags stripped; script, style and comments removed first."""
     clean = F.regexp_replace(F.col(html_col), MARKUP_DROP, "")
     elems = F.regexp_extract_all(clean, F.lit(MARKUP_ELEMENT), 0)
-    rows = spread(df).select(key, F.posexplode(elems).alias("pos", "el"))
-    inner = F.regexp_extract("el", MARKUP_INNER, 1)
-    text = strip_line(F.regexp_replace(F.regexp_replace(inner, ANY_TAG, " "), r"\s+", " "))
-    return rows.select(key, "pos", F.lower(F.regexp_extract("el", MARKUP_TAG, 1)).alias("tag"),
-                       text.alias("text")).filter(F.col("text") != "")
+
+    def element(el, i):
+        inner = F.regexp_extract(el, MARKUP_INNER, 1)
+        text = strip_line(F.regexp_replace(F.regexp_replace(inner, ANY_TAG, " "), r"\s+", " "))
+        return F.struct(i.alias("pos"), F.lower(F.regexp_extract(el, MARKUP_TAG, 1)).alias("tag"), text.alias("text"))
+    # Empty elements are dropped inside the array (positions keep their gaps), so each text is built once.
+    kept = F.filter(F.transform(elems, element), lambda e: e["text"] != "")
+    return spread(df).select(key, F.explode(kept).alias("__e")).select(key, "__e.pos", "__e.tag", "__e.text")
 
 
 # Pipe tables: a block starts on a line that (trimmed) begins and ends with a bar and
@@ -93,7 +97,7 @@ def pipe_tables(df: DataFrame, key: str, text_col: str) -> DataFrame:
     body = F.filter(F.slice("__l", start + 1, F.size("__l")), lambda ln: ~ln.rlike(PIPE_SEPARATOR))
     b = b.select(key, "block", _cells(F.col("__l")[0]).alias("__h"),
                  F.when(F.size("__l") > start, body).otherwise(F.array().cast("array<string>")).alias("__body"))
-    r = b.select(key, "block", "__h", F.posexplode("__body").alias("row", "__r"))
+    r = posexplode_rows(b, [key, "block", "__h"], "__body", "row", "__r")
     c = r.select(key, "block", "row", "__h", F.posexplode(_cells(F.col("__r"))).alias("col", "value"))
     return c.select(key, "block", "row", "col", F.get(F.col("__h"), F.col("col")).alias("header"), "value")
 

@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from quarry.functions.arrays import posexplode_rows
 from quarry.functions.text import terms, words
 from quarry.operators.partitioning import BROADCAST_MAX_ROWS, sized_broadcast, spread  # noqa: F401
 
@@ -24,13 +25,15 @@ def chunk(df: DataFrame, key: str, text_col: str, size: int = 200, overlap: int
     """Word windows of ``size`` words, consecutive windows sharing ``overlap`` words."""
     step = size - overlap
     w = words(F.col(text_col))
-    d = spread(df).select(key, *keep, w.alias("__w")).withColumn("__n", F.size("__w")).filter(F.col("__n") > 0)
-    starts = F.sequence(F.lit(0), F.greatest(F.col("__n") - overlap, F.lit(1)) - 1, F.lit(step))
+    d = spread(df).select(key, *keep, w.alias("__w")).withColumn("__n", F.size("__w"))
+    # No chunk for a text without words: an empty start list, not a row filter (a filter on __n
+    # would be pushed below the projection and split every text a second time).
+    starts = F.when(F.col("__n") > 0,
+                    F.sequence(F.lit(0), F.greatest(F.col("__n") - overlap, F.lit(1)) - 1, F.lit(step))) \
+        .otherwise(F.array().cast("array<int>"))
     d = d.select(key, *keep, "__w", F.posexplode(starts).alias("chunk_no", "__s"))
     piece = F.slice("__w", F.col("__s") + 1, F.lit(size))
-    out = d.select(key, *keep, "chunk_no", F.size(piece).alias("n_words"), F.array_join(piece, " ").alias("text"))
-    # dl: number of index terms of the chunk, kept with the chunk so BM25 statistics need no re-tokenising.
-    return out.withColumn("dl", F.size(terms(F.col("text"))))
+    return d.select(key, *keep, "chunk_no", F.size(piece).alias("n_words"), F.array_join(piece, " ").alias("text"))
 
 
 def cluster_chunks(chunks: DataFrame, key: str = "doc_id", buckets: int | None = None) -> DataFrame:
@@ -47,7 +50,8 @@ def cluster_chunks(chunks: DataFrame, key: str = "doc_id", buckets: int | None =
 def term_index(chunks: DataFrame, key: str = "doc_id", keep: list[str] = ()) -> DataFrame:
     """R2: postings (term, key, chunk_no, tf, dl, *keep); dl = number of terms of the chunk."""
     t = chunks.select(key, "chunk_no", *keep, terms(F.col("text")).alias("__t"))
-    t = t.select(key, "chunk_no", *keep, F.size("__t").alias("dl"), F.explode("__t").alias("term"))
+    # Each chunk is tokenised once; dl is the chunk's term count.
+    t = posexplode_rows(t, [key, "chunk_no", *keep, F.size("__t").alias("dl")], "__t", "__p", "term")
     # Map-side partial counts collapse repeats within a chunk before the shuffle. On chunks
     # hash-partitioned by (key, chunk_no) (``cluster_chunks`` / a bucketed chunk table) the
     # grouping is already satisfied, and the postings are built without any shuffle.
@@ -67,12 +71,12 @@ def term_dictionary(postings: DataFrame) -> DataFrame:
 def index_stats(chunks: DataFrame, postings: DataFrame) -> DataFrame:
     """One row (n_chunks, sum_dl, n_postings): collection statistics, built once next to the postings.
 
-    Two global partial aggregates combined by a union, so no join is needed.
+    sum_dl (total terms over all chunks) is the sum of tf over the postings, so no text is
+    re-tokenised. Two global partial aggregates combined by a union, so no join is needed.
     """
-    dl = F.col("dl") if "dl" in chunks.columns else F.size(terms(F.col("text")))
-    a = chunks.agg(F.count(F.lit(1)).alias("n_chunks"), F.sum(dl).cast("long").alias("sum_dl"),
+    a = chunks.agg(F.count(F.lit(1)).alias("n_chunks"), F.lit(0).cast("long").alias("sum_dl"),
                    F.lit(0).cast("long").alias("n_postings"))
-    b = postings.agg(F.lit(0).cast("long").alias("n_chunks"), F.lit(0).cast("long").alias("sum_dl"),
+    b = postings.agg(F.lit(0).cast("long").alias("n_chunks"), F.sum("tf").cast("long").alias("sum_dl"),
                      F.count(F.lit(1)).alias("n_postings"))
     return a.unionByName(b).agg(*[F.sum(c).cast("long").alias(c) for c in ("n_chunks", "sum_dl", "n_postings")])
 

@@ -57,3 +57,12 @@ def test_index_and_scoring_need_no_postings_shuffle(spark):
     assert path.count("Exchange") == 1
     assert path.index("Exchange") < path.index("WindowGroupLimit", path.index("Exchange"))
     assert path.index("Exchange") < path.index("HashAggregate")
+
+
+@pytest.mark.parametrize("key", ["term_index", "english_sections", "pipe_tables", "chunks", "segment_markup"])
+def test_generated_arrays_are_built_once(spark, key):
+    """No Filter re-evaluates a tokenizer or regex array below the generator that explodes it."""
+    plan = E.queries()[key](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    for line in plan.splitlines():
+        if "Filter" in line.split("[")[0]:
+            assert "split(" not in line and "regexp_extract_all(" not in line, (key, line[:200])

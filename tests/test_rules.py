@@ -178,7 +178,10 @@ def test_index_stats_match_direct_counts(spark):
     ch, post, _, stats = Q._index(spark, SMALL)
     st = stats.first()
     assert st["n_chunks"] == ch.count() and st["n_postings"] == post.count()
-    assert st["sum_dl"] == ch.agg({"dl": "sum"}).first()[0]
+    from pyspark.sql import functions as F
+
+    from quarry.functions.text import terms
+    assert st["sum_dl"] == ch.agg(F.sum(F.size(terms(F.col("text"))))).first()[0]
 
 
 def test_user_scorers(spark):
@@ -190,3 +193,11 @@ def test_user_scorers(spark):
     got = {(r.k, r.scorer): r.value for r in score(df, ["k"], scorers).collect()}
     assert got[("a", "ranges")] == 1.0 and got[("b", "ranges")] == 0.0 and got[("c", "ranges")] == 1.0
     assert got[("a", "m_pattern")] == 1.0 and got[("b", "m_pattern")] == 0.0 and got[("c", "m_pattern")] == 1.0
+
+
+def test_posexplode_rows_keeps_null_elements_and_drops_empty_arrays(spark):
+    from quarry.functions.arrays import posexplode_rows
+
+    df = spark.createDataFrame([(1, ["a", None]), (2, []), (3, None)], "k int, xs array<string>")
+    got = sorted(tuple(r) for r in posexplode_rows(df, ["k"], "xs", "i", "x").collect())
+    assert got == [(1, 0, "a"), (1, 1, None)]
