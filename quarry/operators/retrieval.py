@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from quarry.functions.arrays import posexplode_rows
 from quarry.functions.text import terms, words
 from quarry.operators.partitioning import BROADCAST_MAX_ROWS, sized_broadcast, spread  # noqa: F401
+from quarry.sources.tables import write_scratch
 
 BM25_K1 = 1.2
 BM25_B = 0.75
@@ -140,6 +141,8 @@ def search(questions: DataFrame, qkey: str, qtext: str, postings: DataFrame, chu
     ess = qw.filter(F.col("ess")).select(qkey, "term", "idf")
     partial = postings.join(bc(ess), "term", "inner") \
         .groupBy(qkey, key, "chunk_no", *keep).agg(F.sum(part).alias("partial"))
+    # Read twice below (theta and the survivors): written once instead of scanning the postings twice.
+    partial = write_scratch(partial, "bm25-partial")
     cls = pref if prefer else F.lit(True)
     # theta: k-th best partial score within the class that fills the top-k (all, or the preferred chunks).
     wk = Window.partitionBy(qkey).orderBy(F.col("partial").desc(), F.col(key), F.col("chunk_no"))

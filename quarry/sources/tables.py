@@ -66,6 +66,19 @@ def _sql_str(s: str) -> str:
     return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+def write_scratch(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once below the shared checkpoint folder and read it back (no memo).
+
+    For an intermediate read by several branches of one plan: each branch reads the
+    files instead of recomputing the input, and a lost executor re-reads them.
+    """
+    from quarry.session import scratch_path
+
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 _MATERIALIZED: dict[tuple[str, str, str], DataFrame] = {}
 
 
