@@ -1,10 +1,12 @@
 """Cited passage retrieval (R1-R5, J3): chunks, term index, BM25 top-k per question.
 
-Scale notes: chunking is per row; the postings carry the chunk length and the
+Scale notes: chunking is per row; chunks and postings share one bucketing on
+(doc_id, chunk_no), so the postings build and the per-(question, chunk) score
+sums need no shuffle of postings; the postings carry the chunk length and the
 document language so queries need no join back to the documents; question
 terms are broadcast only after a row-count check (else a shuffle join, with AQE
 splitting skewed terms); top-k per question is a row_number filter, which
-Spark plans as a partial WindowGroupLimit before the shuffle.
+Spark plans as a partial WindowGroupLimit before the one shuffle.
 """
 
 from __future__ import annotations

@@ -201,3 +201,17 @@ def test_posexplode_rows_keeps_null_elements_and_drops_empty_arrays(spark):
     df = spark.createDataFrame([(1, ["a", None]), (2, []), (3, None)], "k int, xs array<string>")
     got = sorted(tuple(r) for r in posexplode_rows(df, ["k"], "xs", "i", "x").collect())
     assert got == [(1, 0, "a"), (1, 1, None)]
+
+
+def test_sized_broadcast_only_below_the_bound(spark):
+    from pyspark.sql import functions as F
+
+    from quarry.operators.partitioning import sized_broadcast
+
+    small = spark.range(5).withColumnRenamed("id", "k")
+    big = spark.range(100).select((F.col("id") % 50).alias("k"))
+
+    def plan(side):
+        return big.join(side, "k", "left_semi")._jdf.queryExecution().optimizedPlan().toString()
+    assert "broadcast" in plan(sized_broadcast(small, max_rows=5)).lower()
+    assert "broadcast" not in plan(sized_broadcast(small, max_rows=4)).lower()
