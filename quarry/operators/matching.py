@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.operators.partitioning import sized_broadcast
+from quarry.sources.tables import write_scratch
 
 
 def normalise(c: Column) -> Column:
@@ -42,10 +43,14 @@ def entity_match(mentions: DataFrame, mention_col: str, dictionary: DataFrame, v
                  max_dist: int = 2) -> DataFrame:
     """V2: (mention, value, distance) for every distinct mention; value NULL when nothing is within max_dist."""
     d = max_dist
-    m = mentions.select(F.col(mention_col).alias("mention")).filter(F.col("mention").isNotNull()).distinct() \
-        .withColumn("mn", normalise(F.col("mention"))).withColumn("ml", F.length("mn"))
-    dic = dictionary.select(F.col(value_col).alias("value")).filter(F.col("value").isNotNull()).distinct() \
-        .withColumn("dn", normalise(F.col("value"))).withColumn("dl", F.length("dn"))
+    # The distinct mentions feed three branches and the distinct values two: each set is
+    # deduplicated (one shuffle) and written once, instead of once per branch.
+    m = write_scratch(
+        mentions.select(F.col(mention_col).alias("mention")).filter(F.col("mention").isNotNull()).distinct()
+        .withColumn("mn", normalise(F.col("mention"))).withColumn("ml", F.length("mn")), "entity-mentions")
+    dic = write_scratch(
+        dictionary.select(F.col(value_col).alias("value")).filter(F.col("value").isNotNull()).distinct()
+        .withColumn("dn", normalise(F.col("value"))).withColumn("dl", F.length("dn")), "entity-values")
 
     # Dictionary segments (only strings long enough to have d + 1 non-empty segments).
     seg = dic.filter(F.col("dl") > d).withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(d))))
