@@ -207,11 +207,15 @@ def known_makers(spark, extra: list[str] | None = None) -> DataFrame:
     return spark.createDataFrame([(n, n.lower()) for n in names], "maker string, maker_key string")
 
 
-def plausibility(catalog: DataFrame, makers: DataFrame, keys: list[str] = ("file_name",)) -> DataFrame:
-    """Extraction-quality rules, wide: known_maker, model_identifier, type_in_list, numbers_plausible (Q7)."""
+def plausibility(catalog: DataFrame, makers: DataFrame, keys: list[str] = ("file_name",),
+                 fmt: Scorer | None = None) -> DataFrame:
+    """Extraction-quality rules, wide: known_maker, model_identifier, type_in_list, numbers_plausible (Q7).
+
+    ``fmt`` reuses an already built ``format_validator`` scorer (its Columns are large to build).
+    """
     mk = sized_broadcast(makers.select(F.col("maker_key").alias("__mk")).distinct())
     d = catalog.join(mk, F.lower(F.col("manufacturer")) == F.col("__mk"), "left")
-    fmt = format_validator()
+    fmt = fmt or format_validator()
     keep = [c for c in catalog.columns] if list(keys) == ["*"] else list(keys)
     return d.select(
         *keep,

@@ -174,11 +174,12 @@ def grounding(spark, sf):
 
 def _scored(spark, sf):
     j = _joined(spark, sf)
-    rules = EV.plausibility(j, _makers(spark), keys=["*"])
+    fmt = EV.format_validator()
+    rules = EV.plausibility(j, _makers(spark), keys=["*"], fmt=fmt)
     rules = EV.grounding(rules, keys=["*"])
     quality = EV.extraction_quality(["known_maker", "model_identifier", "type_in_list", "numbers_plausible",
                                      "grounded"])
-    scorers = [EV.completeness(), EV.format_validator(), EV.english_compliance(), quality]
+    scorers = [EV.completeness(), fmt, EV.english_compliance(), quality]
     return rules, scorers
 
 
