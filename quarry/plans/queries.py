@@ -580,10 +580,10 @@ def stream_rewrite(spark, sf):
     def append_run():
         SP.run_stage(spark.readStream.schema(schema).parquet(folder), lambda d: d, f"{work}/append", f"{work}/_ck")
 
-    place_files(spark, docs.withColumn("version", F.lit(1)), "source", folder, f"{work}/tmp1")
+    place_files(spark, docs.withColumn("version", F.lit(1)), "source", folder, f"{work}/tmp1", id_col="doc_id")
     append_run()
     snap, state = sync_latest(spark, folder, schema, None, None, f"{work}/sync1")
-    place_files(spark, docs.withColumn("version", F.lit(2)), "source", folder, f"{work}/tmp2")
+    place_files(spark, docs.withColumn("version", F.lit(2)), "source", folder, f"{work}/tmp2", id_col="doc_id")
     append_run()
     snap, state = sync_latest(spark, folder, schema, snap, state, f"{work}/sync2")
     appended = spark.read.parquet(f"{work}/append").select("doc_id", F.col("version").alias("append_version"))

@@ -45,9 +45,20 @@ def sync_latest(spark: SparkSession, folder: str, schema: str, previous: str | N
     return f"{out}/snapshot", f"{out}/state"
 
 
-def place_files(spark: SparkSession, df: DataFrame, key: str, folder: str, tmp: str) -> None:
-    """Write ``df`` as one parquet file per ``key`` value at ``folder/<value>.parquet`` (replacing it)."""
-    df.withColumn("__part", F.col(key)).repartition("__part").write.partitionBy("__part").parquet(tmp)
+def place_files(spark: SparkSession, df: DataFrame, key: str, folder: str, tmp: str, id_col: str | None = None,
+                rows_per_file: int = 1_000_000) -> None:
+    """Write ``df`` as parquet files ``folder/<value>-<i>.parquet`` per ``key`` value, replacing them.
+
+    A value gets ceil(rows / rows_per_file) files, so a hot value (a third of all rows) is
+    written by many tasks, not one. Rows go to file pmod(hash(id_col), files): with a stable
+    id, a rewrite of the same rows lands on the same paths.
+    """
+    n = df.groupBy(key).agg(F.ceil(F.count(F.lit(1)) / F.lit(rows_per_file)).cast("int").alias("__files"))
+    ident = F.col(id_col) if id_col else F.col(key)
+    d = df.join(sized_broadcast(n), key)
+    d = d.withColumn("__part", F.concat(F.col(key).cast("string"), F.lit("-"),
+                                        F.pmod(F.xxhash64(ident), F.col("__files")).cast("string")))
+    d.drop("__files").repartition("__part").write.partitionBy("__part").parquet(tmp)
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     base = jvm.org.apache.hadoop.fs.Path(tmp)

@@ -215,3 +215,25 @@ def test_sized_broadcast_only_below_the_bound(spark):
         return big.join(side, "k", "left_semi")._jdf.queryExecution().optimizedPlan().toString()
     assert "broadcast" in plan(sized_broadcast(small, max_rows=5)).lower()
     assert "broadcast" not in plan(sized_broadcast(small, max_rows=4)).lower()
+
+
+def test_place_files_splits_hot_keys_and_rewrites_the_same_paths(spark):
+    from pyspark.sql import functions as F
+
+    from quarry.session import scratch_path
+    from quarry.streaming.replace import place_files
+
+    work = scratch_path(spark, "place-files")
+    df = spark.range(100).select(F.col("id").alias("doc_id"),
+                                 F.when(F.col("id") < 90, "hot").otherwise("cold").alias("source"))
+
+    def files(v):
+        place_files(spark, df.withColumn("v", F.lit(v)), "source", f"{work}/in", f"{work}/tmp{v}",
+                    id_col="doc_id", rows_per_file=30)
+        got = spark.read.parquet(f"{work}/in").select("doc_id", "v", F.col("_metadata.file_name").alias("f"))
+        return got, sorted(r.f for r in got.select("f").distinct().collect())
+
+    _, first = files(1)
+    got, second = files(2)
+    assert second == first and first == ["cold-0.parquet", "hot-0.parquet", "hot-1.parquet", "hot-2.parquet"]
+    assert got.count() == 100 and got.filter("v = 2").count() == 100
