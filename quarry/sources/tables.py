@@ -16,9 +16,10 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
 
 
-def ensure_namespace(spark: SparkSession, database: str) -> None:
-    """Idempotent namespace set-up (K5)."""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+def ensure_namespace(spark: SparkSession, database: str, location: str | None = None) -> None:
+    """Idempotent namespace set-up (K5); ``location`` places a new database's folder."""
+    where = f" LOCATION {_sql_str(location)}" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`{where}")
 
 
 def enforce_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -79,6 +80,7 @@ def write_scratch(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+SCRATCH_DATABASE = "quarry_scratch"
 _MATERIALIZED: dict[tuple[str, str, str], DataFrame] = {}
 
 
@@ -114,8 +116,9 @@ def materialize(df: DataFrame | Callable[[], DataFrame], key: str, scope: str =
             table = spark.read.parquet(path)
         else:
             n, cols = bucket_by
-            ensure_namespace(spark, "quarry")
-            name = f"quarry.{key}_{uuid.uuid4().hex[:12]}"
+            # Bucketed tables need a catalog entry; their database lives below the shared folder too.
+            ensure_namespace(spark, SCRATCH_DATABASE, scratch_path(spark, "database"))
+            name = f"{SCRATCH_DATABASE}.{key}_{uuid.uuid4().hex[:12]}"
             built.write.mode("overwrite").format("parquet").option("path", path) \
                 .bucketBy(n, *cols).saveAsTable(name)
             table = spark.table(name)

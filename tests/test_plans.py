@@ -52,7 +52,7 @@ def test_index_and_scoring_need_no_postings_shuffle(spark):
     assert "Exchange" not in build and "Bucketed: true" in build
     bm = spark.read.parquet(f"{SMALL}/benchmark.parquet")
     df = R.search(bm, "item_id", "text", post, ch, "doc_id", 3, dictionary=dictionary, stats=stats, prune=False)
-    path = _ancestors(df._jdf.queryExecution().executedPlan().toString(), "quarry.postings_")
+    path = _ancestors(df._jdf.queryExecution().executedPlan().toString(), "quarry_scratch.postings_")
     # Only the partial top-k per question crosses the shuffle; the scores are summed where the postings lie.
     assert path.count("Exchange") == 1
     assert path.index("Exchange") < path.index("WindowGroupLimit", path.index("Exchange"))
