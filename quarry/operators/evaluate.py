@@ -159,9 +159,14 @@ STOPWORDS: dict[str, list[str]] = {
 LANGS = ["en", "de", "fr", "es"]
 
 
-def stopword_hits(text: Column) -> dict[str, Column]:
-    """Per language: number of tokens of the text in that language's stop-word list."""
-    toks = terms(text)
+def stopword_hits(text: Column | None = None, tokens: Column | None = None) -> dict[str, Column]:
+    """Per language: number of tokens of the text in that language's stop-word list.
+
+    Pass ``tokens`` (a column already holding ``terms(text)``) to tokenize once: the
+    language guess repeats these counts inside conditional branches, where common
+    subexpression elimination does not reach, so an inline tokenizer would run many times.
+    """
+    toks = tokens if tokens is not None else terms(text)
     return {lang: F.size(F.filter(toks, _member_of(STOPWORDS[lang]))) for lang in LANGS}
 
 

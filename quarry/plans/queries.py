@@ -554,8 +554,10 @@ def stream_incremental(spark, sf):
 def english_rule(spark, sf):
     """Q6 on documents: stop-word hits per language, the guessed language, and agreement with ``lang``."""
     from quarry.operators.partitioning import spread
-    docs = spread(read_table(spark, sf, "documents").select("doc_id", "lang", "text"))
-    hits = EV.stopword_hits(F.col("text"))
+    from quarry.functions.text import terms
+    docs = spread(read_table(spark, sf, "documents").select("doc_id", "lang", "text")) \
+        .select("doc_id", "lang", terms(F.col("text")).alias("__t"))
+    hits = EV.stopword_hits(tokens=F.col("__t"))
     guess = EV.guess_language(hits)
     return docs.select("doc_id", "lang", *[h.cast("int").alias(f"{k}_hits") for k, h in hits.items()],
                        guess.alias("predicted_lang")) \
