@@ -66,3 +66,8 @@ def test_generated_arrays_are_built_once(spark, key):
     for line in plan.splitlines():
         if "Filter" in line.split("[")[0]:
             assert "split(" not in line and "regexp_extract_all(" not in line, (key, line[:200])
+
+
+def test_english_rule_tokenizes_each_document_once(spark):
+    plan = E.queries()["english_rule"](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("split(lower(text") == 1
