@@ -26,10 +26,25 @@ def section_text(text: Column, code: str = "en") -> Column:
     return F.when(text.rlike(_HAS_MARKER), body).otherwise(text)
 
 
+# The same matches with one group spanning "code][blanks]\nbody", so one regex pass yields both parts.
+_SECTION_WHOLE = r"(?s)(?:\A|\n)\[([A-Za-z]{2}(?:-[A-Za-z]{2})?\][ \t]*\n.*?)(?=\n" + MARKER_LINE + r"(?:\n|\z)|\z)"
+
+
+def section_structs(text: Column) -> Column:
+    """All tagged sections of a text, in order, as array<struct<lang, text>>, from one regex pass.
+
+    A code holds no ']' and no newline, so the code is what precedes the first ']' and the
+    body is what follows the first newline of each match.
+    """
+    found = F.regexp_extract_all(text, F.lit(_SECTION_WHOLE), 1)
+    return F.transform(found, lambda g: F.struct(F.substring_index(g, "]", 1).alias("lang"),
+                                                 F.substr(g, F.instr(g, "\n") + 1).alias("text")))
+
+
 def section_arrays(text: Column) -> tuple[Column, Column]:
     """(languages, bodies) of all tagged sections of a text, in order."""
-    pattern = _SECTION.replace("{code}", r"[A-Za-z]{2}(?:-[A-Za-z]{2})?")
-    return (F.regexp_extract_all(text, F.lit(pattern), 1), F.regexp_extract_all(text, F.lit(pattern), 2))
+    s = section_structs(text)
+    return F.transform(s, lambda e: e["lang"]), F.transform(s, lambda e: e["text"])
 
 
 # "Label: value" lines and two-cell table rows "| Label | value |".

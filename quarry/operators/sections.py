@@ -6,12 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions.arrays import posexplode_rows
-from quarry.functions.text import section_arrays
+from quarry.functions.text import section_structs
 
 
 def sections(df: DataFrame, keys: list[str], text_col: str) -> DataFrame:
     """One row per tagged section: keys + (section_no, lang, text). Narrow: no shuffle."""
-    langs, bodies = section_arrays(F.col(text_col))
-    z = df.select(*keys, F.arrays_zip(langs.alias("lang"), bodies.alias("text")).alias("__s"))
+    z = df.select(*keys, section_structs(F.col(text_col)).alias("__s"))
     return posexplode_rows(z, list(keys), "__s", "section_no", "__e").select(
         *keys, "section_no", F.lower(F.col("__e.lang")).alias("lang"), F.col("__e.text").alias("text"))
