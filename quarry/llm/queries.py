@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import line_dedup, near_dedup, packing, quality, secret_scan, token_files
+from quarry.llm import language_crf, license_scan, line_dedup, near_dedup, packing, pieces, quality, secret_scan, token_files, topk
 from quarry.llm.sql import SQL
 from quarry.session import scratch_path
 from quarry.sources.tables import read_table
@@ -22,6 +22,22 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def piece_model() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
+    path = F.concat_ws("/", F.coalesce("source", F.lit("-")), F.coalesce("lang", F.lit("-")), F.col("doc_id").cast("string"))
+    return license_scan.scan_licences(docs, "doc_id", path, is_licence_file=license_scan.first_line_notice(F.col("text")))
+
+
+def op3_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_path(spark, "token-files")
     # The action that writes the files; its result is one row per file.
@@ -56,6 +72,26 @@ def op7_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op8_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids by merges (the piece file is of that type) and the Viterbi segmentation over its scores, both decoded again."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    path = piece_model()
+    coded = docs.withColumn("ids", pieces.encode_pieces("text", path, "merges")).withColumn("best", pieces.encode_pieces("text", path, "viterbi"))
+    plain = F.translate("text", pieces.MARK, " ")
+    return coded.select(
+        "doc_id", F.expr("length(ids) div 4").alias("n_ids"), F.crc32("ids").alias("ids_crc32"),
+        (pieces.decode_pieces("ids", path) == plain).alias("round_trip"),
+        F.expr("length(best) div 4").alias("n_viterbi"), F.crc32("best").alias("viterbi_crc32"),
+        (pieces.decode_pieces("best", path) == plain).alias("viterbi_round_trip"))
+
+
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
+    model = language_crf.fit(language_crf.sample(docs, ~held_out))
+    return language_crf.predict(docs, model).select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     out = line_dedup.dedup_lines(docs, n_lines_col="n_lines", n_dropped_col="n_dropped")
@@ -64,10 +100,14 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_packing": op1_packing,
+    "op2_license_scan": op2_license_scan,
+    "op3_exact_topk": op3_exact_topk,
     "op4_token_files": op4_token_files,
     "op5_secret_scan": op5_secret_scan,
     "op6_quality_rules": op6_quality_rules,
     "op7_minhash_dedup": op7_minhash_dedup,
+    "op8_pieces": op8_pieces,
+    "op9_language_id": op9_language_id,
     "op10_line_dedup": op10_line_dedup,
 }
 
