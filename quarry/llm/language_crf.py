@@ -159,7 +159,7 @@ def forward_backward(scores: np.ndarray, transitions: np.ndarray, start: np.ndar
     return marginals, expected
 
 
-def fit(spans: list[tuple[str, str]], lexicon_words: int = 20_000, rounds: int = 60, rate: float = 0.1, decay: float = 1e-4,
+def fit(spans: list[tuple[str, str]], lexicon_words: int = 20_000, rounds: int = 40, rate: float = 0.15, decay: float = 1e-4,
         seed: int = 7) -> Model:
     """Weights from (language, text) stretches, by Adam on the likelihood of spliced chains."""
     languages = tuple(sorted({lang for lang, _ in spans}))
@@ -212,7 +212,7 @@ def fit(spans: list[tuple[str, str]], lexicon_words: int = 20_000, rounds: int =
 
 
 def sample(docs: DataFrame, trainable: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-           per_language: int = 300, spans: int = 2, span_chars: int = 600) -> list[tuple[str, str]]:
+           per_language: int = 200, spans: int = 2, span_chars: int = 400) -> list[tuple[str, str]]:
     """At most ``per_language`` x ``spans`` stretches of text per language, from anywhere in whole texts."""
     rows = docs.select(col(id_col).cast("string").alias("id"), col(text_col).alias("text"), col(lang_col).alias("lang"), trainable.alias("t")) \
         .filter("t AND id IS NOT NULL AND lang IS NOT NULL AND text IS NOT NULL").drop("t")

@@ -37,8 +37,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.llm.shingles import mix
-from quarry.llm.tokens import slices
+from quarry.llm.tokens import SLICE, slices
 
 MARK = "▁"
 WORD = re.compile(f"\n|{MARK}+[^{MARK}\n]*|[^{MARK}\n]+")
@@ -46,6 +45,7 @@ LONG = 64
 CACHE = 300_000
 GROUP = 20_000
 BASE = np.uint64(0x9E3779B97F4A7C15)
+SPREAD = np.uint64(0xD6E8FEB86659FD93)
 NONE = -np.inf
 UNSEEN = -1e12  # a character without a piece; below any sum of scores
 
@@ -70,7 +70,10 @@ class PieceFile:
         self.keys = hashes[order]
         if len(np.unique(self.keys)) != len(self.keys):
             raise ValueError("two pieces share a hash")
-        self.key_score = np.array([self.scores[p] for p in self.ids])[order]
+        self.score_at = np.append(np.array([self.scores[p] for p in self.ids])[order], NONE)  # place -1 is the last
+        self.id_at = np.append(np.array(list(self.ids.values()))[order], -1)
+        self.sieve = np.zeros(1 << 20, dtype=bool)
+        self.sieve[(self.keys * SPREAD) >> np.uint64(44)] = True
         self.bytes_of = [b""] * n
         for b, i in self.byte_ids.items():
             self.bytes_of[i] = bytes([b])
@@ -83,15 +86,20 @@ class PieceFile:
         total = 0
         for c in piece:
             total = (total * int(BASE) + ord(c) + 1) & (2**64 - 1)
-        return int(mix(np.array([total], dtype=np.uint64))[0])
+        return total
+
+    def probe(self, h: np.ndarray) -> np.ndarray:
+        """Places of substring hashes among the sorted piece keys, -1 where there is no such piece."""
+        out = np.full(len(h), -1, dtype=np.int32)
+        some = np.flatnonzero(self.sieve[(h * SPREAD) >> np.uint64(44)])
+        at = np.minimum(np.searchsorted(self.keys, h[some]), len(self.keys) - 1)
+        hit = self.keys[at] == h[some]
+        out[some[hit]] = at[hit]
+        return out
 
-    def probe(self, prefix: np.ndarray, start: np.ndarray, end: np.ndarray, power: np.ndarray) -> np.ndarray:
-        """Scores of the substrings [start, end) of each row, NONE where there is no such piece."""
-        row = np.arange(len(prefix))
-        size = end - start
-        h = mix(prefix[row, end] - prefix[row, start] * power[size])
-        at = np.minimum(np.searchsorted(self.keys, h), len(self.keys) - 1)
-        return np.where((self.keys[at] == h) & (size <= self.longest), self.key_score[at], NONE)
+    def gains(self, h: np.ndarray) -> np.ndarray:
+        """Scores of substring hashes, NONE where there is no such piece."""
+        return self.score_at[self.probe(h)]
 
     @staticmethod
     def _prefixes(words: list[str], length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -102,48 +110,57 @@ class PieceFile:
         power = np.cumprod(np.concatenate(([np.uint64(1)], np.full(length, BASE, dtype=np.uint64))), dtype=np.uint64)
         return prefix, power
 
-    def viterbi(self, words: list[str], length: int) -> np.ndarray:
-        """(words, length + 1) start of the best last piece before each position."""
-        prefix, power = self._prefixes(words, length)
-        n = len(words)
-        best = np.full((n, length + 1), NONE)
-        best[:, 0] = 0.0
-        back = np.zeros((n, length + 1), dtype=np.int32)
+    def viterbi(self, prefix: np.ndarray, power: np.ndarray) -> np.ndarray:
+        """(words, length) end of the piece that starts at each position on the best path, 0 where none starts."""
+        n, length = len(prefix), prefix.shape[1] - 1
+        best = np.full((length + 1, n), NONE)
+        best[0] = 0.0
+        back = np.zeros((length + 1, n), dtype=np.int32)
+        columns = np.ascontiguousarray(prefix.T)
         for end in range(1, length + 1):
             for start in range(max(0, end - self.longest), end):
-                score = self.probe(prefix, np.full(n, start), np.full(n, end), power)
+                score = self.gains(columns[end] - columns[start] * power[end - start])
                 if end - start == 1:
-                    score = np.where(score == NONE, UNSEEN, score)
-                total = best[:, start] + score
-                better = total > best[:, end]
-                best[better, end] = total[better]
-                back[better, end] = start
-        return back
-
-    def merges(self, words: list[str], length: int) -> np.ndarray:
-        """(words, length) end of the piece that starts at each position, 0 where none starts."""
-        prefix, power = self._prefixes(words, length)
-        n = len(words)
+                    score[score == NONE] = UNSEEN
+                total = best[start] + score
+                better = total > best[end]
+                best[end][better] = total[better]
+                back[end][better] = start
+        ends = np.zeros((n, length), dtype=np.int64)
+        live, at = np.arange(n), np.full(n, length)
+        while len(live):
+            start = back[at, live]
+            ends[live, start] = at
+            live, at = live[start > 0], start[start > 0]
+        return ends
+
+    def merges(self, prefix: np.ndarray, power: np.ndarray) -> np.ndarray:
+        """(words, length) end of the piece that starts at each position after all merges, 0 where none starts."""
+        n, length = len(prefix), prefix.shape[1] - 1
         ends = np.tile(np.arange(1, length + 1), (n, 1))
         before = np.tile(np.arange(-1, length - 1), (n, 1))
         gain = np.full((n, length), NONE)
         for k in range(length - 1):
-            gain[:, k] = self.probe(prefix, np.full(n, k), np.full(n, k + 2), power)
+            gain[:, k] = self.gains(prefix[:, k + 2] - prefix[:, k] * power[2])
         live = np.arange(n)
         while len(live):
             at = gain[live].argmax(axis=1)
-            live, at = live[(ok := gain[live, at] > NONE)], at[ok]
+            ok = gain[live, at] > NONE
+            live, at = live[ok], at[ok]
             middle = ends[live, at]
             end = ends[live, middle]
             ends[live, at], ends[live, middle] = end, 0
             gain[live, middle] = NONE
             inner = end < length
             before[live[inner], end[inner]] = at[inner]
-            for rows, left, right in ((live, at, end), (live[at > 0], before[live[at > 0], at[at > 0]], at[at > 0])):
+            inside = at > 0
+            for rows, left, right in ((live, at, end), (live[inside], before[live[inside], at[inside]], at[inside])):
                 # the piece at ``left`` may merge with the one at ``right``, if there is one
                 value = np.full(len(rows), NONE)
-                has = right < length
-                value[has] = self.probe(prefix[rows[has]], left[has], ends[rows[has], right[has]], power)
+                has = np.flatnonzero(right < length)
+                row, lo = rows[has], left[has]
+                stop = ends[row, right[has]]
+                value[has] = self.gains(prefix[row, stop] - prefix[row, lo] * power[stop - lo])
                 gain[rows, left] = value
         return ends
 
@@ -192,48 +209,57 @@ class PieceFile:
                 out.append(self.unknown)
         return out.tobytes()
 
-    def segment(self, words: list[str], how: str) -> list[list[str]]:
-        """Pieces of each word, in order; words of equal length advance together."""
-        out: list[list[str]] = [[]] * len(words)
-        groups: dict[int, list[int]] = {}
-        for k, w in enumerate(words):
-            groups.setdefault(len(w), []).append(k)
+    def words(self, words: list[str], how: str) -> dict[str, bytes]:
+        """Ids of distinct words; words of equal length advance together."""
+        out: dict[str, bytes] = {}
+        groups: dict[int, list[str]] = {}
+        for w in words:
+            groups.setdefault(len(w), []).append(w)
         for length, group in groups.items():
             if length > LONG:
-                for k in group:
-                    out[k] = self._long(words[k], how)
+                out.update((w, self._ids(self._long(w, how))) for w in group)
                 continue
             for lo in range(0, len(group), GROUP):
                 part = group[lo:lo + GROUP]
-                table = (self.viterbi if how == "viterbi" else self.merges)([words[k] for k in part], length).tolist()
-                for k, row in zip(part, table, strict=True):
-                    word, pieces = words[k], []
-                    if how == "viterbi":
-                        end = length
-                        while end:
-                            pieces.append(word[row[end]:end])
-                            end = row[end]
-                        pieces.reverse()
-                    else:
-                        at = 0
-                        while at < length:
-                            pieces.append(word[at:row[at]])
-                            at = row[at]
-                    out[k] = pieces
+                prefix, power = self._prefixes(part, length)
+                ends = (self.viterbi if how == "viterbi" else self.merges)(prefix, power)
+                row, start = np.nonzero(ends)
+                stop = ends[row, start]
+                ids = self.id_at[self.probe(prefix[row, stop] - prefix[row, start] * power[stop - start])]
+                at = (np.searchsorted(row, np.arange(len(part) + 1)) * 4).tolist()
+                raw = ids.astype("<u4").tobytes()
+                out.update((w, raw[a:b]) for w, a, b in zip(part, at[:-1], at[1:], strict=True))
+                for k in np.unique(row[ids < 0]).tolist():  # words with a character that has no piece
+                    mine = slice(at[k] // 4, at[k + 1] // 4)
+                    out[part[k]] = self._ids([part[k][a:b] for a, b in zip(start[mine].tolist(), stop[mine].tolist(), strict=True)])
         return out
 
     def encode(self, texts: list[str], how: str) -> Iterator[bytes]:
         """Ids of each text as little-endian unsigned 32-bit bytes."""
+        group, held = [], 0
+        for text in texts:
+            if len(text) > SLICE:  # a long text is worked through in stretches
+                yield from self._flush(group, how)
+                group, held = [], 0
+                yield b"".join(x for part in slices(MARK + text) for x in self._flush([part], how))
+                continue
+            group.append(MARK + text if text else "")
+            held += len(text)
+            if held > SLICE:
+                yield from self._flush(group, how)
+                group, held = [], 0
+        yield from self._flush(group, how)
+
+    def _flush(self, texts: list[str], how: str) -> list[bytes]:
         cache = self.caches.setdefault(how, {})
-        for lo in range(0, len(texts), 256):
-            part = [[WORD.findall(s.replace(" ", MARK)) for s in slices(MARK + t)] if t else [] for t in texts[lo:lo + 256]]
-            need = {w for text in part for words in text for w in words}
-            if len(cache) + len(need) > CACHE:
-                cache.clear()
-            missing = list(need - cache.keys())
-            cache.update(zip(missing, map(self._ids, self.segment(missing, how)), strict=True))
-            for text in part:
-                yield b"".join(cache[w] for words in text for w in words)
+        found = [WORD.findall(t.replace(" ", MARK)) for t in texts]
+        need = set().union(*found)
+        missing = [w for w in need if w not in cache]
+        if len(cache) + len(missing) > CACHE:
+            cache.clear()
+            missing = list(need)
+        cache.update(self.words(missing, how))
+        return [b"".join(map(cache.__getitem__, words)) for words in found]
 
     def decode(self, ids: bytes) -> str:
         """The text of an id string."""

@@ -3,9 +3,9 @@
 Every rule has a metric (a Column over the words, the text and the word count)
 and a test on it. On a bounded sample the cost of each metric and the share of
 rows its test rejects are measured; rules then run in descending order of
-rejection per second. Each rule is one projection whose metric stands inside a
-CASE on "no earlier rule has rejected the row", so a rejected row costs nothing
-further. The order never changes the verdict, only the work.
+rejection per second, as the branches of one CASE, so a row costs nothing
+further once a rule has rejected it. The order never changes the verdict, only
+the work.
 
 Defined results: null or empty text has no words (all counts 0) and fails the
 word-count rule; repeated rows are judged one by one; extra columns are kept
@@ -93,21 +93,39 @@ RULES = (
 )
 
 
-def _prepared(docs: DataFrame, text_col: str) -> tuple[DataFrame, dict[str, str]]:
-    names = dict(zip(("text", "words", "hashes", "alive"),
-                     fresh(docs, "q_text", "q_words", "q_hashes", "q_alive"), strict=True))
-    out = docs.withColumn(names["text"], F.coalesce(col(text_col), F.lit("")))
-    out = out.withColumn(names["words"], words(col(names["text"])))
-    return out.withColumn(names["hashes"], F.transform(col(names["words"]), lambda w: F.xxhash64(w))), names
+def _prepared(text: Column) -> Column:
+    """(text, hashes): the text without null and the hashes of its words."""
+    return F.struct(F.coalesce(text, F.lit("")).alias("text"), F.transform(words(text), lambda w: F.xxhash64(w)).alias("hashes"))
 
 
-def order_rules(docs: DataFrame, rules=RULES, text_col: str = "text", sample_rows: int = 2000) -> list[Rule]:
+def judgement(text: Column, rules, report=()) -> Column:
+    """Struct of the reported metrics and ``kept``, as one expression.
+
+    The rules are the branches of one CASE, so the first that rejects ends the
+    work on a row; a metric in ``report`` is computed for every row. Being one
+    expression, it moves as a whole when a filter on it is pushed down.
+    """
+    def verdict(s: Column, m: Column) -> Column:
+        size, chars, out = F.size(s["hashes"]), F.length(s["text"]), F
+        for rule in rules:
+            value = m[rule.name] if rule.name in report else rule.metric(s["text"], s["hashes"])
+            out = out.when(~F.coalesce(rule.keep(value, size, chars), F.lit(False)), F.lit(False))
+        return out.otherwise(F.lit(True))
+
+    def body(s: Column) -> Column:
+        metrics = F.struct(F.lit(0).alias("none"), *[r.metric(s["text"], s["hashes"]).cast("long").alias(r.name) for r in rules if r.name in report])
+        return let(metrics, lambda m: F.struct(*[m[r.name].alias(r.name) for r in rules if r.name in report], verdict(s, m).alias("kept")))
+
+    return let(_prepared(text), body)
+
+
+def order_rules(docs: DataFrame, rules=RULES, text_col: str = "text", sample_rows: int = 500) -> list[Rule]:
     """Rules by measured rejection per second on at most ``sample_rows`` rows."""
     sample = write_scratch(docs.select(col(text_col).alias("text")).limit(sample_rows), "quality-sample")
     if is_empty(sample):
         return list(rules)
-    base, names = _prepared(sample, "text")
-    text, hashes = col(names["text"]), col(names["hashes"])
+    base = sample.select(_prepared(F.col("text")).alias("s")).select("s.text", "s.hashes")
+    text, hashes = F.col("text"), F.col("hashes")
 
     def timed(rule: Rule | None) -> tuple[float, float]:
         metric = rule.metric(text, hashes) if rule else F.size(hashes)
@@ -126,7 +144,7 @@ def order_rules(docs: DataFrame, rules=RULES, text_col: str = "text", sample_row
     return sorted(rules, key=lambda r: -score[r.name])
 
 
-def quality_cascade(docs: DataFrame, text_col: str = "text", rules=RULES, sample_rows: int = 2000,
+def quality_cascade(docs: DataFrame, text_col: str = "text", rules=RULES, sample_rows: int = 500,
                     report: dict[str, str] | None = None, kept_col: str = "kept") -> DataFrame:
     """``docs`` plus ``kept_col`` and one column per reported metric.
 
@@ -135,21 +153,14 @@ def quality_cascade(docs: DataFrame, text_col: str = "text", rules=RULES, sample
     """
     report = report or {}
     ordered = order_rules(docs, rules, text_col, sample_rows)
-    out, names = _prepared(docs, text_col)
-    text, hashes, alive = col(names["text"]), col(names["hashes"]), col(names["alive"])
-    out = out.withColumn(names["alive"], F.lit(True))
-    metrics = dict(zip([r.name for r in ordered], fresh(out, *[f"q_{r.name}" for r in ordered]), strict=True))
-    for rule in ordered:
-        value = rule.metric(text, hashes)
-        m = col(metrics[rule.name])
-        out = out.withColumn(metrics[rule.name], value if rule.name in report else F.when(alive, value))
-        out = out.withColumn(names["alive"], F.when(alive, rule.keep(m, F.size(hashes), F.length(text))).otherwise(F.lit(False)))
-    extra = [col(metrics[k]).cast("long").alias(v) for k, v in report.items()]
+    judged = fresh(docs, "q_judged")[0]
+    out = docs.withColumn(judged, judgement(col(text_col), ordered, report))
     drop = {v.lower() for v in [*report.values(), kept_col]}
-    return out.select(*[col(c) for c in docs.columns if c.lower() not in drop], *extra, alive.alias(kept_col))
+    return out.select(*[col(c) for c in docs.columns if c.lower() not in drop], *[col(judged)[k].alias(v) for k, v in report.items()],
+                      col(judged)["kept"].alias(kept_col))
 
 
 def keep_good(docs: DataFrame, text_col: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` that the cascade keeps, with their own columns."""
-    kept = fresh(docs, "q_kept")[0]
-    return quality_cascade(docs, text_col, kept_col=kept, **options).filter(col(kept)).select(*[col(c) for c in docs.columns])
+    ordered = order_rules(docs, options.pop("rules", RULES), text_col, **options)
+    return docs.filter(judgement(col(text_col), ordered)["kept"])

@@ -11,8 +11,12 @@ import os
 from array import array
 from collections.abc import Iterator
 
-CACHE = 300_000
+import numpy as np
+
+CACHE = 500_000
+MARKS = (".", ",")
 SLICE = 1_000_000
+GROUP = 1000
 _ENCODERS: dict[tuple[str, bool], Encoder] = {}
 
 
@@ -23,26 +27,43 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.drops_white_space = drops_white_space
-        self.cache: dict[str, bytes] = {"": b""}
+        self.cache: dict[str, bytes] = {}
+        vocab = self.tokenizer.get_vocab()
+        self.ends_word = np.zeros(max(vocab.values()) + 1, dtype=bool)
+        self.ends_word[[i for piece, i in vocab.items() if piece.endswith("</w>")]] = True
+        # Only where the tokenizer folds case itself.
+        self.folds = self._batch(["A"]) == self._batch(["a"])
 
     def _batch(self, texts: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, missing: set[str]) -> None:
-        if len(self.cache) + len(missing) > CACHE:
-            self.cache = {"": b""}
-        parts = {}
-        for chunk in missing:
-            # Letters followed by one full stop or comma are two pre-tokens; Latin letters fold one by one.
-            body, mark = (chunk[:-1], chunk[-1]) if chunk[-1] in ".," and chunk[:-1].isalpha() else (chunk, "")
-            if body.isalpha() and max(body) < "İ":
-                body = body.lower()
-            parts[chunk] = (body, mark)
-        need = {x for pair in parts.values() for x in pair} - self.cache.keys()
-        order = list(need)
-        self.cache.update(zip(order, self._batch(order), strict=True))
-        for chunk, (body, mark) in parts.items():
-            self.cache[chunk] = self.cache[body] + self.cache[mark] if mark else self.cache[body]
+    def _words(self, words: list[str]) -> list[bytes]:
+        """Ids of single words of letters: joined by blanks, and cut after each id that ends a word."""
+        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, dtype="<u4")
+        ends = np.flatnonzero(self.ends_word[ids]) + 1
+        if len(ends) != len(words) or ends[-1] != len(ids):
+            return self._batch(words)  # a word that falls into several pre-tokens
+        raw, at = ids.tobytes(), (ends * 4).tolist()
+        return [raw[lo:hi] for lo, hi in zip([0, *at[:-1]], at, strict=True)]
+
+    def _learn(self, chunks: set[str]) -> None:
+        """Put the ids of ``chunks`` into the cache."""
+        cache = self.cache
+        missing = [c for c in chunks if c not in cache]
+        if len(cache) + 2 * len(missing) > CACHE:
+            cache.clear()
+            missing = list(chunks)
+        # Letters followed by one full stop or comma are two pre-tokens.
+        heads = [c[:-1] if c[-1:] in MARKS and c[:-1].isalpha() else c for c in missing]
+        need = [h for h in {*heads, *MARKS} if h not in cache]
+        plain, other = [h for h in need if h.isalpha()], [h for h in need if not h.isalpha()]
+        for lo in range(0, len(plain), 1000):
+            part = plain[lo:lo + 1000]
+            cache.update(zip(part, self._words(part), strict=True))
+        cache.update(zip(other, self._batch(other), strict=True))
+        for chunk, head in zip(missing, heads, strict=True):
+            if chunk is not head:
+                cache[chunk] = cache[head] + cache[chunk[-1]]
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         """One byte string of ids for each text, in order."""
@@ -50,17 +71,34 @@ class Encoder:
             for text in texts:
                 yield self._batch([text])[0]
             return
-        for text in texts:
-            out = []
-            for piece in slices(text):
-                chunks = piece.replace("\n", " ").split(" ")
-                missing = set(chunks) - self.cache.keys()
-                if missing:
-                    self._learn(missing)
-                    if not self.cache.keys() >= set(chunks):  # the cache was emptied
-                        self._learn(set(chunks) - self.cache.keys())
-                out.append(b"".join(map(self.cache.__getitem__, chunks)))
-            yield out[0] if len(out) == 1 else b"".join(out)
+        for lo in range(0, len(texts), GROUP):
+            group, held = [], 0
+            for text in texts[lo:lo + GROUP]:
+                if len(text) > SLICE:  # a long text is worked through in stretches
+                    yield from self._flush(group)
+                    group, held = [], 0
+                    yield b"".join(x for part in slices(text) for x in self._flush([part]))
+                    continue
+                group.append(text)
+                held += len(text)
+                if held > SLICE:
+                    yield from self._flush(group)
+                    group, held = [], 0
+            yield from self._flush(group)
+
+    def _flush(self, texts: list[str]) -> list[bytes]:
+        chunks = [(_folded(t) if self.folds else t).replace("\n", " ").split(" ") for t in texts]
+        self._learn(set().union(*chunks))
+        return [b"".join(map(self.cache.__getitem__, c)) for c in chunks]
+
+
+def _folded(text: str) -> str:
+    """``text`` in lower case if that is a letter-by-letter matter, as the tokenizer folds it."""
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return text
+    return text.lower()
 
 
 def slices(text: str, size: int = SLICE) -> Iterator[str]:
