@@ -12,12 +12,14 @@
 4. A bucket whose members lie in one component is settled. In the others, the
    members outside the bucket's largest component are paired with all members
    of other components and confirmed, so no pair that shares a bucket is left
-   untested unless it is connected already. While that would be many pairs,
-   further rounds pair them with another member of the largest component only;
-   they end when a round finds no link.
-
-A pair at the threshold of 0.85 shares a bucket of 28 bands of 7 values but for
-2 in 100 000. Defined results: null or blank text has an empty set, is linked
+   untested unless it is connected already. A sketch of each set (one bit per
+   cell of its hashes) bounds the shared part from above, so the join itself
+   leaves out pairs that cannot reach the threshold. While many pairs would
+   have to be compared, further rounds take another member of the largest
+   component only; they end when a round finds no link.
+
+A pair at the threshold of 0.85 shares one of 52 bands of 10 values but for 1 in
+100 000, and one of similarity 0.65 shares a given band in 1 of 75 cases. Defined results: null or blank text has an empty set, is linked
 with nothing and is its own component; texts with fewer words than a shingle
 have their whole sequence as one shingle; a null id takes the component of its
 class (null if it has none) and is kept only then; rows that repeat an id are
@@ -29,15 +31,16 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.llm.common import col, fresh, write_scratch
 from quarry.llm.components import connected_components
-from quarry.llm.shingles import MinMax, digest, shingle_sets
+from quarry.llm.shingles import MinMax, cells, digest, shingle_sets
 
 SPREAD = 4
+CELLS = 8  # sketch size in 64-bit words
 
 
 def _versions(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -64,13 +67,27 @@ def signatures(rows: DataFrame, size: int, perms: int, band_rows: int) -> DataFr
 
 
 def full_sets(rows: DataFrame, size: int) -> DataFrame:
-    """(id, grams) per row of (id, version, text)."""
+    """(id, grams, sketch) per row of (id, version, text)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [g.view("int64") for g in shingle_sets(batch.column(2), size)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["id", "grams"])
+            sets = list(shingle_sets(batch.column(2), size))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array([g.view("int64") for g in sets], pa.list_(pa.int64())),
+                 pa.array([cells(g, CELLS) for g in sets], pa.list_(pa.int64()))], names=["id", "grams", "sketch"])
+
+    longs = T.ArrayType(T.LongType())
+    return rows.mapInArrow(run, T.StructType([rows.schema.fields[0], T.StructField("grams", longs), T.StructField("sketch", longs)]))
+
 
-    return rows.mapInArrow(run, T.StructType([rows.schema.fields[0], T.StructField("grams", T.ArrayType(T.LongType()))]))
+def may_link(n: Column, m: Column, a: list[Column], b: list[Column], percent: int) -> Column:
+    """False only if sets of n and m grams with sketches a and b cannot share ``percent`` of their union.
+
+    A cell that only one set fills holds at least one gram that the other lacks.
+    """
+    only_a = sum((F.bit_count(x.bitwiseAND(F.bitwise_not(y))) for x, y in zip(a, b, strict=True)), F.lit(0))
+    only_b = sum((F.bit_count(y.bitwiseAND(F.bitwise_not(x))) for x, y in zip(a, b, strict=True)), F.lit(0))
+    most = F.least(n - only_a, m - only_b)
+    return 100 * most >= percent * (n + m - most)
 
 
 def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -92,7 +109,7 @@ def _open_buckets(members: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 85, size: int = 5,
-                    perms: int = 98, band_rows: int = 7) -> DataFrame:
+                    perms: int = 260, band_rows: int = 10) -> DataFrame:
     """(id, version, n_shingles, component_id, kept) per row; version is xxhash64 of the text."""
     rows = _versions(docs, id_col, text_col)
     sig = write_scratch(signatures(rows, size, perms, band_rows), "signatures")
@@ -109,24 +126,27 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     links = write_scratch(confirm(pairs, sets, percent), "links")
     labels = connected_components(links)
 
+    bits = [f"s{k}" for k in range(CELLS)]
+    sketches = sets.select("id", *[F.col("sketch")[k].alias(c) for k, c in enumerate(bits)])
+    size_of_all = members.count()
     tested, turn = pairs, 0
     while True:
         turn += 1
         left = write_scratch(_open_buckets(members.select("key", "id", "n"), labels), "open")
-        outer = left.filter("comp <> main").select("key", F.col("id").alias("x"), F.col("n").alias("nx"), F.col("comp").alias("cx"))
         bound = left.agg(F.count("*"), F.sum(F.when(F.col("comp") != F.col("main"), F.col("total")).otherwise(0))).collect()[0]
         if not bound[0]:
             break
-        everything = bound[1] <= SPREAD * members.count() or turn > 1 and not found
-        if everything:
-            inner = left
-        else:
+        everything = bound[1] <= SPREAD * size_of_all or turn > 1 and not found
+        left = left.join(sketches, "id")
+        outer = left.filter("comp <> main").select("key", F.col("id").alias("x"), F.col("n").alias("nx"), F.col("comp").alias("cx"),
+                                                   *[F.col(c).alias(f"x{c}") for c in bits])
+        inner = left.select("key", "id", "n", "comp", "main", *bits)
+        if not everything:
             order = F.xxhash64(F.lit(turn), "id")
-            one = left.filter("comp = main").groupBy("key").agg(F.min(F.struct(order.alias("o"), "id", "n")).alias("m"))
-            inner = write_scratch(one.join(left.select("key", "main").distinct(), "key")
-                                  .select("key", "m.id", "m.n", F.col("main").alias("comp"), "main"), "inner")
-        near = (100 * F.least("n", "nx") >= percent * F.greatest("n", "nx"))
-        new = outer.join(inner.select("key", "id", "n", "comp", "main"), "key") \
+            one = inner.filter("comp = main").groupBy("key").agg(F.min(F.struct(order.alias("o"), "id", "n", "comp", "main", *bits)).alias("m"))
+            inner = write_scratch(one.select("key", "m.*").drop("o"), "inner")
+        near = may_link(F.col("n"), F.col("nx"), [F.col(c) for c in bits], [F.col(f"x{c}") for c in bits], percent)
+        new = outer.join(inner, "key") \
             .filter((F.col("comp") != F.col("cx")) & ((F.col("comp") == F.col("main")) | (F.col("x") < F.col("id"))) & near) \
             .groupBy(F.least("x", "id").alias("a"), F.greatest("x", "id").alias("b")).agg(F.lit(1).alias("one")).select("a", "b")
         new = write_scratch(new.join(tested, ["a", "b"], "left_anti"), "pairs")

@@ -96,6 +96,13 @@ def digest(grams: np.ndarray) -> bytes:
     return blake2b(grams.tobytes(), digest_size=16).digest()
 
 
+def cells(grams: np.ndarray, size: int) -> np.ndarray:
+    """A sketch of ``size`` 64-bit words with one bit for each cell that holds a gram."""
+    filled = np.zeros(size * 64, dtype=bool)
+    filled[(grams & np.uint64(0xFFFFFFFF)).astype(np.int64) % (size * 64)] = True
+    return np.packbits(filled).view(np.int64)
+
+
 class MinMax:
     """Signatures of ``perms`` permutations that keep both the minimum and the maximum of each.
 
