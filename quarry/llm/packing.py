@@ -42,18 +42,20 @@ def candidates(ends: np.ndarray, soft: np.ndarray, length: int, sentence_cost: f
                hard_cost: float) -> tuple[np.ndarray, np.ndarray]:
     """Positions where a cut may lie, ascending from 0, and the cost of each."""
     total = int(ends[-1])
-    pos = np.union1d(np.concatenate(([0], ends)), soft[soft < total])
-    pos = np.union1d(pos, np.arange(max(0, total - length + 1), total))
-    new = pos
+    kind = np.zeros(total + 1, dtype=np.uint8)  # 1 any position, 2 sentence end, 3 text end
+    kind[max(0, total - length + 1):total] = 1
+    kind[soft[soft < total]] = 2
+    kind[ends] = 3
+    kind[0] = 3
+    new = pos = np.flatnonzero(kind)
     while len(new):  # a window without a cut close to its end may be cut exactly there
         reach = new + length
         last = pos[np.searchsorted(pos, reach, "right") - 1]
         new = np.unique(reach[(reach < total) & (reach - last >= NEAR)])
-        pos = np.union1d(pos, new)
-    cost = np.full(len(pos), float(hard_cost))
-    cost[np.isin(pos, soft, assume_unique=False)] = sentence_cost
-    cost[np.isin(pos, ends)] = 0.0
-    return pos, cost
+        if len(new):
+            kind[new] = 1
+            pos = np.flatnonzero(kind)
+    return pos, np.array([0.0, hard_cost, sentence_cost, 0.0])[kind[pos]]
 
 
 def best_cuts(pos: np.ndarray, cost: np.ndarray, length: int, sequence_cost: float = 1.0) -> np.ndarray:

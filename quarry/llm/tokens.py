@@ -14,7 +14,7 @@ from collections.abc import Iterator
 import numpy as np
 
 CACHE = 500_000
-MARKS = (".", ",")
+MARKS = ".,;:!?%$&*#|<>"
 SLICE = 1_000_000
 GROUP = 1000
 _ENCODERS: dict[tuple[str, bool], Encoder] = {}
@@ -53,17 +53,18 @@ class Encoder:
         if len(cache) + 2 * len(missing) > CACHE:
             cache.clear()
             missing = list(chunks)
-        # Letters followed by one full stop or comma are two pre-tokens.
-        heads = [c[:-1] if c[-1:] in MARKS and c[:-1].isalpha() else c for c in missing]
-        need = [h for h in {*heads, *MARKS} if h not in cache]
+        # Letters and then marks are two pre-tokens.
+        heads = [h if (h := c.rstrip(MARKS)).isalpha() else c for c in missing]
+        tails = [c[len(h):] for c, h in zip(missing, heads, strict=True)]
+        need = [h for h in {*heads, *tails} if h not in cache]
         plain, other = [h for h in need if h.isalpha()], [h for h in need if not h.isalpha()]
         for lo in range(0, len(plain), 1000):
             part = plain[lo:lo + 1000]
             cache.update(zip(part, self._words(part), strict=True))
         cache.update(zip(other, self._batch(other), strict=True))
-        for chunk, head in zip(missing, heads, strict=True):
-            if chunk is not head:
-                cache[chunk] = cache[head] + cache[chunk[-1]]
+        for chunk, head, tail in zip(missing, heads, tails, strict=True):
+            if tail:
+                cache[chunk] = cache[head] + cache[tail]
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         """One byte string of ids for each text, in order."""
