@@ -21,7 +21,6 @@ an empty result; other columns are not read. A block is longer than
 
 from __future__ import annotations
 
-from collections import deque
 from collections.abc import Iterator
 
 import numpy as np
@@ -61,31 +60,38 @@ def candidates(ends: np.ndarray, soft: np.ndarray, length: int, sentence_cost: f
 def best_cuts(pos: np.ndarray, cost: np.ndarray, length: int, sequence_cost: float = 1.0) -> np.ndarray:
     """Cut positions of least padding plus cost, from 0 to the last candidate."""
     n = len(pos)
+    place = np.full(int(pos[-1]) + 1, -1, dtype=np.int64)
+    place[pos] = np.arange(n)
     exact: dict[int, list[int]] = {}
     size = 1
     while size < length:
-        at = np.searchsorted(pos, pos - size)
-        for j in np.flatnonzero((pos >= size) & (pos[np.minimum(at, n - 1)] == pos - size)).tolist():
-            exact.setdefault(j, []).append(int(at[j]))
+        reach = int(np.searchsorted(pos, size))
+        before = place[pos[reach:] - size]
+        some = np.flatnonzero(before >= 0)
+        for j, i in zip((some + reach).tolist(), before[some].tolist(), strict=True):
+            exact.setdefault(j, []).append(i)
         size *= 2
-    p, c = pos.tolist(), cost.tolist()
+    p, c = pos.tolist(), (cost + sequence_cost).tolist()
     best, back = [0.0] * n, [0] * n
-    queue = deque([(0, 0.0)])  # indices with rising best + position
+    queue, values, head = [0], [0.0], 0  # indices with rising best + position, live from ``head`` on
     for j in range(1, n):
         here = p[j]
-        while p[queue[0][0]] < here - length:
-            queue.popleft()
-        i, low = queue[0]
-        value = low + length - here
-        for k in exact.get(j, ()):
-            if best[k] < value:
-                i, value = k, best[k]
-        best[j] = value = value + c[j] + sequence_cost
-        back[j] = i
+        low = here - length
+        while p[queue[head]] < low:
+            head += 1
+        i, value = queue[head], values[head] - low
+        if j in exact:
+            for k in exact[j]:
+                if best[k] < value:
+                    i, value = k, best[k]
+        value += c[j]
+        best[j], back[j] = value, i
         value += here
-        while queue and queue[-1][1] >= value:
+        while len(queue) > head and values[-1] >= value:
             queue.pop()
-        queue.append((j, value))
+            values.pop()
+        queue.append(j)
+        values.append(value)
     cuts = [n - 1]
     while cuts[-1]:
         cuts.append(back[cuts[-1]])
@@ -102,7 +108,7 @@ def pieces(ends: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray,
 
 
 def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", length: int = 4096,
-         end_id: int = 2, drops_white_space: bool = True, block_tokens: int = 2_000_000,
+         end_id: int = 2, drops_white_space: bool = True, block_tokens: int = 4_000_000,
          sentence_cost: float = 8.0, hard_cost: float = 48.0) -> DataFrame:
     """One row per piece: id, start, length, doc_tokens, sequence_id, offset, ids (little-endian uint32 bytes)."""
     soft_ids = np.array(sorted(sentence_ends(tokenizer)), dtype=np.uint32)

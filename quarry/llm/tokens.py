@@ -49,14 +49,14 @@ class Encoder:
     def _learn(self, chunks: set[str]) -> None:
         """Put the ids of ``chunks`` into the cache."""
         cache = self.cache
-        missing = [c for c in chunks if c not in cache]
+        missing = list(chunks.difference(cache))
         if len(cache) + 2 * len(missing) > CACHE:
             cache.clear()
             missing = list(chunks)
         # Letters and then marks are two pre-tokens.
         heads = [h if (h := c.rstrip(MARKS)).isalpha() else c for c in missing]
         tails = [c[len(h):] for c, h in zip(missing, heads, strict=True)]
-        need = [h for h in {*heads, *tails} if h not in cache]
+        need = {*heads, *tails}.difference(cache)
         plain, other = [h for h in need if h.isalpha()], [h for h in need if not h.isalpha()]
         for lo in range(0, len(plain), 1000):
             part = plain[lo:lo + 1000]
