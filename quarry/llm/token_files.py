@@ -140,10 +140,11 @@ def read_tokens(spark: SparkSession, folder: str, doc_ids: list[int] | None = No
 
     def opened(batches):
         for batch in batches:
-            for path, size, number in zip(*[batch.column(k).to_pylist() for k in range(3)], strict=True):
+            rest = [batch.column(k).to_pylist() for k in range(2, batch.num_columns)]
+            for path, size, *tail in zip(*[batch.column(k).to_pylist() for k in range(2)], *rest, strict=True):
                 store, name = open_store(path)
                 with store.open_input_file(name) as source:
-                    yield number, source, read_table(source, size)
+                    yield *tail, source, read_table(source, size)
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for number, _, table in opened(batches):
@@ -151,8 +152,8 @@ def read_tokens(spark: SparkSession, folder: str, doc_ids: list[int] | None = No
                                              names=["file", "n_tokens"])
 
     def frames(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for number, source, table in opened(batches):
-            before = np.cumsum(table["n_tokens"]).astype(np.int64) - table["n_tokens"].astype(np.int64)
+        for _, base, source, table in opened(batches):
+            before = base + np.cumsum(table["n_tokens"]).astype(np.int64) - table["n_tokens"].astype(np.int64)
             wanted = np.arange(len(table)) if picked is None else np.flatnonzero(np.isin(table["doc_id"], picked) & (table["is_null"] == 0))
             held, first, size = [], 0, 0
             for k, raw in enumerate(read_frames(source, table, wanted)):
@@ -161,14 +162,13 @@ def read_tokens(spark: SparkSession, folder: str, doc_ids: list[int] | None = No
                 if size >= OUT_BYTES or k + 1 == len(wanted):
                     at = wanted[first:k + 1]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([number] * len(at), pa.int64()),
-                         pa.array(table["doc_id"][at], mask=table["is_null"][at] == 1), pa.array(before[at]),
-                         pa.array(held, pa.binary())], names=["file", "id", "in_file", "ids"])
+                        [pa.array(table["doc_id"][at], mask=table["is_null"][at] == 1), pa.array(before[at]), pa.array(held, pa.binary())],
+                        names=["id", "start", "ids"])
                     held, first, size = [], k + 1, 0
 
     files = _files(spark, folder).select("path", "length", file_no.alias("file"))
-    # One row per file: the number of files is that of the writing job's tasks.
+    # One row per file, so as many as the writing job had tasks: that bounds the window and the broadcast.
     totals = files.mapInArrow(sums, "file long, n_tokens long")
     before = totals.select("file", (F.sum("n_tokens").over(Window.orderBy("file")) - F.col("n_tokens")).alias("base"))
-    return files.mapInArrow(frames, "file long, id long, in_file long, ids binary") \
-        .join(before, "file").select(F.col("id").alias(id_col), (F.col("base") + F.col("in_file")).alias("start"), "ids")
+    return files.join(F.broadcast(before), "file").select("path", "length", "file", "base") \
+        .mapInArrow(frames, "id long, start long, ids binary").select(F.col("id").alias(id_col), "start", "ids")
