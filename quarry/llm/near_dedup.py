@@ -100,8 +100,8 @@ def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _open_buckets(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """(key, id, n, comp, main, total, top) of all members of buckets that hold more than one component."""
-    own = members.join(labels, "id", "left").select("key", "id", "n", F.coalesce("comp", "id").alias("comp"))
+    """``members`` (key, id, ...) of buckets that hold more than one component, with comp, main, total and top."""
+    own = members.join(labels, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
     by_comp = own.groupBy("key", "comp").agg(F.count("*").alias("c"))
     by_key = by_comp.groupBy("key").agg(F.count("*").alias("comps"), F.sum("c").alias("total"), F.max("c").alias("top"),
                                         F.max_by("comp", F.struct("c", "comp")).alias("main")).filter("comps > 1")
@@ -129,15 +129,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     bits = [f"s{k}" for k in range(CELLS)]
     sketches = sets.select("id", *[F.col("sketch")[k].alias(c) for k, c in enumerate(bits)])
     size_of_all = members.count()
+    # Later rounds can only settle buckets, so the sketches are joined once.
+    still = write_scratch(_open_buckets(members.select("key", "id", "n"), labels).select("key", "id", "n").join(sketches, "id"), "open")
     tested, turn = pairs, 0
     while True:
         turn += 1
-        left = write_scratch(_open_buckets(members.select("key", "id", "n"), labels), "open")
+        left = write_scratch(_open_buckets(still, labels), "open")
         bound = left.agg(F.count("*"), F.sum(F.when(F.col("comp") != F.col("main"), F.col("total")).otherwise(0))).collect()[0]
         if not bound[0]:
             break
         everything = bound[1] <= SPREAD * size_of_all or turn > 1 and not found
-        left = left.join(sketches, "id")
         outer = left.filter("comp <> main").select("key", F.col("id").alias("x"), F.col("n").alias("nx"), F.col("comp").alias("cx"),
                                                    *[F.col(c).alias(f"x{c}") for c in bits])
         inner = left.select("key", "id", "n", "comp", "main", *bits)
