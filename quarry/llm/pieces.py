@@ -33,17 +33,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.llm.tokens import SLICE, slices
+from quarry.llm.common import col
+from quarry.llm.tokens import slices
 
 MARK = "▁"
 WORD = re.compile(f"\n|{MARK}+[^{MARK}\n]*|[^{MARK}\n]+")
 LONG = 64
 CACHE = 300_000
 GROUP = 20_000
+SLICE = 4_000_000
 BASE = np.uint64(0x9E3779B97F4A7C15)
 SPREAD = np.uint64(0xD6E8FEB86659FD93)
 NONE = -np.inf
@@ -241,7 +243,7 @@ class PieceFile:
             if len(text) > SLICE:  # a long text is worked through in stretches
                 yield from self._flush(group, how)
                 group, held = [], 0
-                yield b"".join(x for part in slices(MARK + text) for x in self._flush([part], how))
+                yield b"".join(x for part in slices(MARK + text, SLICE) for x in self._flush([part], how))
                 continue
             group.append(MARK + text if text else "")
             held += len(text)
@@ -289,6 +291,18 @@ def encode_pieces(text: Column | str, path: str, how: str = "merges") -> Column:
     return encode(text)
 
 
+def code_rows(docs: DataFrame, path: str, keep: list[str], text_col: str = "text", **hows: str) -> DataFrame:
+    """The columns ``keep`` and, for each name in ``hows``, the ids of the text by that segmentation, in one pass."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = ["" if t is None else t for t in batch.column(batch.num_columns - 1).to_pylist()]
+            coded = [pa.array(list(piece_file(path).encode(rows, how)), pa.binary()) for how in hows.values()]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *coded], names=[*keep, *hows])
+
+    schema = T.StructType([docs.schema[c] for c in keep] + [T.StructField(c, T.BinaryType()) for c in hows])
+    return docs.select(*[col(c) for c in keep], col(text_col)).mapInArrow(run, schema)
+
+
 def decode_pieces(ids: Column | str, path: str) -> Column:
     """Column function: text of an id column; null stays null."""
     @F.arrow_udf(T.StringType())
