@@ -175,6 +175,9 @@ def fit(spans: list[tuple[str, str]], lexicon_words: int = 20_000, rounds: int =
     rng.shuffle(stretches)
     words = [w for _, part in stretches for w in part]
     label = np.array([lang for lang, part in stretches for _ in part], dtype=np.int64)
+    if not words:
+        none = np.empty(0, dtype=np.uint64)
+        return Model((), np.zeros((1 << BITS, 0), np.float32), none, np.zeros((0, 0), np.float32), np.zeros((0, 0)))
     f = features(" ".join(words))
     if len(f.first) != len(label):
         keep = [any(c.isalpha() for c in w) and len(WORD.findall(w)) == 1 and features(w).first.size == 1 for w in words]

@@ -33,7 +33,6 @@ from pyspark.sql import types as T
 from quarry.llm.common import col
 from quarry.llm.tokens import encoder, sentence_ends
 
-NEAR = 64
 OUT_BYTES = 32 << 20
 
 
@@ -50,7 +49,7 @@ def candidates(ends: np.ndarray, soft: np.ndarray, length: int, sentence_cost: f
     while len(new):  # a window without a cut close to its end may be cut exactly there
         reach = new + length
         last = pos[np.searchsorted(pos, reach, "right") - 1]
-        new = np.unique(reach[(reach < total) & (reach - last >= NEAR)])
+        new = np.unique(reach[(reach < total) & (reach - last >= max(1, length // 64))])
         if len(new):
             kind[new] = 1
             pos = np.flatnonzero(kind)
