@@ -39,7 +39,7 @@ from quarry.llm.common import col, fresh, write_scratch
 from quarry.llm.components import connected_components
 from quarry.llm.shingles import MinMax, cells, digest, shingle_sets
 
-SPREAD = 4
+SPREAD = 32  # comparisons per bucket member that one round may make
 CELLS = 8  # sketch size in 64-bit words
 
 
@@ -130,11 +130,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sketches = sets.select("id", *[F.col("sketch")[k].alias(c) for k, c in enumerate(bits)])
     size_of_all = members.count()
     # Later rounds can only settle buckets, so the sketches are joined once.
-    still = write_scratch(_open_buckets(members.select("key", "id", "n"), labels).select("key", "id", "n").join(sketches, "id"), "open")
+    left = still = write_scratch(_open_buckets(members.select("key", "id", "n"), labels).join(sketches, "id"), "open")
     tested, turn = pairs, 0
     while True:
         turn += 1
-        left = write_scratch(_open_buckets(still, labels), "open")
+        if turn > 1:
+            left = write_scratch(_open_buckets(still.drop("comp", "main", "total", "top"), labels), "open")
         bound = left.agg(F.count("*"), F.sum(F.when(F.col("comp") != F.col("main"), F.col("total")).otherwise(0))).collect()[0]
         if not bound[0]:
             break
