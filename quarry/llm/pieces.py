@@ -43,9 +43,9 @@ from quarry.llm.tokens import slices
 MARK = "▁"
 WORD = re.compile(f"\n|{MARK}+[^{MARK}\n]*|[^{MARK}\n]+")
 LONG = 64
-CACHE = 300_000
+CACHE = 200_000
 GROUP = 20_000
-SLICE = 4_000_000
+SLICE = 1_000_000
 BASE = np.uint64(0x9E3779B97F4A7C15)
 SPREAD = np.uint64(0xD6E8FEB86659FD93)
 NONE = -np.inf
