@@ -74,7 +74,8 @@ def segment_markup(df: DataFrame, key: str, html_col: str) -> DataFrame:
 
 # Pipe tables: a block starts on a line that (trimmed) begins and ends with a bar and
 # continues while lines begin with a bar. A separator line holds only bars, blanks, '-' and ':'.
-PIPE_BLOCK = r"(?m)^[ \t]*\|(?:[^\n]*\|)?[ \t]*$(?:\n[ \t]*\|[^\n]*)*"
+# The last group is possessive: it runs as a loop, where a backtracking one takes stack per line.
+PIPE_BLOCK = r"(?m)^[ \t]*\|(?:[^\n]*\|)?[ \t]*$(?:\n[ \t]*\|[^\n]*)*+"
 PIPE_SEPARATOR = r"^\|[\s\-:|]+\|$"
 
 
@@ -87,7 +88,8 @@ def _cells(row: Column) -> Column:
 
 def pipe_tables(df: DataFrame, key: str, text_col: str) -> DataFrame:
     """D3: (key, block, row, col, header, value) of every pipe table in a text."""
-    blocks = F.regexp_extract_all(F.col(text_col), F.lit(PIPE_BLOCK), 0)
+    text = F.replace(F.col(text_col), F.lit("\r\n"), F.lit("\n"))
+    blocks = F.regexp_extract_all(text, F.lit(PIPE_BLOCK), 0)
     b = spread(df).select(key, F.posexplode(blocks).alias("block", "__b"))
     lines = F.transform(F.split("__b", "\n"), lambda ln: strip_line(ln))
     b = b.select(key, "block", lines.alias("__l"))

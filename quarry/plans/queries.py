@@ -118,8 +118,9 @@ def english_sections(spark, sf):
 
 # ------------------------------------------------------------------ evaluation
 
-def _joined(spark, sf):
-    return EV.eval_join(_catalog(spark, sf), parsed_manuals(spark, sf))
+def _joined(spark, sf, prefix=None):
+    """Whole source texts; only the records shown to a judge are cut."""
+    return EV.eval_join(_catalog(spark, sf), parsed_manuals(spark, sf), prefix)
 
 
 @query
@@ -135,7 +136,7 @@ def labels_join(spark, sf):
 
 @query
 def eval_records(spark, sf):
-    rec = EV.eval_records(_joined(spark, sf))
+    rec = EV.eval_records(_joined(spark, sf, EV.SOURCE_PREFIX))
     return rec.select(F.col("inputs.file_name").alias("file_name"), F.col("inputs.source_text").alias("source_text"),
                       F.col("outputs.response").alias("response"))
 

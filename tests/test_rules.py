@@ -237,3 +237,32 @@ def test_place_files_splits_hot_keys_and_rewrites_the_same_paths(spark):
     got, second = files(2)
     assert second == first and first == ["cold-0.parquet", "hot-0.parquet", "hot-1.parquet", "hot-2.parquet"]
     assert got.count() == 100 and got.filter("v = 2").count() == 100
+
+
+def test_pipe_table_of_100k_lines_and_crlf(spark):
+    from quarry.operators.parse import pipe_tables
+
+    long = "| a | b |\n| --- | --- |\n" + "\n".join(f"| {i} | x |" for i in range(100_000))
+    df = spark.createDataFrame([(1, long), (2, "text\r\n| h | k |\r\n| --- | --- |\r\n| 1 | 2 |\r\n")], "id int, text string")
+    got = pipe_tables(df, "id", "text")
+    assert got.filter("id = 1").count() == 200_000
+    assert sorted((r["header"], r["value"]) for r in got.filter("id = 2").collect()) == [("h", "1"), ("k", "2")]
+
+
+def test_no_machine_local_scratch_on_a_cluster():
+    import pytest
+
+    from quarry.session import ensure_checkpoint_dir
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+        conf = {}
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(Session())
