@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.llm.common import col, fresh, write_scratch
-from quarry.llm.components import connected_components
+from quarry.llm.components import connected_components, merge_components
 from quarry.llm.shingles import MinMax, cells, digest, shingle_sets
 
 SPREAD = 32  # comparisons per bucket member that one round may make
@@ -155,8 +155,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         more = write_scratch(confirm(new, sets, percent), "links")
         found = bool(more.take(1))
         if found:
-            links = links.union(more)
-            labels = connected_components(links)
+            labels = merge_components(labels, more)
         if everything:
             break
         tested = tested.union(new)

@@ -296,3 +296,28 @@ def test_pipeline_by_stages(spark, docs):
     check_packed(rows, want)
     assert corpus_pipeline.run(spark, SMALL).agg(F.sum("length")).collect()[0][0] == sum(map(len, want.values()))
     assert public_tokenizers.path("word_bpe_49k.json") == word_tokenizer()
+
+
+def test_components_and_their_merge_match_brute_force(spark):
+    from quarry.llm.components import connected_components, merge_components
+
+    rng = np.random.default_rng(5)
+    chain = rng.permutation(300).tolist()
+    first = [(chain[k], chain[k + 1]) for k in range(299) if k % 60] + [(1000, 1000 + k) for k in range(1, 40)] + [(7, 7)]
+    more = [(chain[0], chain[1]), (chain[60], chain[61]), (1005, chain[120]), (5000, 5001), (5001, 1020), (9000, 9001)]
+
+    def brute(edges):
+        root = {x: x for e in edges for x in e if e[0] != e[1]}
+        for _ in root:
+            for a, b in edges:
+                if a != b:
+                    root[a] = root[b] = min(root[a], root[b])
+        return root
+
+    def frame(edges):
+        return spark.createDataFrame(edges, "a long, b long")
+
+    labels = connected_components(frame(first))
+    assert dict(labels.collect()) == brute(first)
+    assert dict(merge_components(labels, frame(more)).collect()) == brute(first + more)
+    assert connected_components(frame(first).limit(0)).count() == 0
