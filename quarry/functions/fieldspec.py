@@ -9,7 +9,7 @@ once per row whatever the number of fields.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -22,23 +22,31 @@ class FieldSpec:
     labels: tuple[str, ...] = ()         # label alternatives (synonyms), matched case-insensitively
     value: str = r"(.+)"                 # regex for the value part; group 1 is kept
     pick: str = "first"                  # "first" (primary) | "list" (all distinct, ", "-joined)
-    prefer: str | None = None            # "last": of "soft/hard" keep the last part
+    prefer: str | None = None            # word of the wanted part: "hard" of "soft/hard: a/b" or "hard/soft: a/b"
     range: str | None = None             # "max" | "min" of "a-b"; None keeps the number as is
     units: tuple[tuple[str, float], ...] = ()   # (unit word, factor to the target unit)
     round_to: int | None = None
-    description: str = ""
-    extras: dict = field(default_factory=dict)
+
+
+def plain_number(value: Column) -> Column:
+    """Any dash as '-', and no separator between groups of thousands ("0–1,800" -> "0-1800")."""
+    dashes = F.regexp_replace(value, "[\u2010-\u2015\u2212]", "-")
+    return F.regexp_replace(dashes, r"(?<=\d),(?=\d{3}(?!\d))", "")
 
 
 def _candidates(pairs: Column, spec: FieldSpec) -> Column:
     wanted = [lbl.lower() for lbl in spec.labels]
     hits = F.filter(pairs, lambda p: p["label"].isin(wanted))
     anchored = "^(?:" + spec.value + ")$"
-    return F.transform(
-        hits,
-        lambda p: F.coalesce(F.nullif(F.regexp_extract(p["value"], anchored, 1), F.lit("")),
-                             F.nullif(p["value"], F.lit(""))),
-    )
+
+    def candidate(p: Column) -> Column:
+        value = plain_number(p["value"]) if spec.type == "number" else p["value"]
+        match = F.regexp_extract(value, anchored, 1)
+        if spec.prefer:
+            parts = F.split(match, "/")
+            match = F.when(p["label"].contains(spec.prefer + "/"), F.get(parts, F.lit(0))).otherwise(F.element_at(parts, -1))
+        return F.coalesce(F.nullif(match, F.lit("")), F.nullif(p["value"], F.lit("")))
+    return F.transform(hits, candidate)
 
 
 def raw_value(pairs: Column, spec: FieldSpec) -> Column:
@@ -61,17 +69,16 @@ def unit_factor(raw: Column, spec: FieldSpec) -> Column:
 
 
 def number_text(raw: Column, spec: FieldSpec) -> Column:
-    """The numeric part of a raw value: unit word removed, preferred part kept."""
+    """The numeric part of a raw value: unit word removed."""
     txt = raw
     if spec.units:
         alts = "|".join(u for u, _ in spec.units)
         txt = F.regexp_replace(txt, r"(?i)\s*(?:" + alts + r")\.?$", "")
-    if spec.prefer == "last":
-        txt = F.element_at(F.split(txt, "/"), -1)
     return F.trim(txt)
 
 
 _NUM = r"\d+(?:\.\d+)?|\.\d+"
+_PLAIN = r"^[+-]?(?:" + _NUM + r")(?:[eE][+-]?\d+)?$"
 _RANGE = r"^\s*(?:" + _NUM + r")(?:\s*-\s*(?:" + _NUM + r"))*\s*$"
 
 
@@ -82,7 +89,7 @@ def number_value(txt: Column, factor: Column, spec: FieldSpec) -> Column:
         reduced = F.array_max(parts) if spec.range == "max" else F.array_min(parts)
         num = F.when(txt.rlike(_RANGE), reduced)
     else:
-        num = txt.try_cast("double")
+        num = F.when(txt.rlike(_PLAIN), txt.try_cast("double"))  # a cast alone takes type suffixes ("18D")
     num = num * factor
     if spec.round_to is not None:
         num = F.round(num, spec.round_to)

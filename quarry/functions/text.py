@@ -10,47 +10,65 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# A section marker is a line holding only a language tag such as "[en]" or "[de-CH]".
-MARKER_LINE = r"\[[A-Za-z]{2}(?:-[A-Za-z]{2})?\][ \t]*"
-_HAS_MARKER = r"(?m)^" + MARKER_LINE + r"$"
-# Body of one section: everything after its marker line up to the next marker line.
-_SECTION = r"(?s)(?:\A|\n)\[({code})\][ \t]*\n(.*?)(?=\n" + MARKER_LINE + r"(?:\n|\z)|\z)"
+# A section marker is a line holding only a language tag such as "[en]", "[EN]" or "[de-CH]".
+CODE = r"[A-Za-z]{2}(?:-[A-Za-z]{2})?"
 
 
-def section_text(text: Column, code: str = "en") -> Column:
-    """Text of the first section tagged ``code``; the whole text when no marker exists.
+def unix_lines(text: Column) -> Column:
+    """CRLF line ends as LF, so that every line rule sees one kind of line end."""
+    return F.replace(text, F.lit("\r\n"), F.lit("\n"))
 
-    A document that has markers but no ``code`` section yields '' (nothing to read).
-    """
-    body = F.regexp_extract(text, _SECTION.replace("{code}", code), 2)
-    return F.when(text.rlike(_HAS_MARKER), body).otherwise(text)
+
+def _marker_line(markers: str) -> str:
+    return r"\[(?:" + markers + r")\][ \t]*"
 
 
-# The same matches with one group spanning "code][blanks]\nbody", so one regex pass yields both parts.
-_SECTION_WHOLE = r"(?s)(?:\A|\n)\[([A-Za-z]{2}(?:-[A-Za-z]{2})?\][ \t]*\n.*?)(?=\n" + MARKER_LINE + r"(?:\n|\z)|\z)"
+def _has_marker(text: Column, markers: str) -> Column:
+    return text.rlike(r"(?md)^" + _marker_line(markers) + r"$")
 
 
-def section_structs(text: Column) -> Column:
+def section_structs(text: Column, markers: str = CODE) -> Column:
     """All tagged sections of a text, in order, as array<struct<lang, text>>, from one regex pass.
 
-    A code holds no ']' and no newline, so the code is what precedes the first ']' and the
-    body is what follows the first newline of each match.
+    One group spans "code][blanks]" and the body with its leading line end. A code holds no ']' and
+    no newline, so the code is what precedes the first ']' and the body is what follows the first
+    newline of each match; a marker that is followed by another marker or the end has the body ''.
     """
-    found = F.regexp_extract_all(text, F.lit(_SECTION_WHOLE), 1)
-    return F.transform(found, lambda g: F.struct(F.substring_index(g, "]", 1).alias("lang"),
-                                                 F.substr(g, F.instr(g, "\n") + 1).alias("text")))
+    end = r"(?=\n" + _marker_line(markers) + r"(?:\n|\z)|\z)"
+    whole = r"(?s)(?:\A|\n)\[((?:" + markers + r")\][ \t]*(?=\n|\z).*?)" + end
+    found = F.regexp_extract_all(unix_lines(text), F.lit(whole), 1)
+    return F.transform(found, lambda g: F.struct(
+        F.substring_index(g, "]", 1).alias("lang"),
+        F.when(F.instr(g, "\n") > 0, F.substr(g, F.instr(g, "\n") + 1)).otherwise("").alias("text")))
+
 
+def preamble(text: Column, markers: str = CODE) -> Column:
+    """Text before the first marker; the whole text when there is none."""
+    t = unix_lines(text)
+    before = F.regexp_extract(t, r"(?smd)\A(.*?)\n?^" + _marker_line(markers) + r"$", 1)
+    return F.when(_has_marker(t, markers), before).otherwise(t)
+
+
+def section_text(text: Column, code: str = "en", markers: str = CODE) -> Column:
+    """What a reader of language ``code`` reads: the text before the first marker and every section
+    tagged ``code`` or ``code-XX`` (in any case), joined by newlines; the whole text without markers.
+    """
+    tag = code.lower()
 
-def section_arrays(text: Column) -> tuple[Column, Column]:
-    """(languages, bodies) of all tagged sections of a text, in order."""
-    s = section_structs(text)
-    return F.transform(s, lambda e: e["lang"]), F.transform(s, lambda e: e["text"])
+    def wanted(s: Column) -> Column:
+        lang = F.lower(s["lang"])
+        return (lang == tag) | lang.startswith(tag + "-")
+    bodies = F.transform(F.filter(section_structs(text, markers), wanted), lambda s: s["text"])
+    parts = F.filter(F.concat(F.array(preamble(text, markers)), bodies), lambda p: p != "")
+    t = unix_lines(text)
+    return F.when(_has_marker(t, markers), F.array_join(parts, "\n")).otherwise(t)
 
 
-# "Label: value" lines and two-cell table rows "| Label | value |".
-_KV_LINE = r"(?m)^[ \t|]*[^:|\n]{1,80}?[ \t]*[:|][^\n]*$"
-_KV_LABEL = r"^[ \t|]*([^:|]+?)[ \t]*[:|]"
-_KV_VALUE = r"^[ \t|]*[^:|]+?[ \t]*[:|][ \t]*(.*?)[ \t|]*$"
+# "Label: value" lines and two-cell table rows "| Label | value |". Possessive repeats: a line without
+# a separator is given up after one pass, whatever its length.
+_KV_LINE = r"(?md)^[ \t|]*+[^:|\n]++[:|][^\n]*$"
+_KV_LABEL = r"^[ \t|]*+([^:|]++)[:|]"
+_KV_VALUE = r"(?s)^[ \t|]*+[^:|]++[:|][ \t]*+(.*)$"
 
 
 def label_value_pairs(text: Column) -> Column:
@@ -58,12 +76,12 @@ def label_value_pairs(text: Column) -> Column:
 
     One regex scan of the text; the per-line splits run on short strings only.
     """
-    lines = F.regexp_extract_all(text, F.lit(_KV_LINE), 0)
+    lines = F.regexp_extract_all(unix_lines(text), F.lit(_KV_LINE), 0)
     return F.transform(
         lines,
         lambda ln: F.struct(
-            F.lower(F.regexp_extract(ln, _KV_LABEL, 1)).alias("label"),
-            F.regexp_extract(ln, _KV_VALUE, 1).alias("value"),
+            F.lower(F.rtrim(F.regexp_extract(ln, _KV_LABEL, 1), F.lit(" \t"))).alias("label"),
+            F.rtrim(F.regexp_extract(ln, _KV_VALUE, 1), F.lit(" \t|")).alias("value"),
         ),
     )
 

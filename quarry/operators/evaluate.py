@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.functions.pyfmt import py_float_str, py_str
-from quarry.functions.text import strip_ws, terms
+from quarry.functions.text import section_text, strip_ws, terms
 from quarry.operators.partitioning import sized_broadcast
 from quarry.plans.specs import FIELD_NAMES
 
@@ -77,7 +77,7 @@ def completeness(fields: list[str] = FIELD_NAMES) -> Scorer:
     n = len(fields)
     filled = sum((F.col(f).isNotNull().cast("int") for f in fields), F.lit(0))
     ratio = filled / F.lit(float(n)) if n else F.lit(0.0)
-    value = F.round(ratio, 2) if n == 14 else F.bround(ratio, 2)
+    value = F.bround(ratio, 2)
     pct = F.bround(ratio * 100, 0).cast("bigint").cast("string")
     rationale = F.format_string(f"%d/{n} fields extracted (%s%%)", filled, pct)
     return Scorer("completeness", value, rationale, ["mean", "min", "max"])
@@ -183,15 +183,25 @@ def guess_language(hits: dict[str, Column]) -> Column:
     return F.when(best > 0, out)
 
 
+# Words of the foreign lists that are English words too, and letters that English text does not use.
+ALSO_ENGLISH = ["die", "den", "pour", "par", "no", "son", "con", "lo"]
+FOREIGN_LETTERS = ["äöüßñ", r"\p{IsHan}", r"\p{IsHiragana}", r"\p{IsKatakana}", r"\p{IsHangul}", r"\p{IsCyrillic}",
+                   r"\p{IsArabic}", r"\p{IsHebrew}", r"\p{IsThai}"]
+
+
 def english_compliance(text_fields: list[str] = ("product_name", "product_type", "chuck_capacity_mm",
                                                  "compatible_batteries", "compatible_chargers")) -> Scorer:
-    """Text fields hold no foreign stop words; brand and model are exempt (Q6 as a rule)."""
+    """Text fields hold no foreign stop word and no letter foreign to English; brand and model are exempt (Q6 as a rule).
+
+    A foreign compound without such a letter ("Akku-Bohrschrauber") needs a lexicon and passes.
+    """
     bad = []
     foreign = list(dict.fromkeys(w for lang in LANGS if lang != "en" for w in STOPWORDS[lang]
-                                 if w not in STOPWORDS["en"]))
+                                 if w not in STOPWORDS["en"] and w not in ALSO_ENGLISH))
+    letters = "[" + "".join(FOREIGN_LETTERS) + "]"
     for f in text_fields:
-        toks = terms(F.coalesce(F.col(f), F.lit("")))
-        bad.append(F.when(F.exists(toks, _member_of(foreign)), F.lit(f)))
+        text = F.coalesce(F.col(f), F.lit(""))
+        bad.append(F.when(F.exists(terms(text), _member_of(foreign)) | F.lower(text).rlike(letters), F.lit(f)))
     arr = F.array_compact(F.array(*bad))
     passed = F.size(arr) == 0
     rationale = F.when(passed, F.lit("All text fields are English")) \
@@ -203,7 +213,7 @@ def english_compliance(text_fields: list[str] = ("product_name", "product_type",
 KNOWN_TOOL_TYPES = ["drill", "drill/driver", "hammer drill", "impact driver", "rotary hammer", "screwdriver"]
 REAL_MAKERS = ["Bosch", "Makita", "DeWalt", "Milwaukee", "Metabo", "Hilti", "Festool", "Ryobi", "BLACK+DECKER",
                "Einhell", "AEG", "HiKOKI", "Stanley", "Craftsman", "Ridgid", "Worx", "Skil", "Kress"]
-MODEL_PATTERN = r"^[A-Za-z0-9][A-Za-z0-9./+\-]*(?: [A-Za-z0-9./+\-]+){0,2}$"
+MODEL_PATTERN = r"^(?=.*[0-9])[A-Za-z0-9][A-Za-z0-9./+\-]*(?: [A-Za-z0-9./+\-]+){0,2}$"
 
 
 def known_makers(spark, extra: list[str] | None = None) -> DataFrame:
@@ -231,26 +241,36 @@ def plausibility(catalog: DataFrame, makers: DataFrame, keys: list[str] = ("file
     )
 
 
+def _token_text(c: Column) -> Column:
+    """Lower-cased letter/digit runs (a point between digits belongs to its number), each between blanks."""
+    spaced = F.regexp_replace(F.lower(c), r"(?<!\d)\.|\.(?!\d)|[^\p{L}\p{N}.]+", " ")
+    return F.concat(F.lit(" "), F.trim(F.regexp_replace(spaced, " +", " ")), F.lit(" "))
+
+
 def grounding(joined: DataFrame, text_col: str = "source_text",
               fields: list[str] = ("manufacturer", "model_number", "product_name", "product_type",
                                    "rated_voltage_v", "max_torque_nm", "no_load_speed_low_rpm",
                                    "no_load_speed_high_rpm", "chuck_capacity_mm", "max_drilling_diameter_wood_mm",
                                    "max_drilling_diameter_steel_mm", "compatible_batteries", "compatible_chargers"),
-              keys: list[str] = ("file_name",)) -> DataFrame:
+              keys: list[str] = ("file_name",), section: str | None = "en") -> DataFrame:
     """Every extracted value occurs in the source text (Q8); unit-converted fields are exempt.
 
-    Numbers are looked up without a trailing '.0'; list fields item by item.
+    The whole text that extraction reads (``section``; None: all languages) is searched, on
+    token boundaries: "5" is not found in "15". Numbers are looked up without a trailing
+    '.0'; list fields item by item.
     """
-    txt = F.col(text_col)
+    text = section_text(F.col(text_col), section) if section else F.col(text_col)
+    joined = joined.withColumn("__txt", _token_text(text))
+    txt = F.col("__txt")
     missing = []
     for f in fields:
         c = F.col(f)
         s = F.regexp_replace(c.cast("string"), r"\.0$", "") if f in _FLOAT_FIELDS else c.cast("string")
         items = F.split(s, ", ")
-        found = F.forall(items, lambda it: F.instr(txt, it) > 0)
+        found = F.forall(items, lambda it: F.instr(txt, _token_text(it)) > 0)
         missing.append(F.when(c.isNotNull() & ~found, F.lit(f)))
     arr = F.array_compact(F.array(*missing))
-    keep = list(joined.columns) if list(keys) == ["*"] else list(keys)
+    keep = [c for c in joined.columns if c != "__txt"] if list(keys) == ["*"] else list(keys)
     return joined.select(*keep, (F.size(arr) == 0).alias("grounded"),
                          F.array_join(arr, ", ").alias("ungrounded_fields"))
 

@@ -2,10 +2,10 @@
 
 ``flatten_responses`` turns free-form agent responses (JSON text) into one
 display text with the precedence rules of the reference's formatter, written
-as variant reads and higher-order array functions. The nesting depth is fixed
-when the expression is built (default 1: a list item may hold one nested
-outputs/output/predictions list, as in ``predictions[0].outputs[...]``); a
-deeper list is printed as its JSON text. No recursion runs per row.
+as variant reads and higher-order array functions. An expression cannot recurse,
+so the nesting depth is a parameter of the expression (``DEPTH`` lists inside
+lists by default; its size grows linearly with it); a list nested deeper still
+is printed as its JSON text.
 """
 
 from __future__ import annotations
@@ -22,6 +22,7 @@ METADATA_NOTICE = ("The agent endpoint returned no message text (only response m
 BENIGN_KEYS = ["id", "object", "model", "created", "created_at", "usage", "metadata", "served_model_name"]
 OUTPUT_KEYS = ["output", "outputs", "predictions", "choices"]
 NAME_TAG = r"(?U)^<name>\s*[\w-]+\s*</name>\s*$"
+DEPTH = 4
 _EDGES = r"(?U)^\s+|\s+$"
 
 
@@ -62,6 +63,11 @@ def _str(v: Column) -> Column:
     return F.when(_is_str(v), F.try_variant_get(v, "$", "string"))
 
 
+def _falsy(v: Column) -> Column:
+    """Absent, null, false, zero or empty: what counts as missing in the response format."""
+    return v.isNull() | F.is_variant_null(v) | F.to_json(v).isin('""', "0", "0.0", "false", "[]", "{}")
+
+
 def _json(v: Column) -> Column:
     return F.to_json(v)
 
@@ -74,7 +80,8 @@ def _py_repr(v: Column) -> Column:
 def _item_parts(item: Column, depth: int) -> Column:
     def nested_parts():
         # First nested envelope (outputs, output, predictions) that yields text wins.
-        subs = F.array(*[_list_text(_arr(_get(item, key)), depth - 1) for key in ["outputs", "output", "predictions"]])
+        lists = F.array(*[_arr(_get(item, key)) for key in ["outputs", "output", "predictions"]])
+        subs = F.transform(lists, lambda nested: _list_text(nested, depth - 1))
         return _let(F.filter(subs, lambda x: x.isNotNull() & (_strip(x) != "")),
                     lambda ok: F.when(F.size(ok) > 0, F.array(_strip(ok[0]))).otherwise(_empty()))
 
@@ -105,7 +112,7 @@ def _list_text(arr: Column, depth: int) -> Column:
     return _let(parts, lambda p: F.when(F.size(p) > 0, F.array_join(p, "\n\n")))
 
 
-def response_text(raw: Column, depth: int = 1) -> Column:
+def response_text(raw: Column, depth: int = DEPTH) -> Column:
     """One display text from a response given as JSON text."""
     return _let(F.try_parse_json(raw), lambda v: F.when(v.isNull(), raw).otherwise(_variant_text(v, depth)))
 
@@ -129,9 +136,7 @@ def _variant_text(v: Column, depth: int) -> Column:
     listed = _let(src, lambda x: F.when(x.isNotNull(), F.coalesce(_list_text(x["l"], depth), x["j"])))
     keys = F.json_object_keys(_json(v))
     vid = _get(v, "id")
-    outputs_falsy = _get(v, "outputs").isNull() | F.is_variant_null(_get(v, "outputs")) | (F.size(outputs) == 0)
-    empty_output = outputs_falsy & (F.size(output) == 0) & vid.isNotNull() & ~F.is_variant_null(vid) & \
-        (F.coalesce(_str(vid), F.lit("x")) != "")
+    empty_output = _falsy(_get(v, "outputs")) & (F.size(output) == 0) & ~_falsy(vid)
     first = F.try_variant_get(v, "$.choices[0]", "variant")
     msg = F.when(_is_obj(first), F.coalesce(_get(first, "message"), first)).otherwise(first)
     has_choices = F.size(_arr(_get(v, "choices"))) > 0
@@ -150,7 +155,7 @@ def _variant_text(v: Column, depth: int) -> Column:
             .otherwise(F.coalesce(_str(v), _json(v))))
 
 
-def flatten_responses(df: DataFrame, json_col: str, out: str = "content", depth: int = 1) -> DataFrame:
+def flatten_responses(df: DataFrame, json_col: str, out: str = "content", depth: int = DEPTH) -> DataFrame:
     return spread(df).withColumn(out, response_text(F.col(json_col), depth))
 
 

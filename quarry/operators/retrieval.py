@@ -4,7 +4,7 @@ Scale notes: chunking is per row; chunks and postings share one bucketing on
 (doc_id, chunk_no), so the postings build and the per-(question, chunk) score
 sums need no shuffle of postings; the postings carry the chunk length and the
 document language so queries need no join back to the documents; question
-terms are broadcast only after a row-count check (else a shuffle join, with AQE
+terms are broadcast only after a size check (else a shuffle join, with AQE
 splitting skewed terms); top-k per question is a row_number filter, which
 Spark plans as a partial WindowGroupLimit before the one shuffle.
 """
@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from quarry.functions.arrays import posexplode_rows
 from quarry.functions.text import terms, words
-from quarry.operators.partitioning import BROADCAST_MAX_ROWS, sized_broadcast, spread  # noqa: F401
+from quarry.operators.partitioning import fits_broadcast, spread
 from quarry.sources.tables import write_scratch
 
 BM25_K1 = 1.2
@@ -104,7 +104,7 @@ def search(questions: DataFrame, qkey: str, qtext: str, postings: DataFrame, chu
     """
     qt = questions.select(qkey, F.explode(F.array_distinct(terms(F.col(qtext)))).alias("term")).distinct()
     # One size check: the distinct terms and their weights are never larger than qt.
-    small = qt.limit(BROADCAST_MAX_ROWS + 1).count() <= BROADCAST_MAX_ROWS
+    small = fits_broadcast(qt)
     bc = F.broadcast if small else (lambda d: d)
     qterms = bc(qt.select("term").distinct())
     st = (stats if stats is not None else index_stats(chunks, postings)).first()

@@ -6,7 +6,6 @@ These are the same functions the streaming runner applies per micro-batch.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.operators.extract import extract
@@ -16,7 +15,6 @@ from quarry.sources.fixtures import parsed_manuals
 from quarry.sources.tables import materialize
 
 
-
 def extract_stage(parsed: DataFrame, spec=None, text_col: str = "document") -> DataFrame:
     """Stage 2: (path, file_name, file_size, ai_result)."""
     return extract(parsed.select("path", "file_name", "file_size", text_col), text_col,
@@ -42,8 +40,3 @@ def manuals_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The processed catalog as a table: built once per session and data folder, then read."""
     return materialize(lambda: manuals_processed(spark, sf_dir), "processed", scope=sf_dir, spark=spark)
 
-
-def with_comments(df: DataFrame, schema: T.StructType = PROCESSED_SCHEMA) -> DataFrame:
-    """Attach column comments as metadata (they survive saveAsTable)."""
-    return df.select(*[F.col(f.name).alias(f.name, metadata=f.metadata) if f.name in df.columns else F.col(f.name)
-                       for f in schema.fields])

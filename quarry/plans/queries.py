@@ -38,8 +38,9 @@ SPEED_THRESHOLD = 1800
 BATTERIES = ["GBA-18"]
 VOLTAGE = 18.0
 FIXTURE_MAKERS = [f"Brand#{i}" for i in range(1, 21)]
-PROFILE_COLS = ["manufacturer", "product_type", "rated_voltage_v", "max_torque_nm", "no_load_speed_high_rpm",
-                "weight_kg", "compatible_batteries"]
+PROFILE_COLS = ["manufacturer", "model_number", "product_name", "product_type", "rated_voltage_v", "max_torque_nm",
+                "no_load_speed_low_rpm", "no_load_speed_high_rpm", "weight_kg", "compatible_batteries",
+                "compatible_chargers"]
 MENTION_SQL = """CASE k % 4
   WHEN 0 THEN upper(p_name)
   WHEN 1 THEN concat(substr(p_name, 1, (k % length(p_name))), substr(p_name, (k % length(p_name)) + 2))
@@ -59,7 +60,7 @@ def _typed(spark, sf, names):
     m = parsed_manuals(spark, sf)
     out = extract_typed(m, "document", spec_subset(names))
     schema = {f.name: f.dataType for f in PROCESSED_SCHEMA.fields}
-    return out.select("file_name", *[F.col(n).cast(schema[n]).alias(n) for n in names])
+    return out.select("file_name", *[F.col(n).try_cast(schema[n]).alias(n) for n in names])
 
 
 # ------------------------------------------------------------------ extraction (X, P5, P6, D5)
@@ -170,7 +171,13 @@ def plausibility(spark, sf):
 
 @query
 def grounding(spark, sf):
-    return EV.grounding(_joined(spark, sf))
+    """Every tenth record names a maker that its text does not hold, every tenth a model cut by one character."""
+    j = _joined(spark, sf)
+    k = F.substring("file_name", 5, 6).cast("int") % 10
+    j = j.withColumn("manufacturer", F.when(k == 3, F.lit("Nobrand")).otherwise(F.col("manufacturer"))) \
+        .withColumn("model_number", F.when(k == 7, F.expr("left(model_number, length(model_number) - 1)"))
+                    .otherwise(F.col("model_number")))
+    return EV.grounding(j)
 
 
 def _scored(spark, sf):
@@ -449,7 +456,7 @@ from quarry.sources.tables import column_comments, ensure_namespace, save_table
 from quarry.plans.specs import PROCESSED_COMMENT  # noqa: E402
 from quarry.streaming import pipeline as SP  # noqa: E402
 
-INGEST_FOLDER = "/Volumes/ingest/productmanuals"
+INGEST_FOLDER = "/ingest/productmanuals"
 PAYLOADS_SQL = """
 SELECT doc_id AS seq,
   concat('doc_', source, CASE lang WHEN 'en' THEN '.pdf' WHEN 'de' THEN '.PDF' ELSE '.txt' END) AS name,
@@ -496,7 +503,7 @@ def payload_rejects(spark, sf):
 
 
 def _saved_catalog(spark, sf):
-    ensure_namespace(spark, "quarry")
+    ensure_namespace(spark, "quarry", scratch_path(spark, "database"))
     name = f"quarry.processed_{uuid.uuid4().hex[:10]}"
     save_table(catalog.manuals_processed(spark, sf), name, PROCESSED_SCHEMA, PROCESSED_COMMENT,
                path=scratch_path(spark, "tables"))

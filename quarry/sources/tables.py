@@ -23,10 +23,13 @@ def ensure_namespace(spark: SparkSession, database: str, location: str | None =
 
 
 def enforce_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Select the declared columns in declared order, cast to the declared types (K4)."""
+    """Select the declared columns in declared order, cast to the declared types (K4).
+
+    A value that does not fit its type becomes NULL and never ends the job; ``flatten`` reports such fields.
+    """
     cols = []
     for field in schema.fields:
-        c = F.col(field.name).cast(field.dataType)
+        c = F.col(field.name).try_cast(field.dataType)
         comment = (field.metadata or {}).get("comment")
         cols.append(c.alias(field.name, metadata={"comment": comment}) if comment else c.alias(field.name))
     return df.select(*cols)

@@ -18,6 +18,7 @@ from quarry.operators.extract import extract
 from quarry.operators.flatten import flatten
 from quarry.operators.parse import document_text, to_document
 from quarry.plans.specs import EXTRACT_COMMENT, PARSED_COMMENT, PROCESSED_COMMENT, PROCESSED_SCHEMA, PRODUCT_SPEC
+from quarry.sources.tables import ensure_namespace
 
 STAGE_COMMENTS = {"parsed": PARSED_COMMENT, "extract": EXTRACT_COMMENT, "processed": PROCESSED_COMMENT}
 
@@ -81,7 +82,7 @@ def run_pipeline(spark: SparkSession, input_path: str, workdir: str, input_schem
     if prefix:
         db = f"{database}." if database else ""
         if database:
-            spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+            ensure_namespace(spark, database, f"{workdir}/database")
         for stage, path in out.items():
             register_table(spark, f"{db}{prefix}_productmanuals_{stage}", path, STAGE_COMMENTS[stage])
     return out

@@ -266,3 +266,88 @@ def test_no_machine_local_scratch_on_a_cluster():
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         ensure_checkpoint_dir(Session())
+
+
+def test_sections_of_every_spelling_and_preamble(spark):
+    from quarry.operators.sections import sections
+
+    text = "Model: PRE\r\n[EN]\r\nBrand: B1\r\n[de]\r\nBrand: DE\r\n[en-US]\r\nType: drill\r\n[fr]\r\n[en]\nRated voltage: 18 V"
+    df = spark.createDataFrame([(1, text), (2, "[de]\nModel: X"), (3, None), (4, "Model: M\r\nRated voltage: 12 V")], "id int, t string")
+    spec = spec_subset(["model_number", "manufacturer", "product_type", "rated_voltage_v"])
+    got = {r.id: tuple(r)[2:] for r in extract_typed(df, "t", spec).collect()}
+    assert got[1] == ("PRE", "B1", "drill", 18.0)
+    assert got[2] == got[3] == (None, None, None, None)
+    assert got[4] == ("M", None, None, 12.0)
+    rows = sorted((r.section_no, r.lang, r.text) for r in sections(df, ["id"], "t").filter("id = 1").collect())
+    assert rows == [(-1, None, "Model: PRE"), (0, "en", "Brand: B1"), (1, "de", "Brand: DE"), (2, "en-us", "Type: drill"),
+                    (3, "fr", ""), (4, "en", "Rated voltage: 18 V")]
+
+
+def test_numbers_dashes_thousands_suffixes_and_long_labels(spark):
+    rows = [(1, "Low gear: 0–450 rpm\nHigh gear: 0-1,800 rpm\nMax torque hard/soft: 55/20 Nm"), (2, "Rated voltage: 18D V"),
+            (3, "High gear: 0 - 1 800 000 rpm"), (4, "High gear: 0-9999999999 rpm\nMax torque soft/hard: 20/55 Nm")]
+    df = spark.createDataFrame(rows, "file_name string, t string")
+    names = ["rated_voltage_v", "max_torque_nm", "no_load_speed_low_rpm", "no_load_speed_high_rpm"]
+    got = {r.file_name: r for r in extract_typed(df, "t", spec_subset(names)).collect()}
+    assert got["1"][2:] == (None, 55.0, 450.0, 1800.0)
+    assert got["2"].rated_voltage_v is None and got["3"].no_load_speed_high_rpm is None
+    assert got["4"].max_torque_nm == 55.0
+    typed = extract(df, "t", PRODUCT_SPEC)
+    out = {r.file_name: r for r in flatten(typed, "ai_result", PROCESSED_SCHEMA, keys=["file_name"]).collect()}
+    assert out["4"].no_load_speed_high_rpm is None and out["4"].cast_errors == ["no_load_speed_high_rpm"]
+    label = "L" * 200
+    spec = [FieldSpec("x", labels=(label,))]
+    assert extract_typed(spark.createDataFrame([(label + ": v",)], "t string"), "t", spec).first().x == "v"
+
+
+def test_declared_schema_never_aborts(spark):
+    from pyspark.sql import types as T
+
+    from quarry.sources.tables import enforce_schema
+
+    schema = T.StructType([T.StructField("a", T.IntegerType())])
+    assert enforce_schema(spark.sql("SELECT 9999999999.0D AS a"), schema).first().a is None
+
+
+def test_grounding_on_token_boundaries_and_whole_text(spark):
+    text = "[en]\n" + "filler " * 2000 + "\nRated voltage: 15 V\nModel: AB-12\n[de]\nMax torque 77"
+    base = {f: None for f in FIELD_NAMES}
+    rows = [dict(base, rated_voltage_v=15.0, model_number="AB-12"), dict(base, rated_voltage_v=5.0),
+            dict(base, model_number="AB-1"), dict(base, max_torque_nm=77.0)]
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in PROCESSED_SCHEMA.fields)
+    df = spark.createDataFrame([(str(i), *[r[f] for f in FIELD_NAMES]) for i, r in enumerate(rows)], schema) \
+        .withColumn("source_text", F.lit(text))
+    got = {r.file_name: r.ungrounded_fields for r in EV.grounding(df).collect()}
+    assert got == {"0": "", "1": "rated_voltage_v", "2": "model_number", "3": "max_torque_nm"}
+
+
+def test_english_compliance_both_ways(spark):
+    names = {"Drill No. 2": True, "Die grinder": True, "Pour spout": True, "充電式ドライバドリル": False, "Schlüssel": False,
+             "Bohrer mit Koffer": False, None: True}
+    df = spark.createDataFrame([(n,) for n in names], "product_name string")
+    s = EV.english_compliance(["product_name"])
+    assert dict(df.select("product_name", s.value).collect()) == names
+
+
+def test_nested_responses_and_falsy_values(spark):
+    cases = [({"predictions": [{"output": [{"outputs": [{"text": "x"}]}]}]}, "x"),
+             ({"predictions": [{"outputs": [{"text": " "}], "output": [{"text": "second"}]}]}, "second"),
+             ({"id": 0, "output": []}, '{"id":0,"output":[]}'),
+             ({"id": "r", "outputs": "", "output": []},
+              "The agent endpoint returned no output items (empty output list). response id='r'")]
+    df = spark.createDataFrame([(i, json.dumps(c)) for i, (c, _) in enumerate(cases)], "i int, j string")
+    got = dict(L.flatten_responses(df, "j").select("i", "content").collect())
+    assert [got[i] for i in range(len(cases))] == [w for _, w in cases]
+
+
+def test_building_a_spread_plan_starts_no_job(spark):
+    from quarry.operators.partitioning import spread
+
+    tracker = spark.sparkContext.statusTracker()
+    left, right = spark.range(1000).repartition(4), spark.range(50).repartition(3)
+    spark.sparkContext.setJobGroup("plan-only", "plan-only")
+    try:
+        spread(left.hint("merge").join(right, "id", "left_anti"))
+        assert list(tracker.getJobIdsForGroup("plan-only")) == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
