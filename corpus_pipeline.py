@@ -25,8 +25,11 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first document of each near-duplicate component."""
-    return near_dedup.keep_first(docs)
+    """The first document of each near-duplicate component: five-word shingles, similarity from 0.80.
+
+    65 bands of 8 values miss a pair at 0.80 in 7 of 1 000 000 cases.
+    """
+    return near_dedup.keep_first(docs, percent=80, band_rows=8)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

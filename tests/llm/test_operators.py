@@ -194,6 +194,16 @@ def test_near_dedup_groups_and_hostile_rows(spark, hostile):
     assert near_dedup.near_duplicates(hostile.limit(0)).count() == 0
 
 
+def test_near_dedup_stage_links_from_080(spark):
+    rows = []
+    for k, (n, kept) in enumerate([(94, 1), (93, 2), (100, 1)]):  # similarities of 80/100, 79/99 and 86/106
+        words = [f"w{k}x{i}" for i in range(n)]
+        rows += [(10 * k, " ".join(words), kept), (10 * k + 1, " ".join(words[:20] + ["a"] + words[21:60] + ["b"] + words[61:]), kept)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    got = sorted(r["doc_id"] for r in corpus_pipeline.near_dedup_stage(spark, docs, SMALL).collect())
+    assert got == [d for d, _, kept in rows if d % 10 < kept]
+
+
 def test_topk_edges(spark):
     rows = [(0, [1.0, 0.5]), (1, [1.0, 0.5]), (2, None), (3, [float("nan"), 1.0]), (4, [1.0, None]), (5, []), (6, [2.0]), (7, [-1.0, -1.0]),
             (8, [1.0, 0.5]), (None, [9.0, 9.0]), (100, [0.0, 0.0])]
