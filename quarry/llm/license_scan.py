@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import WHITE, ascii_lower, col, words, write_scratch
+from quarry.llm.common import ascii_lower, col, write_scratch
 
 # Marker words and one-line notices by licence.
 MARKERS = r"(?i)licen[cs]|copyright|spdx|warrant|rights reserved|creative commons|public domain|redistribut|permission is hereby"
@@ -114,9 +114,3 @@ def scan_licences(files: DataFrame, id_col: str, path: Column, text_col: str = "
     inherits = F.col("own_licence").isNull()
     return out.select(F.col("id").alias(id_col), "path", "own_licence", "score", F.coalesce("own_licence", "dir_licence").alias("licence"),
                       F.when(inherits, F.col("above")).alias("from_dir"))
-
-
-def first_line_notice(text: Column, most_words: int = 60) -> Column:
-    """A short file whose first line with a word holds a licence marker."""
-    first = F.element_at(F.split(F.btrim(text, F.lit(WHITE)), "\n", -1), 1)
-    return first.rlike(MARKERS) & (F.size(words(text)) <= most_words)

@@ -31,7 +31,7 @@ def piece_model() -> str:
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
     path = F.concat_ws("/", F.coalesce("source", F.lit("-")), F.coalesce("lang", F.lit("-")), F.col("doc_id").cast("string"))
-    return license_scan.scan_licences(docs, "doc_id", path, is_licence_file=license_scan.first_line_notice(F.col("text")))
+    return license_scan.scan_licences(docs, "doc_id", path, is_licence_file=F.col("text").rlike(license_scan.MARKERS))
 
 
 def op3_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -278,6 +278,23 @@ def test_licences(spark, hostile):
     assert QUERIES["op2_license_scan"](spark, SMALL).filter("own_licence IS NOT NULL").count() > 0
 
 
+def test_licence_query_inherits(spark, docs):
+    rows = {r["doc_id"]: r for r in QUERIES["op2_license_scan"](spark, SMALL).collect()}
+    flat = lambda line: " ".join(re.findall("[a-z0-9]+", line.lower()))
+    notices = {flat(line): name for name, line in license_scan.TEMPLATES}
+    own = {d: {notices[flat(x)] for x in t.split("\n") if flat(x) in notices} for d, t in docs.items()}
+    assert any(own.values()) and all(rows[d]["own_licence"] in names for d, names in own.items() if names)
+    votes = {}
+    for r in rows.values():
+        if r["own_licence"]:
+            votes.setdefault(r["path"].rsplit("/", 1)[0], []).append(r["own_licence"])
+    for r in rows.values():
+        above = r["path"].rsplit("/", 1)[0]
+        said = min(votes.get(above, []), key=lambda x: (-votes[above].count(x), x), default=None)
+        assert (r["licence"], r["from_dir"]) == ((r["own_licence"], None) if r["own_licence"] else (said, above if said else None))
+    assert any(r["from_dir"] for r in rows.values())
+
+
 def test_pipeline_by_stages(spark, docs):
     """Each stage against plain Python on what its predecessor kept; the last packs all that is left."""
     from tokenizers import Tokenizer
