@@ -1,13 +1,15 @@
 """Licence scan: TF-IDF cosine of header lines to templates, then directory inheritance (native).
 
-1. Every line of every text that holds a licence marker is a header line; equal
-   lines are one row with their number of documents, so a notice in a third of
-   all files is scored once.
+1. Every line of every text that holds a licence marker is a header line. It is
+   scored alone, joined with the line before, the line after and both, and, if
+   it is longer than every template, in windows of the templates' lengths. A
+   licence file's whole text is one more header. Equal headers are one row, so
+   a notice in a third of all files is scored once.
 2. Words are weighted by term count times inverse document frequency, counted
    over the header lines of all files. The cosine to each template line is a
    sparse product: a join on words with the template vectors (a fixed table),
-   summed per line and template. A line takes its best template if the cosine
-   reaches ``threshold``; a file takes its best line's.
+   summed per header and template. A header takes its best template if the
+   cosine reaches ``threshold``; a file takes its best header's.
 3. Directories get the licence of the licence files directly in them (the most
    frequent, ties by name). A file without its own licence takes that of the
    nearest directory above it that has one. Ancestors are joined per distinct
@@ -20,13 +22,16 @@ repeated rows each get a result; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import ascii_lower, col, write_scratch
+from quarry.llm.common import ascii_lower, col, let, write_scratch
 
 # Marker words and one-line notices by licence.
 MARKERS = r"(?i)licen[cs]|copyright|spdx|warrant|rights reserved|creative commons|public domain|redistribut|permission is hereby"
+SPLIT_MARKERS = MARKERS.replace(" ", r"\s+")  # also across a line end
 TEMPLATES = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0"),
     ("Apache-2.0", "SPDX-License-Identifier: Apache-2.0"),
@@ -35,7 +40,9 @@ TEMPLATES = (
     ("CC-BY-4.0", "Licensed under a Creative Commons Attribution 4.0 International License"),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0"),
     ("CC0-1.0", "Released into the public domain under the Creative Commons CC0 1.0 Universal dedication"),
+    ("GPL-2.0", "GNU General Public License Version 2, June 1991"),
     ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2"),
+    ("GPL-3.0", "GNU General Public License Version 3, 29 June 2007"),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3"),
     ("LGPL-3.0", "Licensed under the GNU Lesser General Public License, version 3"),
     ("MIT", "Released under the MIT License"),
@@ -58,24 +65,62 @@ def _vectors(lines: DataFrame, idf: DataFrame, n: Column) -> DataFrame:
     return weighted.join(norms, "key").select("key", "term", (F.col("w") / F.col("norm")).alias("w"))
 
 
-def header_licences(files: DataFrame, text_col: str = "text", templates=TEMPLATES, threshold: float = 0.6) -> tuple[DataFrame, Column]:
-    """((header, licence, score) of every distinct header line that reaches the threshold, the expression of a line's header)."""
+def _flat(text: Column) -> Column:
+    return F.array_join(_terms(text), " ")
+
+
+def _headers(text: Column, whole: Column, templates) -> Column:
+    """The distinct headers of a text as strings of terms; no header if it holds no marker, but for a ``whole`` text itself."""
+    none = F.array().cast("array<string>")
+    sizes = sorted({len(re.findall("[a-z0-9]+", line.lower())) for _, line in templates})
+
+    def windows(line: Column) -> Column:
+        # Runs of a template's length in a line longer than any template.
+        terms = F.split(_flat(line), " ")
+
+        def cut(t: Column, k: int) -> Column:
+            return F.transform(F.sequence(F.lit(1), F.size(t) - k + 1), lambda i: F.array_join(F.slice(t, i, k), " "))
+
+        runs = let(terms, lambda t: F.when(F.size(t) > max(sizes, default=0), F.flatten(F.array(*[cut(t, k) for k in sizes]))))
+        return F.coalesce(F.filter(runs, lambda r: r.rlike(MARKERS)), none)
+
+    def of(lines: Column) -> Column:
+        def near(line: Column, i: Column) -> Column:
+            before, after = F.get(lines, i - 1), F.get(lines, i + 1)
+            pair, three = F.concat_ws(" ", line, after), F.concat_ws(" ", before, line, after)
+            return F.when(line.rlike(MARKERS), F.concat(F.transform(F.array(line, F.concat_ws(" ", before, line), pair, three), _flat), windows(line))) \
+                .when(pair.rlike(SPLIT_MARKERS), F.array(_flat(pair))).otherwise(none)
+        return F.flatten(F.transform(lines, near))
+
+    found = F.when(text.rlike(SPLIT_MARKERS), let(F.split(text, "\n", -1), of)).otherwise(none)
+    return F.array_distinct(F.concat(found, F.when(whole, F.array(_flat(text))).otherwise(none)))
+
+
+def header_licences(files: DataFrame, text_col: str = "text", templates=TEMPLATES, threshold: float = 0.6,
+                    whole: Column | None = None) -> tuple[DataFrame, Column]:
+    """((header, licence, score) of every distinct header that reaches the threshold, the expression of a text's headers).
+
+    Headers go by the md5 of their terms. ``whole``: texts whose whole term vector is scored too.
+    """
     spark = files.sparkSession
-    lines = files.select(F.explode(F.split(col(text_col), "\n", -1)).alias("line")).filter(F.col("line").rlike(MARKERS))
-    header = F.array_join(_terms(F.col("line")), " ")
-    distinct = write_scratch(lines.select(header.alias("header")).groupBy("header").agg(F.count("*").alias("n")), "headers")
-    own = distinct.select(F.col("header").alias("key"), F.split("header", " ").alias("terms"), "n")
-    n = distinct.agg(F.coalesce(F.sum("n"), F.lit(0))).collect()[0][0]
-    idf = own.select(F.explode(F.array_distinct("terms")).alias("term"), "n").groupBy("term").agg(F.sum("n").alias("df"))
+    text = col(text_col)
+    lines = files.select(F.explode(F.split(text, "\n", -1)).alias("line")).filter(F.col("line").rlike(MARKERS))
+    weighed = write_scratch(lines.select(_flat(F.col("line")).alias("header")).groupBy("header").agg(F.count("*").alias("n")), "headers")
+    n = weighed.agg(F.coalesce(F.sum("n"), F.lit(0))).collect()[0][0]
+    idf = weighed.select(F.explode(F.array_distinct(F.split("header", " "))).alias("term"), "n").groupBy("term").agg(F.sum("n").alias("df"))
     idf = write_scratch(idf, "header-df")
     table = spark.createDataFrame([(str(k), licence, line) for k, (licence, line) in enumerate(templates)], "key string, licence string, line string")
     model = _vectors(table.select("key", _terms(F.col("line")).alias("terms")), idf, F.lit(n))
     model = model.select(F.col("key").alias("template"), "term", F.col("w").alias("v")).join(table.select(F.col("key").alias("template"), "licence"), "template")
+    headers = _headers(text, F.lit(False) if whole is None else whole, templates)
+    own = files.select(F.explode(headers).alias("header")).groupBy(F.md5("header").alias("key")).agg(F.first("header").alias("header"))
+    own = own.select("key", F.split("header", " ").alias("terms"))
     cosine = _vectors(own, idf, F.lit(n)).join(F.broadcast(model), "term") \
         .groupBy("key", "template", "licence").agg(F.round(F.sum(F.col("w") * F.col("v")), 6).alias("score")) \
         .filter(F.col("score") >= threshold)
     best = cosine.groupBy("key").agg(F.min(F.struct((-F.col("score")).alias("neg"), "licence")).alias("b"))
-    return best.select(F.col("key").alias("header"), F.col("b.licence").alias("licence"), (-F.col("b.neg")).alias("score")), header
+    keys = F.transform(headers, F.md5)
+    return best.select(F.col("key").alias("header"), F.col("b.licence").alias("licence"), (-F.col("b.neg")).alias("score")), keys
 
 
 def scan_licences(files: DataFrame, id_col: str, path: Column, text_col: str = "text", is_licence_file: Column | None = None,
@@ -91,11 +136,12 @@ def scan_licences(files: DataFrame, id_col: str, path: Column, text_col: str = "
     rows = files.select(col(id_col).alias("id"), path.alias("path"), col(text_col).alias("text"), F.coalesce(flag, F.lit(False)).alias("flag"))
     rows = rows.withColumn("dir", F.when(F.col("path").contains("/"), F.regexp_replace("path", "/[^/]*$", "")).otherwise(
         F.when(F.col("path").isNotNull(), F.lit(""))))
-    scored, header = header_licences(rows, "text", templates, threshold)
+    # Texts that can have a header, found by one scan.
+    marked = write_scratch(rows.filter(F.col("flag") | F.col("text").rlike(SPLIT_MARKERS)).select("id", "path", "text", "flag"), "marked")
+    scored, headers = header_licences(marked, "text", templates, threshold, F.col("flag"))
     scored = write_scratch(scored, "scored-headers")
     # A file's distinct headers; a repeated id with another path is another file.
-    held = rows.select("id", "path", F.explode(F.split("text", "\n", -1)).alias("line")).filter(F.col("line").rlike(MARKERS)) \
-        .select("id", "path", header.alias("header"))
+    held = marked.select("id", "path", F.explode(headers).alias("header"))
     own = held.join(scored, "header").groupBy("id", "path").agg(F.min(F.struct((-F.col("score")).alias("neg"), "licence")).alias("b"))
     own = own.select(F.col("id").alias("o_id"), F.col("path").alias("o_path"), F.col("b.licence").alias("own_licence"), (-F.col("b.neg")).alias("score"))
     slim = rows.select("id", "path", "dir", "flag")

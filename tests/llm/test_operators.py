@@ -278,6 +278,19 @@ def test_licences(spark, hostile):
     assert QUERIES["op2_license_scan"](spark, SMALL).filter("own_licence IS NOT NULL").count() > 0
 
 
+def test_licence_blocks(spark):
+    prose = " ".join(f"word{i}" for i in range(300))
+    rows = [(1, "a/LICENSE", "GNU GENERAL PUBLIC LICENSE\n   Version 3, 29 June 2007\n" + prose), (2, "a/x.c", "int x;"),
+            (3, "b/LICENSE", "GNU GENERAL PUBLIC LICENSE\n   Version 2, June 1991\n" + prose), (4, "b/y.c", "int y;"),
+            (5, "c/z.c", f"{prose} This work is licensed under the GNU General Public License, version 2 {prose}"),
+            (6, "d/w.c", "# Redistribution and use in source and\n# binary forms, with or without modification,\n# are permitted"),
+            (7, "e/LICENSE", "This\nSource Code\nForm is subject to\nthe terms of the Mozilla\nPublic\nLicense,\nversion\n2.0"), (8, "f/v.c", prose)]
+    files = spark.createDataFrame(rows, "doc_id long, path string, text string")
+    got = {r["doc_id"]: (r["own_licence"], r["licence"]) for r in license_scan.scan_licences(files, "doc_id", F.col("path")).collect()}
+    assert got == {1: ("GPL-3.0",) * 2, 2: (None, "GPL-3.0"), 3: ("GPL-2.0",) * 2, 4: (None, "GPL-2.0"), 5: ("GPL-2.0",) * 2,
+                   6: ("BSD-3-Clause",) * 2, 7: ("MPL-2.0",) * 2, 8: (None, None)}
+
+
 def test_licence_query_inherits(spark, docs):
     rows = {r["doc_id"]: r for r in QUERIES["op2_license_scan"](spark, SMALL).collect()}
     flat = lambda line: " ".join(re.findall("[a-z0-9]+", line.lower()))
