@@ -2,10 +2,25 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import language_crf, license_scan, line_dedup, near_dedup, packing, pieces, quality, secret_scan, token_files, topk
+from quarry.llm import (
+    collocations,
+    language_crf,
+    license_scan,
+    line_dedup,
+    near_dedup,
+    onebit,
+    packing,
+    periodic_runs,
+    pieces,
+    quality,
+    secret_scan,
+    token_files,
+    topk,
+)
+from quarry.llm.common import let, words
 from quarry.llm.sql import SQL
 from quarry.session import scratch_path
 from quarry.sources.tables import read_table
@@ -98,6 +113,38 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read_table(spark, sf_dir, "documents"))
+
+
+def planted_text(doc_id: Column, text: Column) -> Column:
+    """The text; for one document in ten, its words from a on repeat their first p (a and p from the id's crc32)."""
+    def planted(w: Column) -> Column:
+        n, h = F.size(w).cast("long"), F.crc32(doc_id.cast("string"))
+        g = F.floor(h / 10)
+        a = g % n
+        p = F.lit(1) + F.floor((n - a) / (3 + g % 8))
+        return F.array_join(F.transform(F.sequence(F.lit(0).cast("long"), n - 1), lambda i: F.get(
+            w, F.when(i < a, i).otherwise(a + (i - a) % p).cast("int"))), " ")
+
+    return F.when((F.crc32(doc_id.cast("string")) % 10 == 0) & (F.size(words(text)) > 0), let(words(text), planted)).otherwise(text)
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", planted_text(F.col("doc_id"), F.col("text")).alias("text"))
+    found = periodic_runs.find_runs(docs, keep=["doc_id"]).withColumn("best", periodic_runs.strongest(F.col("runs")))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+def op13_one_bit_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return onebit.nearest_neighbours(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_license_scan": op2_license_scan,
@@ -109,6 +156,9 @@ QUERIES = {
     "op8_pieces": op8_pieces,
     "op9_language_id": op9_language_id,
     "op10_line_dedup": op10_line_dedup,
+    "op11_phrase_collocations": op11_phrase_collocations,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_one_bit_neighbours": op13_one_bit_neighbours,
 }
 
 ORACLE = {k: v for k, v in SQL.items() if k in QUERIES}

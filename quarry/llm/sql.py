@@ -81,4 +81,36 @@ SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (gone)::BIGINT AS n_
 FROM marked GROUP BY doc_id
 """
 
-SQL = {"op3_exact_topk": OP3, "op6_quality_rules": OP6, "op7_minhash_dedup": OP7, "op10_line_dedup": OP10}
+OP11 = f"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, doc_id, unnest(string_split_regex({FOLD.format("coalesce(text, '')")}, '[.,;:!?\\x0A-\\x0D]')) AS piece
+    FROM documents),
+w AS (
+    SELECT lang, list_filter(string_split_regex(piece, '[\\x20\\x09]+'), lambda x: x <> '') AS words FROM pieces),
+grams AS (
+    SELECT lang, m, list_aggregate(words[i:i + m - 1], 'string_agg', ' ') AS phrase
+    FROM (SELECT lang, words, m, unnest(range(1, len(words) - m + 2)) AS i FROM w, range(1, 5) t(m) WHERE len(words) >= m)),
+f AS (SELECT lang, m, phrase, count(*) AS f FROM grams GROUP BY ALL),
+n AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE m = 1 GROUP BY lang),
+cand AS (SELECT lang, m, phrase, f AS a, string_split(phrase, ' ') AS words FROM f WHERE m > 1 AND f >= 30),
+inner_parts AS (
+    SELECT DISTINCT lang, list_aggregate(words[i:i + k - 1], 'string_agg', ' ') AS phrase, a AS longer
+    FROM (SELECT *, unnest(range(1, m - k + 2)) AS i FROM (SELECT *, unnest(range(2, m)) AS k FROM cand WHERE m > 2))),
+dropped AS (
+    SELECT DISTINCT c.lang, c.phrase FROM cand c JOIN inner_parts p USING (lang, phrase) WHERE 100 * p.longer::HUGEINT >= 80 * c.a::HUGEINT),
+cuts AS (
+    SELECT lang, phrase, a, k, list_aggregate(words[1:k], 'string_agg', ' ') AS head, list_aggregate(words[k + 1:m], 'string_agg', ' ') AS tail
+    FROM (SELECT *, unnest(range(1, m)) AS k FROM cand)),
+scored AS (
+    SELECT c.lang, c.phrase, c.a, c.k, x.f AS l, y.f AS r, ((2000000::HUGEINT * c.a) // (x.f + y.f))::BIGINT AS score
+    FROM cuts c JOIN f x ON x.lang = c.lang AND x.phrase = c.head JOIN f y ON y.lang = c.lang AND y.phrase = c.tail),
+best AS (
+    SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS p FROM scored) WHERE p = 1),
+ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+    FROM best ANTI JOIN dropped USING (lang, phrase))
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN n USING (lang) WHERE rank <= 2000
+"""
+
+SQL = {"op3_exact_topk": OP3, "op6_quality_rules": OP6, "op7_minhash_dedup": OP7, "op10_line_dedup": OP10,
+       "op11_phrase_collocations": OP11}
