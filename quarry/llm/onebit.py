@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 
 from quarry.llm.common import col, write_scratch
 
-GROUP = 16_384
+GROUP = 4_096
 QUERIES = 256
 BLOCK = "block int, dim int, ids binary, vecs binary"
 

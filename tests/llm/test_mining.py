@@ -10,6 +10,7 @@ import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from quarry.llm import collocations, onebit, periodic_runs
 from quarry.llm.queries import QUERIES
@@ -168,8 +169,7 @@ def test_runs_of_hostile_rows(spark, hostile):
 
 
 def test_strongest_run_compares_exactly(spark):
-    df = spark.sql("SELECT array(struct(0L AS start, 24L AS length, 5L AS period), struct(9L, 48L, 10L), struct(3L, 48L, 10L)) AS runs, "
-                   "filter(array(struct(0L AS start, 1L AS length, 1L AS period)), x -> false) AS none")
+    df = spark.createDataFrame([([(0, 24, 5), (9, 48, 10), (3, 48, 10)], [])], StructType([StructField(c, periodic_runs.RUNS) for c in ("runs", "none")]))
     best, none = df.select(periodic_runs.strongest(F.col("runs")), periodic_runs.strongest(F.col("none"))).first()
     assert tuple(best) == (0, 24, 5) and none is None
 
