@@ -6,30 +6,37 @@ text is a join of byte strings. Words of equal length form one matrix and
 advance together; the hash of a substring comes from prefix hashes and is
 looked up among the sorted hashes of the pieces.
 
-Two segmentations over the same tables:
-
-* ``viterbi``: the segmentation of the greatest score sum (ties: the longest
-  last piece), by position, with vectorised maxima and backpointers. This is
-  the segmentation of unigram piece files.
-* ``merges``: repeatedly the adjacent pair whose union has the best score
-  (ties: the leftmost), for all words of a length at once. This is the
-  segmentation of piece files whose scores are merge ranks (type BPE); the
-  greatest score sum would be another segmentation there.
+Both segmentations are one recurrence by position with vectorised maxima and
+backpointers; they differ in what a step counts:
+
+* ``scores`` (unigram piece files): the piece's score; the greatest sum wins,
+  ties to the longest last piece.
+* ``ranks`` (piece files of merge ranks, type BPE): 0 if the piece may follow
+  the last piece of the best path at its start, else minus infinity. Two pieces
+  may stand side by side if merging their characters ends in just these two;
+  this is read off by undoing the later of their last merges, step by step, and
+  looking for an earlier merge across the border. A path whose neighbours all
+  may stand side by side is what merging the whole word gives, and each prefix
+  of a word has exactly one, so the maximum over the starts is unique.
 
 Characters without a piece become their UTF-8 byte pieces (or the unknown id).
 Decoding joins pieces, bytes and blanks and drops the blank put in front.
 
 Defined results: null or empty text has no ids; the blank mark in a text
-decodes as a blank; words beyond ``LONG`` characters take the same steps one by
-one; other columns are not read.
+decodes as a blank; words beyond ``LONG`` characters take the same recurrence
+one by one, and long texts go through in batches of whole words, so that no
+result depends on a length; repeated rows are coded each; an empty table gives
+an empty table; other columns are not read.
 """
 
 from __future__ import annotations
 
 import heapq
 import re
+import zlib
 from array import array
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -38,18 +45,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.llm.common import col
-from quarry.llm.tokens import slices
 
 MARK = "▁"
 WORD = re.compile(f"\n|{MARK}+[^{MARK}\n]*|[^{MARK}\n]+")
 LONG = 64
 CACHE = 200_000
-GROUP = 20_000
-SLICE = 1_000_000
+CELLS = 200_000
+BATCH = 300_000
 BASE = np.uint64(0x9E3779B97F4A7C15)
 SPREAD = np.uint64(0xD6E8FEB86659FD93)
 NONE = -np.inf
 UNSEEN = -1e12  # a character without a piece; below any sum of scores
+NEVER = 2**31 - 1  # rank of no merge
 
 
 class PieceFile:
@@ -74,14 +81,57 @@ class PieceFile:
             raise ValueError("two pieces share a hash")
         self.score_at = np.append(np.array([self.scores[p] for p in self.ids])[order], NONE)  # place -1 is the last
         self.id_at = np.append(np.array(list(self.ids.values()))[order], -1)
-        self.sieve = np.zeros(1 << 20, dtype=bool)
-        self.sieve[(self.keys * SPREAD) >> np.uint64(44)] = True
+        place = np.arange(len(self.keys), dtype=np.int32)
+        slot = (self.keys * SPREAD) >> np.uint64(44)
+        self.slots = np.full(1 << 20, -1, dtype=np.int32)
+        self.slots[slot] = place
+        self.shared_at = place[(self.slots[slot] != place) | (place == 0)]  # pieces without a slot of their own (and one more: never empty)
+        self.shared = self.keys[self.shared_at]
+        self._rank([p for _, p in sorted(zip(hashes.tolist(), self.ids, strict=True))])
         self.bytes_of = [b""] * n
         for b, i in self.byte_ids.items():
             self.bytes_of[i] = bytes([b])
         for p, i in self.ids.items():
             self.bytes_of[i] = p.replace(MARK, " ").encode()
         self.caches: dict[str, dict[str, bytes]] = {}
+        self.pairs: dict[tuple[str, str], bool] = {}
+
+    def _rank(self, pieces: list[str]) -> None:
+        """Ranks of merges (0: a character) and the two halves of each piece's last merge, by place; ``pieces`` by place."""
+        place = {p: k for k, p in enumerate(pieces)}
+        merged = [p for p in pieces if len(p) > 1]
+        self.rank_at = np.zeros(len(pieces) + 1, dtype=np.int64)
+        order = {score: k for k, score in enumerate(sorted({self.scores[p] for p in merged}, reverse=True), 1)}
+        self.rank_at[[place[p] for p in merged]] = [order[self.scores[p]] for p in merged]
+        self.rank_at[-1] = NEVER
+        self.size_at = np.array([*map(len, pieces), 0])
+        self.halves = np.full((len(pieces) + 1, 2), -1)
+        self.usable = np.ones(len(pieces) + 1, dtype=bool)
+        for p in merged:
+            cut = self._last_merge(p)
+            if cut:
+                self.halves[place[p]] = place[p[:cut]], place[p[cut:]]
+            else:  # merging its characters ends elsewhere: never a result
+                self.usable[place[p]] = False
+        self.powers = np.cumprod(np.concatenate(([np.uint64(1)], np.full(self.longest, BASE, dtype=np.uint64))), dtype=np.uint64)
+
+    def _last_merge(self, piece: str) -> int:
+        """Where the last merge of ``piece`` joins its halves; 0 if merging doesn't end in the piece."""
+        n = len(piece)
+        end, before, last = list(range(1, n + 1)), list(range(-1, n - 1)), 0
+        heap = [(-self.scores[piece[k:k + 2]], k, k + 1, k + 2) for k in range(n - 1) if piece[k:k + 2] in self.scores]
+        heapq.heapify(heap)
+        while heap:
+            _, at, middle, stop = heapq.heappop(heap)
+            if end[at] != middle or end[middle] != stop:
+                continue
+            end[at], end[middle], last = stop, 0, middle
+            if stop < n:
+                before[stop] = at
+            for left, right in ((at, stop), (before[at], at)):
+                if left >= 0 and right < n and (p := piece[left:end[right]]) in self.scores:
+                    heapq.heappush(heap, (-self.scores[p], left, right, end[right]))
+        return last if end[0] == n else 0
 
     @staticmethod
     def _hash(piece: str) -> int:
@@ -90,19 +140,23 @@ class PieceFile:
             total = (total * int(BASE) + ord(c) + 1) & (2**64 - 1)
         return total
 
-    def probe(self, h: np.ndarray) -> np.ndarray:
-        """Places of substring hashes among the sorted piece keys, -1 where there is no such piece."""
+    def probe(self, h: np.ndarray, size: np.ndarray | None = None) -> np.ndarray:
+        """Places of substring hashes (of ``size`` characters, if given) among the sorted piece keys, -1 where there is no such piece."""
         out = np.full(len(h), -1, dtype=np.int32)
-        some = np.flatnonzero(self.sieve[(h * SPREAD) >> np.uint64(44)])
-        at = np.minimum(np.searchsorted(self.keys, h[some]), len(self.keys) - 1)
+        at = self.slots[((h * SPREAD) >> np.uint64(44)).view(np.int64)]
+        some = np.flatnonzero(at >= 0)
+        at = at[some]
         hit = self.keys[at] == h[some]
+        other = np.flatnonzero(~hit)  # another piece's slot: few pieces share one
+        if len(other):
+            found = np.minimum(np.searchsorted(self.shared, h[some[other]]), len(self.shared) - 1)
+            same = self.shared[found] == h[some[other]]
+            at[other[same]], hit[other[same]] = self.shared_at[found[same]], True
+        if size is not None:
+            hit &= self.size_at[at] == size[some]
         out[some[hit]] = at[hit]
         return out
 
-    def gains(self, h: np.ndarray) -> np.ndarray:
-        """Scores of substring hashes, NONE where there is no such piece."""
-        return self.score_at[self.probe(h)]
-
     @staticmethod
     def _prefixes(words: list[str], length: int) -> tuple[np.ndarray, np.ndarray]:
         codes = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).reshape(len(words), length)
@@ -112,22 +166,47 @@ class PieceFile:
         power = np.cumprod(np.concatenate(([np.uint64(1)], np.full(length, BASE, dtype=np.uint64))), dtype=np.uint64)
         return prefix, power
 
-    def viterbi(self, prefix: np.ndarray, power: np.ndarray) -> np.ndarray:
+    def follows(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Whether merging the characters of two pieces (by place) ends in just these two."""
+        out = np.ones(len(left), dtype=bool)
+        live, a, b, limit = np.arange(len(left)), left, right, np.full(len(left), NEVER)
+        while len(live):
+            across = self.rank_at[self.probe(self.keys[a] * self.powers[self.size_at[b]] + self.keys[b], self.size_at[a] + self.size_at[b])]
+            out[live[across < limit]] = False
+            rank_a, rank_b = self.rank_at[a], self.rank_at[b]
+            go = (across >= limit) & ((rank_a > 0) | (rank_b > 0))
+            live, a, b, rank_a, rank_b = live[go], a[go], b[go], rank_a[go], rank_b[go]
+            undo_left = rank_a > rank_b  # the later merge; at one rank the left one came first
+            limit = np.where(undo_left, rank_a, rank_b + 1)
+            a, b = np.where(undo_left, self.halves[a, 1], a), np.where(undo_left, b, self.halves[b, 0])
+        return out
+
+    def segment(self, prefix: np.ndarray, power: np.ndarray, how: str) -> np.ndarray:
         """(words, length) end of the piece that starts at each position on the best path, 0 where none starts."""
         n, length = len(prefix), prefix.shape[1] - 1
         best = np.full((length + 1, n), NONE)
         best[0] = 0.0
         back = np.zeros((length + 1, n), dtype=np.int32)
+        last = np.full((length + 1, n), -1, dtype=np.int32)  # place of the last piece, -1 at the start and for a character without one
         columns = np.ascontiguousarray(prefix.T)
         for end in range(1, length + 1):
-            for start in range(max(0, end - self.longest), end):
-                score = self.gains(columns[end] - columns[start] * power[end - start])
-                if end - start == 1:
-                    score[score == NONE] = UNSEEN
-                total = best[start] + score
-                better = total > best[end]
-                best[end][better] = total[better]
-                back[end][better] = start
+            low = max(0, end - self.longest)
+            place = self.probe((columns[end] - columns[low:end] * power[end - low:0:-1, None]).ravel()).reshape(end - low, n)
+            some = place >= 0
+            some[-1] = True  # one character, also without a piece
+            start, row = np.nonzero(some)
+            place, start = place[start, row], start.astype(np.int32) + np.int32(low)
+            before = last[start, row]
+            if how == "scores":
+                gain = np.where(place >= 0, self.score_at[place], UNSEEN)
+            else:
+                gain = np.where(self.usable[place], 0.0, NONE)
+                both = np.flatnonzero((before >= 0) & (place >= 0))
+                gain[both[~self.follows(before[both], place[both])]] = NONE
+            total = best[start, row] + gain
+            np.maximum.at(best[end], row, total)
+            won = np.flatnonzero((total == best[end][row]) & (total > NONE))[::-1]  # at a tie the earliest start, so the longest piece
+            back[end][row[won]], last[end][row[won]] = start[won], place[won]
         ends = np.zeros((n, length), dtype=np.int64)
         live, at = np.arange(n), np.full(n, length)
         while len(live):
@@ -136,69 +215,40 @@ class PieceFile:
             live, at = live[start > 0], start[start > 0]
         return ends
 
-    def merges(self, prefix: np.ndarray, power: np.ndarray) -> np.ndarray:
-        """(words, length) end of the piece that starts at each position after all merges, 0 where none starts."""
-        n, length = len(prefix), prefix.shape[1] - 1
-        ends = np.tile(np.arange(1, length + 1), (n, 1))
-        before = np.tile(np.arange(-1, length - 1), (n, 1))
-        gain = np.full((n, length), NONE)
-        for k in range(length - 1):
-            gain[:, k] = self.gains(prefix[:, k + 2] - prefix[:, k] * power[2])
-        live = np.arange(n)
-        while len(live):
-            at = gain[live].argmax(axis=1)
-            ok = gain[live, at] > NONE
-            live, at = live[ok], at[ok]
-            middle = ends[live, at]
-            end = ends[live, middle]
-            ends[live, at], ends[live, middle] = end, 0
-            gain[live, middle] = NONE
-            inner = end < length
-            before[live[inner], end[inner]] = at[inner]
-            inside = at > 0
-            for rows, left, right in ((live, at, end), (live[inside], before[live[inside], at[inside]], at[inside])):
-                # the piece at ``left`` may merge with the one at ``right``, if there is one
-                value = np.full(len(rows), NONE)
-                has = np.flatnonzero(right < length)
-                row, lo = rows[has], left[has]
-                stop = ends[row, right[has]]
-                value[has] = self.gains(prefix[row, stop] - prefix[row, lo] * power[stop - lo])
-                gain[rows, left] = value
-        return ends
+    def _pair(self, left: str, right: str) -> bool:
+        """``follows`` for two pieces by name, remembered."""
+        known = self.pairs.get((left, right))
+        if known is None:
+            if len(self.pairs) > CACHE:
+                self.pairs.clear()
+            places = self.probe(np.array([self._hash(left), self._hash(right)], dtype=np.uint64))
+            known = self.pairs[left, right] = bool(self.follows(places[:1], places[1:])[0])
+        return known
 
     def _long(self, word: str, how: str) -> list[str]:
-        """The same segmentations for one long word."""
+        """The same recurrence for one long word."""
         n = len(word)
-        if how == "viterbi":
-            best, back = [0.0] + [NONE] * n, [0] * (n + 1)
-            for end in range(1, n + 1):
-                for start in range(max(0, end - self.longest), end):
-                    score = self.scores.get(word[start:end], UNSEEN if end - start == 1 else NONE)
-                    if best[start] + score > best[end]:
-                        best[end], back[end] = best[start] + score, start
-            out, end = [], n
-            while end:
-                out.append(word[back[end]:end])
-                end = back[end]
-            return out[::-1]
-        end, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        heap = [(-self.scores[word[k:k + 2]], k, k + 1, k + 2) for k in range(n - 1) if word[k:k + 2] in self.scores]
-        heapq.heapify(heap)
-        while heap:
-            _, at, middle, stop = heapq.heappop(heap)
-            if end[at] != middle or end[middle] != stop:
-                continue
-            end[at], end[middle] = stop, 0
-            if stop < n:
-                before[stop] = at
-            for left, right in ((at, stop), (before[at], at)):
-                if left >= 0 and right < n and (p := word[left:end[right]]) in self.scores:
-                    heapq.heappush(heap, (-self.scores[p], left, right, end[right]))
-        out, at = [], 0
-        while at < n:
-            out.append(word[at:end[at]])
-            at = end[at]
-        return out
+        best, back, last = [0.0] + [NONE] * n, [0] * (n + 1), [""] * (n + 1)
+        usable = {p for p in {word[i:j] for i in range(n) for j in range(i + 1, min(n, i + self.longest) + 1)} if p in self.scores
+                  and (how == "scores" or self.usable[self.probe(np.array([self._hash(p)], dtype=np.uint64))[0]])}
+        for end in range(1, n + 1):
+            for start in range(max(0, end - self.longest), end):
+                piece = word[start:end]
+                if piece not in usable:
+                    if end - start > 1 or piece in self.scores:
+                        continue
+                    piece, gain = "", UNSEEN if how == "scores" else 0.0
+                elif how == "scores":
+                    gain = self.scores[piece]
+                else:
+                    gain = 0.0 if not last[start] or self._pair(last[start], piece) else NONE
+                if best[start] + gain > best[end]:
+                    best[end], back[end], last[end] = best[start] + gain, start, piece
+        out, end = [], n
+        while end:
+            out.append(word[back[end]:end])
+            end = back[end]
+        return out[::-1]
 
     def _ids(self, pieces: list[str]) -> bytes:
         out = array("I")
@@ -221,10 +271,11 @@ class PieceFile:
             if length > LONG:
                 out.update((w, self._ids(self._long(w, how))) for w in group)
                 continue
-            for lo in range(0, len(group), GROUP):
-                part = group[lo:lo + GROUP]
+            most = max(1, CELLS // length)
+            for lo in range(0, len(group), most):
+                part = group[lo:lo + most]
                 prefix, power = self._prefixes(part, length)
-                ends = (self.viterbi if how == "viterbi" else self.merges)(prefix, power)
+                ends = self.segment(prefix, power, how)
                 row, start = np.nonzero(ends)
                 stop = ends[row, start]
                 ids = self.id_at[self.probe(prefix[row, stop] - prefix[row, start] * power[stop - start])]
@@ -238,30 +289,33 @@ class PieceFile:
 
     def encode(self, texts: list[str], how: str) -> Iterator[bytes]:
         """Ids of each text as little-endian unsigned 32-bit bytes."""
-        group, held = [], 0
-        for text in texts:
-            if len(text) > SLICE:  # a long text is worked through in stretches
-                yield from self._flush(group, how)
-                group, held = [], 0
-                yield b"".join(x for part in slices(MARK + text, SLICE) for x in self._flush([part], how))
-                continue
-            group.append(MARK + text if text else "")
-            held += len(text)
-            if held > SLICE:
-                yield from self._flush(group, how)
-                group, held = [], 0
-        yield from self._flush(group, how)
-
-    def _flush(self, texts: list[str], how: str) -> list[bytes]:
+        for lo in range(0, len(texts), 1000):
+            found = [WORD.finditer((MARK + t).replace(" ", MARK)) if t else iter(()) for t in texts[lo:lo + 1000]]
+            parts: list[list[bytes]] = [[] for _ in found]
+            held: list[tuple[int, list[str]]] = []
+            n = 0
+            for k, words in enumerate(found):
+                while some := [m.group() for m in islice(words, BATCH - n)]:
+                    held.append((k, some))
+                    n += len(some)
+                    if n == BATCH:
+                        self._flush(held, parts, how)
+                        held, n = [], 0
+            self._flush(held, parts, how)
+            yield from map(b"".join, parts)
+
+    def _flush(self, held: list[tuple[int, list[str]]], parts: list[list[bytes]], how: str) -> None:
+        """Add the ids of stretches of words to their texts."""
         cache = self.caches.setdefault(how, {})
-        found = [WORD.findall(t.replace(" ", MARK)) for t in texts]
-        need = set().union(*found)
+        need = set().union(*(words for _, words in held))
         missing = [w for w in need if w not in cache]
-        if len(cache) + len(missing) > CACHE:
+        if len(cache) + len(missing) > CACHE:  # words of this stretch stay, since common words are among them
+            kept = {w: cache[w] for w in need if w in cache}
             cache.clear()
-            missing = list(need)
+            cache.update(kept)
         cache.update(self.words(missing, how))
-        return [b"".join(map(cache.__getitem__, words)) for words in found]
+        for k, words in held:
+            parts[k].append(b"".join(map(cache.__getitem__, words)))
 
     def decode(self, ids: bytes) -> str:
         """The text of an id string."""
@@ -278,9 +332,9 @@ def piece_file(path: str) -> PieceFile:
     return _FILES[path]
 
 
-def encode_pieces(text: Column | str, path: str, how: str = "merges") -> Column:
-    """Column function: ids of a text column; ``how`` is ``viterbi`` (unigram files) or ``merges`` (BPE files)."""
-    if how not in ("viterbi", "merges"):
+def encode_pieces(text: Column | str, path: str, how: str = "ranks") -> Column:
+    """Column function: ids of a text column; ``how`` is ``scores`` (unigram files) or ``ranks`` (BPE files)."""
+    if how not in ("scores", "ranks"):
         raise ValueError(how)
 
     @F.arrow_udf(T.BinaryType())
@@ -291,15 +345,21 @@ def encode_pieces(text: Column | str, path: str, how: str = "merges") -> Column:
     return encode(text)
 
 
-def code_rows(docs: DataFrame, path: str, keep: list[str], text_col: str = "text", **hows: str) -> DataFrame:
-    """The columns ``keep`` and, for each name in ``hows``, the ids of the text by that segmentation, in one pass."""
+def coded_digests(docs: DataFrame, path: str, keep: list[str], text_col: str = "text", how: str = "ranks") -> DataFrame:
+    """The columns ``keep`` with n_ids, the ids' crc32 and whether they decode to the text again, in one pass that hands on no ids."""
+    digests = ["n_ids", "ids_crc32", "round_trip"]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        file = piece_file(path)
         for batch in batches:
-            rows = ["" if t is None else t for t in batch.column(batch.num_columns - 1).to_pylist()]
-            coded = [pa.array(list(piece_file(path).encode(rows, how)), pa.binary()) for how in hows.values()]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *coded], names=[*keep, *hows])
-
-    schema = T.StructType([docs.schema[c] for c in keep] + [T.StructField(c, T.BinaryType()) for c in hows])
+            for lo in range(0, batch.num_rows, 1000):
+                part = batch.slice(lo, 1000)
+                texts = ["" if t is None else t for t in part.column(part.num_columns - 1).to_pylist()]
+                rows = [(len(ids) // 4, zlib.crc32(ids), file.decode(ids) == t.replace(MARK, " ")) for t, ids in zip(texts, file.encode(texts, how), strict=True)]
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], *map(pa.array, zip(*rows, strict=True))], names=[*keep, *digests])
+
+    schema = T.StructType([docs.schema[c] for c in keep] + [T.StructField(c, t) for c, t in zip(
+        digests, (T.LongType(), T.LongType(), T.BooleanType()), strict=True)])
     return docs.select(*[col(c) for c in keep], col(text_col)).mapInArrow(run, schema)
 
 

@@ -88,16 +88,7 @@ def op7_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ids by merges (the piece file is of that type) and the Viterbi segmentation over its scores, both decoded again."""
-    text = F.coalesce("text", F.lit(""))
-    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", F.xxhash64(F.translate(text, pieces.MARK, " ")).alias("plain"))
-    path = piece_model()
-    coded = pieces.code_rows(docs, path, ["doc_id", "plain"], ids="merges", best="viterbi")
-    return coded.select(
-        "doc_id", F.expr("length(ids) div 4").alias("n_ids"), F.crc32("ids").alias("ids_crc32"),
-        (F.xxhash64(pieces.decode_pieces("ids", path)) == F.col("plain")).alias("round_trip"),
-        F.expr("length(best) div 4").alias("n_viterbi"), F.crc32("best").alias("viterbi_crc32"),
-        (F.xxhash64(pieces.decode_pieces("best", path)) == F.col("plain")).alias("viterbi_round_trip"))
+    return pieces.coded_digests(read_table(spark, sf_dir, "documents"), piece_model(), ["doc_id"])
 
 
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -232,14 +232,49 @@ def test_pieces(spark, docs):
     import sentencepiece
 
     model, file = sentencepiece.SentencePieceProcessor(model_file=piece_model()), pieces.piece_file(piece_model())
-    texts = [*docs.values(), "", " ", "a\nb  c ", "x▁y", "<s>☃ \x00 ゼ", "w" * 500 + " " + "abc" * 100]
-    assert [list(memoryview(x).cast("I")) for x in file.encode(texts, "merges")] == [model.encode(t) for t in texts]
-    for how in ("merges", "viterbi"):
+    texts = [*docs.values(), "", " ", "a\nb  c ", "x▁y", "<s>☃ \x00 ゼ", "w" * 500 + " " + "abc" * 100,
+             *(f"{c * n}b {c * n}" for c in " =-a" for n in range(1, 90))]
+    assert [list(memoryview(x).cast("I")) for x in file.encode(texts, "ranks")] == [model.encode(t) for t in texts]
+    for how in ("ranks", "scores"):
         assert [file.decode(x) for x in file.encode(texts, how)] == [t.replace("▁", " ") for t in texts]
     words = sorted({w for t in docs.values() for w in t.split()})[:400]
-    for word, raw in file.words(words, "viterbi").items():  # the scalar recurrence is the brute force
-        assert raw == file._ids(file._long(word, "viterbi"))
-    assert all(r["round_trip"] and r["viterbi_round_trip"] for r in QUERIES["op8_pieces"](spark, SMALL).collect())
+    for how in ("ranks", "scores"):
+        for word, raw in file.words(words, how).items():  # the scalar recurrence against the batched one
+            assert raw == file._ids(file._long(word, how))
+
+
+def test_pieces_of_long_texts_with_runs_of_blanks():
+    """Lengths and batches change nothing: no run of blanks and no word is cut."""
+    import sentencepiece
+
+    model, file = sentencepiece.SentencePieceProcessor(model_file=piece_model()), pieces.piece_file(piece_model())
+    text = "some  words    and     blanks\n " * 50_000 + " " * 300
+    assert file.decode(raw := next(file.encode([text], "ranks"))) == text
+    assert memoryview(raw).cast("I").tolist() == model.encode(text)
+
+
+def test_pieces_on_hostile_rows(spark, hostile):
+    import sentencepiece
+
+    model = sentencepiece.SentencePieceProcessor(model_file=piece_model())
+    want = sorted((str(d), len(x), crc(x), True) for d, t, *_ in ROWS for x in [model.encode(t or "")])
+    assert sorted((str(r[0]), *r[1:]) for r in pieces.coded_digests(hostile, piece_model(), ["doc_id"]).collect()) == want
+    assert pieces.coded_digests(hostile.limit(0), piece_model(), ["doc_id"]).collect() == []
+    back = hostile.select("text", pieces.decode_pieces(pieces.encode_pieces("text", piece_model()), piece_model()).alias("back")).collect()
+    assert all(r.back == (r.text or "") for r in back)
+
+
+def test_token_ids_of_every_letter():
+    """Marks behind a letter whose normal form ends in a combining mark are not split from it."""
+    from tokenizers import Tokenizer
+
+    from quarry.llm.tokens import encoder
+
+    t = Tokenizer.from_file(word_tokenizer())
+    letters = [chr(c) for c in range(1, 0x10000) if not 0xD800 <= c < 0xE000]
+    texts = [form.replace("@", c) for form in ("x@.", "@a!", "b @", "@: x") for c in letters] + ["BİLGİ. YENİ! GAZETESİ: haber"]
+    want = [array("I", x.ids).tobytes() for x in t.encode_batch_fast(texts, add_special_tokens=False)]
+    assert list(encoder(word_tokenizer()).encode(texts)) == want
 
 
 def test_forward_backward_is_exact():
