@@ -28,6 +28,7 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.drops_white_space = drops_white_space
         self.cache: dict[str, bytes] = {}
+        self.letters: dict[str, bool] = {}
         vocab = self.tokenizer.get_vocab()
         self.ends_word = np.zeros(max(vocab.values()) + 1, dtype=bool)
         self.ends_word[[i for piece, i in vocab.items() if piece.endswith("</w>")]] = True
@@ -54,7 +55,7 @@ class Encoder:
             cache.clear()
             missing = list(chunks)
         # Letters and then marks are two pre-tokens.
-        heads = [h if (h := c.rstrip(MARKS)).isalpha() else c for c in missing]
+        heads = [h if (h := c.rstrip(MARKS)).isalpha() and self._ends_in_letter(h[-1]) else c for c in missing]
         tails = [c[len(h):] for c, h in zip(missing, heads, strict=True)]
         need = {*heads, *tails}.difference(cache)
         plain, other = [h for h in need if h.isalpha()], [h for h in need if not h.isalpha()]
@@ -66,6 +67,14 @@ class Encoder:
             if tail:
                 cache[chunk] = cache[head] + cache[tail]
 
+    def _ends_in_letter(self, letter: str) -> bool:
+        """Whether the tokenizer's own form of a letter ends in a letter; some end in a combining mark, which joins the marks behind."""
+        known = self.letters.get(letter)
+        if known is None:
+            form = self.tokenizer.normalizer.normalize_str(letter) if self.tokenizer.normalizer else letter
+            known = self.letters[letter] = form[-1:].isalpha()
+        return known
+
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         """One byte string of ids for each text, in order."""
         if not self.drops_white_space:
