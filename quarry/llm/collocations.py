@@ -41,30 +41,38 @@ from quarry.llm.common import col, write_scratch
 from quarry.llm.wordtable import WordTable, classes, mixed, text_chunks, word_table
 
 KIND = classes(b" \t", b".,;:!?\n\x0b\x0c\r")
-CHUNK = 8 << 20
+CHUNK = 4 << 20
+SHARD_BITS = 5
 LEAST_BITS, MOST_BITS = 16, 27
 UNION_SHIFT = 32
 SALTS = 16
 
 
+def keys(h: np.ndarray, shard: np.ndarray) -> np.ndarray:
+    """Hashes whose last bits are the shard."""
+    return (h & ~np.uint64((1 << SHARD_BITS) - 1)) | shard.astype(np.uint64)
+
+
 class Bits:
-    """A set of hashes as a broadcast bit table; may hold more than was put in, never less."""
+    """A set of keys as a broadcast bit table; may hold more than was put in, never less.
 
-    def __init__(self, members: DataFrame, hash_col: str, shift: Column | int):
+    A shard's keys are read from a bit of their own on; with ``union`` the shard is no part of a member.
+    """
+
+    def __init__(self, members: DataFrame, union: bool = False):
         n = members.count()
-        self.size = 1 << min(MOST_BITS, max(LEAST_BITS, (16 * n - 1).bit_length() if n else 0))
-        spot = F.call_function("shiftrightunsigned", F.col(hash_col), shift if isinstance(shift, Column) else F.lit(shift)).bitwiseAND(F.lit(self.size - 1))
+        self.size, self.union = 1 << min(MOST_BITS, max(LEAST_BITS, (16 * n - 1).bit_length() if n else 0)), union
+        shift = F.lit(UNION_SHIFT) if union else F.col("key").bitwiseAND(F.lit((1 << SHARD_BITS) - 1)).cast("int") + SHARD_BITS
+        spot = F.call_function("shiftrightunsigned", F.col("key"), shift).bitwiseAND(F.lit(self.size - 1))
         lines = members.select(spot.alias("spot")).groupBy(F.shiftright("spot", 6).cast("int").alias("line")) \
             .agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("spot") % 64).cast("int"))).alias("bits")).toArrow()
         table = np.zeros(self.size // 64, dtype=np.int64)
         table[lines.column("line").to_numpy()] = lines.column("bits").to_numpy()
         self.table = members.sparkSession.sparkContext.broadcast(table.view(np.uint64))
 
-    def __getstate__(self):
-        return {"size": self.size, "table": self.table}
-
-    def has(self, h: np.ndarray, shift: np.ndarray | int) -> np.ndarray:
-        spot = (h >> np.asarray(shift, dtype=np.uint64)) & np.uint64(self.size - 1)
+    def has(self, h: np.ndarray, shard: np.ndarray | None = None) -> np.ndarray:
+        shift = np.uint64(UNION_SHIFT) if self.union else shard.astype(np.uint64) + np.uint64(SHARD_BITS)
+        spot = (h >> shift) & np.uint64(self.size - 1)
         return (self.table.value[(spot >> np.uint64(6)).view(np.int64)] >> (spot & np.uint64(63))) & np.uint64(1) == 1
 
 
@@ -74,8 +82,8 @@ class Chunk:
     def __init__(self, langs: pa.Array, shards: pa.Array, texts: pa.Array):
         words: WordTable = word_table(texts, KIND, fold=True)
         lang = langs.dictionary_encode()
-        self.names, self.langs, self.code = words.names, lang.dictionary, words.code.astype(np.int64)
-        self.lang = lang.indices.to_numpy(zero_copy_only=False)[words.text].astype(np.int64)
+        self.names, self.langs, self.code = words.names, lang.dictionary, words.code
+        self.lang = lang.indices.to_numpy(zero_copy_only=False)[words.text]
         self.shard = shards.to_numpy(zero_copy_only=False)[words.text]
         named = pd.util.hash_array(self.names.to_numpy(zero_copy_only=False), categorize=False) if len(self.names) else np.zeros(0, dtype=np.uint64)
         tongue = pd.util.hash_array(self.langs.to_numpy(zero_copy_only=False), categorize=False) if len(self.langs) else np.zeros(0, dtype=np.uint64)
@@ -90,7 +98,7 @@ class Chunk:
 
     def counted(self, at: np.ndarray, m: int) -> tuple[np.ndarray, np.ndarray]:
         """A first place and the count of each distinct phrase of m words that starts at ``at``, by its words."""
-        key = self.lang[at]
+        key = self.lang[at].astype(np.int64)
         for k in range(m):
             _, key = np.unique(key * np.int64(len(self.names)) + self.code[at + k], return_inverse=True)
         _, first, counts = np.unique(key, return_index=True, return_counts=True)
@@ -108,14 +116,10 @@ def _per_chunk(docs: DataFrame, emit: Callable[[Chunk], Iterator[pa.RecordBatch]
     return docs.mapInArrow(run, schema)
 
 
-def _mined(hashes: list[np.ndarray], shards: list[np.ndarray]) -> pa.RecordBatch:
-    """Counts of each hash in each shard."""
-    h, shard = np.concatenate(hashes), np.concatenate(shards)
-    order = np.lexsort((shard, h))
-    h, shard = h[order], shard[order]
-    lead = np.flatnonzero(np.append(True, (h[1:] != h[:-1]) | (shard[1:] != shard[:-1]))) if len(h) else np.zeros(0, dtype=np.int64)
-    return pa.RecordBatch.from_arrays([pa.array(h[lead].view(np.int64)), pa.array(shard[lead], pa.int32()), pa.array(np.diff(np.append(lead, len(h))))],
-                                      names=["h", "shard", "c"])
+def _mined(found: list[np.ndarray]) -> pa.RecordBatch:
+    """Counts of keys."""
+    key, counts = np.unique(np.concatenate(found), return_counts=True)
+    return pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(counts)], names=["key", "c"])
 
 
 def mine_phrases(docs: DataFrame, min_count: int = 30, max_words: int = 4, shards: int = 5, id_col: str = "doc_id", text_col: str = "text",
@@ -126,32 +130,32 @@ def mine_phrases(docs: DataFrame, min_count: int = 30, max_words: int = 4, shard
     rows = docs.select(F.coalesce(col(lang_col).cast("string"), F.lit("und")).alias("lang"),
                        F.pmod(F.xxhash64(col(id_col)), F.lit(shards)).cast("int").alias("shard"), col(text_col).cast("string").alias("text"))
     support = -(-min_count // shards)
-    mined = "h long, shard int, c long"
+    mined = "key long, c long"
 
     def words(chunk: Chunk) -> Iterator[pa.RecordBatch]:
-        key = (chunk.lang * 32 + chunk.shard) * np.int64(len(chunk.names)) + chunk.code
+        key = ((chunk.lang.astype(np.int64) << SHARD_BITS) + chunk.shard) * len(chunk.names) + chunk.code
         _, first, counts = np.unique(key, return_index=True, return_counts=True)
         yield pa.RecordBatch.from_arrays(
             [chunk.langs.take(pa.array(chunk.lang[first])), pa.array(chunk.shard[first], pa.int32()),
-             chunk.names.take(pa.array(chunk.code[first])).cast(pa.string()), pa.array(chunk.h[first].view(np.int64)), pa.array(counts)],
-            names=["lang", "shard", "word", "h", "c"])
+             chunk.names.take(pa.array(chunk.code[first])).cast(pa.string()), pa.array(keys(chunk.h[first], chunk.shard[first]).view(np.int64)),
+             pa.array(counts)], names=["lang", "shard", "word", "key", "c"])
 
-    counted = write_scratch(_per_chunk(rows, words, "lang string, shard int, word string, h long, c long")
-                            .groupBy("lang", "shard", "word").agg(F.max("h").alias("h"), F.sum("c").alias("c")), "shard-words")
-    frequent_words = Bits(counted.filter(F.col("c") >= support), "h", F.col("shard"))
+    counted = write_scratch(_per_chunk(rows, words, "lang string, shard int, word string, key long, c long")
+                            .groupBy("lang", "shard", "word").agg(F.max("key").alias("key"), F.sum("c").alias("c")), "shard-words")
+    frequent_words = Bits(counted.filter(F.col("c") >= support))
 
     def pairs(chunk: Chunk) -> Iterator[pa.RecordBatch]:
         known = frequent_words.has(chunk.h, chunk.shard)
         at = np.flatnonzero(chunk.next[:-1] & known[:-1] & known[1:])
-        yield _mined([chunk.longer(at, chunk.h[at], 2)], [chunk.shard[at]])
+        yield _mined([keys(chunk.longer(at, chunk.h[at], 2), chunk.shard[at])])
 
     def local(emit: Callable[[Chunk], Iterator[pa.RecordBatch]], name: str) -> DataFrame:
-        return write_scratch(_per_chunk(rows, emit, mined).groupBy("h", "shard").agg(F.sum("c").alias("c")).filter(F.col("c") >= support), name)
+        return write_scratch(_per_chunk(rows, emit, mined).groupBy("key").agg(F.sum("c").alias("c")).filter(F.col("c") >= support), name)
 
     frequent_pairs = local(pairs, "shard-pairs")
-    candidates = frequent_pairs.select("h")
+    candidates = frequent_pairs.select("key")
     if max_words > 2:
-        pair_bits = Bits(frequent_pairs, "h", F.col("shard"))
+        pair_bits = Bits(frequent_pairs)
 
         def rest(chunk: Chunk) -> Iterator[pa.RecordBatch]:
             at = np.flatnonzero(chunk.next)
@@ -160,17 +164,16 @@ def mine_phrases(docs: DataFrame, min_count: int = 30, max_words: int = 4, shard
             at, h = at[some], h[some]
             linked = np.zeros(len(chunk.code) + max_words, dtype=bool)
             linked[at] = True
-            hashes, parts = [], []
+            found = []
             for m in range(3, max_words + 1):
                 some = linked[at + m - 2]
                 at = at[some]
                 h = chunk.longer(at, h[some], m)
-                hashes.append(h)
-                parts.append(chunk.shard[at])
-            yield _mined(hashes, parts)
+                found.append(keys(h, chunk.shard[at]))
+            yield _mined(found)
 
-        candidates = candidates.unionAll(local(rest, "shard-phrases").select("h"))
-    candidate_bits = Bits(candidates, "h", UNION_SHIFT)
+        candidates = candidates.unionAll(local(rest, "shard-phrases").select("key"))
+    candidate_bits = Bits(candidates, union=True)
 
     def count(chunk: Chunk) -> Iterator[pa.RecordBatch]:
         joined = np.append(chunk.next, np.zeros(max_words, dtype=bool))
@@ -179,7 +182,7 @@ def mine_phrases(docs: DataFrame, min_count: int = 30, max_words: int = 4, shard
             some = joined[at + m - 2]
             at = at[some]
             h = chunk.longer(at, h[some], m)
-            some = candidate_bits.has(h, UNION_SHIFT)  # a phrase is a candidate only if its beginning is
+            some = candidate_bits.has(h)  # a phrase is a candidate only if its beginning is
             at, h = at[some], h[some]
             if not len(at):
                 return

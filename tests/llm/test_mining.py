@@ -214,7 +214,7 @@ def test_few_vectors_are_reranked():
     guess, error = onebit.estimate(q, bits, length, own, centre, 7, 1.9)
     true = q @ x.T
     assert bits.shape == (20_000, 8)
-    assert (np.abs(guess - true) <= error).mean() > 0.99
+    assert (np.abs(guess - true) <= error).mean() > 0.93  # 1.9 standard deviations
     bound = np.sort(true, axis=1)[:, -21]
     assert (guess + error >= bound[:, None]).mean() < 0.15
 
