@@ -19,6 +19,7 @@ from quarry.operators.questions import (  # noqa: F401
 )
 from quarry.operators.ranking import first_by, top_with_ties  # noqa: F401
 from quarry.operators.retrieval import chunk, new_rows, search, term_dictionary, term_index  # noqa: F401
+from quarry.operators.segments import PassageIndex, compact, read_index, sync  # noqa: F401
 from quarry.operators.sections import sections  # noqa: F401
 from quarry.plans.catalog import extract_stage, process_stage  # noqa: F401
 from quarry.plans.specs import PROCESSED_SCHEMA, PRODUCT_SPEC  # noqa: F401

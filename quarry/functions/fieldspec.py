@@ -3,7 +3,7 @@
 Each field of the declared schema becomes a rule: which labels name it
 (synonyms), what the value looks like, and how to reduce it (first match,
 all matches, range max/min, preferred part, unit conversion). The compiled
-Columns read one shared array of label/value lines, so the text is scanned
+Columns read one shared array of labels and values, so the text is scanned
 once per row whatever the number of fields.
 """
 
@@ -29,24 +29,48 @@ class FieldSpec:
 
 
 def plain_number(value: Column) -> Column:
-    """Any dash as '-', and no separator between groups of thousands ("0–1,800" -> "0-1800")."""
-    dashes = F.regexp_replace(value, "[\u2010-\u2015\u2212]", "-")
-    return F.regexp_replace(dashes, r"(?<=\d),(?=\d{3}(?!\d))", "")
+    """Any dash as '-', no separator between groups of thousands ("0–1,800" -> "0-1800"), a decimal comma as a point ("0,125" -> "0.125")."""
+    dashes = F.regexp_replace(value, "[‐-―−]", "-")
+    whole = F.regexp_replace(dashes, r"(?<=(?<![\d.,])[1-9]\d{0,2}(?:,\d{3}){0,4}),(?=\d{3}(?!\d))", "")
+    return F.regexp_replace(whole, r"(?<=\d),(?=\d+(?![\d,.]))", ".")
+
+
+def declared_labels(specs: list[FieldSpec]) -> tuple[list[str], list[str]]:
+    """All labels, and those of number fields, which are also read within sentences."""
+    return [x for s in specs for x in s.labels], [x for s in specs if s.type == "number" for x in s.labels]
 
 
 def _candidates(pairs: Column, spec: FieldSpec) -> Column:
     wanted = [lbl.lower() for lbl in spec.labels]
-    hits = F.filter(pairs, lambda p: p["label"].isin(wanted))
     anchored = "^(?:" + spec.value + ")$"
 
-    def candidate(p: Column) -> Column:
-        value = plain_number(p["value"]) if spec.type == "number" else p["value"]
-        match = F.regexp_extract(value, anchored, 1)
-        if spec.prefer:
-            parts = F.split(match, "/")
-            match = F.when(p["label"].contains(spec.prefer + "/"), F.get(parts, F.lit(0))).otherwise(F.element_at(parts, -1))
-        return F.coalesce(F.nullif(match, F.lit("")), F.nullif(p["value"], F.lit("")))
-    return F.transform(hits, candidate)
+    def preferred(match: Column, p: Column) -> Column:
+        if not spec.prefer:
+            return match
+        parts = F.split(match, "/")
+        return F.when(p["label"].contains(spec.prefer + "/"), F.get(parts, F.lit(0))).otherwise(F.element_at(parts, -1))
+
+    def plain(value: Column) -> Column:
+        return plain_number(value) if spec.type == "number" else value
+
+    def labelled(p: Column) -> Column:
+        # A number may have its unit in the next cell; a text is the next cell.
+        value = F.regexp_extract(plain(p["value"]), anchored, 1)
+        if spec.type == "number":
+            value = F.coalesce(F.nullif(value, F.lit("")), F.regexp_extract(plain(p["cells"]), anchored, 1), F.lit(""))
+        return F.coalesce(F.nullif(preferred(value, p), F.lit("")), F.nullif(p["value"], F.lit("")))
+
+    found = F.transform(F.filter(pairs, lambda p: p["label"].isin(wanted) & ~p["prose"]), labelled)
+    if spec.type != "number":
+        return found
+
+    def told(p: Column) -> Column:
+        match = F.regexp_extract(plain(p["value"]), "^(?:" + spec.value + r")(?![\p{L}\p{N}])", 1)
+        return F.nullif(preferred(match, p), F.lit(""))
+
+    # Labelled values go before those of sentences.
+    prose = F.transform(F.filter(pairs, lambda p: p["label"].isin(wanted) & p["prose"]), told)
+    return F.concat(found, F.filter(prose, lambda v: v.isNotNull()))
 
 
 def raw_value(pairs: Column, spec: FieldSpec) -> Column:

@@ -7,11 +7,16 @@ by row without a shuffle.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Languages that manuals are printed in. Any two letters would not do: "[mm]", "[kg]" and "[ok]" are text.
+LANGUAGES = ("ar bg bs cs da de el en es et fa fi fr he hi hr hu id is it ja kk ko lt lv mk ms nb nl nn no pl pt ro ru sk sl sq sr sv th "
+             "tr uk vi zh").split()
 # A section marker is a line holding only a language tag such as "[en]", "[EN]" or "[de-CH]".
-CODE = r"[A-Za-z]{2}(?:-[A-Za-z]{2})?"
+CODE = r"(?i:" + "|".join(LANGUAGES) + r")(?:-[A-Za-z]{2})?"
 
 
 def unix_lines(text: Column) -> Column:
@@ -64,26 +69,57 @@ def section_text(text: Column, code: str = "en", markers: str = CODE) -> Column:
     return F.when(_has_marker(t, markers), F.array_join(parts, "\n")).otherwise(t)
 
 
-# "Label: value" lines and two-cell table rows "| Label | value |". Possessive repeats: a line without
-# a separator is given up after one pass, whatever its length.
-_KV_LINE = r"(?md)^[ \t|]*+[^:|\n]++[:|][^\n]*$"
-_KV_LABEL = r"^[ \t|]*+([^:|]++)[:|]"
-_KV_VALUE = r"(?s)^[ \t|]*+[^:|]++[:|][ \t]*+(.*)$"
+# Marks around a label found in a text (control characters, taken out of the text before).
+_OPEN, _CLOSE = "\x01", "\x02"
+_LINK = r"(?:[ \t]+(?:of|is|are|up to|about|approx\.?|approximately)){0,2}[ \t]+"
+
+
+def _any_of(labels: list[str]) -> str:
+    """One alternation, longest label first, so that overlapping labels go to the longest."""
+    return "|".join(re.escape(x).replace("\\ ", r"[ \t]+") for x in sorted(labels, key=lambda x: (-len(x), x)))
+
+
+def label_values(text: Column, labels: list[str], measured: list[str] = ()) -> Column:
+    """array<struct<label, value, cells, prose>> of the declared labels anywhere in a text, in order of appearance.
 
+    One regex pass puts marks around every label occurrence, one split cuts the text there; the rest runs on short
+    strings. A label counts
 
-def label_value_pairs(text: Column) -> Column:
-    """array<struct<label: lower-cased label, value: trimmed value>> in order of appearance.
+    * at the start of a line or cell, or behind ``; , .``, when a colon, equals sign or bar follows. The value runs
+      to the line's end or the next such label ("A: x; B: y"). In a table row ``value`` is the next cell, and
+      ``cells`` all cells up to the next label, joined by blanks ("| Max torque | 55 | Nm |" has "55 Nm").
+    * one of ``measured`` also within a sentence, when a number follows ("a max torque of 55 Nm"); ``prose`` is true
+      and the value begins with the number.
 
-    One regex scan of the text; the per-line splits run on short strings only.
+    Labels are given back in lower case with single blanks.
     """
-    lines = F.regexp_extract_all(unix_lines(text), F.lit(_KV_LINE), 0)
-    return F.transform(
-        lines,
-        lambda ln: F.struct(
-            F.lower(F.rtrim(F.regexp_extract(ln, _KV_LABEL, 1), F.lit(" \t"))).alias("label"),
-            F.rtrim(F.regexp_extract(ln, _KV_VALUE, 1), F.lit(" \t|")).alias("value"),
-        ),
-    )
+    start = r"(?:^|[;,.|•])[ \t|*•–-]*+"
+    pattern = rf"(?im)({start})({_any_of(labels)})(?=[ \t]*[:=|])"
+    if measured:
+        pattern += rf"|(?<![\p{{L}}\p{{N}}])({_any_of(measured)})(?={_LINK}\d)"
+    clean = F.translate(unix_lines(text), _OPEN + _CLOSE, "  ")
+    marked = F.regexp_replace(clean, pattern, rf"$1{_OPEN}$2{'$3' if measured else ''}{_CLOSE}")
+    pieces = F.split(marked, _OPEN)
+    last = F.size(pieces) - 1
+
+    def pair(piece: Column, i: Column) -> Column:
+        label = F.lower(F.regexp_replace(F.substring_index(piece, _CLOSE, 1), r"[ \t]+", " "))
+        line = F.substring_index(F.substring_index(piece, _CLOSE, -1), "\n", 1)
+        # What stands before the next label of the same line belongs to neither.
+        same_line = (i < last) & ~F.contains(piece, F.lit("\n"))
+        body = F.when(same_line, F.regexp_replace(line, r"[;,.|•][ \t|*•–-]*$", "")).otherwise(line)
+        bare = F.regexp_replace(body, r"^[ \t]*[:=|][ \t]*", "")
+        row = body.rlike(r"^[ \t]*\|")
+        inner = F.rtrim(bare, F.lit(" \t|"))
+        cell = F.rtrim(F.substring_index(inner, "|", 1), F.lit(" \t"))
+        prose = ~body.rlike(r"^[ \t]*[:=|]")
+        return F.struct(
+            label.alias("label"),
+            F.when(prose, F.regexp_replace(body, "(?i)^" + _LINK, "")).when(row, cell).otherwise(inner).alias("value"),
+            F.when(row, F.regexp_replace(inner, r"[ \t]*\|[ \t]*", " ")).alias("cells"),
+            prose.alias("prose"))
+
+    return F.slice(F.transform(pieces, pair), F.lit(2), F.greatest(last, F.lit(0)))
 
 
 def strip_ws(c: Column) -> Column:

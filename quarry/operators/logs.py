@@ -3,9 +3,11 @@
 ``flatten_responses`` turns free-form agent responses (JSON text) into one
 display text with the precedence rules of the reference's formatter, written
 as variant reads and higher-order array functions. An expression cannot recurse,
-so the nesting depth is a parameter of the expression (``DEPTH`` lists inside
-lists by default; its size grows linearly with it); a list nested deeper still
-is printed as its JSON text.
+so it reads lists inside lists ``INLINE`` levels down. Responses with more
+envelopes than that go level by level instead: the lists of one level are
+exploded, those inside them form the next, smaller table, and the texts are
+joined back from the deepest level up. Any depth is read, and no plan holds
+more than one level.
 """
 
 from __future__ import annotations
@@ -14,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.operators.partitioning import spread
+from quarry.sources.tables import write_scratch
 
 # Notices and the agent tag-line pattern of the response formatter.
 EMPTY_OUTPUT_NOTICE = "The agent endpoint returned no output items (empty output list). response id="
@@ -22,7 +25,8 @@ METADATA_NOTICE = ("The agent endpoint returned no message text (only response m
 BENIGN_KEYS = ["id", "object", "model", "created", "created_at", "usage", "metadata", "served_model_name"]
 OUTPUT_KEYS = ["output", "outputs", "predictions", "choices"]
 NAME_TAG = r"(?U)^<name>\s*[\w-]+\s*</name>\s*$"
-DEPTH = 4
+INLINE = 2
+_ENVELOPES = r'"(?:outputs?|predictions)"\s*:'
 _EDGES = r"(?U)^\s+|\s+$"
 
 
@@ -112,12 +116,17 @@ def _list_text(arr: Column, depth: int) -> Column:
     return _let(parts, lambda p: F.when(F.size(p) > 0, F.array_join(p, "\n\n")))
 
 
-def response_text(raw: Column, depth: int = DEPTH) -> Column:
-    """One display text from a response given as JSON text."""
+def response_text(raw: Column, depth: int = INLINE) -> Column:
+    """One display text from a response given as JSON text, reading ``depth`` lists inside its list."""
     return _let(F.try_parse_json(raw), lambda v: F.when(v.isNull(), raw).otherwise(_variant_text(v, depth)))
 
 
 def _variant_text(v: Column, depth: int) -> Column:
+    return _object_text(v, _let(_source(v), lambda x: F.when(x.isNotNull(), F.coalesce(_list_text(x["l"], depth), x["j"]))))
+
+
+def _source(v: Column) -> Column:
+    """struct<l, j>: the one list that the formatter descends into and its JSON text; null if there is none."""
     arr = _arr(v)
     preds = _arr(_get(v, "predictions"))
     output = _arr(_get(v, "output"))
@@ -125,15 +134,19 @@ def _variant_text(v: Column, depth: int) -> Column:
     content = _get(v, "content")
     cstr = _strip(_str(content))
     carr = _arr(content)
-    # The one list the formatter descends into, by the object precedence
-    # (predictions, output, outputs, then content when it is a list), and its raw JSON.
-    src = (F.when(arr.isNotNull(), F.struct(arr.alias("l"), _json(v).alias("j")))
-           .when(F.size(preds) > 0, F.struct(preds.alias("l"), _json(_get(v, "predictions")).alias("j")))
-           .when(F.size(output) > 0, F.struct(output.alias("l"), _json(_get(v, "output")).alias("j")))
-           .when(F.size(outputs) > 0, F.struct(outputs.alias("l"), _json(_get(v, "outputs")).alias("j")))
-           .when(cstr.isNotNull() & (cstr != ""), F.lit(None))
-           .when(F.size(carr) > 0, F.struct(carr.alias("l"), _json(content).alias("j"))))
-    listed = _let(src, lambda x: F.when(x.isNotNull(), F.coalesce(_list_text(x["l"], depth), x["j"])))
+    # By the object precedence: predictions, output, outputs, then content when it is a list.
+    return (F.when(arr.isNotNull(), F.struct(arr.alias("l"), _json(v).alias("j")))
+            .when(F.size(preds) > 0, F.struct(preds.alias("l"), _json(_get(v, "predictions")).alias("j")))
+            .when(F.size(output) > 0, F.struct(output.alias("l"), _json(_get(v, "output")).alias("j")))
+            .when(F.size(outputs) > 0, F.struct(outputs.alias("l"), _json(_get(v, "outputs")).alias("j")))
+            .when(cstr.isNotNull() & (cstr != ""), F.lit(None))
+            .when(F.size(carr) > 0, F.struct(carr.alias("l"), _json(content).alias("j"))))
+
+
+def _object_text(v: Column, listed: Column) -> Column:
+    """The display text of a response, given that of its list (null if it has none)."""
+    output = _arr(_get(v, "output"))
+    cstr = _strip(_str(_get(v, "content")))
     keys = F.json_object_keys(_json(v))
     vid = _get(v, "id")
     empty_output = _falsy(_get(v, "outputs")) & (F.size(output) == 0) & ~_falsy(vid)
@@ -155,8 +168,42 @@ def _variant_text(v: Column, depth: int) -> Column:
             .otherwise(F.coalesce(_str(v), _json(v))))
 
 
-def flatten_responses(df: DataFrame, json_col: str, out: str = "content", depth: int = DEPTH) -> DataFrame:
-    return spread(df).withColumn(out, response_text(F.col(json_col), depth))
+def _texts_of_lists(lists: DataFrame) -> DataFrame:
+    """(id, text) of a written table of (id, list) rows, text null if a list yields nothing; lists inside lists are read to any depth."""
+    items = lists.select("id", F.posexplode("list").alias("pos", "item"))
+    keys = F.array(*[_arr(_get(F.col("item"), key)) for key in ("outputs", "output", "predictions")])
+    nested = write_scratch(items.select("id", "pos", F.posexplode(keys).alias("key", "list")).filter(F.size("list") > 0)
+                           .select(F.struct("id", "pos", "key").alias("id"), "list"), "response-lists")
+    items = items.select("id", "pos", _item_parts(F.col("item"), 0).alias("own"))
+    parts = F.col("own")
+    if nested.take(1):
+        # The first nested list that yields text stands for its item.
+        best = _texts_of_lists(nested).filter(_strip(F.col("text")) != "").groupBy("id.id", "id.pos").agg(F.min_by("text", "id.key").alias("nested"))
+        items = items.join(best, ["id", "pos"], "left")
+        parts = F.when(F.col("nested").isNotNull(), F.array(_strip(F.col("nested")))).otherwise(F.col("own"))
+    # One list is part of one response, so one row.
+    ordered = F.array_sort(F.collect_list(F.struct("pos", parts.alias("parts"))))
+    texts = items.groupBy("id").agg(F.flatten(F.transform(ordered, lambda x: x["parts"])).alias("p")) \
+        .select("id", F.when(F.size("p") > 0, F.array_join("p", "\n\n")).alias("text"))
+    return write_scratch(texts, "response-texts")
+
+
+def flatten_responses(df: DataFrame, json_col: str, out: str = "content") -> DataFrame:
+    """``out`` = the display text of each response, whatever the depth of its lists."""
+    n = F.coalesce(F.size(F.regexp_extract_all(F.col(json_col), F.lit(_ENVELOPES), 0)), F.lit(0))
+    deep = df.filter(n > INLINE)
+    if df.isStreaming or not deep.take(1):
+        return spread(df).withColumn(out, response_text(F.col(json_col)))
+    deep = write_scratch(deep.select(F.struct(*df.columns).alias("row"), F.col(json_col).alias("raw"))
+                         .withColumn("id", F.monotonically_increasing_id()), "deep-responses")
+    parsed = deep.withColumn("v", F.try_parse_json("raw"))
+    lists = parsed.select("id", _source(F.col("v")).alias("s")).filter("s IS NOT NULL")
+    texts = _texts_of_lists(write_scratch(lists.select("id", F.col("s.l").alias("list")), "response-lists"))
+    listed = lists.select("id", F.col("s.j").alias("j")).join(texts, "id", "left").select("id", F.coalesce("text", "j").alias("listed"))
+    read = parsed.join(listed, "id", "left").select("row.*", F.when(F.col("v").isNull(), F.col("raw")).otherwise(
+        _object_text(F.col("v"), F.col("listed"))).alias(out))
+    flat = spread(df.filter(n <= INLINE)).withColumn(out, response_text(F.col(json_col)))
+    return flat.select(*read.columns).unionAll(read)
 
 
 def chat_history(df: DataFrame, key: str = "conv_id", order: str = "turn", role: str = "role",
@@ -168,25 +215,60 @@ def chat_history(df: DataFrame, key: str = "conv_id", order: str = "turn", role:
     msgs = F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(role).alias("role"),
                                                 F.col(text).alias("content"))))
     g = df.groupBy(key).agg(msgs.alias("__m"))
-    messages = F.transform("__m", lambda m: F.struct(m["role"].alias("role"), m["content"].alias("content")))
+    n = F.size("__m")
+    # The text a user has just sent is trimmed; what was said before stays as it was.
+    messages = F.transform("__m", lambda m, i: F.struct(
+        m["role"].alias("role"), F.when((i == n - 1) & (m["role"] == "user"), _strip(m["content"])).otherwise(m["content"]).alias("content")))
     last = F.element_at(F.col("__m"), -1)
     return g.select(key, messages.alias("messages"), F.size("__m").cast("bigint").alias("n_messages"),
                     ((last["role"] == "user") & (_strip(last["content"]) != "")).alias("accepted"))
 
 
 def response_envelope(df: DataFrame, keys: list[str], text_col: str, out: str = "envelope") -> DataFrame:
-    """C4: text -> assistant message item (JSON); a text that already is a list of items passes through.
+    """C4: a response (JSON or plain text) -> JSON list of message items.
 
-    The id is derived from a hash of the row keys, so reruns give the same ids.
+    In this order: a list of objects, or such a list under ``output`` or ``outputs``, is the answer as it is; of
+    ``predictions`` the first one counts (its ``output`` list, its ``output`` text, itself if it is a message, its
+    display text, or its own text); the first of ``choices`` gives its message text; everything else its display
+    text. A text becomes one completed assistant message. Its id is derived from a hash of the row keys, so reruns
+    give the same ids.
     """
-    txt = F.col(text_col)
-    parsed = F.try_parse_json(txt)
-    is_items = F.schema_of_variant(parsed).startswith("ARRAY<OBJECT")
-    rid = F.concat(F.lit("msg_"), F.substring(F.md5(F.concat_ws(":", *[F.col(k).cast("string") for k in keys])),
-                                              1, 12))
-    item = F.to_json(F.named_struct(
-        F.lit("type"), F.lit("message"), F.lit("id"), rid, F.lit("role"), F.lit("assistant"),
-        F.lit("status"), F.lit("completed"),
-        F.lit("content"), F.array(F.named_struct(F.lit("type"), F.lit("output_text"), F.lit("text"), txt,
-                                                 F.lit("annotations"), F.array().cast("array<string>")))))
-    return df.withColumn(out, F.when(F.coalesce(is_items, F.lit(False)), txt).otherwise(item))
+    raw, v, fallback, text = fresh_names(df, "raw", "v", "fallback", "text")
+    first = F.try_variant_get(F.col(v), "$.predictions[0]", "variant")
+    preds = _get(F.col(v), "predictions")
+    df = df.withColumn(raw, F.col(text_col)).withColumn(v, F.try_parse_json(raw))
+    df = df.withColumn(fallback, F.when(_is_obj(first), F.concat(F.lit("["), F.to_json(first), F.lit("]")))
+                       .when(F.size(_arr(preds)) > 0, F.to_json(preds)).otherwise(F.col(raw)))
+    df = flatten_responses(df, fallback, text)
+    rid = F.concat(F.lit("msg_"), F.substring(F.md5(F.concat_ws(":", *[F.col(k).cast("string") for k in keys])), 1, 12))
+
+    def message(txt: Column) -> Column:
+        return F.to_json(F.array(F.named_struct(
+            F.lit("type"), F.lit("message"), F.lit("id"), rid, F.lit("role"), F.lit("assistant"),
+            F.lit("status"), F.lit("completed"),
+            F.lit("content"), F.array(F.named_struct(F.lit("type"), F.lit("output_text"), F.lit("text"), txt,
+                                                     F.lit("annotations"), F.array().cast("array<string>"))))))
+
+    def items(at: Column) -> Column:
+        return F.coalesce(_is_obj(F.get(_arr(at), F.lit(0))), F.lit(False))
+
+    value, inner = F.col(v), _get(first, "output")
+    told = _str(F.try_variant_get(value, "$.choices[0].message.content", "variant"))
+    answer = (F.when(items(value), F.to_json(value))
+              .when(~F.coalesce(_is_obj(value), F.lit(False)), message(F.col(raw)))
+              .when(items(_get(value, "output")), F.to_json(_get(value, "output")))
+              .when(items(_get(value, "outputs")), F.to_json(_get(value, "outputs")))
+              .when(_is_obj(first) & (F.size(_arr(inner)) > 0), F.to_json(inner))
+              .when(_is_obj(first) & (_strip(_str(inner)) != ""), message(_str(inner)))
+              .when(_is_obj(first) & (_str(_get(first, "type")) == "message"), F.concat(F.lit("["), F.to_json(first), F.lit("]")))
+              .when(_is_obj(first), message(F.col(text)))
+              .when(_is_str(first), message(_str(first)))
+              .when(_strip(told) != "", message(told))
+              .otherwise(message(F.col(text))))
+    return df.withColumn(out, answer).drop(raw, v, fallback, text)
+
+
+def fresh_names(df: DataFrame, *names: str) -> list[str]:
+    """Names of helper columns that clash with no column of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    return [next(x for k in range(len(taken) + 2) if (x := "_" * (k + 2) + n) not in taken) for n in names]

@@ -1,24 +1,23 @@
-"""Cited passage retrieval (R1-R5, J3): chunks, term index, BM25 top-k per question.
-
-Scale notes: chunking is per row; chunks and postings share one bucketing on
-(doc_id, chunk_no), so the postings build and the per-(question, chunk) score
-sums need no shuffle of postings; the postings carry the chunk length and the
-document language so queries need no join back to the documents; question
-terms are broadcast only after a size check (else a shuffle join, with AQE
-splitting skewed terms); top-k per question is a row_number filter, which
-Spark plans as a partial WindowGroupLimit before the one shuffle.
+"""Cited passage retrieval (R1-R4, J3): chunks, term index, BM25 top-k per question.
+
+Postings carry the chunk length and the document language, so a search needs
+no join back to the documents. They lie in ``TERM_PARTS`` folders by a hash of
+the term, sorted by term (``segments.py`` writes them): a search reads the
+folders of its terms only, whatever the size of the index. Question terms are
+broadcast only after a size check; top-k per question is a row_number filter,
+which Spark plans as a partial WindowGroupLimit before its shuffle.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.functions.arrays import posexplode_rows
 from quarry.functions.text import terms, words
 from quarry.operators.partitioning import fits_broadcast, spread
-from quarry.sources.tables import write_scratch
 
+TERM_PARTS = 64
 BM25_K1 = 1.2
 BM25_B = 0.75
 
@@ -39,15 +38,9 @@ def chunk(df: DataFrame, key: str, text_col: str, size: int = 200, overlap: int
     return d.select(key, *keep, "chunk_no", F.size(piece).alias("n_words"), F.array_join(piece, " ").alias("text"))
 
 
-def cluster_chunks(chunks: DataFrame, key: str = "doc_id", buckets: int | None = None) -> DataFrame:
-    """Hash-partition chunks on (key, chunk_no), the layout of the bucketed chunk and posting tables.
-
-    One shuffle of chunk rows, which are far smaller than their postings. The
-    chunk (not the document) is the unit, so one huge document spreads over
-    all buckets instead of making one hot bucket.
-    """
-    n = buckets or int(chunks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return chunks.repartition(n, key, "chunk_no")
+def term_part(term: Column, parts: int = TERM_PARTS) -> Column:
+    """Folder number of a term's postings."""
+    return F.pmod(F.xxhash64(term), F.lit(parts)).cast("int")
 
 
 def term_index(chunks: DataFrame, key: str = "doc_id", keep: list[str] = ()) -> DataFrame:
@@ -55,118 +48,62 @@ def term_index(chunks: DataFrame, key: str = "doc_id", keep: list[str] = ()) ->
     t = chunks.select(key, "chunk_no", *keep, terms(F.col("text")).alias("__t"))
     # Each chunk is tokenised once; dl is the chunk's term count.
     t = posexplode_rows(t, [key, "chunk_no", *keep, F.size("__t").alias("dl")], "__t", "__p", "term")
-    # Map-side partial counts collapse repeats within a chunk before the shuffle. On chunks
-    # hash-partitioned by (key, chunk_no) (``cluster_chunks`` / a bucketed chunk table) the
-    # grouping is already satisfied, and the postings are built without any shuffle.
+    # Map-side partial counts collapse repeats within a chunk before the shuffle.
     return t.groupBy("term", key, "chunk_no", "dl", *keep).agg(F.count(F.lit(1)).alias("tf"))
 
 
-ESSENTIAL_DF_SHARE = 0.05
-PRUNE_FANOUT = 8.0
-_MARGIN = 1e-6
-
-
 def term_dictionary(postings: DataFrame) -> DataFrame:
     """(term, df): the index's dictionary, built once next to the postings."""
     return postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
 
 
-def index_stats(chunks: DataFrame, postings: DataFrame) -> DataFrame:
-    """One row (n_chunks, sum_dl, n_postings): collection statistics, built once next to the postings.
+def index_stats(postings: DataFrame, key: str = "doc_id") -> DataFrame:
+    """One row (n_chunks, sum_dl, n_postings) of collection statistics, from the postings alone.
 
-    sum_dl (total terms over all chunks) is the sum of tf over the postings, so no text is
-    re-tokenised. Two global partial aggregates combined by a union, so no join is needed.
+    Chunks without a term have no posting and don't count. sum_dl is the sum of tf, so no text is tokenised again.
     """
-    a = chunks.agg(F.count(F.lit(1)).alias("n_chunks"), F.lit(0).cast("long").alias("sum_dl"),
-                   F.lit(0).cast("long").alias("n_postings"))
-    b = postings.agg(F.lit(0).cast("long").alias("n_chunks"), F.sum("tf").cast("long").alias("sum_dl"),
-                     F.count(F.lit(1)).alias("n_postings"))
-    return a.unionByName(b).agg(*[F.sum(c).cast("long").alias(c) for c in ("n_chunks", "sum_dl", "n_postings")])
+    per_chunk = postings.groupBy(key, "chunk_no").agg(F.sum("tf").alias("dl"), F.count(F.lit(1)).alias("n"))
+    return per_chunk.agg(F.count(F.lit(1)).alias("n_chunks"), *[F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(a)
+                                                              for c, a in (("dl", "sum_dl"), ("n", "n_postings"))])
 
 
-def search(questions: DataFrame, qkey: str, qtext: str, postings: DataFrame, chunks: DataFrame,
-           key: str = "doc_id", k: int = 3, prefer: tuple[str, str] | None = None,
-           prune: bool | str = "auto", dictionary: DataFrame | None = None,
-           stats: DataFrame | None = None) -> DataFrame:
+def search(questions: DataFrame, qkey: str, qtext: str, postings: DataFrame, key: str = "doc_id", k: int = 3,
+           prefer: tuple[str, str] | None = None, dictionary: DataFrame | None = None, stats: DataFrame | None = None,
+           parts: int = TERM_PARTS) -> DataFrame:
     """Top-k chunks per question by BM25; ties by key, chunk. ``prefer=(col, value)`` ranks those first.
 
-    With ``prune`` (exact, MaxScore-style), the long posting lists of common terms are
-    never fanned out per question:
-    1. partial scores from the question's rarer terms (df <= 5% of chunks) only;
-    2. theta = k-th best partial score (a lower bound of the k-th best full score);
-    3. a chunk without a rarer term scores < rest_ub = sum of the common terms' bounds
-       idf * (k1 + 1); if rest_ub <= theta it cannot enter the top-k;
-    4. only candidates with partial + rest_ub >= theta get exact full scores.
-    Questions where the bound does not hold take the exhaustive path, so results are exact.
-    ``prune="auto"`` prunes when the exhaustive join would emit more than PRUNE_FANOUT
-    times the postings (sum of df over question terms, read from the term dictionary).
-    ``stats`` is the one-row ``index_stats`` table; without it the statistics are computed here.
+    One plan: the postings of the question terms, summed per question and chunk. If ``postings`` has a ``part``
+    column (see ``term_part``), the folders that hold no question term are never listed or read: their numbers, at
+    most ``parts``, are the only thing collected. ``dictionary`` and ``stats`` may be partial sums (one row a
+    segment); without them they are computed here.
     """
     qt = questions.select(qkey, F.explode(F.array_distinct(terms(F.col(qtext)))).alias("term")).distinct()
     # One size check: the distinct terms and their weights are never larger than qt.
-    small = fits_broadcast(qt)
-    bc = F.broadcast if small else (lambda d: d)
-    qterms = bc(qt.select("term").distinct())
-    st = (stats if stats is not None else index_stats(chunks, postings)).first()
-    n_chunks = float(st["n_chunks"])
+    bc = F.broadcast if fits_broadcast(qt) else (lambda d: d)
+    qterms = qt.select("term").distinct()
+    if "part" in postings.columns:
+        wanted = [r.part for r in qterms.select(term_part(F.col("term"), parts).alias("part")).distinct().collect()]
+        postings = postings.filter(F.col("part").isin(wanted))
+        if dictionary is not None and "part" in dictionary.columns:
+            dictionary = dictionary.filter(F.col("part").isin(wanted))
+    st = (stats if stats is not None else index_stats(postings)).agg(F.sum("n_chunks").alias("n_chunks"), F.sum("sum_dl").alias("sum_dl")).first()
+    n_chunks = float(st["n_chunks"] or 0)
     avgdl = st["sum_dl"] / n_chunks if n_chunks else 0.0
     source = dictionary if dictionary is not None else term_dictionary(postings)
-    dfreq = source.join(qterms, "term", "left_semi")
-    if prune == "auto":
-        fanout = qt.join(dfreq, "term").agg(F.sum("df")).first()[0] or 0
-        prune = fanout > PRUNE_FANOUT * st["n_postings"]
+    dfreq = source.join(bc(qterms), "term", "left_semi").groupBy("term").agg(F.sum("df").alias("df"))
     idf = F.log(1 + (n_chunks - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    weights = dfreq.select("term", idf.alias("idf"), (F.col("df") <= n_chunks * ESSENTIAL_DF_SHARE).alias("ess"))
-    qw = bc(qt.join(bc(weights), "term", "inner"))
+    qw = bc(qt.join(bc(dfreq.select("term", idf.alias("idf"))), "term", "inner"))
     keep = [prefer[0]] if prefer else []
     part = F.col("idf") * F.col("tf") * (BM25_K1 + 1) / (
         F.col("tf") + BM25_K1 * (1 - BM25_B + BM25_B * F.col("dl") / avgdl))
     order = [F.col("score").desc(), F.col(key), F.col("chunk_no")]
-    pref = (F.col(prefer[0]) == prefer[1]) if prefer else None
     if prefer:
-        order = [pref.desc()] + order
+        order = [(F.col(prefer[0]) == prefer[1]).desc()] + order
     w = Window.partitionBy(qkey).orderBy(*order)
-
-    def top(hits: DataFrame) -> DataFrame:
-        # Rounded so that exact copies tie whatever the summation order, then ties go by key, chunk.
-        scores = hits.groupBy(qkey, key, "chunk_no", *keep).agg(F.round(F.sum(part), 6).alias("score"))
-        return scores.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
-
-    def exhaustive(qterms_w: DataFrame) -> DataFrame:
-        return top(postings.join(qterms_w.select(qkey, "term", "idf"), "term", "inner"))
-
-    if not prune:
-        out = exhaustive(qw)
-        return out.select(qkey, "rank", key, "chunk_no", *keep, "score")
-
-    # Phase 1: partial scores from the rarer ("essential") terms only; partial <= full score.
-    ess = qw.filter(F.col("ess")).select(qkey, "term", "idf")
-    partial = postings.join(bc(ess), "term", "inner") \
-        .groupBy(qkey, key, "chunk_no", *keep).agg(F.sum(part).alias("partial"))
-    # Read twice below (theta and the survivors): written once instead of scanning the postings twice.
-    partial = write_scratch(partial, "bm25-partial")
-    cls = pref if prefer else F.lit(True)
-    # theta: k-th best partial score within the class that fills the top-k (all, or the preferred chunks).
-    wk = Window.partitionBy(qkey).orderBy(F.col("partial").desc(), F.col(key), F.col("chunk_no"))
-    kth = partial.filter(cls).withColumn("__r", F.row_number().over(wk)).filter(F.col("__r") == k) \
-        .select(qkey, F.col("partial").alias("theta"))
-    rest = qw.filter(~F.col("ess")).groupBy(qkey).agg(F.sum(F.col("idf") * (BM25_K1 + 1)).alias("rest_ub"))
-    bounds = qw.select(qkey).distinct().join(rest, qkey, "left").join(kth, qkey, "left").select(
-        qkey, F.coalesce("rest_ub", F.lit(0.0)).alias("rest_ub"), "theta")
-    # Safe: any chunk without an essential term scores < rest_ub <= theta, so it cannot reach the top-k.
-    bounds = bounds.withColumn("safe", F.col("theta").isNotNull() & (F.col("rest_ub") <= F.col("theta") - _MARGIN))
-    bounds = F.broadcast(bounds) if small else bounds
-    # Survivors: candidates whose upper bound (partial + rest_ub) can still reach theta.
-    surv = partial.join(bounds.filter("safe"), qkey, "inner") \
-        .filter(cls & (F.col("partial") + F.col("rest_ub") >= F.col("theta") - _MARGIN)) \
-        .select(qkey, key, "chunk_no")
-    # The survivor set's size is known only at runtime: AQE broadcasts it when its shuffle output is small.
-    # Phase 2: exact full scores for the survivors only.
-    full = top(postings.join(surv, [key, "chunk_no"], "inner")
-               .join(qw.select(qkey, "term", "idf"), [qkey, "term"], "inner"))
-    unsafe_terms = qw.join(bounds.filter(~F.col("safe")), qkey, "left_semi")
-    out = full.unionByName(exhaustive(unsafe_terms))
-    return out.select(qkey, "rank", key, "chunk_no", *keep, "score")
+    hits = postings.join(qw, "term", "inner")
+    # Rounded so that exact copies tie whatever the summation order, then ties go by key, chunk.
+    scores = hits.groupBy(qkey, key, "chunk_no", *keep).agg(F.round(F.sum(part), 6).alias("score"))
+    return scores.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k).select(qkey, "rank", key, "chunk_no", *keep, "score")
 
 
 def new_rows(df: DataFrame, known: DataFrame, keys: list[str]) -> DataFrame:

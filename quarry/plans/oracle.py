@@ -348,13 +348,17 @@ SELECT conv_id, CAST(count(*) AS BIGINT) AS n_messages,
   arg_max(role, turn) = 'user' AND trim(arg_max(text, turn)) <> '' AS accepted
 FROM conversations GROUP BY conv_id"""
 ORACLE["flatten_responses"] = "SELECT conv_id, turn, trim(text) AS content FROM conversations"
-ORACLE["response_envelope"] = """
-SELECT conv_id, turn, CAST(json_object('type', 'message',
+_MESSAGE = """json_array(json_object('type', 'message',
   'id', 'msg_' || substr(md5(CAST(conv_id AS VARCHAR) || ':' || CAST(turn AS VARCHAR)), 1, 12),
   'role', 'assistant', 'status', 'completed',
-  'content', json_array(json_object('type', 'output_text', 'text', text, 'annotations', json_array()))) AS VARCHAR)
-  AS envelope
-FROM conversations WHERE role = 'assistant'"""
+  'content', json_array(json_object('type', 'output_text', 'text', t, 'annotations', json_array()))))"""
+ORACLE["response_envelope"] = f"""
+SELECT conv_id, turn, CAST(CASE
+  WHEN shape IN (1, 2, 3) THEN json_array(json_object('content', text, 'type', 'message'), json_object('text', 'second'))
+  WHEN shape = 5 THEN json_array(json_object('content', text, 'type', 'message'))
+  ELSE {_MESSAGE} END AS VARCHAR) AS envelope
+FROM (SELECT conv_id, turn, text, (conv_id + turn) % 10 AS shape,
+             CASE WHEN (conv_id + turn) % 10 IN (8, 9) THEN trim(text) ELSE text END AS t FROM conversations)"""
 ORACLE["json_preview"] = """
 SELECT event_id, CAST(json_object('event_id', event_id,
   'ts', strftime(ts, '%Y-%m-%dT%H:%M:%S') || CASE WHEN epoch_us(ts) % 1000000 = 0 THEN ''
@@ -406,4 +410,5 @@ p AS (SELECT *, CASE WHEN g > 0 THEN CASE WHEN en_hits = g THEN 'en' WHEN de_hit
 SELECT doc_id, lang, en_hits, de_hits, fr_hits, es_hits, predicted_lang,
   coalesce(predicted_lang = 'en', false) AS is_english, coalesce(predicted_lang = lang, false) AS agrees FROM p"""
 
-ORACLE["stream_rewrite"] = "SELECT doc_id, 1 AS append_version, 2 AS replace_version FROM documents"
+ORACLE["stream_rewrite"] = """
+SELECT doc_id, 1 AS append_version, CASE WHEN source > (SELECT min(source) FROM documents) THEN 2 END AS replace_version FROM documents"""

@@ -20,7 +20,7 @@ from quarry.operators.sections import sections
 from quarry.plans import catalog
 from quarry.plans.specs import FIELD_NAMES, PROCESSED_SCHEMA, spec_subset
 from quarry.sources.fixtures import manuals, parsed_manuals
-from quarry.sources.tables import append_metrics, enforce_schema, materialize, read_table
+from quarry.sources.tables import append_metrics, enforce_schema, materialize, read_metrics, read_table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -214,8 +214,9 @@ def run_compare(spark, sf):
     # K6: each run's metrics are appended to the metrics table, which the comparison then reads.
     run_ts = F.timestamp_add("DAY", F.substring("run_id", 5, 1).cast("int"), F.lit("2024-01-01").cast("timestamp"))
     path = scratch_path(spark, "metrics")
-    append_metrics(m.withColumn("run_ts", run_ts), path)
-    out = EV.compare_runs(spark.read.parquet(path))
+    append_metrics(m.withColumn("run_ts", run_ts), path, "manuals")
+    append_metrics(read_metrics(spark, path, "manuals").filter("run_id = 'run-1'"), path, "manuals")  # a retry replaces its run
+    out = EV.compare_runs(read_metrics(spark, path, "manuals"))
     return out.select("run_id", "metric", F.round("value", 6).alias("value"),
                       F.round("prev_value", 6).alias("prev_value"), F.round("delta", 6).alias("delta"))
 
@@ -306,12 +307,11 @@ def format_profile(spark, sf):
 # ------------------------------------------------------------------ parsing
 from quarry.operators import parse as P  # noqa: E402
 from quarry.operators import retrieval as R  # noqa: E402
+from quarry.operators import segments as SG  # noqa: E402
+from quarry.session import scratch_path  # noqa: E402
 from quarry.sources.fixtures import spec_sheets  # noqa: E402
 
 CHUNK_SIZE, CHUNK_OVERLAP, TOP_K = 200, 50, 3
-# Buckets of the chunk and posting tables; None = the session's shuffle partitions.
-# On a cluster, size it so that one bucket of postings is a few hundred MB.
-INDEX_BUCKETS: int | None = None
 
 
 @query
@@ -347,19 +347,23 @@ def _chunks(spark, sf):
     return R.chunk(docs, "doc_id", "text", CHUNK_SIZE, CHUNK_OVERLAP, keep=["lang"])
 
 
+_INDEXES: dict[tuple[str, str], SG.PassageIndex] = {}
+
+
 def _index(spark, sf):
-    """The retrieval index as tables: chunks, postings, the term dictionary and collection statistics."""
-    def table(key, build, bucket_by=None):
-        return materialize(build, key, scope=sf, spark=spark, bucket_by=bucket_by)
-    # Chunks and postings share one bucketing on (doc_id, chunk_no): the postings build and the
-    # per-(question, chunk) score aggregation of search then need no shuffle.
-    n = INDEX_BUCKETS or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    layout = (n, ["doc_id", "chunk_no"])
-    ch = table("chunks", lambda: R.cluster_chunks(_chunks(spark, sf), "doc_id", n), layout)
-    post = table("postings", lambda: R.term_index(ch, "doc_id", keep=["lang"]), layout)
-    dictionary = table("dictionary", lambda: R.term_dictionary(post))
-    stats = table("index_stats", lambda: R.index_stats(ch, post))
-    return ch, post, dictionary, stats
+    """The retrieval index of all documents as tables; built once per application and folder."""
+    memo = (spark.sparkContext.applicationId, sf)
+    if memo not in _INDEXES:
+        index = SG.PassageIndex(scratch_path(spark, "passage-index"), keep=("lang",), size=CHUNK_SIZE, overlap=CHUNK_OVERLAP)
+        SG.sync(read_table(spark, sf, "documents"), index)
+        _INDEXES[memo] = index
+    return SG.read_index(spark, _INDEXES[memo])
+
+
+def _passages(spark, sf, prefer=None):
+    index = _index(spark, sf)
+    return R.search(read_table(spark, sf, "benchmark"), "item_id", "text", index["postings"], "doc_id", TOP_K, prefer=prefer,
+                    dictionary=index["dictionary"], stats=index["stats"])
 
 
 @query
@@ -374,34 +378,31 @@ def term_index(spark, sf):
 
 @query
 def passages(spark, sf):
-    ch, post, dictionary, stats = _index(spark, sf)
-    return R.search(read_table(spark, sf, "benchmark"), "item_id", "text", post, ch, "doc_id", TOP_K,
-                    dictionary=dictionary, stats=stats)
+    return _passages(spark, sf)
 
 
 @query
 def passages_english(spark, sf):
-    ch, post, dictionary, stats = _index(spark, sf)
-    return R.search(read_table(spark, sf, "benchmark"), "item_id", "text", post, ch, "doc_id", TOP_K,
-                    prefer=("lang", "en"), dictionary=dictionary, stats=stats)
+    return _passages(spark, sf, prefer=("lang", "en"))
 
 
 @query
 def index_sync(spark, sf):
-    """The index holds the labelled documents; sync adds the chunks of every other document."""
-    docs = read_table(spark, sf, "documents").select("doc_id", "n_chars", "text")
-    known = docs.join(read_table(spark, sf, "labels").select("doc_id"), "doc_id", "left_semi")
-    todo = R.new_rows(docs, known, ["doc_id", "n_chars"])
-    return R.chunk(todo, "doc_id", "text", CHUNK_SIZE, CHUNK_OVERLAP).select("doc_id", "chunk_no", "n_words")
+    """The index holds the labelled documents; sync adds every other document as a segment and returns its chunks."""
+    docs = read_table(spark, sf, "documents")
+    index = SG.PassageIndex(scratch_path(spark, "synced-index"), version=("n_chars",), keep=("lang",), size=CHUNK_SIZE, overlap=CHUNK_OVERLAP)
+    SG.sync(docs.join(read_table(spark, sf, "labels").select("doc_id"), "doc_id", "left_semi"), index)
+    return SG.sync(docs, index).select("doc_id", "chunk_no", "n_words")
 
 
 # ------------------------------------------------------------------ logs, preview, variant
 from quarry.operators import logs as L  # noqa: E402
 from quarry.operators import preview as PV  # noqa: E402
 
-# Response shapes written from conversation texts (one per turn % 6).
-RESPONSE_SHAPES_SQL = """
-CASE turn % 6
+# Response shapes written from conversation texts (one per turn % 6); one conversation in eleven nests its message twelve lists deep.
+RESPONSE_SHAPES_SQL = f"""
+CASE WHEN conv_id % 11 = 3 THEN concat('{'{"outputs":[{"output":[' * 6}', to_json(named_struct('type', 'message', 'content', text)), '{']}]}' * 6}')
+ELSE CASE turn % 6
   WHEN 0 THEN to_json(named_struct('predictions', array(named_struct('type', 'message',
        'content', array(named_struct('type', 'output_text', 'text', text))))))
   WHEN 1 THEN to_json(named_struct('output', array(named_struct('type', 'message', 'content', text))))
@@ -412,7 +413,7 @@ CASE turn % 6
   ELSE to_json(array(named_struct('type', 'message', 'content', array(
        named_struct('type', 'output_text', 'text', '<name>agent-1</name>'),
        named_struct('type', 'text', 'text', text)))))
-END"""
+END END"""
 
 
 @query
@@ -429,10 +430,27 @@ def flatten_responses(spark, sf):
     return L.flatten_responses(logs, "response").select("conv_id", "turn", "content")
 
 
+# Every response shape that the envelope tells apart, written from conversation texts.
+ENVELOPE_SHAPES_SQL = """
+CASE (conv_id + turn) % 10
+  WHEN 1 THEN to_json(named_struct('output', items)) WHEN 2 THEN to_json(named_struct('outputs', items))
+  WHEN 3 THEN to_json(named_struct('predictions', array(named_struct('output', items))))
+  WHEN 4 THEN to_json(named_struct('predictions', array(named_struct('output', text))))
+  WHEN 5 THEN to_json(named_struct('predictions', array(named_struct('type', 'message', 'content', text))))
+  WHEN 6 THEN to_json(named_struct('predictions', array(text)))
+  WHEN 7 THEN to_json(named_struct('choices', array(named_struct('message', named_struct('role', 'assistant', 'content', text)))))
+  WHEN 8 THEN to_json(named_struct('predictions', array(named_struct('text', text))))
+  WHEN 9 THEN to_json(named_struct('content', text))
+  ELSE text END"""
+
+
 @query
 def response_envelope(spark, sf):
-    conv = read_table(spark, sf, "conversations").filter(F.col("role") == "assistant")
-    return L.response_envelope(conv, ["conv_id", "turn"], "text").select("conv_id", "turn", "envelope")
+    items = F.array(F.struct(F.lit("message").alias("type"), F.col("text").alias("content"), F.lit(None).cast("string").alias("text")),
+                    F.struct(F.lit(None).cast("string").alias("type"), F.lit(None).cast("string").alias("content"), F.lit("second").alias("text")))
+    logs = read_table(spark, sf, "conversations").withColumn("items", items) \
+        .select("conv_id", "turn", F.expr(ENVELOPE_SHAPES_SQL).alias("response"))
+    return L.response_envelope(logs, ["conv_id", "turn"], "response").select("conv_id", "turn", "envelope")
 
 
 @query
@@ -449,7 +467,6 @@ def variant_path(spark, sf):
 # ------------------------------------------------------------------ sources, sinks, streaming
 import uuid  # noqa: E402
 
-from quarry.session import scratch_path  # noqa: E402
 from quarry.sources import files as FS  # noqa: E402
 from quarry.sources.payloads import ingest_payloads  # noqa: E402
 from quarry.sources.tables import column_comments, ensure_namespace, save_table  # noqa: E402
@@ -512,7 +529,10 @@ def _saved_catalog(spark, sf):
 
 @query
 def ctas_roundtrip(spark, sf):
-    return spark.table(_saved_catalog(spark, sf))
+    """Created, then overwritten from itself: the rows go to a new folder before the table is pointed there."""
+    name = _saved_catalog(spark, sf)
+    save_table(spark.table(name), name, PROCESSED_SCHEMA, PROCESSED_COMMENT, path=scratch_path(spark, "tables"))
+    return spark.table(name)
 
 
 @query
@@ -533,7 +553,7 @@ def stream_pipeline(spark, sf):
     raw = _raw_manuals(spark, sf)
     spread(raw).write.parquet(f"{work}/input")  # several input files, so each stage runs in parallel
     prefix = "run_" + uuid.uuid4().hex[:8]
-    SP.run_pipeline(spark, f"{work}/input", work, raw.schema, prefix=prefix, database="quarry")
+    SP.run_pipeline(spark, SP.stream_table(spark, f"{work}/input", schema=raw.schema), work, prefix=prefix, database="quarry")
     return spark.table(f"quarry.{prefix}_productmanuals_processed")
 
 
@@ -575,12 +595,12 @@ def english_rule(spark, sf):
 
 @query
 def stream_rewrite(spark, sf):
-    """Every source file is rewritten at the same path between two runs.
+    """Between two runs the files of one source are deleted and all others rewritten at the same paths.
 
-    append_version: what the append stream holds after both runs (Spark skips seen paths);
-    replace_version: what the replace-mode sync holds (the rewritten rows replace the old ones).
+    append_version: what the append stream holds after both runs (Spark skips seen paths and forgets none);
+    replace_version: what the replace-mode sync holds (rewritten rows replace the old ones, rows of deleted files go).
     """
-    from quarry.streaming.replace import place_files, sync_latest
+    from quarry.streaming.replace import place_files, read_snapshot, remove_files, sync_latest
 
     work = scratch_path(spark, "stream-rewrite")
     folder = f"{work}/input"
@@ -592,10 +612,12 @@ def stream_rewrite(spark, sf):
 
     place_files(spark, docs.withColumn("version", F.lit(1)), "source", folder, f"{work}/tmp1", id_col="doc_id")
     append_run()
-    snap, state = sync_latest(spark, folder, schema, None, None, f"{work}/sync1")
-    place_files(spark, docs.withColumn("version", F.lit(2)), "source", folder, f"{work}/tmp2", id_col="doc_id")
+    sync_latest(spark, folder, schema, f"{work}/sync")
+    gone = docs.agg(F.min("source")).first()[0]
+    remove_files(spark, f"{folder}/{gone}-*.parquet")
+    place_files(spark, docs.filter(F.col("source") != gone).withColumn("version", F.lit(2)), "source", folder, f"{work}/tmp2", id_col="doc_id")
     append_run()
-    snap, state = sync_latest(spark, folder, schema, snap, state, f"{work}/sync2")
+    sync_latest(spark, folder, schema, f"{work}/sync")
     appended = spark.read.parquet(f"{work}/append").select("doc_id", F.col("version").alias("append_version"))
-    replaced = spark.read.parquet(snap).select("doc_id", F.col("version").alias("replace_version"))
+    replaced = read_snapshot(spark, f"{work}/sync", schema).select("doc_id", F.col("version").alias("replace_version"))
     return appended.join(replaced, "doc_id", "full")

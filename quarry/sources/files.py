@@ -40,11 +40,17 @@ def file_inventory(spark: SparkSession, path: str, suffix: str = ".pdf") -> Data
         "modified_at")
 
 
-def stream_files(spark: SparkSession, path: str, pattern: str | None = None, max_files: int | None = None) -> DataFrame:
-    """A streaming DataFrame of files not seen before (the checkpoint remembers seen paths)."""
+def stream_files(spark: SparkSession, path: str, pattern: str | None = None, max_files: int | None = None,
+                 max_bytes: str | None = None) -> DataFrame:
+    """A streaming DataFrame of files not seen before (the checkpoint remembers seen paths).
+
+    A trigger admits at most ``max_files`` files or ``max_bytes`` ("1g"), so one folder of any size is taken in batches.
+    """
     r = spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
     if pattern:
         r = r.option("pathGlobFilter", pattern)
     if max_files:
         r = r.option("maxFilesPerTrigger", str(max_files))
+    if max_bytes:
+        r = r.option("maxBytesPerTrigger", max_bytes)
     return r.load(path).select(*_meta_cols(True))

@@ -28,14 +28,18 @@ SELECT k, concat(model, '.pdf') AS file_name, p_brand, model, p_name, ptype, vol
   concat_ws(chr(10), '[en]',
     concat('Manufacturer: ', p_brand), concat('Model: ', model), concat('Product: ', p_name), concat('Type: ', ptype),
     CASE WHEN volt IS NULL THEN NULL WHEN k % 17 = 0 THEN 'Rated voltage: n/a V' ELSE concat('Rated voltage: ', CAST(volt AS STRING), ' V') END,
+    CASE WHEN k % 19 = 0 THEN concat('On hard joints it delivers a max torque of ', CAST(torque AS STRING), ' Nm. Keep the tool dry.')
+         WHEN k % 23 = 0 THEN concat('| Max torque | ', CAST(torque AS STRING), ' | Nm |') ELSE
     CASE k % 3 WHEN 0 THEN concat('Max torque soft/hard: ', CAST(torque - 9 AS STRING), '/', CAST(torque AS STRING), ' Nm')
                WHEN 1 THEN concat('Tightening torque: ', CAST(torque AS STRING), ' Nm')
-               ELSE concat('Fastening torque: ', CAST(torque AS STRING), ' Nm') END,
+               ELSE concat('Fastening torque: ', CAST(torque AS STRING), ' Nm') END END,
     concat(CASE WHEN k % 2 = 0 THEN 'No-load speed 1: 0-' ELSE 'Low gear: 0-' END, CAST(lo_rpm AS STRING), ' rpm'),
     concat(CASE WHEN k % 2 = 0 THEN 'No-load speed 2: 0-' ELSE 'High gear: 0-' END, CAST(hi_rpm AS STRING), ' rpm'),
     CASE WHEN k % 13 = 0 THEN 'Chuck size: about 10' WHEN k % 2 = 0 THEN 'Clamping range: 1.5-13 mm' ELSE 'Collet capacity: 10' END,
-    concat('Drilling capacity in wood: ', CAST(wood AS STRING), ' mm'),
-    CASE WHEN steel IS NULL THEN NULL ELSE concat('Max bore diameter steel: ', CAST(steel AS STRING), ' mm') END,
+    CASE WHEN k % 31 = 0 THEN '[mm]' END,
+    concat('Drilling capacity in wood: ', CAST(wood AS STRING), ' mm',
+           CASE WHEN k % 29 = 0 AND steel IS NOT NULL THEN concat('; Max bore diameter steel: ', CAST(steel AS STRING), ' mm') ELSE '' END),
+    CASE WHEN steel IS NULL OR k % 29 = 0 THEN NULL ELSE concat('Max bore diameter steel: ', CAST(steel AS STRING), ' mm') END,
     CASE WHEN k % 2 = 0 THEN concat('Weight: ', CAST(w AS STRING), '-', CAST(w + 1 AS STRING), ' kg') ELSE concat('Weight: ', CAST(w + 1 AS STRING), ' lbs') END,
     'Recommended battery: PRO-4', CASE WHEN k % 4 = 0 THEN 'Battery: GBA-18' END, 'Charger: CHG-40',
     CASE WHEN k % 9 = 0 THEN 'Model: ALT-999' END,

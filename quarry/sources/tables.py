@@ -37,21 +37,42 @@ def enforce_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 def save_table(df: DataFrame, name: str, schema: T.StructType | None = None, comment: str | None = None,
                path: str | None = None) -> None:
-    """Create-or-replace a table as select (K2/K3), then apply table and column comments (K4)."""
+    """Create-or-replace a table as select (K2/K3), with table and column comments (K4).
+
+    The rows go to a new folder below ``path`` (default: the warehouse folder of that name); then the table is
+    pointed at it by one ALTER TABLE. Until then readers see the old rows, a failing write changes nothing, and
+    ``df`` may read the table itself. Old folders stay until they are cleaned up. A table whose columns change
+    is dropped and created anew, which takes two steps.
+    """
+    import uuid
+
     spark = df.sparkSession
     if schema is not None:
         df = enforce_schema(df, schema)
-    writer = df.write.mode("overwrite").format("parquet")
-    if path:
-        writer = writer.option("path", path)
-    writer.saveAsTable(name)
+    base = path or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/{name}-versions"
+    location = f"{base.rstrip('/')}/{uuid.uuid4().hex}"
+    df.write.parquet(location)
+    columns = spark.read.parquet(location).schema
+    if spark.catalog.tableExists(name):
+        if [(f.name, f.dataType) for f in spark.table(name).schema] == [(f.name, f.dataType) for f in columns]:
+            spark.sql(f"ALTER TABLE {name} SET LOCATION {_sql_str(location)}")
+            spark.catalog.refreshTable(name)
+        else:
+            spark.sql(f"DROP TABLE {name}")
+    if not spark.catalog.tableExists(name):
+        create_table(spark, name, location, schema or columns)
     if comment:
         spark.sql(f"COMMENT ON TABLE {name} IS {_sql_str(comment)}")
-    if schema is not None:
-        for field in schema.fields:
-            c = (field.metadata or {}).get("comment")
-            if c:
-                spark.sql(f"ALTER TABLE {name} ALTER COLUMN `{field.name}` COMMENT {_sql_str(c)}")
+
+
+def create_table(spark: SparkSession, name: str, location: str, schema: T.StructType, comment: str | None = None) -> None:
+    """A named parquet table over a folder, with its column and table comments (idempotent)."""
+    def column(f: T.StructField) -> str:
+        said = (f.metadata or {}).get("comment")
+        return f"`{f.name}` {f.dataType.simpleString()}" + (f" COMMENT {_sql_str(said)}" if said else "")
+
+    about = f" COMMENT {_sql_str(comment)}" if comment else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({', '.join(map(column, schema.fields))}) USING parquet LOCATION {_sql_str(location)}{about}")
 
 
 def column_comments(spark: SparkSession, name: str) -> DataFrame:
@@ -61,9 +82,21 @@ def column_comments(spark: SparkSession, name: str) -> DataFrame:
             .select("col_name", "data_type", "comment"))
 
 
-def append_metrics(metrics: DataFrame, path: str) -> None:
-    """Run metrics sink (K6): append (run_id, run_ts, metric, value) rows."""
-    metrics.select("run_id", "run_ts", "metric", F.col("value").cast("double")).write.mode("append").parquet(path)
+METRICS = "run_ts timestamp, metric string, value double, experiment string, run_id string"
+
+
+def append_metrics(metrics: DataFrame, path: str, experiment: str = "default") -> None:
+    """Run metrics sink (K6): (run_id, run_ts, metric, value) rows under an experiment.
+
+    A run is a partition of its own and replaces itself only, so a retry never doubles its metrics.
+    """
+    metrics.select("run_ts", "metric", F.col("value").cast("double").alias("value"), F.lit(experiment).alias("experiment"), "run_id") \
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("experiment", "run_id").parquet(path)
+
+
+def read_metrics(spark: SparkSession, path: str, experiment: str = "default") -> DataFrame:
+    """(run_id, run_ts, metric, value) of all runs of an experiment."""
+    return spark.read.schema(METRICS).parquet(path).filter(F.col("experiment") == experiment).select("run_id", "run_ts", "metric", "value")
 
 
 def _sql_str(s: str) -> str:

@@ -13,12 +13,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quarry.operators.extract import extract
 from quarry.operators.flatten import flatten
 from quarry.operators.parse import document_text, to_document
 from quarry.plans.specs import EXTRACT_COMMENT, PARSED_COMMENT, PROCESSED_COMMENT, PROCESSED_SCHEMA, PRODUCT_SPEC
-from quarry.sources.tables import ensure_namespace
+from quarry.sources.tables import create_table, ensure_namespace
 
 STAGE_COMMENTS = {"parsed": PARSED_COMMENT, "extract": EXTRACT_COMMENT, "processed": PROCESSED_COMMENT}
 
@@ -61,28 +62,44 @@ def process_stage(extracted: DataFrame) -> DataFrame:
     return flatten(extracted, "ai_result", PROCESSED_SCHEMA, keys=["file_name"], errors_col=None)
 
 
-def register_table(spark: SparkSession, name: str, path: str, comment: str | None = None) -> None:
-    """Expose a stage's output folder as a named table with a comment (idempotent)."""
-    c = f" COMMENT '{comment.replace(chr(39), chr(92) + chr(39))}'" if comment else ""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING parquet LOCATION '{path}'{c}")
+RAW_SCHEMA = "path string, file_name string, file_size bigint, content binary"
 
 
-def run_pipeline(spark: SparkSession, input_path: str, workdir: str, input_schema,
-                 prefix: str | None = None, database: str | None = None) -> dict[str, str]:
-    """Run the three chained stages once; returns the output path of each stage.
+def stage_schema(spark: SparkSession, *stages: Callable[[DataFrame], DataFrame]) -> T.StructType:
+    """Columns that a chain of stages gives for raw documents; no file is read, so an empty first run has them too."""
+    df = spark.createDataFrame([], RAW_SCHEMA)
+    for stage in stages:
+        df = stage(df)
+    return df.schema
 
-    With ``prefix``, each stage is also a table ``{database}.{prefix}_productmanuals_{stage}``
-    with its comment, as the reference names and comments its pipeline tables.
+
+def _folder(spark: SparkSession, path: str) -> str:
+    """``path``, made if it is missing: a file stream needs its folder, also before the stage before wrote a row."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(at)
+    return path
+
+
+def run_pipeline(spark: SparkSession, source: DataFrame, workdir: str, prefix: str | None = None, database: str | None = None) -> dict[str, str]:
+    """Run the three chained stages once over a stream of raw documents; returns the output path of each stage.
+
+    ``source`` has the columns of ``RAW_SCHEMA``: ``stream_files`` over a folder of files (with files and bytes a
+    trigger), or ``stream_table`` over a table of them. A run without new documents leaves all stages as they are.
+    With ``prefix``, each stage is also a table ``{database}.{prefix}_productmanuals_{stage}`` with its table and
+    column comments, as the reference names and comments its pipeline tables.
     """
     out = {s: f"{workdir}/{s}" for s in ("parsed", "extract", "processed")}
     ck = {s: f"{workdir}/_checkpoints/{s}" for s in out}
-    run_stage(stream_table(spark, input_path, schema=input_schema), parse_stage, out["parsed"], ck["parsed"])
-    run_stage(stream_table(spark, out["parsed"]), extract_stage, out["extract"], ck["extract"])
-    run_stage(stream_table(spark, out["extract"]), process_stage, out["processed"], ck["processed"])
+    schemas = {"parsed": stage_schema(spark, parse_stage), "extract": stage_schema(spark, parse_stage, extract_stage),
+               "processed": PROCESSED_SCHEMA}
+    run_stage(source, parse_stage, out["parsed"], ck["parsed"])
+    run_stage(stream_table(spark, _folder(spark, out["parsed"]), schema=schemas["parsed"]), extract_stage, out["extract"], ck["extract"])
+    run_stage(stream_table(spark, _folder(spark, out["extract"]), schema=schemas["extract"]), process_stage, out["processed"], ck["processed"])
+    _folder(spark, out["processed"])
     if prefix:
         db = f"{database}." if database else ""
         if database:
             ensure_namespace(spark, database, f"{workdir}/database")
         for stage, path in out.items():
-            register_table(spark, f"{db}{prefix}_productmanuals_{stage}", path, STAGE_COMMENTS[stage])
+            create_table(spark, f"{db}{prefix}_productmanuals_{stage}", path, schemas[stage], STAGE_COMMENTS[stage])
     return out

@@ -29,36 +29,6 @@ def test_passages_top_k_is_partial(spark):
     assert "WindowGroupLimit" in plan
 
 
-def _ancestors(plan: str, marker: str) -> list[str]:
-    """Operator names on the path from the root to the first line containing ``marker``."""
-    lines = plan.splitlines()
-    i = next(n for n, line in enumerate(lines) if marker in line)
-    depth = len(lines[i]) - len(lines[i].lstrip(" :+-"))
-    path = []
-    for line in reversed(lines[:i]):
-        d = len(line) - len(line.lstrip(" :+-"))
-        if d < depth:
-            path.append(line.lstrip(" :+-").split("(")[0].split(" ")[0])
-            depth = d
-    return path[::-1]
-
-
-def test_index_and_scoring_need_no_postings_shuffle(spark):
-    from quarry.operators import retrieval as R
-    from quarry.plans import queries as Q
-
-    ch, post, dictionary, stats = Q._index(spark, SMALL)
-    build = R.term_index(ch, "doc_id", keep=["lang"])._jdf.queryExecution().executedPlan().toString()
-    assert "Exchange" not in build and "Bucketed: true" in build
-    bm = spark.read.parquet(f"{SMALL}/benchmark.parquet")
-    df = R.search(bm, "item_id", "text", post, ch, "doc_id", 3, dictionary=dictionary, stats=stats, prune=False)
-    path = _ancestors(df._jdf.queryExecution().executedPlan().toString(), "quarry_scratch.postings_")
-    # Only the partial top-k per question crosses the shuffle; the scores are summed where the postings lie.
-    assert path.count("Exchange") == 1
-    assert path.index("Exchange") < path.index("WindowGroupLimit", path.index("Exchange"))
-    assert path.index("Exchange") < path.index("HashAggregate")
-
-
 @pytest.mark.parametrize("key", ["term_index", "english_sections", "pipe_tables", "chunks", "segment_markup"])
 def test_generated_arrays_are_built_once(spark, key):
     """No Filter re-evaluates a tokenizer or regex array below the generator that explodes it."""

@@ -1,7 +1,9 @@
 """Hand-written edge cases for extraction rules, scorers, parsing and logs."""
 
 import json
+import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from quarry.functions.fieldspec import FieldSpec
@@ -157,31 +159,66 @@ def test_spec_is_complete():
     assert isinstance(PRODUCT_SPEC[0], FieldSpec)
 
 
-def test_pruned_search_equals_exhaustive(spark):
+def _found(spark, index, questions=None):
     from quarry.operators import retrieval as R
-    from quarry.plans import queries as Q
+    from quarry.operators import segments as SG
     from tests.conftest import SMALL
 
-    ch, post, dictionary, stats = Q._index(spark, SMALL)
-    bm = spark.read.parquet(f"{SMALL}/benchmark.parquet")
-    for prefer in (None, ("lang", "en")):
-        a = R.search(bm, "item_id", "text", post, ch, "doc_id", 3, prefer=prefer, prune=True, dictionary=dictionary,
-                     stats=stats)
-        b = R.search(bm, "item_id", "text", post, ch, "doc_id", 3, prefer=prefer, prune=False)
-        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    t = SG.read_index(spark, index)
+    questions = spark.read.parquet(f"{SMALL}/benchmark.parquet") if questions is None else questions
+    return R.search(questions, "item_id", "text", t["postings"], "doc_id", 3, dictionary=t["dictionary"], stats=t["stats"])
 
 
-def test_index_stats_match_direct_counts(spark):
-    from quarry.plans import queries as Q
+def test_index_grows_by_segments(spark, tmp_path):
+    """Old and new segments together answer like one index; a rerun and a failed sync add nothing; compaction changes nothing."""
+    from quarry.operators import segments as SG
+    from tests.conftest import SMALL
+
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    whole, grown = (SG.PassageIndex(f"{tmp_path}/{n}", keep=("lang",)) for n in ("whole", "grown"))
+    SG.sync(docs, whole)
+    for k in range(3):
+        assert SG.sync(docs.filter(f"doc_id % 3 <= {k}"), grown).count() > 0
+    want = sorted(map(tuple, _found(spark, whole).collect()))
+    assert len(SG.live_segments(spark, grown)) == 3
+    assert sorted(map(tuple, _found(spark, grown).collect())) == want
+    assert SG.sync(docs, grown).count() == 0 and len(SG.live_segments(spark, grown)) == 3
+    SG.read_index(spark, grown)["chunks"].write.parquet(f"{grown.path}/segments/unlisted/chunks")  # left by a failed sync
+    assert len(SG.live_segments(spark, grown)) == 3
+    SG.compact(spark, grown)
+    assert len(SG.live_segments(spark, grown)) == 1
+    assert sorted(map(tuple, _found(spark, grown).collect())) == want
+    assert SG.sync(docs.limit(0), SG.PassageIndex(f"{tmp_path}/empty")).count() == 0
+
+
+def test_search_reads_the_folders_of_its_terms(spark, tmp_path):
+    from quarry.operators import segments as SG
     from tests.conftest import SMALL
 
-    ch, post, _, stats = Q._index(spark, SMALL)
-    st = stats.first()
-    assert st["n_chunks"] == ch.count() and st["n_postings"] == post.count()
+    index = SG.PassageIndex(f"{tmp_path}/index", keep=("lang",))
+    SG.sync(spark.read.parquet(f"{SMALL}/documents.parquet"), index)
+    one = spark.read.parquet(f"{SMALL}/benchmark.parquet").selectExpr("item_id", "split(text, ' ')[0] AS text").limit(1)
+    df = _found(spark, index, one)
+    files = {row.f for row in SG.read_index(spark, index)["postings"].selectExpr("_metadata.file_path AS f").distinct().collect()}
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    filters = re.findall(r"PartitionFilters: \[([^\]]*part#[^\]]*)\]", plan)
+    assert len(files) > 32 and filters and all(re.search(r"part#\d+ (=|IN)", f) for f in filters)
+    assert len(df.select("doc_id").collect()) > 0
+
+
+def test_index_stats_match_direct_counts(spark):
     from pyspark.sql import functions as F
 
     from quarry.functions.text import terms
-    assert st["sum_dl"] == ch.agg(F.sum(F.size(terms(F.col("text"))))).first()[0]
+    from quarry.operators.retrieval import index_stats
+    from quarry.plans import queries as Q
+    from tests.conftest import SMALL
+
+    t = Q._index(spark, SMALL)
+    st = t["stats"].first()
+    assert st["n_chunks"] == t["chunks"].count() and st["n_postings"] == t["postings"].count()
+    assert st["sum_dl"] == t["chunks"].agg(F.sum(F.size(terms(F.col("text"))))).first()[0]
+    assert index_stats(t["postings"]).first().sum_dl == st["sum_dl"]
 
 
 def test_user_scorers(spark):
@@ -351,3 +388,206 @@ def test_building_a_spread_plan_starts_no_job(spark):
         assert list(tracker.getJobIdsForGroup("plan-only")) == []
     finally:
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+# --- labels anywhere in a text (X10), section markers (D5), decimal commas (X3) ---
+
+TEXTS_AND_FIELDS = [
+    ("Weight: 2 kg\n[mm]\nMax torque: 5 Nm\n[ok]\n[AC]", {"weight_kg": 2.0, "max_torque_nm": 5.0}),
+    ("Manufacturer: Foo; Model: X-1, Weight: 2 kg", {"manufacturer": "Foo", "model_number": "X-1", "weight_kg": 2.0}),
+    ("This drill delivers a max torque of 55 Nm and a rated voltage of 18 V.", {"max_torque_nm": 55.0, "rated_voltage_v": 18.0}),
+    ("| Max torque | 55 | Nm |\n| Model | Z9 | new |\n| Weight | 2 kg | Rated voltage | 18 V |",
+     {"max_torque_nm": 55.0, "model_number": "Z9", "weight_kg": 2.0, "rated_voltage_v": 18.0}),
+    ("Product: Battery drill\nOld weight: 3 kg\nWeight: 0,125 kg\nMax torque: 1,200 Nm",
+     {"product_name": "Battery drill", "weight_kg": 0.125, "max_torque_nm": 1200.0}),
+    ("The weight is about 2,5 kg\n- Brand: Bar\nType = drill. Charger: C1",
+     {"weight_kg": 2.5, "manufacturer": "Bar", "product_type": "drill", "compatible_chargers": "C1"}),
+    ("A weight of 9 kg is usual.\nWeight: 2 kg", {"weight_kg": 2.0}),  # a labelled value goes before a sentence's
+    ("Max torque soft/hard: 46/55 Nm; Max torque: 99 Nm", {"max_torque_nm": 55.0}),  # the longest label at a place
+    ("this type of drill has no weight to speak of \x01\x02 Weight\x01", {}),
+    ("| Weight | Max torque |\n| 2 kg | 5 Nm |", {}),  # a header row names columns, not values
+    ("", {}), (None, {}),
+]
+
+
+def test_labels_are_read_anywhere(spark):
+    from quarry.operators.extract import extract_typed
+
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(TEXTS_AND_FIELDS)], "k int, t string")
+    for r in extract_typed(df, "t", PRODUCT_SPEC).drop("t").collect():
+        assert {c: v for c, v in r.asDict().items() if c != "k" and v is not None} == TEXTS_AND_FIELDS[r.k][1], r.k
+
+
+def test_labels_take_one_regex_pass_and_long_lines(spark):
+    from pyspark.sql import functions as F
+
+    from quarry.functions.fieldspec import declared_labels
+    from quarry.functions.text import label_values
+
+    long = "word | " * 200_000 + "Weight: 2 kg; " + "of ; " * 200_000 + "Model: X"
+    df = spark.createDataFrame([(long,)], "t string").select(label_values(F.col("t"), *declared_labels(PRODUCT_SPEC)).alias("p"))
+    assert [(p.label, p.value[:4]) for p in df.first().p] == [("weight", "2 kg"), ("model", "X")]
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("(?im)") == 1
+
+
+def test_markers_are_an_argument(spark):
+    from quarry.operators.extract import extract_typed
+
+    df = spark.createDataFrame([("[kg]\nWeight: 3 kg\n[en]\nWeight: 2 kg",)], "t string")
+    assert extract_typed(df, "t", PRODUCT_SPEC).first().weight_kg == 3.0  # "[kg]" is text
+    assert extract_typed(df, "t", PRODUCT_SPEC, markers="[a-z]{2}").first().weight_kg == 2.0
+
+
+# --- responses of any depth (C2), envelopes (C4), trimmed user text (C1) ---
+
+def test_responses_of_any_depth(spark):
+    """Level by level gives what the expression gives with enough levels."""
+    import json
+
+    from pyspark.sql import functions as F
+
+    from quarry.operators import logs as L
+
+    def nest(x, depth):
+        for k in range(depth):
+            x = {("outputs", "output", "predictions")[k % 3]: [x], "type": "message", "content": f"own {k}"}
+        return x
+
+    rows = [nest({"text": " deep "}, d) for d in range(13)] + [nest({"note": "no text"}, d) for d in (3, 12)]
+    rows += [[nest({"text": "a"}, 5), "b", nest({"text": "<name>x</name>"}, 7), nest({"type": "message", "content": [{"type": "text", "text": "c"}]}, 6)],
+             {"output": [{"outputs": [{"output": [{"predictions": []}]}], "predictions": [nest({"text": "second"}, 4)], "text": "own"}]},
+             {"predictions": [[1, 2], 3, None]}, {"outputs": [], "output": [], "predictions": [], "id": 5}]
+    df = spark.createDataFrame([(i, json.dumps(r)) for i, r in enumerate(rows)] + [(99, None), (98, '"output": "outputs": "output": no json')], "k int, content string")
+    got = {r.k: r.out for r in L.flatten_responses(df, "content", "out").collect()}
+    shallow = df.filter("k <= 4 OR k IN (13, 17, 18, 98, 99)")
+    want = {r.k: r.out for r in shallow.withColumn("out", L.response_text(F.col("content"), 4)).collect()}
+    want |= dict.fromkeys(range(5, 13), "deep") | {14: "own 0", 15: "a\n\nb\n\nown 0\n\nc", 16: "second"}
+    assert got == want and want[1] == "deep" and want[13] == "own 0"
+
+
+def test_envelope_branches(spark):
+    import json
+
+    from quarry.operators.logs import response_envelope
+
+    message = {"type": "message", "content": "m"}
+    cases = [  # (response, items passed through, or the text of one message)
+        ({"output": [message]}, [message]), ({"output": ["x"], "outputs": [message, {"a": 1}]}, [message, {"a": 1}]),
+        ({"predictions": [{"output": [message]}]}, [message]), ({"predictions": [{"output": ["x"]}]}, ["x"]),
+        ({"predictions": [{"output": " t "}]}, " t "), ({"predictions": [message, {"type": "message"}]}, [message]),
+        ({"predictions": [{"output": " ", "text": "own"}]}, "own"), ({"predictions": ["p", "q"]}, "p"),
+        ({"predictions": [{"outputs": [{"output": [{"outputs": [{"output": [{"text": "deep"}]}]}]}]}]}, "deep"),
+        ({"choices": [{"message": {"content": "c"}}]}, "c"), ({"choices": [{"message": {"content": " "}}], "content": "d"}, "d"),
+        ({"content": " e "}, "e"), ([message], [message]), ("plain", "plain"),
+    ]
+    df = spark.createDataFrame([(i, "x", r if isinstance(r, str) else json.dumps(r)) for i, (r, _) in enumerate(cases)], "k int, raw string, t string")
+    for r in response_envelope(df, ["k"], "t").collect():
+        want = cases[r.k][1]
+        got = json.loads(r.envelope)
+        if isinstance(want, str):
+            assert len(got) == 1 and got[0]["role"] == "assistant" and got[0]["content"] == [{"type": "output_text", "text": want, "annotations": []}], r.k
+        else:
+            assert got == want, r.k
+        assert r.raw == "x"
+
+
+def test_new_user_text_is_trimmed(spark):
+    from quarry.operators.logs import chat_history
+
+    df = spark.createDataFrame([(1, 0, "user", " a "), (1, 1, "assistant", " b "), (1, 2, "user", " c \n"), (2, 0, "user", " \n")],
+                               "conv_id int, turn int, role string, text string")
+    got = {r.conv_id: ([m.content for m in r.messages], r.accepted) for r in chat_history(df).collect()}
+    assert got == {1: ([" a ", " b ", "c"], True), 2: ([""], False)}
+
+
+# --- sinks and streams (K3, K6, S5, T1, T3) ---
+
+def test_tables_switch_over(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from quarry.sources.tables import ensure_namespace, save_table
+
+    ensure_namespace(spark, "switch", f"{tmp_path}/db")
+    df = spark.range(10).withColumn("v", F.lit(1))
+    save_table(df, "switch.t", path=f"{tmp_path}/t", comment="it's a table")
+    save_table(spark.table("switch.t").withColumn("v", F.col("v") + 1), "switch.t", path=f"{tmp_path}/t")  # from itself
+    assert spark.table("switch.t").agg(F.sum("v")).first()[0] == 20
+    with pytest.raises(Exception, match="no good"):
+        save_table(df.withColumn("v", F.raise_error(F.lit("no good")).cast("int")), "switch.t", path=f"{tmp_path}/t")
+    assert spark.table("switch.t").agg(F.sum("v")).first()[0] == 20
+    save_table(df.withColumn("w", F.lit("x")), "switch.t", path=f"{tmp_path}/t")  # other columns
+    assert spark.table("switch.t").columns == ["id", "v", "w"]
+    spark.sql("DROP DATABASE switch CASCADE")
+
+
+def test_metrics_of_a_run_replace_themselves(spark, tmp_path):
+    from quarry.sources.tables import append_metrics, read_metrics
+
+    def run(run_id, value):
+        return spark.sql(f"SELECT '{run_id}' AS run_id, timestamp'2024-01-01' AS run_ts, 'm' AS metric, {value}D AS value")
+
+    path = f"{tmp_path}/metrics"
+    for run_id, value, experiment in (("1", 1, "a"), ("2", 2, "a"), ("1", 5, "b"), ("1", 3, "a"), ("1", 3, "a")):
+        append_metrics(run(run_id, value), path, experiment)
+    assert sorted((r.run_id, r.value) for r in read_metrics(spark, path, "a").collect()) == [("1", 3.0), ("2", 2.0)]
+    assert [(r.run_id, r.value) for r in read_metrics(spark, path, "b").collect()] == [("1", 5.0)]
+
+
+def test_pipeline_over_a_folder_of_files(spark, tmp_path):
+    """Three runs: no file yet, some, more; the tables have their comments from the first."""
+    from quarry.plans.specs import PROCESSED_COLUMNS
+    from quarry.sources.files import stream_files
+    from quarry.streaming.pipeline import run_pipeline
+
+    folder = tmp_path / "manuals"
+    folder.mkdir()
+    counts = []
+    for k, names in enumerate(([], ["a.pdf", "b.PDF", "notes.txt"], ["c.pdf", "d.pdf", "e.pdf"])):
+        for name in names:
+            (folder / name).write_text(f"[en]\nModel: {name[0]}\nMax torque: {k}5 Nm\n")
+        source = stream_files(spark, str(folder), "*.[pP][dD][fF]", max_files=2)
+        run_pipeline(spark, source, f"{tmp_path}/work", prefix=f"run{tmp_path.name}".replace("-", "_"), database="files_db")
+        table = spark.table(f"files_db.run{tmp_path.name}_productmanuals_processed".replace("-", "_"))
+        spark.catalog.refreshTable(f"files_db.run{tmp_path.name}_productmanuals_processed".replace("-", "_"))
+        counts.append(sorted((r.file_name, r.max_torque_nm) for r in table.collect()))
+    assert counts == [[], [("a.pdf", 15.0), ("b.PDF", 15.0)], [("a.pdf", 15.0), ("b.PDF", 15.0), ("c.pdf", 25.0), ("d.pdf", 25.0), ("e.pdf", 25.0)]]
+    assert [table.schema[c].metadata.get("comment") for c, _, _ in PROCESSED_COLUMNS] == [c for _, _, c in PROCESSED_COLUMNS]
+    spark.sql("DROP DATABASE files_db CASCADE")
+
+
+def test_replace_mode_writes_touched_buckets_only(spark, tmp_path):
+    import glob
+    import os
+    import time
+
+    from quarry.streaming.replace import read_snapshot, sync_latest
+
+    folder, out = f"{tmp_path}/in", f"{tmp_path}/out"
+
+    def put(name, values):
+        spark.createDataFrame([(name, v) for v in values], "name string, v int").coalesce(1).write.mode("overwrite").parquet(f"{tmp_path}/one")
+        os.makedirs(folder, exist_ok=True)
+        os.replace(glob.glob(f"{tmp_path}/one/part-*.parquet")[0], f"{folder}/{name}.parquet")
+
+    def rows():
+        return sorted((r.name, r.v) for r in read_snapshot(spark, out, "name string, v int").collect())
+
+    for name in "abcdefgh":
+        put(name, [1, 2])
+    assert sync_latest(spark, folder, "name string, v int", out, buckets=4) == {"added": 8, "changed": 0, "removed": 0}
+    first = {b: f for f in glob.glob(f"{out}/rows/sync=1/bucket=*") for b in [int(f.rsplit("=", 1)[1])]}
+    time.sleep(1.1)
+    put("a", [7])
+    os.remove(f"{folder}/b.parquet")
+    put("z", [9])
+    assert sync_latest(spark, folder, "name string, v int", out, buckets=4) == {"added": 1, "changed": 1, "removed": 1}
+    want = sorted([(n, v) for n in "cdefgh" for v in (1, 2)] + [("a", 7), ("z", 9)])
+    assert rows() == want
+    touched = {b for r in spark.read.parquet(f"{out}/list").filter("sync = 2").collect() for b in r.buckets}
+    read = {f.split("/rows/")[1].split("/part")[0] for f in (r.f for r in read_snapshot(spark, out, "name string, v int").selectExpr("input_file_name() AS f").collect())}
+    assert 0 < len(touched) <= 3 and {f"sync=1/bucket={b}" for b in first if b not in touched} <= read
+    assert not {f"sync=1/bucket={b}" for b in touched} & read
+    assert sync_latest(spark, folder, "name string, v int", out, buckets=4) == {"added": 0, "changed": 0, "removed": 0} and rows() == want
+    for f in glob.glob(f"{folder}/*.parquet"):
+        os.remove(f)
+    assert sync_latest(spark, folder, "name string, v int", out, buckets=4)["removed"] == 8 and rows() == []
