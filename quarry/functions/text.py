@@ -96,30 +96,37 @@ def label_values(text: Column, labels: list[str], measured: list[str] = ()) -> C
     start = r"(?:^|[;,.|•])[ \t|*•–-]*+"
     pattern = rf"(?im)({start})({_any_of(labels)})(?=[ \t]*[:=|])"
     if measured:
-        pattern += rf"|(?<![\p{{L}}\p{{N}}])({_any_of(measured)})(?={_LINK}\d)"
+        heads = "".join(sorted({re.escape(x[0].lower()) for x in measured}))
+        pattern += rf"|(?<![\p{{L}}\p{{N}}])(?=[{heads}])({_any_of(measured)})(?={_LINK}\d)"
     clean = F.translate(unix_lines(text), _OPEN + _CLOSE, "  ")
     marked = F.regexp_replace(clean, pattern, rf"$1{_OPEN}$2{'$3' if measured else ''}{_CLOSE}")
-    pieces = F.split(marked, _OPEN)
-    last = F.size(pieces) - 1
 
-    def pair(piece: Column, i: Column) -> Column:
-        label = F.lower(F.regexp_replace(F.substring_index(piece, _CLOSE, 1), r"[ \t]+", " "))
-        line = F.substring_index(F.substring_index(piece, _CLOSE, -1), "\n", 1)
-        # What stands before the next label of the same line belongs to neither.
-        same_line = (i < last) & ~F.contains(piece, F.lit("\n"))
-        body = F.when(same_line, F.regexp_replace(line, r"[;,.|•][ \t|*•–-]*$", "")).otherwise(line)
+    def pair(label: Column, body: Column) -> Column:
         bare = F.regexp_replace(body, r"^[ \t]*[:=|][ \t]*", "")
         row = body.rlike(r"^[ \t]*\|")
-        inner = F.rtrim(bare, F.lit(" \t|"))
-        cell = F.rtrim(F.substring_index(inner, "|", 1), F.lit(" \t"))
         prose = ~body.rlike(r"^[ \t]*[:=|]")
-        return F.struct(
+        return _let(F.rtrim(bare, F.lit(" \t|")), lambda inner: F.struct(
             label.alias("label"),
-            F.when(prose, F.regexp_replace(body, "(?i)^" + _LINK, "")).when(row, cell).otherwise(inner).alias("value"),
+            F.when(prose, F.regexp_replace(body, "(?i)^" + _LINK, ""))
+            .when(row, F.rtrim(F.substring_index(inner, "|", 1), F.lit(" \t"))).otherwise(inner).alias("value"),
             F.when(row, F.regexp_replace(inner, r"[ \t]*\|[ \t]*", " ")).alias("cells"),
-            prose.alias("prose"))
+            prose.alias("prose")))
+
+    def cut(piece: Column) -> Column:
+        label = F.lower(F.regexp_replace(F.substring_index(piece, _CLOSE, 1), r"[ \t]+", " "))
+        line = F.substring_index(F.substring_index(piece, _CLOSE, -1), "\n", 1)
+        # What stands before the next label of the same line belongs to neither.
+        body = F.when(F.contains(piece, F.lit("\n")), line).otherwise(F.regexp_replace(line, r"[;,.|•][ \t|*•–-]*$", ""))
+        return _let(body, lambda x: pair(label, x))
+
+    # With a line end behind the text, only a label on the same line can end a piece without one. The first piece has no label.
+    pieces = F.split(F.concat(marked, F.lit("\n")), _OPEN)
+    return F.transform(F.slice(pieces, F.lit(2), F.lit(2**30)), cut)
+
 
-    return F.slice(F.transform(pieces, pair), F.lit(2), F.greatest(last, F.lit(0)))
+def _let(value: Column, body) -> Column:
+    """Evaluate ``value`` once and pass it to ``body``."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
 def strip_ws(c: Column) -> Column:

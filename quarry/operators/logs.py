@@ -174,16 +174,14 @@ def _texts_of_lists(lists: DataFrame) -> DataFrame:
     keys = F.array(*[_arr(_get(F.col("item"), key)) for key in ("outputs", "output", "predictions")])
     nested = write_scratch(items.select("id", "pos", F.posexplode(keys).alias("key", "list")).filter(F.size("list") > 0)
                            .select(F.struct("id", "pos", "key").alias("id"), "list"), "response-lists")
-    items = items.select("id", "pos", _item_parts(F.col("item"), 0).alias("own"))
-    parts = F.col("own")
+    found = items.select("id", "pos", F.lit(9).alias("key"), _item_parts(F.col("item"), 0).alias("parts"))
     if nested.take(1):
-        # The first nested list that yields text stands for its item.
-        best = _texts_of_lists(nested).filter(_strip(F.col("text")) != "").groupBy("id.id", "id.pos").agg(F.min_by("text", "id.key").alias("nested"))
-        items = items.join(best, ["id", "pos"], "left")
-        parts = F.when(F.col("nested").isNotNull(), F.array(_strip(F.col("nested")))).otherwise(F.col("own"))
-    # One list is part of one response, so one row.
-    ordered = F.array_sort(F.collect_list(F.struct("pos", parts.alias("parts"))))
-    texts = items.groupBy("id").agg(F.flatten(F.transform(ordered, lambda x: x["parts"])).alias("p")) \
+        texts = _texts_of_lists(nested).filter(_strip(F.col("text")) != "")
+        found = found.unionAll(texts.select("id.id", "id.pos", "id.key", F.array(_strip(F.col("text")))))
+    # One list is part of one response, so one row. The first nested list that yields text stands for its item.
+    ordered = F.array_sort(F.collect_list(F.struct("pos", "key", "parts")))
+    lead = F.filter(F.col("x"), lambda e, i: (i == 0) | (F.get(F.col("x"), i - 1)["pos"] != e["pos"]))
+    texts = found.groupBy("id").agg(ordered.alias("x")).select("id", F.flatten(F.transform(lead, lambda e: e["parts"])).alias("p")) \
         .select("id", F.when(F.size("p") > 0, F.array_join("p", "\n\n")).alias("text"))
     return write_scratch(texts, "response-texts")
 

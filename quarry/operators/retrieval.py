@@ -1,15 +1,18 @@
 """Cited passage retrieval (R1-R4, J3): chunks, term index, BM25 top-k per question.
 
 Postings carry the chunk length and the document language, so a search needs
-no join back to the documents. They lie in ``TERM_PARTS`` folders by a hash of
-the term, sorted by term (``segments.py`` writes them): a search reads the
-folders of its terms only, whatever the size of the index. Question terms are
-broadcast only after a size check; top-k per question is a row_number filter,
-which Spark plans as a partial WindowGroupLimit before its shuffle.
+no join back to the documents. ``segments.py`` writes them bucketed by chunk
+and sorted by term part and term: the scores of a chunk are summed where its
+postings lie, and the parts of a file without a question term are skipped by
+the pushed filter. Question terms are broadcast only after a size check; top-k
+per question is a row_number filter, which Spark plans as a partial
+WindowGroupLimit before the one shuffle.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -39,7 +42,7 @@ def chunk(df: DataFrame, key: str, text_col: str, size: int = 200, overlap: int
 
 
 def term_part(term: Column, parts: int = TERM_PARTS) -> Column:
-    """Folder number of a term's postings."""
+    """Number of the part of the index that holds a term's postings."""
     return F.pmod(F.xxhash64(term), F.lit(parts)).cast("int")
 
 
@@ -67,29 +70,33 @@ def index_stats(postings: DataFrame, key: str = "doc_id") -> DataFrame:
                                                               for c, a in (("dl", "sum_dl"), ("n", "n_postings"))])
 
 
-def search(questions: DataFrame, qkey: str, qtext: str, postings: DataFrame, key: str = "doc_id", k: int = 3,
+def search(questions: DataFrame, qkey: str, qtext: str, postings: DataFrame | list[DataFrame], key: str = "doc_id", k: int = 3,
            prefer: tuple[str, str] | None = None, dictionary: DataFrame | None = None, stats: DataFrame | None = None,
            parts: int = TERM_PARTS) -> DataFrame:
     """Top-k chunks per question by BM25; ties by key, chunk. ``prefer=(col, value)`` ranks those first.
 
-    One plan: the postings of the question terms, summed per question and chunk. If ``postings`` has a ``part``
-    column (see ``term_part``), the folders that hold no question term are never listed or read: their numbers, at
-    most ``parts``, are the only thing collected. ``dictionary`` and ``stats`` may be partial sums (one row a
-    segment); without them they are computed here.
+    One plan: the postings of the question terms, summed per question and chunk. ``postings`` may be the segments of
+    an index; a chunk lies in one of them. If they have a ``part`` column (see ``term_part``), the parts without a
+    question term are skipped by a pushed filter; the part numbers, at most ``parts``, are the only thing collected.
+    ``dictionary`` and ``stats`` may be partial sums (a row a segment); without them they are computed here.
     """
+    segments = postings if isinstance(postings, list) else [postings]
     qt = questions.select(qkey, F.explode(F.array_distinct(terms(F.col(qtext)))).alias("term")).distinct()
     # One size check: the distinct terms and their weights are never larger than qt.
     bc = F.broadcast if fits_broadcast(qt) else (lambda d: d)
     qterms = qt.select("term").distinct()
-    if "part" in postings.columns:
-        wanted = [r.part for r in qterms.select(term_part(F.col("term"), parts).alias("part")).distinct().collect()]
-        postings = postings.filter(F.col("part").isin(wanted))
+    if all("part" in p.columns for p in segments):
+        wanted = sorted(r.part for r in qterms.select(term_part(F.col("term"), parts).alias("part")).distinct().collect())
+        # Equalities reach the scan one by one; of a long IN list only its least and greatest value would.
+        among = reduce(Column.__or__, [F.col("part") == p for p in wanted], F.lit(False))
+        segments = [p.filter(among) for p in segments]
         if dictionary is not None and "part" in dictionary.columns:
-            dictionary = dictionary.filter(F.col("part").isin(wanted))
-    st = (stats if stats is not None else index_stats(postings)).agg(F.sum("n_chunks").alias("n_chunks"), F.sum("sum_dl").alias("sum_dl")).first()
+            dictionary = dictionary.filter(among)
+    whole = reduce(DataFrame.unionByName, postings if isinstance(postings, list) else [postings])
+    st = (stats if stats is not None else index_stats(whole, key)).agg(F.sum("n_chunks").alias("n_chunks"), F.sum("sum_dl").alias("sum_dl")).first()
     n_chunks = float(st["n_chunks"] or 0)
     avgdl = st["sum_dl"] / n_chunks if n_chunks else 0.0
-    source = dictionary if dictionary is not None else term_dictionary(postings)
+    source = dictionary if dictionary is not None else term_dictionary(whole)
     dfreq = source.join(bc(qterms), "term", "left_semi").groupBy("term").agg(F.sum("df").alias("df"))
     idf = F.log(1 + (n_chunks - F.col("df") + 0.5) / (F.col("df") + 0.5))
     qw = bc(qt.join(bc(dfreq.select("term", idf.alias("idf"))), "term", "inner"))
@@ -100,9 +107,9 @@ def search(questions: DataFrame, qkey: str, qtext: str, postings: DataFrame, key
     if prefer:
         order = [(F.col(prefer[0]) == prefer[1]).desc()] + order
     w = Window.partitionBy(qkey).orderBy(*order)
-    hits = postings.join(qw, "term", "inner")
     # Rounded so that exact copies tie whatever the summation order, then ties go by key, chunk.
-    scores = hits.groupBy(qkey, key, "chunk_no", *keep).agg(F.round(F.sum(part), 6).alias("score"))
+    scores = reduce(DataFrame.unionByName, [
+        p.join(qw, "term", "inner").groupBy(qkey, key, "chunk_no", *keep).agg(F.round(F.sum(part), 6).alias("score")) for p in segments])
     return scores.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k).select(qkey, "rank", key, "chunk_no", *keep, "score")
 
 

@@ -1,8 +1,8 @@
 """A passage index of immutable segments.
 
 A sync writes the new documents as one segment: their keys, chunks, postings
-(by term folder, sorted by term), term counts and statistics. Nothing of the
-other segments is touched. The segment counts from the moment its name is
+(bucketed by chunk, sorted by term part and term), term counts and statistics.
+Nothing of the other segments is touched. The segment counts from the moment its name is
 appended to the list of segments, the last and only visible step: a sync that
 fails before leaves a folder that nobody reads, and running it again adds what
 is missing and nothing else.
@@ -23,8 +23,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.operators.retrieval import TERM_PARTS, chunk, new_rows, term_dictionary, term_index, term_part
+from quarry.session import scratch_path
+from quarry.sources.tables import ensure_namespace
 
-TABLES = ("documents", "chunks", "postings", "dictionary", "stats")
+DATABASE = "quarry_index"
 LIST = "segment string, replaces array<string>"
 
 
@@ -39,6 +41,18 @@ class PassageIndex:
     size: int = 200
     overlap: int = 50
     parts: int = TERM_PARTS
+    buckets: int | None = None             # of a segment's postings; None: the session's shuffle partitions
+
+
+@dataclass(frozen=True)
+class IndexTables:
+    """The live segments: unions of their tables, but for the postings, which stay apart with their buckets."""
+
+    documents: DataFrame
+    chunks: DataFrame
+    dictionary: DataFrame
+    stats: DataFrame
+    postings: list[DataFrame]
 
 
 def _listed(spark: SparkSession, index: PassageIndex) -> DataFrame:
@@ -55,22 +69,42 @@ def live_segments(spark: SparkSession, index: PassageIndex) -> list[str]:
     return sorted(r.segment for r in rows if r.segment not in gone)
 
 
-def read_index(spark: SparkSession, index: PassageIndex) -> dict[str, DataFrame]:
-    """The index as tables: the union of its live segments. Term counts and statistics have a row a segment."""
+def read_index(spark: SparkSession, index: PassageIndex) -> IndexTables:
+    """The index as tables. Term counts and statistics have a row a segment."""
     names = live_segments(spark, index)
     if not names:
         raise ValueError(f"no segment at {index.path}")
-    return {t: reduce(DataFrame.unionByName, [spark.read.parquet(f"{index.path}/segments/{s}/{t}") for s in names]) for t in TABLES}
+    whole = {t: reduce(DataFrame.unionByName, [spark.read.parquet(f"{index.path}/segments/{s}/{t}") for s in names])
+             for t in ("documents", "chunks", "dictionary", "stats")}
+    return IndexTables(**whole, postings=[_postings(spark, index, s) for s in names])
+
+
+def _postings(spark: SparkSession, index: PassageIndex, segment: str) -> DataFrame:
+    """A segment's postings as a bucketed table; the catalog entry is made again from the files where it is missing."""
+    ensure_namespace(spark, DATABASE, scratch_path(spark, "database"))
+    name, path = f"{DATABASE}.postings_{segment}", f"{index.path}/segments/{segment}/postings"
+    if not spark.catalog.tableExists(name):
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spark.read.parquet(path).schema)
+        buckets = spark.read.parquet(f"{index.path}/segments/{segment}/stats").first().buckets
+        spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY (`{index.key}`, chunk_no) SORTED BY (part, term) "
+                  f"INTO {buckets} BUCKETS LOCATION '{path}'")
+    return spark.table(name)
 
 
 def _append(spark: SparkSession, index: PassageIndex, segment: str, replaces: list[str]) -> None:
     spark.createDataFrame([(segment, replaces)], LIST).coalesce(1).write.mode("append").parquet(f"{index.path}/list")
 
 
-def _by_term(df: DataFrame, index: PassageIndex, path: str, *order: str) -> None:
-    """Write ``df`` in term folders, sorted; a common term is dealt to several files by the columns of ``order``."""
-    df.withColumn("part", term_part(F.col("term"), index.parts)).repartitionByRange("part", "term", *order) \
-        .sortWithinPartitions("part", "term", *order).write.partitionBy("part").parquet(path)
+def _write_postings(postings: DataFrame, index: PassageIndex, segment: str, buckets: int) -> None:
+    ensure_namespace(postings.sparkSession, DATABASE, scratch_path(postings.sparkSession, "database"))
+    postings.withColumn("part", term_part(F.col("term"), index.parts)).write.format("parquet") \
+        .option("path", f"{index.path}/segments/{segment}/postings").bucketBy(buckets, index.key, "chunk_no").sortBy("part", "term") \
+        .saveAsTable(f"{DATABASE}.postings_{segment}")
+
+
+def _write_terms(dictionary: DataFrame, index: PassageIndex, path: str) -> None:
+    dictionary.withColumn("part", term_part(F.col("term"), index.parts)).repartitionByRange("part", "term") \
+        .sortWithinPartitions("part", "term").write.parquet(path)
 
 
 def sync(docs: DataFrame, index: PassageIndex, text_col: str = "text") -> DataFrame:
@@ -81,7 +115,7 @@ def sync(docs: DataFrame, index: PassageIndex, text_col: str = "text") -> DataFr
     # Keys alone are compared; the texts of the new documents are fetched by them.
     fresh = docs.select(*keys).distinct()
     if names:
-        fresh = new_rows(fresh, read_index(spark, index)["documents"], keys)
+        fresh = new_rows(fresh, read_index(spark, index).documents, keys)
     name = uuid.uuid4().hex
     folder = f"{index.path}/segments/{name}"
     fresh.write.parquet(f"{folder}/documents")
@@ -90,12 +124,14 @@ def sync(docs: DataFrame, index: PassageIndex, text_col: str = "text") -> DataFr
     chunks.write.parquet(f"{folder}/chunks")
     chunks = spark.read.parquet(f"{folder}/chunks")
     if fresh.take(1):
-        _by_term(term_index(chunks, index.key, keep=list(index.keep)), index, f"{folder}/postings", index.key, "chunk_no")
-        postings = spark.read.parquet(f"{folder}/postings")
-        _by_term(term_dictionary(postings), index, f"{folder}/dictionary")
+        buckets = index.buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        # Chunks are shuffled, which are far smaller than their postings; those are then counted and written where they are made.
+        _write_postings(term_index(chunks.repartition(buckets, index.key, "chunk_no"), index.key, keep=list(index.keep)), index, name, buckets)
+        postings = _postings(spark, index, name)
+        _write_terms(term_dictionary(postings), index, f"{folder}/dictionary")
         # sum_dl is the sum of tf, so no text is tokenised again; chunks count even if they hold no term.
         postings.agg(F.coalesce(F.sum("tf"), F.lit(0)).alias("sum_dl"), F.count(F.lit(1)).alias("n_postings")) \
-            .withColumn("n_chunks", F.lit(chunks.count())).coalesce(1).write.parquet(f"{folder}/stats")
+            .withColumn("n_chunks", F.lit(chunks.count())).withColumn("buckets", F.lit(buckets)).coalesce(1).write.parquet(f"{folder}/stats")
         _append(spark, index, name, [])
     return chunks
 
@@ -108,9 +144,12 @@ def compact(spark: SparkSession, index: PassageIndex) -> None:
     tables = read_index(spark, index)
     name = uuid.uuid4().hex
     folder = f"{index.path}/segments/{name}"
-    for t in ("documents", "chunks"):
-        tables[t].write.parquet(f"{folder}/{t}")
-    _by_term(tables["postings"].drop("part"), index, f"{folder}/postings", index.key, "chunk_no")
-    _by_term(tables["dictionary"].groupBy("term").agg(F.sum("df").alias("df")), index, f"{folder}/dictionary")
-    tables["stats"].agg(*[F.sum(c).alias(c) for c in ("sum_dl", "n_postings", "n_chunks")]).coalesce(1).write.parquet(f"{folder}/stats")
+    buckets = max(r.buckets for r in tables.stats.select("buckets").collect())
+    tables.documents.write.parquet(f"{folder}/documents")
+    tables.chunks.write.parquet(f"{folder}/chunks")
+    postings = reduce(DataFrame.unionByName, tables.postings).drop("part")
+    _write_postings(postings.repartition(buckets, index.key, "chunk_no"), index, name, buckets)
+    _write_terms(tables.dictionary.groupBy("term").agg(F.sum("df").alias("df")), index, f"{folder}/dictionary")
+    tables.stats.agg(*[F.sum(c).alias(c) for c in ("sum_dl", "n_postings", "n_chunks")]).withColumn("buckets", F.lit(buckets)) \
+        .coalesce(1).write.parquet(f"{folder}/stats")
     _append(spark, index, name, names)

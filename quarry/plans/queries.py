@@ -362,8 +362,8 @@ def _index(spark, sf):
 
 def _passages(spark, sf, prefer=None):
     index = _index(spark, sf)
-    return R.search(read_table(spark, sf, "benchmark"), "item_id", "text", index["postings"], "doc_id", TOP_K, prefer=prefer,
-                    dictionary=index["dictionary"], stats=index["stats"])
+    return R.search(read_table(spark, sf, "benchmark"), "item_id", "text", index.postings, "doc_id", TOP_K, prefer=prefer,
+                    dictionary=index.dictionary, stats=index.stats)
 
 
 @query
@@ -399,9 +399,9 @@ def index_sync(spark, sf):
 from quarry.operators import logs as L  # noqa: E402
 from quarry.operators import preview as PV  # noqa: E402
 
-# Response shapes written from conversation texts (one per turn % 6); one conversation in eleven nests its message twelve lists deep.
+# Response shapes written from conversation texts (one per turn % 6); one conversation in eleven nests its message six lists deep.
 RESPONSE_SHAPES_SQL = f"""
-CASE WHEN conv_id % 11 = 3 THEN concat('{'{"outputs":[{"output":[' * 6}', to_json(named_struct('type', 'message', 'content', text)), '{']}]}' * 6}')
+CASE WHEN conv_id % 11 = 3 THEN concat('{'{"outputs":[{"output":[' * 3}', to_json(named_struct('type', 'message', 'content', text)), '{']}]}' * 3}')
 ELSE CASE turn % 6
   WHEN 0 THEN to_json(named_struct('predictions', array(named_struct('type', 'message',
        'content', array(named_struct('type', 'output_text', 'text', text))))))
