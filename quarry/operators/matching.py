@@ -68,20 +68,36 @@ def entity_match(mentions: DataFrame, mention_col: str, dictionary: DataFrame, v
                    F.substring("mn", F.col("p") + 1, F.col("__l")).alias("key"))
     long_cands = pr.join(seg, on=["dl", "i", "key"], how="inner").select("mention", "mn", "value", "dn")
 
-    # Short dictionary strings (length <= d): any mention of length <= L + d; joined on the length.
+    # Short dictionary strings (length <= d): two strings within distance d meet in a string that d deletions make of each.
     short = dic.filter(F.col("dl") <= d)
-    mp = m.filter(F.col("ml") <= 2 * d).withColumn(
-        "dl", F.explode(_range(F.greatest(F.col("ml") - d, F.lit(0)), F.least(F.col("ml") + d, F.lit(d)))))
-    short_cands = mp.join(short, on="dl", how="inner").select("mention", "mn", "value", "dn")
-
-    cands = long_cands.unionByName(short_cands).distinct()
-    scored = cands.withColumn("distance", F.levenshtein("mn", "dn", d)).filter(F.col("distance") >= 0)
-    best = scored.groupBy("mention").agg(
+    keys = short.select("value", "dn", F.explode(_deletions(F.col("dn"), d)).alias("key"))
+    short_cands = m.filter(F.col("ml") <= 2 * d).select("mention", "mn", F.explode(_deletions(F.col("mn"), d)).alias("key")) \
+        .join(keys, on="key", how="inner").select("mention", "mn", "value", "dn")
+    # If they meet in the empty string only, they share no character and the distance is the greater length. The least
+    # value of each length stands for all: those that share a character are found above with their own distance.
+    least = short.groupBy("dl").agg(F.min("value").alias("value"))  # d + 1 rows at most
+    apart = m.filter(F.col("ml") <= d).withColumn("dl", F.explode(F.sequence(F.lit(0), F.lit(d)))).join(F.broadcast(least), "dl") \
+        .select("mention", "value", F.greatest("ml", "dl").alias("distance"))
+
+    scored = long_cands.unionByName(short_cands).withColumn("distance", F.levenshtein("mn", "dn", d)).filter(F.col("distance") >= 0)
+    best = scored.select("mention", "value", "distance").unionByName(apart).groupBy("mention").agg(
         F.min_by(F.struct("value", "distance"), F.struct("distance", "value")).alias("b"))
     return m.select("mention").join(best, "mention", "left") \
         .select("mention", F.col("b.value").alias("value"), F.col("b.distance").cast("int").alias("distance"))
 
 
+def _deletions(s: Column, d: int) -> Column:
+    """The non-empty strings that up to ``d`` deletions make of a short string, itself included."""
+    def shorter(w: Column) -> Column:
+        return F.transform(F.sequence(F.lit(1), F.length(w)), lambda i: F.concat(F.substring(w, F.lit(1), i - 1), F.substr(w, i + 1)))
+
+    level = out = F.filter(F.array(s), lambda w: w != "")
+    for _ in range(d):
+        level = F.filter(F.array_distinct(F.flatten(F.transform(level, shorter))), lambda w: w != "")
+        out = F.array_union(out, level)
+    return out
+
+
 def format_profile(catalog: DataFrame, cols: list[str], samples: int = 3) -> DataFrame:
     """V3: per column null count, exact distinct count, min, max and the ``samples`` smallest values (as text).
 

@@ -598,3 +598,23 @@ def test_replace_mode_writes_touched_buckets_only(spark, tmp_path):
     for f in glob.glob(f"{folder}/*.parquet"):
         os.remove(f)
     assert sync_latest(spark, folder, "name string, v int", out, buckets=4)["removed"] == 8 and rows() == []
+
+
+# --- short strings (V2) ---
+
+def test_entity_match_of_short_strings_equals_brute_force(spark):
+    import random
+
+    from quarry.operators.matching import entity_match, normalise
+
+    rng = random.Random(4)
+    values = ["", "-", "a", "ab", "ba", "xy", "q", "7", "a1"] + ["".join(rng.choice("abcdef12") for _ in range(rng.randint(0, 6))) for _ in range(60)]
+    mentions = ["", "A", "b-a", "zz", "9"] + ["".join(rng.choice("abcdefz12 -") for _ in range(rng.randint(0, 6))) for _ in range(120)]
+    v, m = spark.createDataFrame([(x,) for x in values], "v string"), spark.createDataFrame([(x,) for x in mentions], "m string")
+    for d in (1, 2, 3):
+        got = {r.mention: (r.value, r.distance) for r in entity_match(m, "m", v, "v", d).collect()}
+        pairs = m.distinct().crossJoin(v.distinct()).withColumn("d", F.levenshtein(normalise(F.col("m")), normalise(F.col("v"))))
+        want = {x: (None, None) for x in mentions}
+        for r in sorted(pairs.filter(F.col("d") <= d).collect(), key=lambda r: (r.d, r.v), reverse=True):
+            want[r.m] = (r.v, r.d)
+        assert got == want, d
