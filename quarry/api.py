@@ -7,6 +7,7 @@ from quarry.functions.fieldspec import FieldSpec  # noqa: F401
 from quarry.operators.evaluate import (  # noqa: F401
     Scorer, aggregate_scores, compare_runs, completeness, english_compliance, eval_join, eval_records,
     extraction_quality, format_validator, format_validator_raw, grounding, pattern, plausibility, ranges, score,
+    score_metrics,
 )
 from quarry.operators.extract import extract, extract_typed  # noqa: F401
 from quarry.operators.flatten import flatten  # noqa: F401
@@ -14,6 +15,7 @@ from quarry.operators.logs import chat_history, flatten_responses, response_enve
 from quarry.operators.matching import entity_dictionary, entity_match, format_profile, in_dictionary  # noqa: F401
 from quarry.operators.parse import pipe_tables, segment_markup, segment_text, to_document  # noqa: F401
 from quarry.operators.preview import json_preview, variant_path  # noqa: F401
+from quarry.operators.profiles import merge_profiles, profile, read_profile  # noqa: F401
 from quarry.operators.questions import (  # noqa: F401
     above, at_value, best_by_group, compare_by, compatible_with, differences, lightest, lookup, spec_sheet, top_by,
 )

@@ -290,14 +290,27 @@ _AGG = {"mean": F.avg, "min": F.min, "max": F.max}
 
 
 def aggregate_scores(scores: DataFrame, scorers: list[Scorer], group: list[str] = ()) -> DataFrame:
-    """Run metrics (metric, value): one pass with partial aggregation, then long form; sorted by name."""
+    """Run metrics (metric, value) of stored long scores: one pass with partial aggregation, then long form."""
+    values = [F.when(F.col("scorer") == s.name, F.col("value")) for s in scorers]
+    return _run_metrics(scores, scorers, values, F.count(F.when(F.col("scorer") == scorers[0].name, 1)), group)
+
+
+def score_metrics(df: DataFrame, scorers: list[Scorer], group: list[str] = ()) -> DataFrame:
+    """Run metrics (metric, value) straight from the records: equals ``aggregate_scores(score(df, ...), ...)``.
+
+    The values are aggregated side by side, one row a record; no row is multiplied and no message is built.
+    """
+    wide = df.select(*group, *[s.value.cast("double").alias(f"__s{i}") for i, s in enumerate(scorers)])
+    return _run_metrics(wide, scorers, [F.col(f"__s{i}") for i in range(len(scorers))], F.count(F.lit(1)), group)
+
+
+def _run_metrics(df: DataFrame, scorers: list[Scorer], values: list[Column], n_records: Column, group: list[str]) -> DataFrame:
     aggs, names = [], []
-    for s in scorers:
-        v = F.when(F.col("scorer") == s.name, F.col("value"))
+    for s, v in zip(scorers, values, strict=True):
         for a in s.aggregations:
             names.append(f"{s.name}/{a}")
             aggs.append(_AGG[a](v).alias(names[-1]))
-    wide = scores.groupBy(*group).agg(*aggs, F.count(F.when(F.col("scorer") == scorers[0].name, 1)).alias("n_records"))
+    wide = df.groupBy(*group).agg(*aggs, n_records.alias("n_records"))
     names.append("n_records")
     stack = F.explode(F.array(*[F.struct(F.lit(n).alias("metric"), F.col(f"`{n}`").cast("double").alias("value"))
                                 for n in names]))

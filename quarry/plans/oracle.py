@@ -156,8 +156,9 @@ SCORES4 = SCORE_GT + f""", e AS (
       CASE WHEN {_foreign('chuck_capacity_mm')} THEN 'chuck_capacity_mm' END,
       CASE WHEN {_foreign('compatible_batteries')} THEN 'compatible_batteries' END,
       CASE WHEN {_foreign('compatible_chargers')} THEN 'compatible_chargers' END) AS foreign_fields,
-    concat_ws(', ', CASE WHEN NOT known_maker THEN 'known_maker' END, CASE WHEN NOT type_in_list THEN 'type_in_list' END,
-              CASE WHEN NOT f_value THEN 'numbers_plausible' END) AS failed
+    concat_ws(', ', CASE WHEN NOT known_maker THEN 'known_maker' END, CASE WHEN k % 10 = 5 THEN 'model_identifier' END,
+              CASE WHEN NOT type_in_list THEN 'type_in_list' END, CASE WHEN NOT f_value THEN 'numbers_plausible' END,
+              CASE WHEN k % 10 IN (5, 7) THEN 'grounded' END) AS failed
   FROM s),
 lg AS (
   SELECT file_name, 'completeness' AS scorer, c_value AS value, c_rationale AS rationale FROM e
@@ -250,6 +251,9 @@ FROM m LEFT JOIN b ON m.mention = b.mention AND b.rn = 1"""
 
 _PROFILE = ["manufacturer", "model_number", "product_name", "product_type", "rated_voltage_v", "max_torque_nm",
             "no_load_speed_low_rpm", "no_load_speed_high_rpm", "weight_kg", "compatible_batteries", "compatible_chargers"]
+ORACLE["profile_merged"] = WITH_PROCESSED + "\n UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, count(*) AS n_rows, count(*) - count({c}) AS null_count, CAST(min({c}) AS VARCHAR) AS min_value, "
+    f"CAST(max({c}) AS VARCHAR) AS max_value, true AS distinct_close FROM processed" for c in _PROFILE)
 ORACLE["format_profile"] = WITH_PROCESSED + ", st AS (" + "\n UNION ALL ".join(
     f"SELECT '{c}' AS column_name, count(*) - count({c}) AS null_count, count(DISTINCT CAST({c} AS VARCHAR)) "
     f"AS distinct_count, CAST(min({c}) AS VARCHAR) AS min_value, CAST(max({c}) AS VARCHAR) AS max_value "

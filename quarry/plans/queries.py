@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from quarry.operators import evaluate as EV
 from quarry.operators import matching as M
+from quarry.operators import profiles as PR
 from quarry.operators import questions as Q
 from quarry.operators.extract import extract_typed
 from quarry.operators.flatten import flatten
@@ -20,7 +21,7 @@ from quarry.operators.sections import sections
 from quarry.plans import catalog
 from quarry.plans.specs import FIELD_NAMES, PROCESSED_SCHEMA, spec_subset
 from quarry.sources.fixtures import manuals, parsed_manuals
-from quarry.sources.tables import append_metrics, enforce_schema, materialize, read_metrics, read_table
+from quarry.sources.tables import append_metrics, enforce_schema, materialize, read_metrics, read_table, write_scratch
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -181,7 +182,11 @@ def grounding(spark, sf):
 
 
 def _scored(spark, sf):
+    """Every tenth record has a model cut by one character, every tenth one that is no identifier."""
     j = _joined(spark, sf)
+    k = F.substring("file_name", 5, 6).cast("int") % 10
+    j = j.withColumn("model_number", F.when(k == 7, F.expr("left(model_number, length(model_number) - 1)"))
+                     .when(k == 5, F.lit("unlisted")).otherwise(F.col("model_number")))
     fmt = EV.format_validator()
     rules = EV.plausibility(j, _makers(spark), keys=["*"], fmt=fmt)
     rules = EV.grounding(rules, keys=["*"])
@@ -200,7 +205,7 @@ def scores_long(spark, sf):
 @query
 def run_metrics(spark, sf):
     rules, scorers = _scored(spark, sf)
-    m = EV.aggregate_scores(EV.score(rules, ["file_name"], scorers), scorers)
+    m = EV.score_metrics(rules, scorers)
     return m.select("metric", F.round("value", 6).alias("value")).orderBy("metric")
 
 
@@ -209,8 +214,7 @@ def run_compare(spark, sf):
     from quarry.session import scratch_path
     rules, scorers = _scored(spark, sf)
     run = F.concat(F.lit("run-"), (F.substring("file_name", 5, 6).cast("int") % 3).cast("string"))
-    s = EV.score(rules.withColumn("run_id", run), ["run_id", "file_name"], scorers)
-    m = EV.aggregate_scores(s, scorers, group=["run_id"])
+    m = EV.score_metrics(rules.withColumn("run_id", run), scorers, group=["run_id"])
     # K6: each run's metrics are appended to the metrics table, which the comparison then reads.
     run_ts = F.timestamp_add("DAY", F.substring("run_id", 5, 1).cast("int"), F.lit("2024-01-01").cast("timestamp"))
     path = scratch_path(spark, "metrics")
@@ -304,6 +308,23 @@ def format_profile(spark, sf):
     return M.format_profile(_catalog(spark, sf), PROFILE_COLS)
 
 
+@query
+def profile_merged(spark, sf):
+    """V3, approximate: the catalog profiled in three batches, the stored profiles merged without the batches.
+
+    distinct_close: the merged estimate is within 5 % of the exact count.
+    """
+    cat = _catalog(spark, sf)
+    batch = F.substring("file_name", 5, 6).cast("int") % 3
+    stored = write_scratch(PR.profile(cat.withColumn("batch", batch), PROFILE_COLS, by=["batch"]), "profiles")
+    merged = PR.read_profile(PR.merge_profiles(stored))
+    exact = M.entity_dictionary(cat, PROFILE_COLS).groupBy("column_name").agg(F.count(F.lit(1)).alias("n"))
+    n = F.coalesce("n", F.lit(0))
+    return merged.join(exact, "column_name", "left").select(
+        "column_name", "n_rows", "null_count", "min_value", "max_value",
+        (F.abs(F.col("distinct_estimate") - n) <= 0.05 * n).alias("distinct_close"))
+
+
 # ------------------------------------------------------------------ parsing
 from quarry.operators import parse as P  # noqa: E402
 from quarry.operators import retrieval as R  # noqa: E402

@@ -12,6 +12,8 @@ from quarry.operators import logs as L
 from quarry.operators import parse as P
 from quarry.operators.extract import extract, extract_typed
 from quarry.operators.flatten import flatten
+from quarry.operators.matching import format_profile
+from quarry.operators.profiles import merge_profiles, profile, read_profile
 from quarry.plans.specs import FIELD_NAMES, PROCESSED_SCHEMA, PRODUCT_SPEC, spec_subset
 from quarry.sources.payloads import ingest_payloads
 
@@ -618,3 +620,36 @@ def test_entity_match_of_short_strings_equals_brute_force(spark):
         for r in sorted(pairs.filter(F.col("d") <= d).collect(), key=lambda r: (r.d, r.v), reverse=True):
             want[r.m] = (r.v, r.d)
         assert got == want, d
+
+
+def test_profiles_merge_without_their_batches(spark):
+    """Merged profiles of parts equal the profile of the whole: counts, ends by number, frequent values; estimates within 5 %."""
+    rows = [(k, float(k % 977) if k % 5 else None, f"t{k % 7}" if k % 3 else None, None) for k in range(6000)]
+    df = spark.createDataFrame(rows, "k long, `a b` double, t string, none string")
+    cols = ["k", "a b", "t", "none"]
+    parts = profile(df.withColumn("batch", F.col("k") % 4), cols, by=["batch"])
+    assert parts.count() == 16
+    merged = merge_profiles(merge_profiles(parts.filter("batch < 2")).unionByName(merge_profiles(parts.filter("batch >= 2"))))
+    exact = {r["column_name"]: r for r in format_profile(df, cols, 3).collect()}
+    for got in (read_profile(merged).collect(), read_profile(profile(df, cols)).collect()):
+        assert {r["column_name"] for r in got} == set(cols)
+        for r in got:
+            want = exact[r["column_name"]]
+            assert (r["n_rows"], r["null_count"], r["min_value"], r["max_value"]) == (6000, want["null_count"], want["min_value"], want["max_value"])
+            assert abs(r["distinct_estimate"] - want["distinct_count"]) <= 0.05 * want["distinct_count"]
+        frequent = {r["column_name"]: [tuple(x) for x in r["frequent_values"] or []] for r in got}
+        counts = {f"t{j}": sum(1 for k in range(6000) if k % 3 and k % 7 == j) for j in range(7)}
+        assert frequent["t"] == sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:3] and frequent["none"] == []
+    assert {r["n_rows"] for r in read_profile(profile(df.limit(0), cols)).collect()} == {0}
+    assert profile(df.limit(0), cols, by=["k"]).count() == 0
+
+
+def test_score_metrics_equal_the_long_form_without_messages(spark):
+    df = spark.createDataFrame([("a", "x", 1.0), ("a", "y", None), ("b", "z", 3.0)], "run string, k string, v double")
+    scorers = [EV.Scorer("present", F.col("v").isNotNull(), F.concat(F.lit("message of "), "k"), ["mean", "min"]),
+               EV.Scorer("size", F.col("v"), F.lit("message"), ["max", "mean"])]
+    long = EV.aggregate_scores(EV.score(df, ["run", "k"], scorers), scorers, ["run"])
+    wide = EV.score_metrics(df, scorers, ["run"])
+    assert sorted(map(tuple, wide.collect())) == sorted(map(tuple, long.collect()))
+    plan = wide._jdf.queryExecution().executedPlan().toString()
+    assert "message" not in plan and plan.index("Generate") < plan.index("HashAggregate")
