@@ -4,6 +4,7 @@ import hashlib
 import re
 import zlib
 from array import array
+from collections import Counter
 
 import duckdb
 import numpy as np
@@ -396,3 +397,70 @@ def test_components_and_their_merge_match_brute_force(spark):
     assert dict(labels.collect()) == brute(first)
     assert dict(merge_components(labels, frame(more)).collect()) == brute(first + more)
     assert connected_components(frame(first).limit(0)).count() == 0
+
+
+LICENCE_FILES = {
+    "LGPL-3.0": "                   GNU LESSER GENERAL PUBLIC LICENSE\n                       Version 3, 29 June 2007\n\n Copyright (C) 2007 Free Software Foundation\n\n"
+                "  This version of the GNU Lesser General Public License incorporates\nthe terms and conditions of version 3 of the GNU General Public\nLicense, supplemented by the additional permissions listed below.\n",
+    "AGPL-3.0": "GNU AFFERO GENERAL PUBLIC LICENSE\n   Version 3, 19 November 2007\n\nThe GNU Affero General Public License is a free, copyleft license for software.\n",
+    "GPL-3.0": "GNU GENERAL PUBLIC LICENSE\n   Version 3, 29 June 2007\n\nThe GNU General Public License is a free, copyleft license for software.\n",
+    **{name: f"Copyright (c) 2020, Some Body\n{'All rights reserved.' if name != 'Unlicense' else ''}\n\n" + "\n".join(
+        text[k:k + 70] for k in range(0, len(text), 70) if text[k:k + 70]) for name, text in license_scan.TEXTS},
+}
+
+
+def test_whole_licence_files(spark):
+    """Files are known by all of their clauses; a reservation of rights, or a notice without version, does not decide."""
+    wrapped = {name: text if name.endswith("3.0") else re.sub(r"(?<=\S)\n(?=\S)", "", text) for name, text in LICENCE_FILES.items()}
+    rows = [(k, f"{name}/LICENSE", text, name) for k, (name, text) in enumerate(wrapped.items())]
+    rows += [(100, "p/a.c", "/* All rights reserved. */", "Proprietary"), (101, "q/a.c", "// All rights reserved\n// Released under the MIT License", "MIT"),
+             (102, "r/a.c", "# under the GNU General Public License", None), (103, "s/a.c", "# SPDX-License-Identifier: MIT", "MIT"),
+             (104, "t/a.c", "# SPDX-License-Identifier: LGPL-2.1-or-later", "LGPL-2.1"), (105, "u/a.c", "# SPDX-License-Identifier: EPL-2.0", None)]
+    files = spark.createDataFrame([r[:3] for r in rows], "doc_id long, path string, text string")
+    got = {r["doc_id"]: r["own_licence"] for r in license_scan.scan_licences(files, "doc_id", F.col("path")).collect()}
+    assert got == {r[0]: r[3] for r in rows}
+
+
+def brute_licences(texts, whole):
+    """Licence of each text by cosines in plain Python; ``whole``: texts whose whole vector counts."""
+    marker, split = re.compile(license_scan.MARKERS), re.compile(license_scan.SPLIT_MARKERS)
+    terms = lambda x: re.findall("[a-z0-9]+", re.sub("[A-Z]+", lambda m: m[0].lower(), x))
+    lines = [terms(x) for t in texts.values() for x in t.split("\n") if marker.search(x)]
+    df = Counter(w for x in lines for w in set(x))
+
+    def vector(words):
+        w = {t: c * (np.log((1 + len(lines)) / (1 + df[t])) + 1) for t, c in Counter(words).items()}
+        norm = np.sqrt(sum(x * x for x in w.values()))
+        return {t: x / norm for t, x in w.items()}
+
+    model = [(name, vector(terms(line)), rank, least) for _, name, line, rank, least in license_scan._table(license_scan.TEMPLATES, license_scan.TAGS, license_scan.TEXTS)]
+    sizes = {len(terms(line)) for _, line in license_scan.TEMPLATES}
+    out = {}
+    for d, t in texts.items():
+        rows, headers = t.split("\n"), [t] if d in whole else []
+        for i, x in enumerate(rows):
+            after = rows[i + 1:i + 2]
+            if marker.search(x):
+                before = rows[i - 1:i] if i else []
+                headers += [x, " ".join([*before, x]), " ".join([x, *after]), " ".join([*before, x, *after])]
+                w = terms(x)
+                if len(w) > max(sizes):
+                    headers += [" ".join(w[j:j + k]) for k in sizes for j in range(len(w) - k + 1) if marker.search(" ".join(w[j:j + k]))]
+            elif split.search(" ".join([x, *after])):
+                headers.append(" ".join([x, *after]))
+        found = []
+        for h in {tuple(terms(h)) for h in headers}:
+            v = vector(h)
+            hits = sorted((rank, -round(sum(w * m.get(x, 0.0) for x, w in v.items()), 6), name) for name, m, rank, least in model
+                          if round(sum(w * m.get(x, 0.0) for x, w in v.items()), 6) >= least)
+            if hits and not any(x[0] == hits[0][0] and x[2] != hits[0][2] and x[1] - hits[0][1] < license_scan.MARGIN for x in hits):
+                found.append(hits[0])
+        out[d] = min(found, default=(None, None, None))[2]
+    return out
+
+
+def test_licence_query_equals_plain_cosines(spark, docs):
+    whole = {d for d, t in docs.items() if re.search(license_scan.MARKERS, t)}
+    want = brute_licences(docs, whole)
+    got = {r["doc_id"]: r["own_licence"] for r in QUERIES["op2_license_scan"](spark, SMALL).collect()}
+    assert got == want and len(set(want.values())) > 3
