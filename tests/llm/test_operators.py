@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import unicodedata
 import zlib
 from array import array
 from collections import Counter
@@ -344,6 +345,48 @@ def test_licence_query_inherits(spark, docs):
     assert any(r["from_dir"] for r in rows.values())
 
 
+def good(text):
+    """The quality rules in plain Python."""
+    w = re.findall(r"[^\x20\x09-\x0D]+", text)
+    n, lines = len(w), [x for x in text.split("\n") if x.strip(" \t\n\x0b\x0c\r")]
+    windows = [tuple(w[i:i + 8]) for i in range(n - 7)]
+    times = Counter(windows)
+    repeated = len({i + k for i, x in enumerate(windows) if times[x] > 1 for k in range(8)})
+    return (n >= 20 and 2 * n <= sum(map(len, w)) <= 15 * n and 100 * sum(c in "#*$%&|<>" for c in text) <= 30 * n
+            and 100 * sum(unicodedata.category(c) == "Lu" for c in text) <= 50 * len(text) and 8 * (len(lines) - len(set(lines))) <= n
+            and 100 * sum(a == b for a, b in zip(w, w[1:], strict=False)) <= 30 * n and 100 * repeated <= 30 * n)
+
+
+def firsts(texts, percent):
+    """The first document of each near-duplicate component, all pairs compared on their whole sets of five-word shingles."""
+    sets = {}
+    for d, t in texts.items():
+        w = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]+", lambda m: m[0].lower(), t))
+        sets[d] = {tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+    root = {d: d for d in texts}
+    for a in texts:
+        for b in texts:
+            shared = len(sets[a] & sets[b])
+            if a < b and shared and 100 * shared >= percent * (len(sets[a]) + len(sets[b]) - shared) and root[a] != root[b]:
+                low, high = sorted((root[a], root[b]))
+                root = {d: low if r == high else r for d, r in root.items()}
+    return {d for d, r in root.items() if d == r}
+
+
+def test_costly_rules_come_later(spark):
+    """Of two rules that reject the same rows the cheap one goes first, whatever the declared order."""
+    def costly(text, hashes):
+        for _ in range(60):
+            text = F.concat(F.sha2(text, 256), F.lit("abc "))
+        return F.length(text) + F.size(hashes)
+
+    docs = spark.range(600).select(F.repeat(F.concat(F.col("id").cast("string"), F.lit(" word ")), F.lit(200)).alias("text"))
+    cheap = quality.Rule("cheap", lambda text, hashes: F.length(text), lambda m, n, chars: m < 0)
+    dear = quality.Rule("dear", costly, lambda m, n, chars: m < 0)
+    for rules in ((cheap, dear), (dear, cheap)):
+        assert [r.name for r in quality.order_rules(docs, rules)] == ["cheap", "dear"]
+
+
 def test_pipeline_by_stages(spark, docs):
     """Each stage against plain Python on what its predecessor kept; the last packs all that is left."""
     from tokenizers import Tokenizer
@@ -354,6 +397,10 @@ def test_pipeline_by_stages(spark, docs):
         frame = spark.createDataFrame(stage(spark, frame, SMALL).collect(), frame.schema)
         assert frame.columns == columns
         after = {r["doc_id"]: r["text"] for r in frame.collect()}
+        if name == "quality_rules":
+            assert after == {d: t for d, t in before.items() if good(t)}
+        if name == "near_dedup":
+            assert after == {d: before[d] for d in firsts(before, 80)}
         if name == "line_dedup":
             first = {}
             fold = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
