@@ -216,6 +216,22 @@ def test_topk_edges(spark):
     assert topk.top_k(v.limit(0), F.col("vec_id") % 100 == 0).count() == 0
 
 
+def test_topk_of_many_buckets_and_tasks(spark):
+    """Small buckets, several tasks a bucket, unequal lengths of vectors, repeated rows and negative scores against brute force."""
+    rng = np.random.default_rng(5)
+    rows = [(i, (rng.normal(size=3 + i % 3) * rng.exponential()).tolist()) for i in range(600)] + [(7, [5.0, 5.0, 5.0])]
+    rows += [(1000 + i, [0.25, -0.5, 1.0]) for i in range(200)]
+    whole = [(i, np.pad(np.floor(1024 * np.array(v)).astype(np.int64), (0, 5 - len(v)))) for i, v in rows]
+    want = set()
+    for q, x in whole:
+        if q % 20 == 0:
+            best = sorted((-int(x @ y), i) for i, y in whole if i != q)[:10]
+            want |= {(q, r, i, -s) for r, (s, i) in enumerate(best, 1)}
+    v = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    for options in ({"bucket": 16, "queries_per_task": 4}, {"bucket": 7, "block": 3, "coord_from": 0.0}):
+        assert {tuple(r) for r in topk.top_k(v, F.col("vec_id") % 20 == 0, **options).collect()} == want
+
+
 def test_topk_pruning_is_exact():
     rng = np.random.default_rng(3)
     p = np.floor(1024 * rng.normal(size=(300, 8)) * rng.exponential(size=(300, 1))).astype(np.int64)
