@@ -41,6 +41,7 @@ from quarry.llm.shingles import MinMax, cells, digest, shingle_sets
 
 SPREAD = 32  # comparisons per bucket member that one round may make
 CELLS = 8  # sketch size in 64-bit words
+SLICE = 4096  # members of a bucket that one task compares with as many others
 
 
 def _versions(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -140,15 +141,23 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         if not bound[0]:
             break
         everything = bound[1] <= SPREAD * size_of_all or turn > 1 and not found
-        outer = left.filter("comp <> main").select("key", F.col("id").alias("x"), F.col("n").alias("nx"), F.col("comp").alias("cx"),
-                                                   *[F.col(c).alias(f"x{c}") for c in bits])
+        outer_columns = ["key", F.col("id").alias("x"), F.col("n").alias("nx"), F.col("comp").alias("cx"), *[F.col(c).alias(f"x{c}") for c in bits]]
+        outer = left.filter("comp <> main").select(*outer_columns)
         inner = left.select("key", "id", "n", "comp", "main", *bits)
-        if not everything:
+        on = ["key"]
+        if everything:
+            # A member lies in one slice of its bucket and meets all slices of the other side.
+            slices = F.ceil(F.col("total") / SLICE).cast("int")
+            every = F.explode(F.sequence(F.lit(0), slices - 1))
+            outer = left.filter("comp <> main").select(*outer_columns, F.pmod(F.xxhash64("id"), slices).cast("int").alias("x_slice"), every.alias("slice"))
+            inner = left.select(*inner.columns, F.pmod(F.xxhash64("id"), slices).cast("int").alias("slice"), every.alias("x_slice"))
+            on = ["key", "x_slice", "slice"]
+        else:
             order = F.xxhash64(F.lit(turn), "id")
             one = inner.filter("comp = main").groupBy("key").agg(F.min(F.struct(order.alias("o"), "id", "n", "comp", "main", *bits)).alias("m"))
             inner = write_scratch(one.select("key", "m.*").drop("o"), "inner")
         near = may_link(F.col("n"), F.col("nx"), [F.col(c) for c in bits], [F.col(f"x{c}") for c in bits], percent)
-        new = outer.join(inner, "key") \
+        new = outer.join(inner, on) \
             .filter((F.col("comp") != F.col("cx")) & ((F.col("comp") == F.col("main")) | (F.col("x") < F.col("id"))) & near) \
             .groupBy(F.least("x", "id").alias("a"), F.greatest("x", "id").alias("b")).agg(F.lit(1).alias("one")).select("a", "b")
         new = write_scratch(new.join(tested, ["a", "b"], "left_anti"), "pairs")

@@ -206,6 +206,25 @@ def test_near_dedup_stage_links_from_080(spark):
     assert got == [d for d, _, kept in rows if d % 10 < kept]
 
 
+def test_near_duplicates_of_sliced_buckets(spark, monkeypatch):
+    """Buckets of many members in many components, compared slice by slice, against brute force."""
+    monkeypatch.setattr(near_dedup, "SLICE", 5)
+    rng = np.random.default_rng(11)
+    common = [f"c{i}" for i in range(60)]
+    texts = {i: " ".join([*common, *(f"w{rng.integers(1000)}" for _ in range(12 + i % 9))]) for i in range(60)}
+    texts |= {100 + i: f"{texts[i]} end{i}" for i in range(0, 60, 4)}
+    sets = {i: {tuple(w[k:k + 5]) for k in range(len(w) - 4)} for i, t in texts.items() for w in [t.split()]}
+    comp = {i: i for i in sets}
+    for a in sorted(sets):
+        for b in sorted(sets):
+            if a < b and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]) and comp[a] != comp[b]:
+                low, high = sorted((comp[a], comp[b]))
+                comp = {i: low if c == high else c for i, c in comp.items()}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in near_dedup.near_duplicates(docs, percent=80, band_rows=2).collect()}
+    assert got == comp and len(set(comp.values())) > 30
+
+
 def test_topk_edges(spark):
     rows = [(0, [1.0, 0.5]), (1, [1.0, 0.5]), (2, None), (3, [float("nan"), 1.0]), (4, [1.0, None]), (5, []), (6, [2.0]), (7, [-1.0, -1.0]),
             (8, [1.0, 0.5]), (None, [9.0, 9.0]), (100, [0.0, 0.0])]
