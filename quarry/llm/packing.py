@@ -33,7 +33,8 @@ from pyspark.sql import types as T
 from quarry.llm.common import col
 from quarry.llm.tokens import encoder, sentence_ends
 
-OUT_BYTES = 32 << 20
+OUT_BYTES = 4 << 20
+ROWS = 2000
 
 
 def candidates(ends: np.ndarray, soft: np.ndarray, length: int, sentence_cost: float,
@@ -59,17 +60,20 @@ def candidates(ends: np.ndarray, soft: np.ndarray, length: int, sentence_cost: f
 def best_cuts(pos: np.ndarray, cost: np.ndarray, length: int, sequence_cost: float = 1.0) -> np.ndarray:
     """Cut positions of least padding plus cost, from 0 to the last candidate."""
     n = len(pos)
-    place = np.full(int(pos[-1]) + 1, -1, dtype=np.int64)
-    place[pos] = np.arange(n)
-    exact: dict[int, list[int]] = {}
+    is_cut = np.zeros(int(pos[-1]) + 1, dtype=bool)
+    is_cut[pos] = True
+    later, earlier = [], []  # pairs of candidates a power of two apart
     size = 1
     while size < length:
         reach = int(np.searchsorted(pos, size))
-        before = place[pos[reach:] - size]
-        some = np.flatnonzero(before >= 0)
-        for j, i in zip((some + reach).tolist(), before[some].tolist(), strict=True):
-            exact.setdefault(j, []).append(i)
+        before = pos[reach:] - size
+        some = np.flatnonzero(is_cut[before])
+        later.append((some + reach).astype(np.int32))
+        earlier.append(np.searchsorted(pos, before[some]).astype(np.int32))
         size *= 2
+    later, earlier = (np.concatenate([*x, [n]]) for x in (later, earlier))
+    order = np.argsort(later, kind="stable")
+    later, earlier, at = later[order].tolist(), earlier[order].tolist(), 0
     p, c = pos.tolist(), (cost + sequence_cost).tolist()
     best, back = [0.0] * n, [0] * n
     queue, values, head = [0], [0.0], 0  # indices with rising best + position, live from ``head`` on
@@ -79,10 +83,11 @@ def best_cuts(pos: np.ndarray, cost: np.ndarray, length: int, sequence_cost: flo
         while p[queue[head]] < low:
             head += 1
         i, value = queue[head], values[head] - low
-        if j in exact:
-            for k in exact[j]:
-                if best[k] < value:
-                    i, value = k, best[k]
+        while later[at] == j:
+            k = earlier[at]
+            if best[k] < value:
+                i, value = k, best[k]
+            at += 1
         value += c[j]
         best[j], back[j] = value, i
         value += here
@@ -116,6 +121,7 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
     def block(ids: list, data: list[bytes], first: int) -> Iterator[pa.RecordBatch]:
         ends = np.cumsum([len(x) // 4 for x in data], dtype=np.int64)
         raw = b"".join(data)
+        data.clear()
         tokens = np.frombuffer(raw, dtype="<u4")
         is_soft = np.zeros(int(max(tokens.max(), soft_ids.max(initial=0))) + 1, dtype=bool)
         is_soft[soft_ids] = True
@@ -136,13 +142,14 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
                  pa.Array.from_buffers(pa.binary(), hi - lo, [None, pa.py_buffer(at), body])],
                 names=[id_col, "start", "length", "doc_tokens", "sequence_id", "offset", "ids"])
             lo = hi
+        pa.default_memory_pool().release_unused()
         return len(cuts) - 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer, drops_white_space).encode
         first = TaskContext.get().partitionId() << 36
         ids, data, held = [], [], 0
-        for batch in batches:
+        for batch in (b.slice(at, ROWS) for b in batches for at in range(0, b.num_rows, ROWS)):
             lo = 0
             for k, raw in enumerate(encode(["" if x is None else x for x in batch.column(1).to_pylist()])):
                 data.append(raw + end_bytes)

@@ -1,8 +1,10 @@
 """Token ids of whole texts as little-endian unsigned 32-bit bytes.
 
 A tokenizer that drops white space encodes every stretch between blanks on its
-own, so its ids can be kept per stretch and a text is a join of byte strings.
-The cache is bounded and lives per Python worker.
+own, so its ids can be kept per stretch. Arrow splits a group of texts and
+numbers its distinct stretches; Python sees each of those once, and numpy
+gathers the ids of all texts by number. The cache is bounded and lives per
+Python worker.
 """
 
 from __future__ import annotations
@@ -12,11 +14,14 @@ from array import array
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-CACHE = 500_000
+CACHE = 150_000
 MARKS = ".,;:!?%$&*#|<>"
-SLICE = 1_000_000
-GROUP = 1000
+LETTERS = "abcdefghijklmnopqrstuvwxyz"
+SLICE = 3_000_000
+GROUP = 4000
 _ENCODERS: dict[tuple[str, bool], Encoder] = {}
 
 
@@ -27,45 +32,92 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.drops_white_space = drops_white_space
+        # Ids of stretches in two generations: a full one becomes the older, which goes.
         self.cache: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.letters: dict[str, bool] = {}
         vocab = self.tokenizer.get_vocab()
         self.ends_word = np.zeros(max(vocab.values()) + 1, dtype=bool)
         self.ends_word[[i for piece, i in vocab.items() if piece.endswith("</w>")]] = True
         # Only where the tokenizer folds case itself.
         self.folds = self._batch(["A"]) == self._batch(["a"])
+        self.model = self._model(vocab)
+
+    def _model(self, vocab: dict[str, int]):
+        """The tokenizer's model behind a split at blanks, for words of a to z; the whole tokenizer if the two differ on its own pieces."""
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        bare = Tokenizer(self.tokenizer.model)  # shares it
+        bare.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        known = sorted(w for piece in vocab if (w := piece.removesuffix("</w>")).isascii() and w.isalpha() and w.islower())
+        trial = " ".join([*known[::1 + len(known) // 2000], *LETTERS])
+        same = [t.encode(trial, add_special_tokens=False).ids for t in (self.tokenizer, bare)]
+        return bare if same[0] == same[1] else self.tokenizer
 
     def _batch(self, texts: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _words(self, words: list[str]) -> list[bytes]:
+    def _words(self, words: list[str], tokenizer) -> list[bytes]:
         """Ids of single words of letters: joined by blanks, and cut after each id that ends a word."""
-        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, dtype="<u4")
-        ends = np.flatnonzero(self.ends_word[ids]) + 1
-        if len(ends) != len(words) or ends[-1] != len(ids):
-            return self._batch(words)  # a word that falls into several pre-tokens
-        raw, at = ids.tobytes(), (ends * 4).tolist()
-        return [raw[lo:hi] for lo, hi in zip([0, *at[:-1]], at, strict=True)]
-
-    def _learn(self, chunks: set[str]) -> None:
-        """Put the ids of ``chunks`` into the cache."""
-        cache = self.cache
-        missing = list(chunks.difference(cache))
-        if len(cache) + 2 * len(missing) > CACHE:
-            cache.clear()
-            missing = list(chunks)
-        # Letters and then marks are two pre-tokens.
-        heads = [h if (h := c.rstrip(MARKS)).isalpha() and self._ends_in_letter(h[-1]) else c for c in missing]
-        tails = [c[len(h):] for c, h in zip(missing, heads, strict=True)]
-        need = {*heads, *tails}.difference(cache)
-        plain, other = [h for h in need if h.isalpha()], [h for h in need if not h.isalpha()]
-        for lo in range(0, len(plain), 1000):
-            part = plain[lo:lo + 1000]
-            cache.update(zip(part, self._words(part), strict=True))
-        cache.update(zip(other, self._batch(other), strict=True))
-        for chunk, head, tail in zip(missing, heads, tails, strict=True):
-            if tail:
-                cache[chunk] = cache[head] + cache[tail]
+        out = []
+        for lo in range(0, len(words), 1000):
+            part = words[lo:lo + 1000]
+            ids = np.array(tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, dtype="<u4")
+            ends = np.flatnonzero(self.ends_word[ids]) + 1
+            if len(ends) != len(part) or ends[-1] != len(ids):
+                out += self._batch(part)  # a word that falls into several pre-tokens
+                continue
+            raw, at = ids.tobytes(), (ends * 4).tolist()
+            out += [raw[lo:hi] for lo, hi in zip([0, *at[:-1]], at, strict=True)]
+        return out
+
+    def _plain(self, words: list[str]) -> list[bytes]:
+        """Ids of words of a to z."""
+        return self._words(words, self.model)
+
+    def _others(self, chunks: list[str]) -> list[bytes]:
+        """Ids of any other stretches: letters and then marks are two pre-tokens."""
+        heads = [h if (h := c.rstrip(MARKS)).isalpha() and self._ends_in_letter(h[-1]) else c for c in chunks]
+        tails = [c[len(h):] for c, h in zip(chunks, heads, strict=True)]
+        need = {*heads, *tails}
+        words, other = [w for w in need if w.isalpha()], [w for w in need if not w.isalpha()]
+        ids = dict(zip([*words, *other], [*self._words(words, self.tokenizer), *self._batch(other)], strict=True))
+        return [ids[h] + ids[t] for h, t in zip(heads, tails, strict=True)]
+
+    def _known(self, chunks: list[str], encode) -> list[bytes]:
+        """Ids of distinct stretches, from the cache or else from ``encode``."""
+        if len(self.cache) > CACHE:
+            self.cache, self.older = {}, self.cache
+        found = list(map(self.cache.get, chunks))
+        new = [k for k, x in enumerate(found) if x is None]
+        again = list(map(self.older.get, [chunks[k] for k in new]))
+        missing = [k for k, x in zip(new, again, strict=True) if x is None]
+        fresh = iter(encode([chunks[k] for k in missing]))
+        for k, x in zip(new, again, strict=True):
+            found[k] = self.cache[chunks[k]] = next(fresh) if x is None else x
+        return found
+
+    def _distinct(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of distinct stretches, joined, and how many each has. Marks behind a word of a to z are looked up on their own."""
+        heads = pc.ascii_rtrim(chunks, MARKS)
+        letters = pc.and_(pc.ascii_is_alpha(heads), pc.ascii_is_lower(heads))
+        heads = pc.if_else(letters, heads, chunks).dictionary_encode()
+        marks = pc.ascii_ltrim(chunks.filter(letters), LETTERS).dictionary_encode()
+        letters = letters.to_numpy(zero_copy_only=False)
+        place = heads.indices.to_numpy()
+        plain = np.zeros(len(heads.dictionary), dtype=bool)
+        plain[place[letters]] = True
+        # Numbered anew: words of a to z, other stretches, marks, nothing.
+        number = np.where(plain, np.cumsum(plain), np.cumsum(~plain) + plain.sum()) - 1
+        known = [*self._known(heads.dictionary.filter(pa.array(plain)).to_pylist(), self._plain),
+                 *self._known(heads.dictionary.filter(pa.array(~plain)).to_pylist(), self._others),
+                 *self._known(marks.dictionary.to_pylist(), self._others), b""]
+        pairs = np.full((len(chunks), 2), len(known) - 1)
+        pairs[:, 0] = number[place]
+        pairs[letters, 1] = marks.indices.to_numpy() + len(plain)
+        sizes = np.fromiter(map(len, known), dtype=np.int64, count=len(known)) // 4
+        ids, lengths = _gathered(np.frombuffer(b"".join(known), dtype="<u4"), sizes, pairs.ravel())
+        return ids, lengths.reshape(-1, 2).sum(axis=1)
 
     def _ends_in_letter(self, letter: str) -> bool:
         """Whether the tokenizer's own form of a letter ends in a letter; some end in a combining mark, which joins the marks behind."""
@@ -97,9 +149,25 @@ class Encoder:
             yield from self._flush(group)
 
     def _flush(self, texts: list[str]) -> list[bytes]:
-        chunks = [(_folded(t) if self.folds else t).replace("\n", " ").split(" ") for t in texts]
-        self._learn(set().union(*chunks))
-        return [b"".join(map(self.cache.__getitem__, c)) for c in chunks]
+        if not texts:
+            return []
+        plain = [(_folded(t) if self.folds else t).replace("\n", " ") for t in texts]
+        split = pc.split_pattern(pa.array(plain, pa.large_string()), " ")
+        coded = split.values.dictionary_encode()
+        ids, sizes = self._distinct(coded.dictionary)
+        ids, lengths = _gathered(ids, sizes, coded.indices.to_numpy())
+        raw, ends = ids.tobytes(), np.cumsum(lengths)
+        at = np.concatenate(([0], ends))[split.offsets.to_numpy()] * 4
+        return [raw[lo:hi] for lo, hi in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
+
+
+def _gathered(ids: np.ndarray, sizes: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``ids`` holds stretches of these sizes; joins the stretches of the given numbers. Also returns their sizes."""
+    lengths = sizes[which]
+    # Id k of the result lies so far on in ``ids`` as its own stretch does.
+    moved = np.repeat((np.cumsum(sizes) - sizes)[which] - np.cumsum(lengths) + lengths, lengths)
+    moved += np.arange(len(moved))
+    return ids[moved], lengths
 
 
 def _folded(text: str) -> str:

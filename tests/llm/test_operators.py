@@ -314,6 +314,38 @@ def test_token_ids_of_every_letter():
     assert list(encoder(word_tokenizer()).encode(texts)) == want
 
 
+def test_token_cache_is_small_and_exact():
+    """Distinct words beyond the cache: it stays small, words of a to z go straight to the model, marks are told apart."""
+    from tokenizers import Tokenizer
+
+    from quarry.llm import tokens
+
+    coder = tokens.Encoder(word_tokenizer(), True)
+    assert coder.model is not coder.tokenizer
+    rng = np.random.default_rng(3)
+    texts = [" ".join("".join(map(chr, rng.integers(97, 123, size=8))) + ("", ".", "?!", "é,", "1")[k % 5] for k in range(90_000))
+             for _ in range(5)] + ["", " ", "a", ".", "it's we'll, I'VE don't. #", "Straße, ÄRGER! x\u0301. <|endoftext|> end"]
+    got = [ids for text in texts for ids in coder.encode([text])]
+    whole = Tokenizer.from_file(word_tokenizer())
+    for text, ids in zip(texts, got, strict=True):
+        assert ids == array("I", whole.encode(text, add_special_tokens=False).ids).tobytes()
+    assert len(coder.cache) + len(coder.older) < 400_000
+
+
+def test_packing_memory_follows_the_cuts():
+    """Four million tokens with few places to cut take far less memory than a number a token."""
+    import tracemalloc
+
+    pos = np.arange(0, 4_000_001, 100)
+    tracemalloc.start()
+    try:
+        cuts = packing.best_cuts(pos, np.zeros(len(pos)), 4096)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert cuts[-1] == pos[-1] and peak < 24 << 20
+
+
 def test_forward_backward_is_exact():
     rng = np.random.default_rng(5)
     scores, moves = rng.normal(size=(5, 3)), rng.normal(size=(3, 3))
