@@ -49,10 +49,15 @@ def term_part(term: Column, parts: int = TERM_PARTS) -> Column:
 def term_index(chunks: DataFrame, key: str = "doc_id", keep: list[str] = ()) -> DataFrame:
     """R2: postings (term, key, chunk_no, tf, dl, *keep); dl = number of terms of the chunk."""
     t = chunks.select(key, "chunk_no", *keep, terms(F.col("text")).alias("__t"))
-    # Each chunk is tokenised once; dl is the chunk's term count.
-    t = posexplode_rows(t, [key, "chunk_no", *keep, F.size("__t").alias("dl")], "__t", "__p", "term")
-    # Map-side partial counts collapse repeats within a chunk before the shuffle.
-    return t.groupBy("term", key, "chunk_no", "dl", *keep).agg(F.count(F.lit(1)).alias("tf"))
+    # Each chunk is tokenised once; dl is the chunk's term count. Chunks are grouped, not their many terms: rows of
+    # one key and number become one sorted list, whose runs of equal terms are the postings.
+    t = t.groupBy(key, "chunk_no", F.size("__t").alias("dl"), *keep).agg(F.sort_array(F.flatten(F.collect_list("__t"))).alias("__t"))
+    places = F.transform("__t", lambda x, i: F.when((i == 0) | (x != F.get("__t", i - 1)), i))
+    t = t.select(key, "chunk_no", "dl", *keep, "__t", F.array_compact(places).alias("__s"))
+    runs = F.transform("__s", lambda s, i: F.struct(
+        F.get("__t", s).alias("term"), (F.coalesce(F.get("__s", i + 1), F.size("__t")) - s).cast("long").alias("tf")))
+    rows = posexplode_rows(t, [key, "chunk_no", "dl", *keep], runs, "__p", "__r")
+    return rows.select("__r.term", key, "chunk_no", "dl", *keep, "__r.tf")
 
 
 def term_dictionary(postings: DataFrame) -> DataFrame:
