@@ -37,6 +37,14 @@ def run_stage(source: DataFrame, fn: Callable[[DataFrame], DataFrame], out_path:
         raise q.exception()
 
 
+def run_batches(source: DataFrame, fn: Callable[[DataFrame, int], None], checkpoint: str) -> None:
+    """Run ``fn(rows, number)`` for every batch of the input available now."""
+    q = source.writeStream.foreachBatch(fn).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    q.awaitTermination()
+    if q.exception():
+        raise q.exception()
+
+
 def stream_table(spark: SparkSession, path: str, like: DataFrame | None = None, schema=None) -> DataFrame:
     """Stream the files of a parquet table; file sources need an explicit schema."""
     schema = schema or (like.schema if like is not None else spark.read.parquet(path).schema)

@@ -653,3 +653,51 @@ def test_score_metrics_equal_the_long_form_without_messages(spark):
     assert sorted(map(tuple, wide.collect())) == sorted(map(tuple, long.collect()))
     plan = wide._jdf.queryExecution().executedPlan().toString()
     assert "message" not in plan and plan.index("Generate") < plan.index("HashAggregate")
+
+
+def test_large_files_are_read_in_splits(spark, tmp_path):
+    """Bytes of a file too large for one row, with and without a line end behind them; a stream sees the same."""
+    from quarry.sources import files as FS
+
+    folder = tmp_path / "in put%41"
+    folder.mkdir()
+    rng = __import__("random").Random(4)
+    made = {"a.bin": rng.randbytes(300_000), "b.bin": rng.randbytes(299_999) + b"\n", "c.bin": b"\n" * 70_000, "d.bin": b"x", "f_g.bin": b"\r\n\xff" * 30_000}
+    for name, data in made.items():
+        (folder / name).write_bytes(data)
+    want = sorted((n, len(x), len(x)) for n, x in made.items())
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    try:
+        found = FS.read_sizes(FS.scan_files(spark, str(folder), "*.bin", content=False), str(folder), whole_bytes=50_000)
+        assert sorted(tuple(r)[1:] for r in found.collect()) == want
+        found = FS.stream_sizes(spark, str(folder), "*.bin", f"{tmp_path}/out", f"{tmp_path}/checkpoint", whole_bytes=50_000)
+        assert sorted((r.file_name, r.file_size, r.content_bytes) for r in found.collect()) == want
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_eval_join_broadcasts_no_side(spark):
+    """Neither the catalog nor the manuals goes through the driver, however small their files are."""
+    import __spark_entry__ as E
+    from tests.conftest import SMALL
+
+    plan = E.queries()["eval_join"](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
+def test_term_index_shuffles_chunks_only(spark):
+    """Postings are counted where their chunk lies; rows of one key and number are still one chunk."""
+    import __spark_entry__ as E
+    from quarry.operators.retrieval import term_index
+    from tests.conftest import SMALL
+
+    plan = E.queries()["term_index"](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    lines = plan.splitlines()
+    made = next(i for i, x in enumerate(lines) if "Generate posexplode" in x)
+    assert not [x for x in lines[:made] if "Exchange" in x]
+    rows = [(1, 0, "a b a"), (1, 0, "b a c"), (1, 0, "a b"), (None, 0, "z z"), (None, 0, "z y"), (2, 1, ""), (2, 2, "B b! b")]
+    got = term_index(spark.createDataFrame(rows, "doc_id long, chunk_no int, text string"))
+    assert got.columns == ["term", "doc_id", "chunk_no", "dl", "tf"] and dict(got.dtypes)["tf"] == "bigint"
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, [
+        ("a", 1, 0, 3, 3), ("b", 1, 0, 3, 2), ("c", 1, 0, 3, 1), ("a", 1, 0, 2, 1), ("b", 1, 0, 2, 1),
+        ("z", None, 0, 2, 3), ("y", None, 0, 2, 1), ("b", 2, 2, 3, 3)]))
