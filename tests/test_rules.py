@@ -701,3 +701,34 @@ def test_term_index_shuffles_chunks_only(spark):
     assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, [
         ("a", 1, 0, 3, 3), ("b", 1, 0, 3, 2), ("c", 1, 0, 3, 1), ("a", 1, 0, 2, 1), ("b", 1, 0, 2, 1),
         ("z", None, 0, 2, 3), ("y", None, 0, 2, 1), ("b", 2, 2, 3, 3)]))
+
+
+def test_search_makes_no_row_for_a_question_and_a_chunk(spark, monkeypatch):
+    """Sums made in the task equal those of a join, with repeated and null keys, null languages, copies and any size of block."""
+    import functools
+
+    import __spark_entry__ as E
+    from quarry.operators import retrieval as R
+    from tests.conftest import SMALL
+
+    plan = E.queries()["passages_english"](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and not [x for x in plan.splitlines() if "HashAggregate" in x and "item_id" in x and "chunk_no" in x]
+    # Questions that want nearly all parts test no row's part.
+    assert not [x for x in plan.splitlines() if "Filter" in x and x.count("part#") > R.TERM_PARTS // 2 + 1]
+    rng = __import__("random").Random(5)
+    langs = ["en", "de", "fr", None]
+    rows = [(i // 2 if i % 7 else None, i % 3, rng.choice(langs), " ".join(rng.choices("abcdefghij", k=rng.randint(0, 9)))) for i in range(200)]
+    rows += [(900 + i, 0, langs[i % 4], "a b c") for i in range(40)]
+    postings = R.term_index(spark.createDataFrame(rows, "doc_id long, chunk_no int, lang string, text string"), keep=["lang"])
+    asked = [(1, "a b c"), (2, "j"), (None, "b zz i"), (3, None), (2, "c"), (4, "zz"), (5, "a b c d e f g h i j")]
+    questions = spark.createDataFrame(asked, "item_id long, text string")
+    for prefer in (None, ("lang", "en"), ("lang", "it")):
+        for k in (1, 3, 1000):
+            got = [sorted(map(str, R.search(questions, "item_id", "text", postings, k=k, prefer=prefer).collect()))]
+            with monkeypatch.context() as m:
+                m.setattr(R, "_best_of_tasks", functools.partial(R._best_of_tasks, pairs_at_once=11))
+                got.append(sorted(map(str, R.search(questions, "item_id", "text", postings, k=k, prefer=prefer).collect())))
+                m.setattr(R, "fits_broadcast", lambda df: False)
+                want = sorted(map(str, R.search(questions, "item_id", "text", postings, k=k, prefer=prefer).collect()))
+            assert want and got == [want, want], (prefer, k)
+    assert R.search(questions.filter("item_id = 3"), "item_id", "text", postings).count() == 0
