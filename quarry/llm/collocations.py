@@ -19,7 +19,9 @@ by hash for the same reason; the counts in the result are by words.
 
 Scores come from the frequent phrases alone, since every part of a frequent
 phrase is frequent. A part such as a common first word is a hot key: its count
-is dealt to ``SALTS`` copies and the phrases to one of them each.
+is dealt to ``SALTS`` copies and the phrases to one of them each. Neither side
+is broadcast: both grow with the frequent phrases, and by their copies and cuts
+they are far larger than the files that Spark sizes them by.
 
 Defined results: null texts are empty; a null language is ``und``; rows of one
 id, also of a null id, lie in one shard and count each; repeated texts count
@@ -219,7 +221,7 @@ def collocations(docs: DataFrame, min_count: int = 30, max_words: int = 4, top:
     parts = found.filter(F.col("m") < max_words) \
         .select("lang", F.col("phrase").alias("part"), "f", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)).cast("array<long>")).alias("salt"))
     names = [f"{side}{k}" for k in range(1, max_words) for side in "lr"]
-    cuts = cuts.join(parts, ["lang", "part", "salt"]).select(
+    cuts = cuts.join(parts.hint("merge"), ["lang", "part", "salt"]).select(
         "lang", "phrase", "a", F.lit(None).cast("long").alias("longer"),
         *[F.when((F.col("k") == int(x[1:])) & (F.col("side") == "lr".index(x[0])), F.col("f")).alias(x) for x in names])
     inside = longer.filter("m > 2").withColumn("w", F.split("phrase", " ")) \

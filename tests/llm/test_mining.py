@@ -90,6 +90,22 @@ def test_a_small_bit_table_changes_no_phrase(spark, hostile, monkeypatch):
     assert {tuple(r) for r in collocations.collocations(hostile, min_count=2).collect()} == want
 
 
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+def test_phrases_and_their_parts_are_not_broadcast(spark, hostile, adaptive):
+    """Cuts and copies of the parts are many times their files, by which Spark would broadcast them; the totals are a row per language."""
+    was = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    try:
+        found = collocations.collocations(hostile, min_count=2)
+        got = {tuple(r) for r in found.collect()}
+        plan = found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", was)
+    joins = re.findall(r"(\w+)Join(?:\(skew=true\))? \[lang#\d+, part#\d+, salt#\d+L?\]", plan)
+    assert joins and set(joins) == {"SortMerge"}
+    assert got == plain_collocations([(r[2], r[1]) for r in ROWS], 2)
+
+
 # --- runs ---
 
 def plain_runs(w, least=24, repeats=3):
